@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 from plazalake.llm.common import fold
 
 BITS = 20
-MAX_LABELLED = 12_000
+MAX_LABELLED = 18_000
 EPOCHS = 4
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 0.1
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.1
 FOLDS = 5
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 #: (words between the two words of a pair, multiplier); the first is the bigram.

@@ -121,16 +121,17 @@ class _Cards(HTMLParser):
 
     def __init__(self, block: str, fields: Mapping[str, str]):
         super().__init__(convert_charrefs=True)
-        self.block, self.fields, self.rows, self.open = block, fields, [], None
+        self.block, self.fields, self.rows = block, fields, []
+        self.open = self.inside = None
 
     def handle_starttag(self, tag, attrs):
         attributes = {k: v or "" for k, v in attrs}
         names = attributes.get("class", "").split()
         if self.block in names:  # a new block ends an unclosed one
             self.rows.append({k: attributes.get(f"data-{k}") for k in self.fields})
-            self.open = None
-        elif self.rows:
-            self.open = next((k for k, c in self.fields.items() if c and c in names), self.open if tag in ("b", "span", "i", "em") else None)
+            self.open = self.inside = None
+        elif self.rows and (field := next((k for k, c in self.fields.items() if c and c in names), None)):
+            self.open, self.inside = field, tag
 
     def handle_data(self, data):
         if self.rows and self.open and data.strip():
@@ -138,7 +139,8 @@ class _Cards(HTMLParser):
             row[self.open] = f"{row[self.open]} {text}" if row.get(self.open) else text
 
     def handle_endtag(self, tag):
-        self.open = None
+        if tag == self.inside:
+            self.open = self.inside = None
 
 
 def cards(pages: DataFrame, block: str, fields: Mapping[str, str]) -> DataFrame:

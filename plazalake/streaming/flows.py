@@ -58,11 +58,11 @@ class Breaker(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         streak, recent = self.state.get() if self.state.exists() else (0, "")
         out = []
-        for part in rows:
-            for seq, ok in part.sort_values("seq")[["seq", "ok"]].itertuples(index=False):
-                streak = 0 if ok else streak + 1
-                recent = (recent + ("1" if ok else "0"))[-self.MEMORY :]
-                out.append((key[0], seq, streak, streak >= self.STREAK or (len(recent) == self.MEMORY and "1" not in recent)))
+        # a key's rows of one micro-batch, in order
+        for seq, ok in pd.concat(list(rows)).sort_values("seq")[["seq", "ok"]].itertuples(index=False):
+            streak = 0 if ok else streak + 1
+            recent = (recent + ("1" if ok else "0"))[-self.MEMORY :]
+            out.append((key[0], seq, streak, streak >= self.STREAK or (len(recent) == self.MEMORY and "1" not in recent)))
         self.state.update((streak, recent))
         yield pd.DataFrame(out, columns=["run_id", "seq", "streak", "open"])
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plazalake.sources.scratch import new_path, scratch_dir
+
 #: A word is a run of characters other than space and U+0009 to U+000D.
 #: ``bytes.split()`` of UTF-8 text cuts at exactly these characters.
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
@@ -26,17 +26,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` if the cluster names
-    one. Only where it is unset (tests, a laptop) a temporary folder is made and remembered."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="plazalake-")
-        spark.sparkContext.setCheckpointDir(found)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return f"{found.rstrip('/')}/plazalake-{spark.sparkContext.applicationId}"
-
-
 @contextmanager
 def _shuffle_cleanup(spark: SparkSession):
     """While a scratch table is written, drop the shuffle files of that write when it is done."""
@@ -59,7 +48,7 @@ def table(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back. This cuts lineage, outlives
     lost executors, gives the planner true sizes, and frees the shuffle files behind it."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     with _shuffle_cleanup(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -20,8 +20,8 @@ from plazalake.llm.common import fold
 
 BITS = 20
 MAX_LABELLED = 18_000
-EPOCHS = 4
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 3.0, 0.1
+EPOCHS = 6
+ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.1
 FOLDS = 5
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 #: (words between the two words of a pair, multiplier); the first is the bigram.

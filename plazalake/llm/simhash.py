@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     linked = nodes.join(roots, "fp")
     firsts = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = linked.select("fp", "root").join(firsts, "root").select("fp", "component_id")
-    classes = nodes.join(members, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    # a table, so that the join below deals both sides anew and Spark can split a hot fingerprint
+    classes = table(nodes.join(members, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
     return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -61,6 +61,7 @@ def suspect_flags(df: DataFrame, most_km: float = 40.0) -> DataFrame:
     keyed = good.withColumn("lat6", F.floor(F.col("lat") * 1e6 + 0.5).cast("long")).withColumn("lng6", F.floor(F.col("lng") * 1e6 + 0.5).cast("long"))
     placed = resolve_cities(keyed, points, unambiguous_cities(points, most_km)).join(repeated, ["lat6", "lng6"], "left")
     far = geo.approx_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > most_km
+    # the three flag names are fixed values of the data format
     flags = F.array_compact(F.array(F.when(F.col("_rep"), "repe"), F.when(F.col("c_lat").isNull(), "sin-centroide"), F.when(far, "lejos")))
     return placed.select("source", "listing_id", F.array_join(flags, "+").alias("suspect"))
 

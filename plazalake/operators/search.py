@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plazalake.functions import geo
 from plazalake.functions.text import search_key
+from plazalake.operators.shards import price_counts
 
 
 def query_key(text: str) -> str:
@@ -77,8 +78,10 @@ def display(df: DataFrame) -> DataFrame:
 def page_by_price(df: DataFrame, page: int, size: int) -> DataFrame:
     """Rows of one page in (price, listing_id) order. Distinct prices are counted first, so no task
     orders more rows than the prices that the page touches hold."""
-    counts = df.groupBy("price").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("price", "_n", F.coalesce(F.sum("_n").over(Window.orderBy("price").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    empty = df.filter("price IS NULL").agg(F.lit(None).cast("double").alias("price"), F.count(F.lit(1)).alias("_n"), F.lit(0).cast("long").alias("_before"))
+    priced = price_counts(df, "price").select("price", F.col("n").alias("_n"), F.col("before").alias("_before"))
+    shifted = priced.crossJoin(empty.select(F.col("_n").alias("_empty"))).select("price", "_n", (F.col("_before") + F.col("_empty")).alias("_before"))  # one row
+    before = empty.unionByName(shifted)
     first, last = page * size, (page + 1) * size
     touched = before.filter((F.col("_before") < last) & (F.col("_before") + F.col("_n") > first)).drop("_n")
     position = F.col("_before") + F.row_number().over(Window.partitionBy("price").orderBy("listing_id")) - 1

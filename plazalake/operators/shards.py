@@ -2,22 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows by price with the rows before each price; as many rows as there are distinct prices."""
+def price_band(price: Column) -> Column:
+    """A price cut to three leading digits: ascends with the price and has few values, some
+    thousands for each sign, whatever the number of prices."""
+    step = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(price))) - 2)
+    return F.when(price == 0, F.lit(0.0)).otherwise(F.floor(price / step) * step)
+
+
+def price_counts(df: DataFrame, key: str) -> DataFrame:
+    """Rows by price with the rows before each price. Sums run within bands, and over the bands'
+    totals, so no task orders all prices."""
     n = df.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias("price")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.sum("n").over(Window.orderBy("price").rowsBetween(Window.unboundedPreceding, -1))
-    return n.select("price", "n", F.coalesce(before, F.lit(0)).alias("before"))
+    banded = n.withColumn("_band", price_band(F.col("price").cast("double")))
+    earlier = lambda w: F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bands = banded.groupBy("_band").agg(F.sum("n").alias("n")).select("_band", earlier(Window.orderBy("_band")).alias("_earlier"))
+    within = banded.withColumn("_within", earlier(Window.partitionBy("_band").orderBy("price")))
+    return within.join(bands, "_band").select("price", "n", (F.col("_earlier") + F.col("_within")).alias("before"))
 
 
 def price_shards(df: DataFrame, key: str, target: int) -> DataFrame:
     """Ranges of about ``target`` rows that cover every row with a price once; a price is never cut,
     so a range is below the target plus its largest price."""
     shard = F.floor(F.col("before") / target).cast("long")
-    return _counts(df, key).groupBy(shard.alias("shard")).agg(F.min("price").alias("lo"), F.max("price").alias("hi"), F.sum("n").alias("n"))
+    return price_counts(df, key).groupBy(shard.alias("shard")).agg(F.min("price").alias("lo"), F.max("price").alias("hi"), F.sum("n").alias("n"))
 
 
 def degenerate_prices(df: DataFrame, key: str, page: int) -> DataFrame:
@@ -44,7 +55,7 @@ def keyset_walk(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     """window and page of each row when a walk takes ``pages`` pages of ``size`` rows at a time in
     (price, listing_id) order, without overlap. Row positions come from price counts."""
     w = Window.partitionBy(key).orderBy("listing_id")
-    counts = _counts(df, key).withColumnRenamed("price", key)
+    counts = price_counts(df, key).withColumnRenamed("price", key)
     position = F.col("before") + F.row_number().over(w) - 1
     rows = df.join(counts.select(key, "before"), key).withColumn("position", position).drop("before")
     return rows.withColumn("window", F.floor(F.col("position") / (size * pages))).withColumn("page", F.floor(F.col("position") % (size * pages) / size))

@@ -283,10 +283,10 @@ def r4_event_rate(spark, d):
     return n.select(F.unix_seconds(F.col("window.start").cast("timestamp")).alias("start_s"), "n")
 
 
-@query(G + "SELECT epoch_us(min(ts)) // 1000000 AS start_s, count(*) AS n FROM (SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 600000000 THEN 1 ELSE 0 END) OVER (ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (ORDER BY ts, seq)) AS gap FROM log_v)) GROUP BY s")
+@query(G + "SELECT run_id, epoch_us(min(ts)) // 1000000 AS start_s, count(*) AS n FROM (SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run_id ORDER BY ts, seq)) AS gap FROM log_v)) GROUP BY run_id, s")
 def r5_sessions(spark, d):
-    n = log(spark, d).groupBy(F.session_window("ts", "600 seconds")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t"))
-    return n.select(F.unix_seconds(F.col("t").cast("timestamp")).alias("start_s"), "n")
+    n = log(spark, d).groupBy("run_id", F.session_window("ts", "600 seconds")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t"))
+    return n.select("run_id", F.unix_seconds(F.col("t").cast("timestamp")).alias("start_s"), "n")
 
 
 @query("SELECT user_id % 20 AS page, count(*) AS n, bool_and(ts < TIMESTAMP '2024-01-10') AS old, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-10') AS exact FROM events GROUP BY 1")

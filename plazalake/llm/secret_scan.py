@@ -49,7 +49,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the pattern matches, in code points."""
     low = text.lower()
     found = []
-    if any(k in low for k in ("password", "passwd", "secret", "token", "api_key", "apikey")) or not low.isascii():
+    if any(k in low for k in ("password", "passwd", "secret", "token", "api_key", "apikey")):
         found += [(*m.span(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         found += [(*m.span(), "access") for m in ACCESS.finditer(text)]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plazalake.sources.scratch import stored
+
 
 def price_band(price: Column) -> Column:
     """A price cut to three leading digits: ascends with the price and has few values, some
@@ -61,6 +63,43 @@ def keyset_walk(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     return rows.withColumn("window", F.floor(F.col("position") / (size * pages))).withColumn("page", F.floor(F.col("position") % (size * pages) / size))
 
 
+def keyset_windows(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
+    """Windows of a walk that takes ``pages`` pages of ``size`` rows and goes on at the last price it
+    saw, that price included: window, price, first_row, n_rows, again (rows of that price read twice).
+    A price that fills a whole window is stepped over.
+
+    Each price knows the price at which a walk from it would go on; which prices the walk from the
+    first one meets is found by doubling the step, in as many rounds as the binary length of the walk.
+    """
+    cap = size * pages
+    counts = stored(price_counts(df, key))
+    total, first = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.min("price")).first()
+    mark = counts.select(F.col("before").alias("at"), F.lit(0).alias("ask"), F.struct("before", "price").alias("m"), F.lit(None).cast("long").alias("from"), F.lit(None).cast("long").alias("after"))
+    ask = counts.select((F.col("before") + cap - 1).alias("at"), F.lit(1).alias("ask"), F.lit(None).cast(mark.schema["m"].dataType).alias("m"), F.col("before").alias("from"), (F.col("before") + F.col("n")).alias("after"))
+    both = mark.union(ask.filter(F.col("at") < total - 1)).withColumn("_block", F.floor(F.col("at") / cap))
+    last = F.last("m", ignorenulls=True)
+    carried = both.groupBy("_block").agg(F.max("m").alias("_m")).select("_block", F.last("_m", ignorenulls=True).over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_m"))
+    inside = both.withColumn("_in", last.over(Window.partitionBy("_block").orderBy("at", "ask").rowsBetween(Window.unboundedPreceding, 0))).filter("ask = 1")
+    met = F.coalesce("_in", "_m")["before"]
+    step = stored(inside.join(carried, "_block").select("from", F.when(met > F.col("from"), met).otherwise(F.col("after")).alias("to")).filter(F.col("to") < total))
+    seen = counts.filter(F.col("price") == first).select(F.col("before").alias("at"))
+    jump, n = step, seen.count()
+    while n:
+        reached = stored(seen.union(seen.join(jump, seen["at"] == jump["from"]).select(F.col("to").alias("at"))).distinct())
+        grown = reached.count()
+        if grown == n:
+            break
+        onward = jump.select(F.col("from").alias("to"), F.col("to").alias("_then"))
+        seen, n, jump = reached, grown, stored(jump.join(onward, "to").select("from", F.col("_then").alias("to")))
+    starts = seen.join(counts, seen["at"] == counts["before"]).select("at", "price", "n")
+    w = Window.orderBy("at")  # one row a window
+    rows = F.least(F.lit(cap), F.lit(total) - F.col("at"))
+    return starts.select(
+        (F.row_number().over(w) - 1).cast("long").alias("window"), "price", F.col("at").alias("first_row"), rows.alias("n_rows"),
+        F.greatest(F.lag(F.col("at") + rows).over(w) - F.col("at"), F.lit(0)).alias("again"),
+    )
+
+
 def contiguous(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
     """Whether each range ends where the next one begins; the last has null."""
     return ranges.withColumn("meets_next", F.lead(lo).over(Window.orderBy(lo)) == F.col(hi))

@@ -198,6 +198,13 @@ def p5_keyset_walk(spark, d):
     return shards.keyset_walk(listings(spark, d), "price", 48, 5).select("listing_id", "window", "page")
 
 
+@query(f"""{L.replace('WITH ', 'WITH RECURSIVE ', 1)}, {BEFORE}, tot AS (SELECT sum(n) AS t FROM cnt), walk AS (SELECT 0 AS k, CAST(0 AS BIGINT) AS row0 UNION ALL
+    SELECT k + 1, CAST(CASE WHEN e.before > walk.row0 THEN e.before ELSE s.before + s.n END AS BIGINT) FROM walk, tot, bef s, bef e WHERE s.before = walk.row0 AND walk.row0 + 2015 < t - 1 AND e.before <= walk.row0 + 2015 AND walk.row0 + 2015 < e.before + e.n AND CASE WHEN e.before > walk.row0 THEN e.before ELSE s.before + s.n END < t)
+    SELECT k AS "window", price, row0 AS first_row, CAST(least(2016, t - row0) AS BIGINT) AS n_rows, CAST(greatest(lag(row0 + least(2016, t - row0)) OVER (ORDER BY k) - row0, 0) AS BIGINT) AS again FROM walk, tot, bef WHERE bef.before = walk.row0""")
+def p5_keyset_windows(spark, d):
+    return shards.keyset_windows(listings(spark, d), "price", 48, 42)
+
+
 @query(L + "SELECT count(*) AS n, count(*) FILTER (WHERE price IS NULL) AS unpriced, round(CAST(count(*) FILTER (WHERE price IS NULL) AS DOUBLE) / count(*), 8) AS share FROM listings_v")
 def p6_unpriced(spark, d):
     n = F.count(F.lit(1))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -21,3 +21,10 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession) -> str:
     return f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage and outlives lost executors."""
+    path = new_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

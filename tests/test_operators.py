@@ -180,3 +180,20 @@ def test_streams_equal_batch(spark, tmp_path):
     assert kept == {r["k"]: r for r in want.collect()}
     rate = flows.event_rate(df, "ts").agg(F.sum("n")).first()[0]
     assert rate == 300 and flows.sessions(df, "ts", "61 seconds").count() == 1 and flows.since(df, "ts", "2024-01-01 00:10:00").count() == 20
+
+
+def test_keyset_windows_equal_a_walk(spark):
+    rng = random.Random(8)
+    prices = sorted(float(rng.choice([5, 5, 5, 7, 9, rng.randint(1, 400)])) for _ in range(900))
+    got = sorted(map(tuple, shards.keyset_windows(spark.createDataFrame([(p,) for p in prices], "price double"), "price", 10, 3).select("price", "first_row", "n_rows", "again").collect()), key=lambda r: r[1])
+    want, at, end = [], 0, 0
+    while at < len(prices):
+        n = min(30, len(prices) - at)
+        want.append((prices[at], at, n, max(end - at, 0)))
+        end = at + n
+        if end == len(prices):
+            break
+        back = prices.index(prices[end - 1])
+        at = back if back > at else at + prices.count(prices[at])
+    assert got == want
+    assert shards.keyset_windows(spark.createDataFrame([], "price double"), "price", 10, 3).count() == 0

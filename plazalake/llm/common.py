@@ -54,6 +54,15 @@ def table(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` with a number for each row, and that column's name. The numbers are stored with the
+    rows: computed anew they could differ from job to job."""
+    name = "_row"
+    while name.lower() in map(str.lower, df.columns):
+        name = f"_{name}"
+    return table(df.withColumn(name, F.monotonically_increasing_id())), name
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete this session's scratch tables; call it once results are stored."""
     jvm = spark.sparkContext._jvm

@@ -58,13 +58,21 @@ def blocked(df: DataFrame, fp: str, radius: int) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """One row per document and benchmark item found in it: doc_id, item_id, start (word, from 0),
+    """One row per doc_id and benchmark item found in it: doc_id, item_id, start (word, from 0),
     n_words (of the window), similarity, hamming, of the most similar window, the earliest of ties.
 
     Words are lower-cased. A document shorter than an item is one window. Null, empty and wordless
     texts match nothing on either side. Repeated rows and rows with a null id count once and can
     match; items with one text and different ids are all reported. Other columns are ignored.
     """
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n_words", "hamming")).alias("b")
+    return _found(docs, benchmark, similarity, radius).groupBy("doc_id", "item_id").agg(best).select(
+        "doc_id", "item_id", (-F.col("b.s")).alias("start"), "b.n_words", "b.similarity", "b.hamming"
+    )
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """What ``contaminated`` gives, for each text of a doc_id by itself, named by _doc."""
     items = (
         computed(benchmark.select("item_id", "text", row_key("item_id").alias("_item")), "w", words()).filter(F.size("w") > 0).dropDuplicates(["_item"])
         .select("item_id", "_item", F.size("w").alias("_length"), shingle_hashes(F.col("w")).alias("_hashes"))
@@ -105,14 +113,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     similar = F.col("_common") / (F.col("_size") + F.col("_their_size") - F.col("_common"))
     verified = near.join(common, ["_doc", "_item", "_start"]).withColumn("similarity", similar).filter(F.col("similarity") >= similarity - 1e-12)
     best = F.max(F.struct("similarity", (-F.col("_start")).alias("s"), F.col("_width").alias("n"), F.col("hamming").alias("h")))
-    return verified.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", (-F.col("b.s")).alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"), F.col("b.h").alias("hamming")
+    return verified.groupBy("doc_id", "_doc", "item_id").agg(best.alias("b")).select(
+        "doc_id", "_doc", "item_id", (-F.col("b.s")).alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"), F.col("b.h").alias("hamming")
     )
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    dropped = table(contaminated(docs, benchmark, similarity, radius).select(F.col("doc_id").alias("_dropped")).distinct())
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
-
-
+    """The rows of ``docs`` that hold no benchmark item, with all their columns. A row goes by its
+    own doc_id and text, so null and repeated doc_ids take nothing else along."""
+    dropped = table(_found(docs, benchmark, similarity, radius).select(F.col("doc_id").alias("_dropped_id"), F.col("_doc").alias("_dropped_doc")).distinct())
+    same = docs["doc_id"].eqNullSafe(dropped["_dropped_id"]) & (row_key() == dropped["_dropped_doc"])
+    return docs.join(dropped, same, "left_anti")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import BLANK_REGEX, text_of
+from plazalake.llm.common import BLANK_REGEX, numbered, text_of
 
 #: High fingerprint bits that name a block, the unit in which filters are shuffled and merged.
 BLOCK_BITS = 10
@@ -138,6 +138,14 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     return filters.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "fp long, copies long")
 
 
+def _groups(base: DataFrame, first: Column) -> DataFrame:
+    """(text_sha256, first, size) of the texts that occur more than once in ``base`` (norm)."""
+    keyed = base.withColumn("fp", F.xxhash64("norm"))
+    routed = keyed.join(repeated_fingerprints(keyed.select("fp")), "fp", "left_semi")
+    found = routed.groupBy("norm").agg(first.alias("first"), F.count(F.lit(1)).alias("size"))
+    return found.filter("size > 1").select(F.sha2("norm", 256).alias("text_sha256"), "first", "size")
+
+
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -147,12 +155,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     group_size and share that doc_id's ``kept``. Other columns are ignored.
     """
     base = docs.select("doc_id", normalised().alias("norm"))
-    keyed = base.select("doc_id", "norm", F.xxhash64("norm").alias("fp"))
-    routed = keyed.join(repeated_fingerprints(keyed.select("fp")), "fp", "left_semi")
-    groups = (
-        routed.groupBy("norm").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size"))
-        .filter("size > 1").select(F.sha2("norm", 256).alias("text_sha256"), "first_id", "size")
-    )
+    groups = _groups(base, F.min("doc_id")).withColumnRenamed("first", "first_id")
     rows = base.select("doc_id", F.sha2("norm", 256).alias("text_sha256"))
     joined = rows.join(groups, "text_sha256", "left")
     keep_id = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("first_id"))
@@ -163,6 +166,12 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id stays, with all their columns."""
-    dropped = exact_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """One row for each text of ``docs``, with all its columns: the one of the smallest doc_id (a null
+    one only if there is no other), any of several such rows. Rows are told apart by number, so null
+    and repeated doc_ids take nothing else along."""
+    given, row = numbered(docs)
+    base = given.select(F.col(row).alias("row"), "doc_id", normalised().alias("norm"))
+    groups = _groups(base, F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")))
+    rows = base.select("row", F.sha2("norm", 256).alias("text_sha256"))
+    dropped = rows.join(groups, "text_sha256").filter("row <> first.row").select(F.col("row").alias(row))
+    return given.join(dropped, row, "left_anti").select(*docs.columns)

@@ -19,10 +19,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import table
+from plazalake.llm.common import numbered, table
 from plazalake.llm.components import components
 
 SHINGLE = 4
@@ -191,18 +191,29 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     component_id unless its component has no other. Copies are one node here: they are never paired.
     """
     prints = table(fingerprints(docs, shingle))
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = _classes(prints, F.min("doc_id"), radius).withColumnRenamed("first", "component_id")
+    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _classes(prints: DataFrame, first: Column, radius: int) -> DataFrame:
+    """(fp, first) of every fingerprint: the least ``first`` of its component."""
+    nodes = prints.groupBy("fp").agg(first.alias("first_id"))
     roots = components(hamming_links(nodes.select("fp"), radius)).select(F.col("node").alias("fp"), "root")
     linked = nodes.join(roots, "fp")
-    firsts = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = linked.select("fp", "root").join(firsts, "root").select("fp", "component_id")
-    # a table, so that the join below deals both sides anew and Spark can split a hot fingerprint
-    classes = table(nodes.join(members, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
-    return prints.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    firsts = linked.groupBy("root").agg(F.min("first_id").alias("first"))
+    members = linked.select("fp", "root").join(firsts, "root").select("fp", "first")
+    # a table, so that joins with it deal both sides anew and Spark can split a hot fingerprint
+    return table(nodes.join(members, "fp", "left").select("fp", F.coalesce("first", "first_id").alias("first")))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names its component, with all their columns."""
-    found = near_duplicates(docs, shingle, radius)
-    dropped = found.filter("NOT doc_id <=> component_id").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """One row of each component of ``docs``, with all its columns: the one of the smallest doc_id (a
+    null one only if there is no other), any of several such rows. Rows are told apart by number, so
+    null and repeated doc_ids take nothing else along."""
+    given, row = numbered(docs)
+    rows = fingerprints(given.select(F.col(row).alias("doc_id"), "text"), shingle).withColumnRenamed("doc_id", "row")
+    ids = given.select(F.col(row).alias("row"), F.col("doc_id").isNull().alias("none"), "doc_id")
+    prints = table(rows.join(ids, "row"))
+    classes = _classes(prints, F.min(F.struct("none", "doc_id", "row")), radius)
+    dropped = prints.join(classes, "fp").filter("row <> first.row").select(F.col("row").alias(row))
+    return given.join(dropped, row, "left_anti").select(*docs.columns)

@@ -8,7 +8,7 @@ size is bounded by ``2 ** BITS``.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -94,25 +94,34 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, max_labelled: in
     return [tuple(r) for r in ordered.mapInArrow(_fit, "feature int, weight double").collect()]
 
 
+def _scorer(docs: DataFrame, labels: DataFrame, folds: int) -> Callable[[pa.Array], np.ndarray]:
+    """Fits the classifier; the function scores an array of UTF-8 texts on the executors."""
+    dense = np.zeros((1 << BITS) + 1, np.float32)
+    for at, weight in fit(docs, labels, folds):
+        dense[at] = weight
+    model = docs.sparkSession.sparkContext.broadcast(dense)
+
+    def score(texts: pa.Array) -> np.ndarray:
+        weights, logits = model.value, np.empty(len(texts))
+        for i, text in enumerate(texts.to_pylist()):
+            found = features(text)
+            logits[i] = weights[np.unique(found[weights[found] != 0])].sum(dtype=np.float64) + weights[-1]
+        return 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+
+    return score
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score (0 to 1), predicted (1 from 0.5 on).
 
     Only the text makes the score. Null and empty texts get the score of the bias alone. Repeated
     rows are scored alike; a null doc_id has the fold of an empty text. Other columns are ignored.
     """
-    dense = np.zeros((1 << BITS) + 1, np.float32)
-    for at, weight in fit(docs, labels, folds):
-        dense[at] = weight
-    model = docs.sparkSession.sparkContext.broadcast(dense)
+    score = _scorer(docs, labels, folds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = model.value
         for batch in batches:
-            logits = np.empty(batch.num_rows)
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                found = features(text)
-                logits[i] = weights[np.unique(found[weights[found] != 0])].sum(dtype=np.float64) + weights[-1]
-            scores = 1 / (1 + np.exp(-np.clip(logits, -30, 30)))
+            scores = score(batch.column(2))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -123,6 +132,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFram
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, folds: int = FOLDS) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, with all their columns."""
-    dropped = toxicity(docs, labels, folds).filter("predicted = 1").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """The rows of ``docs`` that are not predicted toxic, with all their columns. Each row is judged
+    by its own text, whatever its doc_id."""
+    score = _scorer(docs, labels, folds)
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(score(texts))
+
+    return docs.filter(scored(F.col("text").cast("binary")) < 0.5)

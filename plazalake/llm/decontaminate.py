@@ -3,9 +3,10 @@
 A document holds an item if one of its windows, as many words long as the item, has a weighted
 (repeats count) five-word-shingle similarity of 0.8 or more to it. Windows that share no shingle
 cannot reach that, so only windows aligned with a shared shingle are made, and only for pairs that
-share as many shingles as the threshold needs; no such pair is lost. Windows and items get a 64-bit
-SimHash, cut into ``radius + 1`` bit blocks: fingerprints within the radius agree in one block at
-least, so the join on blocks meets all of them. What it meets is verified on the shingles themselves.
+share as many shingles as the threshold needs; no such pair is lost. All of them are verified on the
+shingles themselves. The join on shingles is the search: the 64-bit SimHash of windows and items is
+only reported as a distance and decides nothing, as texts of few, heavily repeated shingles can differ
+in many bits at any similarity below 1.
 """
 
 from __future__ import annotations
@@ -19,9 +20,6 @@ from plazalake.llm.common import BLANK_REGEX, row_key, table, text_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
-#: At similarity 0.8 about 10 of 64 bits differ (deviation 3): 20 loses about one window in 10,000
-#: that lie just at the threshold, and fewer above it.
-RADIUS = 20
 #: Item shingles up to this count (some 40 MB) are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -51,13 +49,7 @@ def simhash(of: str) -> tuple[list[Column], Column]:
     return [F.count(F.lit(1)).alias("_size"), *ones], reduce(Column.bitwiseOR, bits)
 
 
-def blocked(df: DataFrame, fp: str, radius: int) -> DataFrame:
-    """A row for each of radius + 1 bit blocks of ``fp``: _block and its _value."""
-    width = 64 // (radius + 1)
-    return df.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(radius)))).withColumn("_value", F.expr(f"shiftrightunsigned({fp}, _block * {width}) & {(1 << width) - 1}"))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per doc_id and benchmark item found in it: doc_id, item_id, start (word, from 0),
     n_words (of the window), similarity, hamming, of the most similar window, the earliest of ties.
 
@@ -66,12 +58,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMI
     match; items with one text and different ids are all reported. Other columns are ignored.
     """
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n_words", "hamming")).alias("b")
-    return _found(docs, benchmark, similarity, radius).groupBy("doc_id", "item_id").agg(best).select(
+    return _found(docs, benchmark, similarity).groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("b.s")).alias("start"), "b.n_words", "b.similarity", "b.hamming"
     )
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int) -> DataFrame:
+def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFrame:
     """What ``contaminated`` gives, for each text of a doc_id by itself, named by _doc."""
     items = (
         computed(benchmark.select("item_id", "text", row_key("item_id").alias("_item")), "w", words()).filter(F.size("w") > 0).dropDuplicates(["_item"])
@@ -103,9 +95,7 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int
     marked = parts.groupBy(*window).agg(*aggregates).select(*window, "_size", fp.alias("_fp"))
     theirs = items.select("item_id", "_item", F.explode("_hashes").alias("_h"))
     known = theirs.groupBy("item_id", "_item").agg(*aggregates).select("item_id", "_item", F.col("_size").alias("_their_size"), fp.alias("_their_fp"))
-    met = blocked(marked, "_fp", radius).join(blocked(known, "_their_fp", radius), ["_item", "_block", "_value"])
-    near = met.withColumn("hamming", F.bit_count(F.col("_fp").bitwiseXOR(F.col("_their_fp")))).filter(F.col("hamming") <= radius)
-    near = near.dropDuplicates(["_doc", "_item", "_start"]).drop("_block", "_value", "_fp", "_their_fp")
+    near = marked.join(known, "_item").withColumn("hamming", F.bit_count(F.col("_fp").bitwiseXOR(F.col("_their_fp")))).drop("_fp", "_their_fp")
 
     mine = parts.groupBy("_doc", "_item", "_start", "_h").agg(F.count(F.lit(1)).alias("_a"))
     both = mine.join(theirs.groupBy("_item", "_h").agg(F.count(F.lit(1)).alias("_b")), ["_item", "_h"])
@@ -118,9 +108,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float, radius: int
     )
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns. A row goes by its
     own doc_id and text, so null and repeated doc_ids take nothing else along."""
-    dropped = table(_found(docs, benchmark, similarity, radius).select(F.col("doc_id").alias("_dropped_id"), F.col("_doc").alias("_dropped_doc")).distinct())
+    dropped = table(_found(docs, benchmark, similarity).select(F.col("doc_id").alias("_dropped_id"), F.col("_doc").alias("_dropped_doc")).distinct())
     same = docs["doc_id"].eqNullSafe(dropped["_dropped_id"]) & (row_key() == dropped["_dropped_doc"])
     return docs.join(dropped, same, "left_anti")

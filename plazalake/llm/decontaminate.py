@@ -2,8 +2,9 @@
 
 A document holds an item if one of its windows, as many words long as the item, has a weighted
 (repeats count) five-word-shingle similarity of 0.8 or more to it. Windows that share no shingle
-cannot reach that, so only windows aligned with a shared shingle are made, and only for pairs that
-share as many shingles as the threshold needs; no such pair is lost. All of them are verified on the
+cannot reach that, nor windows with shared shingles at fewer places than the threshold needs: every
+other window is made, whether an item's shingle is aligned with it or not. An item of fewer words than
+a shingle is one shorter shingle, looked up as such. All windows made are verified on the
 shingles themselves. The join on shingles is the search: the 64-bit SimHash of windows and items is
 only reported as a distance and decides nothing, as texts of few, heavily repeated shingles can differ
 in many bits at any similarity below 1.
@@ -51,7 +52,8 @@ def simhash(of: str) -> tuple[list[Column], Column]:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per doc_id and benchmark item found in it: doc_id, item_id, start (word, from 0),
-    n_words (of the window), similarity, hamming, of the most similar window, the earliest of ties.
+    n_words (of the window), similarity, hamming, of the most similar window. Of ties those come first that align
+    a shared shingle with its place in the item, then the earliest.
 
     Words are lower-cased. A document shorter than an item is one window. Null, empty and wordless
     texts match nothing on either side. Repeated rows and rows with a null id count once and can
@@ -69,6 +71,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
         computed(benchmark.select("item_id", "text", row_key("item_id").alias("_item")), "w", words()).filter(F.size("w") > 0).dropDuplicates(["_item"])
         .select("item_id", "_item", F.size("w").alias("_length"), shingle_hashes(F.col("w")).alias("_hashes"))
     )
+    short = items.filter(F.col("_length") < SHINGLE)
+    lengths = sorted(r["_length"] for r in short.select("_length").distinct().collect())
+    items = items.filter(F.col("_length") >= SHINGLE)
     pieces = items.select("_item", "_length", F.posexplode("_hashes").alias("_o", "_h"))
     if pieces.count() <= BROADCAST_ROWS:
         pieces = F.broadcast(pieces)
@@ -80,32 +85,48 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     width = F.least("_n", "_length")
     start = F.greatest(F.lit(0), F.least(F.col("_p") - F.col("_o"), F.col("_n") - width))
     size = lambda n: F.greatest(n - (SHINGLE - 1), F.lit(1))
-    enough = F.ceil(similarity * (size(width) + size(F.col("_length"))) / (1 + similarity) - 1e-9)
-    pairs = table(
-        met.groupBy("_doc", "_item").agg(F.count(F.lit(1)).alias("_met"), F.first("_n").alias("_n"), F.first("_length").alias("_length"), F.collect_set(start).alias("_starts"))
-        .filter(F.col("_met") >= enough).select("_doc", "_item", width.alias("_width"), "_starts")
-    )
+    enough = F.ceil(similarity * (size(width) + size(F.col("_length"))) / (1 + similarity) - 1e-9).cast("int")
+    hits = met.groupBy("_doc", "_item").agg(
+        F.first("_n").alias("_n"), F.first("_length").alias("_length"), F.array_sort(F.collect_set("_p")).alias("_at"), F.collect_set(start).alias("_aligned")
+    ).filter(F.size("_at") >= enough)
+
+    def reaching(i: Column) -> Column:
+        """The starts of windows that hold ``enough`` places from the i-th on."""
+        first = F.greatest(F.get("_at", i + F.col("_enough") - 1) - size(F.col("_width")) + 1, F.lit(0))
+        last = F.least(F.get("_at", i), F.col("_n") - F.col("_width"))
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+    hits = hits.select("_doc", "_item", "_n", width.alias("_width"), enough.alias("_enough"), "_at", "_aligned")
+    starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_at") - F.col("_enough")), reaching)))
+    pairs = table(hits.select("_doc", "_item", "_width", "_aligned", F.explode(starts).alias("_start")))
 
     some = texts.join(pairs.select("_doc").distinct(), "_doc", "left_semi").dropDuplicates(["_doc"])
-    windows = computed(some, "w", words()).select("doc_id", "_doc", shingle_hashes(F.col("w")).alias("_hashes")).join(pairs, "_doc").withColumn("_start", F.explode("_starts"))
+    windows = computed(some, "w", words()).select("doc_id", "_doc", shingle_hashes(F.col("w")).alias("_hashes")).join(pairs, "_doc").withColumn("_fits", F.array_contains("_aligned", F.col("_start")))
     window = ["doc_id", "_doc", "_item", "_start", "_width"]
-    parts = table(windows.select(*window, F.explode(F.slice("_hashes", F.col("_start") + 1, size(F.col("_width")))).alias("_h")))
+    parts = table(windows.select(*window, "_fits", F.explode(F.slice("_hashes", F.col("_start") + 1, size(F.col("_width")))).alias("_h")))
+
+    theirs = items.select("item_id", "_item", "_length", F.explode("_hashes").alias("_h"))
+    mine = parts.groupBy(*window, "_fits", "_h").agg(F.count(F.lit(1)).alias("_a"))
+    both = mine.join(theirs.groupBy("item_id", "_item", "_length", "_h").agg(F.count(F.lit(1)).alias("_b")), ["_item", "_h"])
+    common = both.groupBy(*window, "_fits", "item_id", "_length").agg(F.sum(F.least("_a", "_b")).alias("_common"))
+    similar = F.col("_common") / (size(F.col("_width")) + size(F.col("_length")) - F.col("_common"))
+    verified = common.withColumn("similarity", similar).filter(F.col("similarity") >= similarity - 1e-12)
+    best = F.max(F.struct("similarity", "_fits", (-F.col("_start")).alias("s"), F.col("_width").alias("n"))).alias("b")
+    found = table(verified.groupBy("doc_id", "_doc", "item_id", "_item").agg(best).select("doc_id", "_doc", "item_id", "_item", (-F.col("b.s")).alias("_start"), "b"))
 
     aggregates, fp = simhash("_h")
-    marked = parts.groupBy(*window).agg(*aggregates).select(*window, "_size", fp.alias("_fp"))
-    theirs = items.select("item_id", "_item", F.explode("_hashes").alias("_h"))
-    known = theirs.groupBy("item_id", "_item").agg(*aggregates).select("item_id", "_item", F.col("_size").alias("_their_size"), fp.alias("_their_fp"))
-    near = marked.join(known, "_item").withColumn("hamming", F.bit_count(F.col("_fp").bitwiseXOR(F.col("_their_fp")))).drop("_fp", "_their_fp")
-
-    mine = parts.groupBy("_doc", "_item", "_start", "_h").agg(F.count(F.lit(1)).alias("_a"))
-    both = mine.join(theirs.groupBy("_item", "_h").agg(F.count(F.lit(1)).alias("_b")), ["_item", "_h"])
-    common = both.groupBy("_doc", "_item", "_start").agg(F.sum(F.least("_a", "_b")).alias("_common"))
-    similar = F.col("_common") / (F.col("_size") + F.col("_their_size") - F.col("_common"))
-    verified = near.join(common, ["_doc", "_item", "_start"]).withColumn("similarity", similar).filter(F.col("similarity") >= similarity - 1e-12)
-    best = F.max(F.struct("similarity", (-F.col("_start")).alias("s"), F.col("_width").alias("n"), F.col("hamming").alias("h")))
-    return verified.groupBy("doc_id", "_doc", "item_id").agg(best.alias("b")).select(
-        "doc_id", "_doc", "item_id", (-F.col("b.s")).alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"), F.col("b.h").alias("hamming")
+    marked = parts.join(found.select("_doc", "_item", "_start"), ["_doc", "_item", "_start"], "left_semi").groupBy("_doc", "_item").agg(*aggregates).select("_doc", "_item", fp.alias("_fp"))
+    known = theirs.groupBy("_item").agg(*aggregates).select("_item", fp.alias("_their_fp"))
+    hamming = F.bit_count(F.col("_fp").bitwiseXOR(F.col("_their_fp"))).alias("hamming")
+    out = found.join(marked, ["_doc", "_item"]).join(known, "_item").select(
+        "doc_id", "_doc", "item_id", F.col("_start").alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"), hamming
     )
+    for k in lengths:
+        long_enough = split.filter(F.size("w") >= k).select("doc_id", "_doc", F.posexplode(shingle_hashes(F.col("w"), k)).alias("_p", "_h"))
+        same = long_enough.join(short.filter(F.col("_length") == k).select("item_id", F.get("_hashes", F.lit(0)).alias("_h")), "_h")
+        out = out.union(same.groupBy("doc_id", "_doc", "item_id").agg(F.min("_p").alias("start")).select(
+            "doc_id", "_doc", "item_id", "start", F.lit(k).alias("n_words"), F.lit(1.0).alias("similarity"), F.lit(0).alias("hamming")))
+    return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

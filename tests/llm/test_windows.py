@@ -24,3 +24,27 @@ def test_few_repeated_shingles_stay(spark):
     got, want, hamming = both(spark, rows, items)
     assert len(want) == 40 and {k: s for k, (s, _) in got.items()} == {k: s for k, (s, _) in want.items()}
     assert max(hamming.values()) > 20
+
+
+def test_windows_at_no_aligned_start(spark):
+    rng = random.Random(32)
+    fresh = lambda n: [f"n{rng.random()}" for _ in range(n)]
+    rows, items = [], []
+    for i, (ends, inside) in enumerate([(2, 5), (3, 6), (2, 4), (1, 5), (3, 3)] * 4):
+        item = fresh(100)
+        passage = fresh(ends) + item[ends:50] + fresh(inside) + item[50 : 100 - ends] + fresh(ends)
+        rows.append((i, " ".join(fresh(rng.randint(0, 30)) + passage + fresh(rng.randint(0, 30)))))
+        items.append((i, " ".join(item)))
+    rows.append((90, " ".join([rows[0][1], *fresh(50), items[0][1], *fresh(50), rows[0][1]])))  # one item at three places
+    got, want, _ = both(spark, rows, items)
+    assert len(want) > 10 and {k: s for k, (s, _) in got.items()} == {k: s for k, (s, _) in want.items()}
+    assert 0.8 <= want[0, 0][0] < 0.83 and got[90, 0][0] == 1
+
+
+def test_short_items(spark):
+    rows = [(1, "a b c d e f g"), (2, "x y"), (3, "A"), (4, "q w e r t y"), (5, None), (6, "f g a b"), (None, "z f g")]
+    items = [(1, "f g"), (2, "d"), (3, "c d e f"), (4, "x y z"), (5, "a b c d e"), (6, "f G"), (None, "y")]
+    got, want, _ = both(spark, rows, items)
+    assert got == want and (1, 1) in got and (1, 3) in got and (None, 1) in got
+    assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(
+        spark.createDataFrame(rows[:6], "doc_id long, text string"), spark.createDataFrame([(1, "f g")], "item_id long, text string")).collect()) == [2, 3, 4, 5]

@@ -15,7 +15,7 @@ WORD_REGEX = r"[^\x20\x09-\x0D]+"
 BLANK_REGEX = r"[\x20\x09-\x0D]+"
 
 #: Rows of one Arrow batch handed to a Python worker. Texts can be long, so batches are short.
-BATCH_ROWS = "256"
+BATCH_ROWS, BATCH_BYTES = "256", str(16 << 20)
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -23,6 +23,7 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def tune(spark: SparkSession) -> SparkSession:
     """Bound what a Python worker holds at once; the settings change no result."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

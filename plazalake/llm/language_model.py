@@ -1,18 +1,25 @@
 """Language-model scores by a weighted backoff automaton.
 
-States are the word contexts of the training texts (a word, or the start of a text), below them the
-root. A state has an arc for each word seen after it, weighted log10((c - D) / c(state)), and a
-failure arc to the root, weighted log10(D * distinct followers / c(state)). The root's arcs carry the
-smoothed word probability. A text is read once from left to right: each word takes the arc of the
-current state or fails to the root and takes that arc, and names the next state.
-
-The automaton grows with the corpus, so it is never gathered: states are dealt to buckets by hash, a
-text's steps go to the buckets that hold their states, and the log weights add up by document.
+States are the contexts of the training texts: two words, one word (or the start of a text), and below
+them the root. A state has an arc for each word seen after it, and a failure arc to the state of the
+shorter context. Weights are log10 of Dirichlet-smoothed probabilities,
+
+    p(w | h) = (c(h w) + K p(w | h')) / (c(h) + K),    failure of h: K / (c(h) + K),
+
+so that arcs and what failures lead to add up to one in every state; the root's arcs carry the smoothed
+word probability, with one share for words never seen. A text is read once from left to right: in each
+state a word takes its arc, or the state fails and adds its failure weight until an arc is there; the
+arc leads to the longest context that is a state.
+
+The automaton grows with the corpus, so it is never gathered: chunks of texts ask for the counts of
+their own words and runs of two and three words (``packed``), which is all the automaton that the walk
+of these texts can touch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -20,122 +27,93 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import fold, row_key, table
-from plazalake.llm.packed import CHUNK, WordHashes, bucket_bits, by_bucket, deal, pack, pack_repeating, unpack, unpack_repeating
+from plazalake.llm.common import fold, text_of
+from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, mixed
 
-DISCOUNT = 0.75
 SMOOTHING = 0.1
+#: Weight of the shorter context against one and two words: in counts of the longer one.
+ONE_WORD, TWO_WORDS = 500.0, 4.0
 FOLDS = 10
 _START, _END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"start of text", b"end of text"))
-#: Bytes that name a state below its bucket bits, and a following word.
-_STATE_BYTES, _WORD_BYTES = 6, 5
-_ROWS = "bucket int, docs binary, ids binary, held binary, counts binary, states binary, words binary"
-_FOUND = "kind int, _doc long, doc_id long, held_out boolean, word long, n long, known long, base double, score double"
-_STEPS, _COUNT, _FAILED, _TEXTS = range(4)
-
-
-def _short(words: np.ndarray) -> np.ndarray:
-    return words >> np.uint64(64 - 8 * _WORD_BYTES)
-
-
-def _write(docs: list, states: list[np.ndarray], words: list[np.ndarray], bits: int) -> Iterator[pa.RecordBatch]:
-    doc = np.repeat(np.arange(len(docs)), [len(s) for s in states])
-    state, word = np.concatenate(states), _short(np.concatenate(words))
-    names, ids = (np.array([d[i] for d in docs], np.int64).view(np.uint64) for i in (0, 1))
-    flags = np.array([2 * (d[2] is None) + bool(d[3]) for d in docs], np.uint64)
-    low = state << np.uint64(bits) >> np.uint64(64 - 8 * _STATE_BYTES)
-    rows = [
-        (bucket, pack(names[present]), pack(ids[present]), pack(flags[present]), pack(counts), pack_repeating(low[at]), pack_repeating(word[at]))
-        for bucket, at, present, counts in deal(state, doc, bits)
-    ]
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], ["bucket", "docs", "ids", "held", "counts", "states", "words"]
+_WORDS, _RUNS = range(2)
+_NO_ARC = 1.0  # no logarithm of a probability
+_PAIR, _TRIPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+class _Steps:
+    """The steps of a chunk's texts, one after the other: the word of each, and the run of two and of
+    three words that it ends, as places among the chunk's distinct words and runs."""
+
+    def __init__(self, chunk: Chunk, cache: WordHashes):
+        words = [t.lower().split() for t in chunk.texts]
+        self.sizes = np.array([len(w) + 1 for w in words])
+        first = np.cumsum(self.sizes) - self.sizes
+        hashes = np.full(int(self.sizes.sum()), _END)
+        for at, w in zip(first.tolist(), words):
+            hashes[at : at + len(w)] = cache.of(w)
+        spelled = dict(zip(hashes.tolist(), (x for w in words for x in (*w, None))))
+        before = np.append(_START, hashes[:-1])
+        before[first] = _START
+        pairs = mixed(before * _PAIR + hashes)
+        self.deep = np.ones(len(hashes), bool)  # whether two words, or the start and a word, stand before
+        self.deep[first] = False
+        triples = mixed(pairs[:-1] * _TRIPLE + hashes[1:])[self.deep[1:]]
+        self.words, self.word = np.unique(hashes, return_inverse=True)
+        self.checks = np.array([0 if spelled[h] is None else xxhash.xxh64_intdigest(spelled[h], 1) for h in self.words.tolist()], np.uint64)
+        self.runs, places = np.unique(np.concatenate([pairs, triples]), return_inverse=True)
+        self.pair, self.triple = places[: len(pairs)], np.zeros(len(pairs), np.int64)
+        self.triple[self.deep] = places[len(pairs) :]
+        self.trains = np.repeat(np.array([f == 0 for f in chunk.flags], bool), self.sizes)
+
+    def asked(self) -> dict[int, list[np.ndarray]]:
+        """Distinct words (by two hashes) and runs, with their counts in training texts."""
+        of = lambda places, n: np.bincount(places, minlength=n).astype(np.uint64)
+        runs = np.concatenate([self.pair[self.trains], self.triple[self.trains & self.deep]])
+        return {_WORDS: [self.words, self.checks, of(self.word[self.trains], len(self.words))], _RUNS: [self.runs, of(runs, len(self.runs))]}
+
+
+def _settle(kind: int, arrays: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    """The counts of a bucket's keys over all chunks; the sums are distinct words and their count."""
+    *names, counts = arrays
+    order = np.lexsort(names[::-1])
+    new = np.append(True, np.logical_or.reduce([n[order][1:] != n[order][:-1] for n in names]))
+    totals = np.add.reduceat(counts[order], np.flatnonzero(new))
+    reply = np.empty(len(counts), np.uint64)
+    reply[order] = totals[np.cumsum(new) - 1]
+    return reply, [int((totals > 0).sum()), int(totals.sum())] if kind == _WORDS else [0, 0]
+
+
+def _walk(steps: Iterable[tuple[float, float, float, float, float, int]]) -> float:
+    """One text from left to right. For each step: its arc from two words and their failure, its arc
+    from one word and its failure, its arc at the root, and the depth of the state it leads to."""
+    depth, total = 1, 0.0  # the start of a text is a context of one
+    for two, two_fails, one, one_fails, none, leads_to in steps:
+        if depth == 2 and two == _NO_ARC:
+            total, depth = total + two_fails, 1
+        if depth == 1 and one == _NO_ARC:
+            total, depth = total + one_fails, 0
+        total += (none, one, two)[depth]
+        depth = leads_to
+    return total
+
+
+def _scores(steps: _Steps, words: np.ndarray, runs: np.ndarray, types: int, total: int, texts: int) -> tuple[np.ndarray, list[float], np.ndarray]:
+    """(base score, score, known words) of each text, given the counts of the chunk's words and runs."""
+    c1, c2, c3 = words[steps.word], runs[steps.pair], np.where(steps.deep, runs[steps.triple], 0)
+    first = np.cumsum(steps.sizes) - steps.sizes
+    one, two = np.append(texts, c1[:-1]), np.append(0, c2[:-1])  # how often the words before were a context
+    one[first], two[first] = texts, 0
+    p1 = (c1 + SMOOTHING) / (total + SMOOTHING * (types + 1))
+    p2 = (c2 + ONE_WORD * p1) / (one + ONE_WORD)
+    p3 = (c3 + TWO_WORDS * p2) / (two + TWO_WORDS)
+    arc = lambda p, c: np.where(c > 0, np.log10(p), _NO_ARC).tolist()
+    root = np.log10(p1)
+    walk = zip(
+        arc(p3, c3), np.log10(TWO_WORDS / (two + TWO_WORDS)).tolist(), arc(p2, c2), np.log10(ONE_WORD / (one + ONE_WORD)).tolist(),
+        root.tolist(), np.where(c2 > 0, 2, np.where(c1 > 0, 1, 0)).tolist(),
     )
-
-
-def _steps(bits: int):
-    """(state, word) of every step of every text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, docs, states, words, size = WordHashes(), [], [], [], 0
-        for batch in batches:
-            for doc, doc_id, held, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                hashes = cache.of(text.lower().split())
-                docs.append((doc, doc_id or 0, doc_id, held))
-                states.append(np.append(_START, hashes))
-                words.append(np.append(hashes, _END))
-                size += len(hashes) + 1
-                if size >= CHUNK:
-                    yield from _write(docs, states, words, bits)
-                    docs, states, words, size = [], [], [], 0
-        if docs:
-            yield from _write(docs, states, words, bits)
-
-    return run
-
-
-def _walk(bits: int):
-    """Build the bucket's part of the automaton from training steps, then weigh all its steps."""
-
-    def batch(kind: int, rows: int, /, **columns: np.ndarray | pa.Array) -> pa.RecordBatch:
-        types = {"_doc": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "word": pa.int64(), "n": pa.int64(), "known": pa.int64(), "base": pa.float64(), "score": pa.float64()}
-        arrays = [pa.array(np.full(rows, kind, np.int32))]
-        arrays += [(c if isinstance(c, pa.Array) else pa.array(c, t)) if (c := columns.get(name)) is not None else pa.nulls(rows, t) for name, t in types.items()]
-        return pa.RecordBatch.from_arrays(arrays, ["kind", *types])
-
-    def merge(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        docs, ids, flags, counts = (np.concatenate([unpack(r[c]) for r in rows]).view(np.int64) for c in ("docs", "ids", "held", "counts"))
-        state, word = (np.concatenate([unpack_repeating(r[c]) for r in rows]) for c in ("states", "words"))
-        bucket = rows[0]["bucket"]
-        doc = np.repeat(np.arange(len(docs)), counts)
-        training = (flags & 1 == 0)[doc]
-
-        order = np.lexsort((word, state))
-        s, w, t = state[order], word[order], training[order].astype(np.int64)
-        new_state = np.append(True, s[1:] != s[:-1])
-        new_arc = new_state | np.append(True, w[1:] != w[:-1])
-        arcs, states = np.flatnonzero(new_arc), np.flatnonzero(new_state)
-        arc_count = np.add.reduceat(t, arcs)
-        state_count = np.add.reduceat(t, states)
-        followers = np.add.reduceat((arc_count > 0).astype(np.int64), np.searchsorted(arcs, states))
-        arc_of, state_of = np.cumsum(new_arc) - 1, np.cumsum(new_state) - 1
-        c_arc, c_state = arc_count[arc_of], state_count[state_of]
-        seen, live = c_arc > 0, c_state > 0
-        score = np.zeros(len(s))
-        score[seen] = np.log10((c_arc[seen] - DISCOUNT) / c_state[seen])
-        fails = ~seen & live
-        score[fails] = np.log10(DISCOUNT * followers[state_of][fails] / c_state[fails])
-
-        start_low = _START << np.uint64(bits) >> np.uint64(64 - 8 * _STATE_BYTES)
-        is_start = (s == start_low) if bucket == int(_START >> np.uint64(64 - bits)) else np.zeros(len(s), bool)
-        base = np.where(is_start, 0.0, np.log10(c_state + SMOOTHING))
-        at = doc[order]
-        total = lambda x: np.bincount(at, x, len(docs))
-        doc_ids = pa.array(ids, pa.int64(), mask=flags & 2 > 0)
-        held = flags & 1 > 0
-        yield batch(
-            _STEPS, len(docs), _doc=docs, doc_id=doc_ids, held_out=held, n=counts, known=total((live & ~is_start).astype(float)).astype(np.int64), base=total(base), score=total(score)
-        )
-        if is_start.any():
-            texts = np.bincount(at, is_start, len(docs)).astype(np.int64)
-            some = np.flatnonzero(texts)
-            yield batch(_TEXTS, len(some), _doc=docs[some], doc_id=doc_ids.take(pa.array(some)), held_out=held[some], n=texts[some])
-
-        # counts of words, by the short name that following words have
-        full = np.uint64(bucket) << np.uint64(64 - bits) | s[states] << np.uint64(64 - 8 * _STATE_BYTES) >> np.uint64(bits)
-        full = np.where(is_start[states], _END, full)
-        trained = np.flatnonzero(state_count > 0)
-        yield batch(_COUNT, len(trained), word=_short(full[trained]).view(np.int64), n=state_count[trained], known=is_start[states][trained].astype(np.int64))
-
-        missed = np.flatnonzero(~seen)
-        if len(missed):
-            by = np.lexsort((w[missed], at[missed]))
-            d, x = at[missed][by], w[missed][by]
-            first = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (x[1:] != x[:-1])))
-            n = np.diff(np.append(first, len(d)))
-            yield batch(_FAILED, len(first), _doc=docs[d[first]], doc_id=doc_ids.take(pa.array(d[first])), held_out=held[d[first]], word=x[first].view(np.int64), n=n)
-
-    return merge
+    scores = [_walk(next(walk) for _ in range(n)) for n in steps.sizes.tolist()]
+    return np.add.reduceat(root, first), scores, np.add.reduceat((c1 > 0).astype(np.int64), first)
 
 
 def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
@@ -145,35 +123,23 @@ def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     Training texts are those whose crc32(doc_id as text) mod ``folds`` is not 0. Words have A-Z in
     lower case; one end token closes each text. Null counts as empty: its only token is the end.
     A null doc_id has the fold of an empty text. Repeated rows give one row each, and each counts
-    in training. With nothing to train on all probabilities are the smoothed base. Other columns
-    are ignored.
+    in training. With nothing to train on all probabilities are the smoothed base, which is one.
+    Other columns are ignored. A very long text is one chunk: a task holds it whole.
     """
-    bits = bucket_bits(docs.sparkSession)
-    given = docs.select(
-        row_key().alias("_doc"), F.col("doc_id").cast("long").alias("doc_id"), (fold("doc_id", folds) == 0).alias("held_out"),
-        F.coalesce("text", F.lit("")).cast("binary").alias("text"),
-    )
-    found = table(by_bucket(given.mapInArrow(_steps(bits), _ROWS), _walk(bits), _FOUND))
-    counts = found.filter(F.col("kind") == _COUNT)
-    train_tokens, types, ends = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum(F.col("n") * F.col("known")), F.lit(0))).first()
-    bottom = F.lit(train_tokens + SMOOTHING * (types + 1))
-
-    root = F.log10(F.coalesce("c", F.lit(0)) + SMOOTHING) - F.log10(bottom)
-    failed = found.filter(F.col("kind") == _FAILED).select("_doc", "doc_id", "held_out", "word", "n")
-    by_word = counts.groupBy("word").agg(F.sum("n").alias("c"))
-    taken = failed.join(by_word, "word", "left").select("_doc", "doc_id", "held_out", (F.col("n") * root).alias("score"))
-    steps = found.filter(F.col("kind").isin(_STEPS, _TEXTS)).select(
-        "_doc", "doc_id", "held_out", F.when(F.col("kind") == _STEPS, F.col("n")).alias("n"), F.when(F.col("kind") == _TEXTS, F.col("n")).alias("copies"), "known", "base", "score"
-    )
-    none = F.lit(None)
-    parts = steps.unionByName(taken.select("_doc", "doc_id", "held_out", none.cast("long").alias("n"), none.cast("long").alias("copies"), none.cast("long").alias("known"), none.cast("double").alias("base"), "score"))
-    sums = parts.groupBy("_doc", "doc_id", "held_out").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "copies", "known", "base", "score")))
-    # rows repeated with one doc_id and text have met under one name: give each its own row again
-    rows = sums.filter("copies > 0").withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    n_tokens = F.col("n") / F.col("copies")
-    return rows.select(
-        "doc_id", "held_out", n_tokens.cast("long").alias("n_tokens"),
-        (F.col("known") / F.col("copies") + F.lit(1 if ends else 0)).cast("long").alias("n_known"), F.lit(train_tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("copies") + F.log10(F.lit(ends + SMOOTHING)) - n_tokens * F.log10(bottom)).alias("base_score"),
-        (F.col("score") / F.col("copies")).alias("score"),
-    )
+    stored = chunks(docs.select(F.col("doc_id").cast("long"), (fold("doc_id", folds) == 0).cast("int").alias("flag"), text_of().cast("binary").alias("text")))
+    cache = WordHashes()
+    replies = ask(stored, None, bucket_bits(stored), lambda chunk, _: _Steps(chunk, cache).asked(), _settle)
+    sums = replies.filter("sums IS NOT NULL").agg(F.coalesce(F.sum(F.col("sums")[0]), F.lit(0)), F.coalesce(F.sum(F.col("sums")[1]), F.lit(0))).first()
+    return answered(stored, replies, partial(_answer, cache, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _answer(cache: WordHashes, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    steps = _Steps(chunk, cache)
+    words, runs = (known[k].astype(np.int64) for k in (_WORDS, _RUNS))
+    texts = int(words[np.searchsorted(steps.words, _END)])  # each training text has one end
+    base, scores, n_known = _scores(steps, words, runs, types, total, texts)
+    columns = [
+        pa.array(chunk.ids, pa.int64()), pa.array([f == 1 for f in chunk.flags]), pa.array(steps.sizes), pa.array(n_known),
+        pa.array(np.full(len(base), total)), pa.array(base), pa.array(scores, pa.float64()),
+    ]
+    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

@@ -1,25 +1,38 @@
-"""Packed postings: what a task has gathered by hash bucket, as a few binary columns.
+"""Questions from chunks of text to the whole corpus, in packed form.
 
-A row per word of a corpus is dominated by row overhead when it is shuffled. Here a task gathers
-about ``CHUNK`` words, deals their hashes to buckets, and writes one row per bucket whose arrays are
-byte planes under zstandard. Rows of one bucket meet in one task, which reads them as numpy arrays.
+A row per word of a corpus is dominated by row overhead when it is shuffled. Here documents are stored
+as chunks of some megabytes. A chunk asks about its distinct keys (hashes of words or of runs of words):
+they are sorted, counted, cut into hash buckets, and sent as one row per bucket, whose arrays are byte
+planes under zstandard. Whatever a text repeats is one key, so a hot key costs a bucket one entry per
+chunk and never one per occurrence. A bucket settles the keys of all chunks and replies to each chunk in
+the order of its keys; replies meet their chunk again, in which the texts are walked.
+
+Buckets follow the bytes of the corpus, so that a task holds about ``BUCKET_BYTES`` worth of keys at a
+time, whatever ``spark.sql.shuffle.partitions`` is.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from plazalake.llm.common import table
 
-#: Words gathered before a task writes its rows.
-CHUNK = 1_000_000
+#: Bytes of text in a chunk (a longer text is a chunk by itself), and bytes of text behind one bucket's keys.
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 8 << 20
 _CACHED_WORDS = 300_000
-_LEAST_BUCKETS_LOG2 = 6
+_KIND_SHIFT = 40
+_CHUNK = "chunk long, bytes long, ids binary, flags binary, sizes binary, texts binary"
+_PACKED = ["ids", "flags", "sizes", "texts"]
+Arrays = list[np.ndarray]
 
 
 class WordHashes(dict):
@@ -35,20 +48,19 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def rolling(hashes: np.ndarray, width: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``width`` word hashes."""
+def mixed(values: np.ndarray) -> np.ndarray:
+    return (values ^ values >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def rolling(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """A 64-bit hash of each run of ``width`` word hashes; another odd ``factor`` gives another hash."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     out = np.zeros(n, np.uint64)
     for j in range(width):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[j : j + n]
-    return (out ^ out >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-
-
-def bucket_bits(spark: SparkSession) -> int:
-    """Buckets follow spark.sql.shuffle.partitions, which users set by the size of the input."""
-    return max(_LEAST_BUCKETS_LOG2, int(int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+        out = out * np.uint64(factor) + hashes[j : j + n]
+    return mixed(out)
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -67,54 +79,136 @@ def unpack(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def pack_repeating(values: np.ndarray) -> bytes:
-    """Values that repeat: the sorted distinct ones by difference, then each one's place among them."""
-    distinct, places = np.unique(values, return_inverse=True)
-    first = pack(np.diff(distinct, prepend=np.uint64(0)))
-    return struct.pack("<I", len(first)) + first + pack(places)
-
-
-def unpack_repeating(data: bytes) -> np.ndarray:
-    size = struct.unpack_from("<I", data)[0]
-    return np.cumsum(unpack(data[4 : 4 + size]), dtype=np.uint64)[unpack(data[4 + size :])]
-
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {name: batch.column(j)[i].as_py() for j, name in enumerate(batch.schema.names)}
+
+
+class Chunk:
+    """The documents of one chunk: doc_id (or None), flag, UTF-8 text."""
+
+    def __init__(self, row: Mapping):
+        self.ids = [None if f & 1 else i for i, f in zip(unpack(row["ids"]).view(np.int64).tolist(), row["flags"])]
+        self.flags = [f >> 1 for f in row["flags"]]
+        joined, ends = zstandard.ZstdDecompressor().decompress(row["texts"]), np.cumsum(unpack(row["sizes"]).astype(np.int64)).tolist()
+        self.texts = [joined[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, at, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def flush() -> pa.RecordBatch:
+        ids, flags, texts = zip(*held)
+        none = [i is None for i in ids]
+        row = (
+            part << 32 | at, size, pack(np.array([i or 0 for i in ids], np.int64).view(np.uint64)), bytes(2 * f + x for f, x in zip(flags, none)),
+            pack(np.array([len(t) for t in texts], np.uint64)), zstandard.ZstdCompressor(level=1).compress(b"".join(texts)),
+        )
+        return pa.RecordBatch.from_arrays([pa.array([v], pa.int64() if i < 2 else pa.binary()) for i, v in enumerate(row)], ["chunk", "bytes", *_PACKED])
+
+    for row in _rows(batches):
+        held.append((row["doc_id"], row["flag"], row["text"]))
+        size += len(row["text"]) + 8
+        if size >= CHUNK_BYTES:
+            yield flush()
+            at, held, size = at + 1, [], 0
+    if held:
+        yield flush()
+
+
+def chunks(given: DataFrame) -> DataFrame:
+    """``given`` (doc_id long, flag int of 0 to 127, text binary, not null) as a stored table of chunks."""
+    return table(given.select("doc_id", "flag", "text").mapInArrow(_store, _CHUNK))
+
+
+def bucket_bits(stored: DataFrame) -> int:
+    """Bits of a key that name its bucket, by the bytes of all chunks."""
+    size = stored.agg(F.sum("bytes")).first()[0] or 0
+    return max(4, (int(size) // BUCKET_BYTES).bit_length())
+
+
+def _meet(stored: DataFrame, replies: DataFrame | None, use: Callable[[Chunk, int, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``use(chunk, its name, replies by kind)`` for each chunk; one chunk is held at a time."""
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            yield from use(Chunk(row), row["chunk"], {})
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> Iterator[pa.RecordBatch]:
+            yield from use(Chunk(chunk), chunk["chunk"], {k: np.concatenate([unpack(p) for p in parts]) for k, parts in found.items()})
+
+        chunk, found = None, {}
+        for row in _rows(batches):
+            if row["texts"] is not None:  # a chunk comes before its replies
+                if chunk:
+                    yield from done()
+                chunk, found = row, {}
+            else:
+                found.setdefault(row["bucket"] >> _KIND_SHIFT, []).append(row["reply"])
+        if chunk:
+            yield from done()
+
+    if replies is None:
+        return stored.mapInArrow(alone, schema)
+    texts = stored.select("chunk", F.lit(-1).cast("long").alias("bucket"), *_PACKED, F.lit(None).cast("binary").alias("reply"))
+    theirs = replies.select("chunk", "bucket", *(F.lit(None).cast("binary").alias(c) for c in _PACKED), "reply")
+    return texts.unionByName(theirs).repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(together, schema)
+
+
+def ask(
+    stored: DataFrame, replies: DataFrame | None, bits: int, question: Callable[[Chunk, dict[int, np.ndarray]], dict[int, Arrays]],
+    settle: Callable[[int, Arrays], tuple[np.ndarray, list[int]]],
+) -> DataFrame:
+    """(chunk, bucket, reply, sums) as a stored table.
+
+    ``question(chunk, replies)`` gives arrays by kind: sorted keys, then columns aligned with them.
+    ``settle(kind, arrays)`` has those of one bucket from all chunks and gives a reply to each entry,
+    and a few sums of the bucket, which stand in one of its rows.
+    """
+
+    def put(chunk: Chunk, name: int, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for kind, (keys, *more) in question(chunk, known).items():
+            high = keys >> np.uint64(64 - bits)
+            starts = np.flatnonzero(np.append(True, high[1:] != high[:-1])) if len(keys) else []
+            low = keys & np.uint64((1 << 64 - bits) - 1)
+            for a, b in zip(starts, [*starts[1:], len(keys)]):
+                rows.append((kind << _KIND_SHIFT | int(high[a]), name, [pack(np.diff(low[a:b], prepend=np.uint64(0))), *(pack(m[a:b]) for m in more)]))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.binary())))], ["bucket", "chunk", "columns"])
+
+    def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done() -> pa.RecordBatch:
+            parts = [[unpack(c) for c in columns] for _, columns in held]
+            for p in parts:
+                p[0] = np.cumsum(p[0], dtype=np.uint64)
+            ends = np.cumsum([len(p[0]) for p in parts])
+            arrays = [np.concatenate(c) for c in zip(*parts)]
+            parts.clear()
+            arrays[0] |= np.uint64(bucket & (1 << _KIND_SHIFT) - 1) << np.uint64(64 - bits)
+            reply, sums = settle(bucket >> _KIND_SHIFT, arrays)
+            out = [pack(reply[a:b]) for a, b in zip([0, *ends], ends)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([c for c, _ in held]), pa.array([bucket] * len(held)), pa.array(out, pa.binary()), pa.array([sums] + [None] * (len(held) - 1), pa.list_(pa.int64()))],
+                ["chunk", "bucket", "reply", "sums"],
+            )
 
-def pack_within(values: np.ndarray) -> bytes:
-    """Values that ascend within each document: differences, wrapped at 32 bits."""
-    return pack(np.diff(values.astype(np.uint32), prepend=np.uint32(0)))
-
-
-def unpack_within(data: bytes) -> np.ndarray:
-    return np.cumsum(unpack(data).astype(np.uint32), dtype=np.uint32).astype(np.int64)
-
-
-def deal(keys: np.ndarray, docs: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(bucket, rows, the documents among them, rows of each) by the high bits of the keys. Rows keep
-    their order; ``docs`` ascends."""
-    buckets = (keys >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
-    order = np.argsort(buckets, kind="stable")
-    dealt = buckets[order]
-    starts = np.flatnonzero(np.append(True, dealt[1:] != dealt[:-1])) if len(dealt) else []
-    for a, b in zip(starts, [*starts[1:], len(dealt)]):
-        rows = order[a:b]
-        present, counts = np.unique(docs[rows], return_counts=True)
-        yield int(dealt[a]), rows, present, counts
-
-
-def by_bucket(rows: DataFrame, merge, schema: str) -> DataFrame:
-    """Bring the rows of a bucket together and apply ``merge(list of rows as dicts)``, which gives
-    record batches; one bucket is held at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["bucket"] != bucket and held:
-                    yield from merge(held)
-                    held = []
-                bucket = row["bucket"]
-                held.append(row)
+        for row in _rows(batches):
+            if row["bucket"] != bucket and held:
+                yield done()
+                held = []
+            bucket = row["bucket"]
+            held.append((row["chunk"], row["columns"]))
         if held:
-            yield from merge(held)
+            yield done()
+
+    asked = _meet(stored, replies, put, "bucket long, chunk long, columns array<binary>")
+    return table(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(get, "chunk long, bucket long, reply binary, sums array<long>"))
+
 
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, schema)
+def answered(stored: DataFrame, replies: DataFrame, answer: Callable[[Chunk, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``answer(chunk, replies by kind)`` for each chunk."""
+    return _meet(stored, replies, lambda chunk, _, known: answer(chunk, known), schema)

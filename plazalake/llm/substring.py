@@ -3,8 +3,12 @@
 Any 20 consecutive words contain one whole block of a grid of 10-word blocks, at whatever place the
 passage starts. So non-overlapping reference blocks are indexed, every rolling 10-word window probes
 the index, and a passage that occurs twice has a hit in each of its occurrences. Only around hits are
-the 20-word windows made; grouping them by content extends the hits to the maximal repeats, since the
-windows of a repeat overlap. Of equal windows, all but the first lose the words they cover.
+the 20-word windows made; asking for the first place of each extends the hits to the maximal repeats,
+since the windows of a repeat overlap. Of equal windows, all but the first lose the words they cover.
+
+Both questions go from chunks of documents to buckets of keys (``packed``): a chunk asks about each
+distinct window once, with its count or its first place, so a passage that very many documents share
+costs a bucket one entry per chunk.
 """
 
 from __future__ import annotations
@@ -14,159 +18,140 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import row_key, table
-from plazalake.llm.packed import CHUNK, WordHashes, bucket_bits, by_bucket, deal, pack, pack_within, rolling, unpack, unpack_within
+from plazalake.llm.common import text_of
+from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, rolling
 
 WINDOW = 20
-_ROWS = "bucket int, docs binary, ids binary, counts binary, keys binary, starts binary"
-_NAMES = ["bucket", "docs", "ids", "counts", "keys", "starts"]
-
-
-def _signed(values: np.ndarray) -> np.ndarray:
-    return values.view(np.int64)
-
-
-def _write(docs: list[int], ids: list[int | None], keys: list[np.ndarray], starts: list[np.ndarray], bits: int, width: int) -> Iterator[pa.RecordBatch]:
-    """Postings of some documents: keys by their ``width`` bytes below the bucket bits."""
-    doc = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
-    key, start = np.concatenate(keys), np.concatenate(starts)
-    rows = []
-    names = np.array(docs, np.int64).view(np.uint64)
-    order = np.array([np.iinfo(np.int64).max if i is None else i for i in ids], np.int64).view(np.uint64)
-    low = key << np.uint64(bits) >> np.uint64(64 - 8 * width) if width < 8 else key
-    for bucket, at, present, counts in deal(key, doc, bits):
-        rows.append((bucket, pack(names[present]), pack(order[present]), pack(counts), pack(low[at]), pack_within(start[at])))
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], _NAMES)
-
-
-def _read(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(documents, their ids, document of each posting, keys, starts) of one bucket."""
-    docs, ids = (_signed(np.concatenate([unpack(r[c]) for r in rows])) for c in ("docs", "ids"))
-    counts = np.concatenate([unpack(r["counts"]) for r in rows]).astype(np.int64)
-    return docs, ids, np.repeat(np.arange(len(docs)), counts), np.concatenate([unpack(r["keys"]) for r in rows]), np.concatenate([unpack_within(r["starts"]) for r in rows])
-
-
-def _starts_by_doc(docs: np.ndarray, doc: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(doc, kind="stable")
-    doc, start = doc[order], start[order]
-    first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
-    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(doc)), pa.int32()), pa.array(start, pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array(docs[doc[first]]), lists], ["_doc", "_starts"])
-
-
-def _probes(bits: int, block: int):
-    """Every rolling window of ``block`` words; those that start on the grid are the references."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, docs, keys, starts, size = WordHashes(), [], [], [], 0
-        for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                key = rolling(cache.of((text or b"").split()), block)
-                if len(key):
-                    docs.append(doc)
-                    keys.append(key)
-                    starts.append(np.arange(len(key)))
-                    size += len(key)
-                if size >= CHUNK:
-                    yield from _write(docs, [0] * len(docs), keys, starts, bits, 4)
-                    docs, keys, starts, size = [], [], [], 0
-        if size:
-            yield from _write(docs, [0] * len(docs), keys, starts, bits, 4)
-
-    return run
-
-
-def _hits(block: int):
-    """Windows whose content is also a reference block somewhere else."""
-
-    def merge(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-        docs, _, doc, key, start = _read(rows)
+_PROBE, _FIRST = range(2)
+_ANCHORED, _REPEATED = np.uint64(1), np.uint64(2)
+#: Bits that name a probe below its bucket: a false hit only makes windows that are then not equal.
+_PROBE_BITS = 32
+_SECOND = 0xD6E8FEB86659FD93
+
+
+class _Texts:
+    """The words of a chunk's documents, and the windows of any width in them."""
+
+    def __init__(self, chunk: Chunk, cache: WordHashes):
+        self.chunk = chunk
+        self.words = [t.split() for t in chunk.texts]
+        self.hashes = [cache.of(w) for w in self.words]
+
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(document, start, hash) of all windows of ``width`` words."""
+        keys = [rolling(h, width) for h in self.hashes]
+        sizes = [len(k) for k in keys]
+        starts = np.concatenate([np.arange(n) for n in sizes])
+        return np.repeat(np.arange(len(keys)), sizes), starts, np.concatenate(keys)
+
+    def probes(self, block: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, start, place among the distinct probes) of each, the distinct probes, their marks."""
+        doc, start, key = self.windows(block)
+        drop = np.uint64(max(64 - bits - _PROBE_BITS, 0))
+        distinct, place, count = np.unique(key >> drop << drop, return_inverse=True, return_counts=True)
+        marks = np.where(count > 1, _REPEATED, np.uint64(0))
+        marks[place[start % block == 0]] |= _ANCHORED
+        return doc, start, place, distinct, marks
+
+    def around(self, window: int, block: int, bits: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(document, start, two hashes) of the windows that hold a hit, by hash, then by order of
+        documents and start."""
+        doc, start, place, *_ = self.probes(block, bits)
+        found = hit[place] > 0
+        held = [start[found][a:b] for a, b in self._spans(doc[found])]
+        docs, starts, ones, twos = [], [], [], []
+        for d, hits in enumerate(held):
+            n = len(self.hashes[d]) - window + 1
+            if n < 1 or not len(hits):
+                continue
+            edge = np.zeros(n + 1, np.int64)
+            np.add.at(edge, np.clip(hits - (window - block), 0, n), 1)
+            np.add.at(edge, np.clip(hits + 1, 0, n), -1)
+            at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+            docs.append(np.full(len(at), d))
+            starts.append(at)
+            ones.append(rolling(self.hashes[d], window)[at])
+            twos.append(rolling(self.hashes[d], window, _SECOND)[at] >> np.uint64(32))
+        if not docs:
+            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
+        doc, start, one, two = map(np.concatenate, (docs, starts, ones, twos))
+        ids, tags = self.order()
+        by = np.lexsort((start, tags[doc], ids[doc], two, one))
+        return doc[by], start[by], one[by], two[by]
+
+    def _spans(self, doc: np.ndarray) -> list[tuple[int, int]]:
+        ends = np.searchsorted(doc, np.arange(len(self.words) + 1))
+        return list(zip(ends[:-1].tolist(), ends[1:].tolist()))
+
+    def order(self) -> tuple[np.ndarray, np.ndarray]:
+        """Documents in order: doc_ids, a missing one last, then a hash of the text."""
+        ids = np.array([np.iinfo(np.int64).max if i is None else i for i in self.chunk.ids], np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        return ids, np.array([xxhash.xxh32_intdigest(t) << 1 | (i is None) for t, i in zip(self.chunk.texts, self.chunk.ids)], np.uint64)
+
+    def firsts(self, window: int, block: int, bits: int, hit: np.ndarray) -> list[np.ndarray]:
+        """Two hashes of each distinct window around hits, and its first place in this chunk."""
+        doc, start, one, two = self.around(window, block, bits, hit)
+        new = _new(one, two)
+        ids, tags = self.order()
+        return [one[new], two[new], ids[doc[new]], tags[doc[new]], start[new].astype(np.uint64)]
+
+    def late(self, window: int, block: int, bits: int, hit: np.ndarray, ours: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray]]:
+        """Words and starts of the windows that are not the first, by document. ``ours`` tells of each
+        distinct window whether its first place in this chunk is the first of all."""
+        doc, start, one, two = self.around(window, block, bits, hit)
+        new = _new(one, two)
+        group, leader = np.cumsum(new) - 1, np.flatnonzero(new)
+        ids, tags = self.order()
+        same = lambda x: x == x[leader][group]
+        is_first = same(ids[doc]) & same(tags[doc]) & same(start) & (ours[group] > 0) if len(doc) else np.empty(0, bool)
+        doc, start = doc[~is_first], start[~is_first]
+        by = np.argsort(doc, kind="stable")
+        doc, start = doc[by], start[by]
+        for words, (a, b) in zip(self.words, self._spans(doc)):
+            yield words, start[a:b]
+
+
+def _new(*names: np.ndarray) -> np.ndarray:
+    """Where sorted rows differ from the row before."""
+    return np.append(True, np.logical_or.reduce([n[1:] != n[:-1] for n in names])) if len(names[0]) else np.empty(0, bool)
+
+
+def _settle(kind: int, arrays: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    """Probes: whether the block occurs again and one occurrence is on the grid. Windows: whether the
+    entry holds the first place of all; rows repeated whole share it."""
+    if kind == _PROBE:
+        key, marks = arrays
         order = np.argsort(key, kind="stable")
-        sorted_key = key[order]
-        first = np.flatnonzero(np.append(True, sorted_key[1:] != sorted_key[:-1]))
-        size = np.diff(np.append(first, len(key)))
-        anchored = np.add.reduceat((start[order] % block == 0).astype(np.int64), first) > 0
-        hit = order[np.repeat((size > 1) & anchored, size)]
-        if len(hit):
-            hit.sort()
-            yield _starts_by_doc(docs, doc[hit], start[hit])
-
-    return merge
-
-
-def _windows(bits: int, window: int, block: int):
-    """The windows that hold a hit."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, docs, ids, keys, starts, size = WordHashes(), [], [], [], [], 0
-        for batch in batches:
-            for doc, doc_id, text, hits in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                key = rolling(cache.of((text or b"").split()), window)
-                if not len(key):
-                    continue
-                hits = np.array(hits)
-                edge = np.zeros(len(key) + 1, np.int64)
-                np.add.at(edge, np.clip(hits - (window - block), 0, len(key)), 1)
-                np.add.at(edge, np.clip(hits + 1, 0, len(key)), -1)
-                start = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-                if len(start):
-                    docs.append(doc)
-                    ids.append(doc_id)
-                    keys.append(key[start])
-                    starts.append(start)
-                    size += len(start)
-                if size >= CHUNK:
-                    yield from _write(docs, ids, keys, starts, bits, 8)
-                    docs, ids, keys, starts, size = [], [], [], [], 0
-        if size:
-            yield from _write(docs, ids, keys, starts, bits, 8)
-
-    return run
-
-
-def _later(rows: list[dict]) -> Iterator[pa.RecordBatch]:
-    """Of equal windows, all but the first by (doc_id, start); rows of one document count once."""
-    docs, ids, doc, key, start = _read(rows)
-    by = np.lexsort((docs, ids))
-    new = np.append(True, (docs[by][1:] != docs[by][:-1]) | (ids[by][1:] != ids[by][:-1]))
-    rank = np.empty(len(docs), np.int64)
-    rank[by] = np.cumsum(new)
-    rank = rank[doc]
-    order = np.lexsort((start, rank, key))
-    key, rank_, start_ = key[order], rank[order], start[order]
-    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    leader = np.repeat(first, np.diff(np.append(first, len(key))))
-    late = np.sort(order[(rank_ != rank_[leader]) | (start_ != start_[leader])])
-    if len(late):
-        yield _starts_by_doc(docs, doc[late], start[late])
-
-
-def _cut(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, starts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = (text or b"").split()
-                n = len(words)
-                if starts:
-                    edge = np.zeros(n + 1, np.int64)
-                    at = np.unique(np.array(starts))
-                    edge[at] += 1
-                    np.add.at(edge, np.minimum(at + window, n), -1)
-                    words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
-                kept = b" ".join(words)
-                out.append((n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")))
-            n, removed, digest, kept = zip(*out) if out else ((),) * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
-
-    return run
+        new = _new(key[order])
+        first = np.flatnonzero(new)
+        marks = marks[order]
+        again = (np.diff(np.append(first, len(key))) > 1) | (np.bitwise_or.reduceat(marks & _REPEATED, first) > 0)
+        answer = again & (np.bitwise_or.reduceat(marks & _ANCHORED, first) > 0)
+        of_row = answer[np.cumsum(new) - 1]
+    else:
+        order = np.lexsort(arrays[::-1])
+        one, two, *place = (a[order] for a in arrays)
+        new = _new(one, two)
+        leader = np.flatnonzero(new)[np.cumsum(new) - 1]
+        of_row = np.logical_and.reduce([p == p[leader] for p in place])
+    reply = np.empty(len(order), np.uint64)
+    reply[order] = of_row
+    return reply, []
+
+
+def _cut(words: list[bytes], starts: np.ndarray, window: int) -> tuple[int, int, str, str]:
+    n = len(words)
+    if len(starts):
+        edge = np.zeros(n + 1, np.int64)
+        np.add.at(edge, starts, 1)
+        np.add.at(edge, starts + window, -1)
+        words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
+    kept = b" ".join(words)
+    return n, n - len(words), hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "replace")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -176,22 +161,33 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     A word goes if a window of ``window`` words covers it whose words also start earlier: in a
     smaller doc_id, or earlier in the same document. Windows are judged on the input. Null, empty
     and short texts lose nothing. Rows repeated with one doc_id and text are one document: they get
-    the same result. A null doc_id is last. Of different texts under one doc_id either may be first.
+    the same result. A null doc_id is last; of different texts under one doc_id either may be first.
+    Windows are equal if 96 bits of two hashes of their words are. No rows give no rows; other
+    columns are ignored. A very long text is one chunk: a task holds it whole.
     """
     if window < 3:
         raise ValueError("a window has 3 words at least")
     block = (window + 1) // 2
-    spark = docs.sparkSession
-    bits = bucket_bits(spark)
-    given = docs.select(row_key().alias("_doc"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-
-    def gathered(found: DataFrame) -> DataFrame:
-        # a document's own starts: bounded by its length
-        return found.groupBy("_doc").agg(F.flatten(F.collect_list("_starts")).alias("_starts"))
-
-    probes = given.select("_doc", "text").mapInArrow(_probes(bits, block), _ROWS)
-    hits = table(gathered(by_bucket(probes, _hits(block), "_doc long, _starts array<int>")))
-    around = given.join(hits, "_doc").select("_doc", "doc_id", "text", "_starts").mapInArrow(_windows(bits, window, block), _ROWS)
-    later = table(gathered(by_bucket(around, _later, "_doc long, _starts array<int>")))
-    cut = given.join(later, "_doc", "left").select("doc_id", "text", "_starts")
-    return cut.mapInArrow(_cut(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    stored = chunks(docs.select(F.col("doc_id").cast("long"), F.lit(0).alias("flag"), text_of().cast("binary").alias("text")))
+    bits = bucket_bits(stored)
+    cache = WordHashes()
+
+    def probes(chunk: Chunk, _: dict) -> dict[int, list[np.ndarray]]:
+        *_, distinct, marks = _Texts(chunk, cache).probes(block, bits)
+        return {_PROBE: [distinct, marks]}
+
+    def hit(known: dict[int, np.ndarray]) -> np.ndarray:
+        return known.get(_PROBE, np.empty(0, np.uint64))
+
+    def firsts(chunk: Chunk, known: dict) -> dict[int, list[np.ndarray]]:
+        return {_FIRST: _Texts(chunk, cache).firsts(window, block, bits, hit(known))}
+
+    def answer(chunk: Chunk, known: dict) -> Iterator[pa.RecordBatch]:
+        late = _Texts(chunk, cache).late(window, block, bits, hit(known), known.get(_FIRST, np.empty(0, np.uint64)))
+        n, removed, digest, kept = zip(*(_cut(words, starts, window) for words, starts in late))
+        columns = [pa.array(chunk.ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+
+    hits = ask(stored, None, bits, probes, _settle)
+    places = ask(stored, hits, bits, firsts, _settle)
+    return answered(stored, hits.unionByName(places), answer, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -94,27 +94,35 @@ def contaminated(docs, items, similarity=0.8, k=5):
     return out
 
 
-def lm_scores(docs, folds=10, discount=0.75, smoothing=0.1):
+def lm_scores(docs, folds=10, one_word=500.0, two_words=4.0, smoothing=0.1):
+    """An automaton as dictionaries, each text walked word by word over arcs and failures."""
     steps = lambda t: [None, *WORD.findall(az(t)), ()]
-    words, states, arcs = Counter(), Counter(), Counter()
+    words, runs, texts = Counter(), Counter(), 0
     for doc_id, text in docs:
         if fold(doc_id, folds):
             s = steps(text)
+            texts += 1
             words.update(s[1:])
-            states.update(s[:-1])
-            arcs.update(zip(s, s[1:]))
-    followers = Counter(a for a, _ in arcs)
+            runs.update(zip(s, s[1:]))
+            runs.update(zip(s, s[1:], s[2:]))
     n, v = sum(words.values()), len(words)
-    root = lambda w: math.log10((words[w] + smoothing) / (n + smoothing * (v + 1)))
+    root = lambda w: (words[w] + smoothing) / (n + smoothing * (v + 1))
+    times = lambda state: texts if state == (None,) else words[state[0]] if len(state) == 1 else runs[state]
+    weight = lambda state: two_words if len(state) == 2 else one_word
+
+    def p(state, w):
+        return (runs[*state, w] + weight(state) * p(state[1:], w)) / (times(state) + weight(state)) if state else root(w)
+
     rows = []
     for doc_id, text in docs:
-        s, score = steps(text), 0.0
-        for a, b in zip(s, s[1:]):
-            if arcs[a, b]:
-                score += math.log10((arcs[a, b] - discount) / states[a])
-            else:
-                score += root(b) + (math.log10(discount * followers[a] / states[a]) if states[a] else 0)
-        rows.append((doc_id, fold(doc_id, folds) == 0, len(s) - 1, sum(words[w] > 0 for w in s[1:]), n, sum(map(root, s[1:])), score))
+        s, score, state = steps(text), 0.0, (None,)
+        for i, w in enumerate(s[1:], 1):
+            while state and (not times(state) or not runs[*state, w]):
+                score += math.log10(weight(state) / (times(state) + weight(state)))
+                state = state[1:]
+            score += math.log10(p(state, w))
+            state = next(c for c in (tuple(s[i - 1 : i + 1]), (w,), ()) if not c or times(c))
+        rows.append((doc_id, fold(doc_id, folds) == 0, len(s) - 1, sum(words[w] > 0 for w in s[1:]), n, sum(math.log10(root(w)) for w in s[1:]), score))
     return rows
 
 

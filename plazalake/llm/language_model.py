@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import fold, text_of
-from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, mixed
+from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, mixed, shortened
 
 SMOOTHING = 0.1
 #: Weight of the shorter context against one and two words: in counts of the longer one.
@@ -36,6 +36,9 @@ ONE_WORD, TWO_WORDS = 500.0, 4.0
 FOLDS = 10
 _START, _END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"start of text", b"end of text"))
 _WORDS, _RUNS = range(2)
+#: Bits sent below the bucket. A word has a second hash beside them, 88 bits at least in all; of runs
+#: one in a million shares its name with another one, at any size of the corpus.
+_LOW, _CHECK_BITS = {_WORDS: 40, _RUNS: 40}, 44
 _NO_ARC = 1.0  # no logarithm of a probability
 _PAIR, _TRIPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -44,7 +47,7 @@ class _Steps:
     """The steps of a chunk's texts, one after the other: the word of each, and the run of two and of
     three words that it ends, as places among the chunk's distinct words and runs."""
 
-    def __init__(self, chunk: Chunk, cache: WordHashes):
+    def __init__(self, chunk: Chunk, cache: WordHashes, bits: int):
         words = [t.lower().split() for t in chunk.texts]
         self.sizes = np.array([len(w) + 1 for w in words])
         first = np.cumsum(self.sizes) - self.sizes
@@ -58,9 +61,10 @@ class _Steps:
         self.deep = np.ones(len(hashes), bool)  # whether two words, or the start and a word, stand before
         self.deep[first] = False
         triples = mixed(pairs[:-1] * _TRIPLE + hashes[1:])[self.deep[1:]]
-        self.words, self.word = np.unique(hashes, return_inverse=True)
-        self.checks = np.array([0 if spelled[h] is None else xxhash.xxh64_intdigest(spelled[h], 1) for h in self.words.tolist()], np.uint64)
-        self.runs, places = np.unique(np.concatenate([pairs, triples]), return_inverse=True)
+        full, self.word = np.unique(hashes, return_inverse=True)
+        checks = np.array([0 if spelled[h] is None else xxhash.xxh64_intdigest(spelled[h], 1) for h in full.tolist()], np.uint64)
+        self.words, self.checks = shortened(full, bits, _LOW[_WORDS]), checks >> np.uint64(64 - _CHECK_BITS)
+        self.runs, places = np.unique(shortened(np.concatenate([pairs, triples]), bits, _LOW[_RUNS]), return_inverse=True)
         self.pair, self.triple = places[: len(pairs)], np.zeros(len(pairs), np.int64)
         self.triple[self.deep] = places[len(pairs) :]
         self.trains = np.repeat(np.array([f == 0 for f in chunk.flags], bool), self.sizes)
@@ -127,16 +131,16 @@ def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     Other columns are ignored. A very long text is one chunk: a task holds it whole.
     """
     stored = chunks(docs.select(F.col("doc_id").cast("long"), (fold("doc_id", folds) == 0).cast("int").alias("flag"), text_of().cast("binary").alias("text")))
-    cache = WordHashes()
-    replies = ask(stored, None, bucket_bits(stored), lambda chunk, _: _Steps(chunk, cache).asked(), _settle)
+    cache, bits = WordHashes(), bucket_bits(stored)
+    replies = ask(stored, None, bits, lambda chunk, _: _Steps(chunk, cache, bits).asked(), _settle, _LOW)
     sums = replies.filter("sums IS NOT NULL").agg(F.coalesce(F.sum(F.col("sums")[0]), F.lit(0)), F.coalesce(F.sum(F.col("sums")[1]), F.lit(0))).first()
-    return answered(stored, replies, partial(_answer, cache, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return answered(stored, replies, partial(_answer, cache, bits, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _answer(cache: WordHashes, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    steps = _Steps(chunk, cache)
+def _answer(cache: WordHashes, bits: int, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    steps = _Steps(chunk, cache, bits)
     words, runs = (known[k].astype(np.int64) for k in (_WORDS, _RUNS))
-    texts = int(words[np.searchsorted(steps.words, _END)])  # each training text has one end
+    texts = int(words[steps.word[steps.sizes[0] - 1]])  # each training text has one end
     base, scores, n_known = _scores(steps, words, runs, types, total, texts)
     columns = [
         pa.array(chunk.ids, pa.int64()), pa.array([f == 1 for f in chunk.flags]), pa.array(steps.sizes), pa.array(n_known),

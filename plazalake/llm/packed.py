@@ -63,20 +63,32 @@ def rolling(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) ->
     return mixed(out)
 
 
-def pack(values: np.ndarray) -> bytes:
-    """Unsigned integers as compressed byte planes."""
-    values = np.ascontiguousarray(values, np.uint64)
-    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
-    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
-    return struct.pack("<IB", len(values), width) + zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpack(data: bytes) -> np.ndarray:
-    n, width = struct.unpack_from("<IB", data)
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[5:]), np.uint8).reshape(width, n)
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :width] = planes.T
-    return out.view("<u8").ravel()
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of unsigned integers, of one length, as compressed byte planes."""
+    n, planes, widths = len(columns[0]), [], []
+    for values in columns:
+        values = np.ascontiguousarray(values, "<u8")
+        widths.append(max(1, (int(values.max()).bit_length() + 7) // 8) if n else 1)
+        planes.append(values.view(np.uint8).reshape(-1, 8)[:, : widths[-1]].T.tobytes())
+    return struct.pack("<IB", n, len(columns)) + bytes(widths) + zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
+
+
+def unpack(data: bytes) -> list[np.ndarray]:
+    n, count = struct.unpack_from("<IB", data)
+    widths = data[5 : 5 + count]
+    planes, at, columns = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[5 + count :]), np.uint8), 0, []
+    for width in widths:
+        out = np.zeros((n, 8), np.uint8)
+        out[:, :width] = planes[at : at + n * width].reshape(width, n).T
+        columns.append(out.view("<u8").ravel())
+        at += n * width
+    return columns
+
+
+def shortened(keys: np.ndarray, bits: int, low: int) -> np.ndarray:
+    """Keys without the bits that neither name their bucket nor are sent."""
+    drop = np.uint64(max(64 - bits - low, 0))
+    return keys >> drop << drop
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -89,9 +101,9 @@ class Chunk:
     """The documents of one chunk: doc_id (or None), flag, UTF-8 text."""
 
     def __init__(self, row: Mapping):
-        self.ids = [None if f & 1 else i for i, f in zip(unpack(row["ids"]).view(np.int64).tolist(), row["flags"])]
+        self.ids = [None if f & 1 else i for i, f in zip(unpack(row["ids"])[0].view(np.int64).tolist(), row["flags"])]
         self.flags = [f >> 1 for f in row["flags"]]
-        joined, ends = zstandard.ZstdDecompressor().decompress(row["texts"]), np.cumsum(unpack(row["sizes"]).astype(np.int64)).tolist()
+        joined, ends = zstandard.ZstdDecompressor().decompress(row["texts"]), np.cumsum(unpack(row["sizes"])[0].astype(np.int64)).tolist()
         self.texts = [joined[a:b] for a, b in zip([0, *ends], ends)]
 
 
@@ -137,7 +149,7 @@ def _meet(stored: DataFrame, replies: DataFrame | None, use: Callable[[Chunk, in
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> Iterator[pa.RecordBatch]:
-            yield from use(Chunk(chunk), chunk["chunk"], {k: np.concatenate([unpack(p) for p in parts]) for k, parts in found.items()})
+            yield from use(Chunk(chunk), chunk["chunk"], {k: np.concatenate([unpack(p)[0] for p in parts]) for k, parts in found.items()})
 
         chunk, found = None, {}
         for row in _rows(batches):
@@ -159,13 +171,14 @@ def _meet(stored: DataFrame, replies: DataFrame | None, use: Callable[[Chunk, in
 
 def ask(
     stored: DataFrame, replies: DataFrame | None, bits: int, question: Callable[[Chunk, dict[int, np.ndarray]], dict[int, Arrays]],
-    settle: Callable[[int, Arrays], tuple[np.ndarray, list[int]]],
+    settle: Callable[[int, Arrays], tuple[np.ndarray, list[int]]], low: Mapping[int, int],
 ) -> DataFrame:
     """(chunk, bucket, reply, sums) as a stored table.
 
     ``question(chunk, replies)`` gives arrays by kind: sorted keys, then columns aligned with them.
     ``settle(kind, arrays)`` has those of one bucket from all chunks and gives a reply to each entry,
-    and a few sums of the bucket, which stand in one of its rows.
+    and a few sums of the bucket, which stand in one of its rows. ``low`` tells by kind how many bits of
+    a key are sent below its bucket (``shortened``); entries with one key need another column that tells them apart.
     """
 
     def put(chunk: Chunk, name: int, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -173,22 +186,24 @@ def ask(
         for kind, (keys, *more) in question(chunk, known).items():
             high = keys >> np.uint64(64 - bits)
             starts = np.flatnonzero(np.append(True, high[1:] != high[:-1])) if len(keys) else []
-            low = keys & np.uint64((1 << 64 - bits) - 1)
+            sent = (keys & np.uint64((1 << 64 - bits) - 1)) >> np.uint64(max(64 - bits - low[kind], 0))
             for a, b in zip(starts, [*starts[1:], len(keys)]):
-                rows.append((kind << _KIND_SHIFT | int(high[a]), name, [pack(np.diff(low[a:b], prepend=np.uint64(0))), *(pack(m[a:b]) for m in more)]))
+                rows.append((kind << _KIND_SHIFT | int(high[a]), name, pack(np.diff(sent[a:b], prepend=np.uint64(0)), *(m[a:b] for m in more))))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.list_(pa.binary())))], ["bucket", "chunk", "columns"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))], ["bucket", "chunk", "columns"])
 
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> pa.RecordBatch:
-            parts = [[unpack(c) for c in columns] for _, columns in held]
+            parts = [unpack(columns) for _, columns in held]
             for p in parts:
                 p[0] = np.cumsum(p[0], dtype=np.uint64)
             ends = np.cumsum([len(p[0]) for p in parts])
             arrays = [np.concatenate(c) for c in zip(*parts)]
             parts.clear()
+            kind = bucket >> _KIND_SHIFT
+            arrays[0] <<= np.uint64(max(64 - bits - low[kind], 0))
             arrays[0] |= np.uint64(bucket & (1 << _KIND_SHIFT) - 1) << np.uint64(64 - bits)
-            reply, sums = settle(bucket >> _KIND_SHIFT, arrays)
+            reply, sums = settle(kind, arrays)
             out = [pack(reply[a:b]) for a, b in zip([0, *ends], ends)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([c for c, _ in held]), pa.array([bucket] * len(held)), pa.array(out, pa.binary()), pa.array([sums] + [None] * (len(held) - 1), pa.list_(pa.int64()))],
@@ -205,7 +220,7 @@ def ask(
         if held:
             yield done()
 
-    asked = _meet(stored, replies, put, "bucket long, chunk long, columns array<binary>")
+    asked = _meet(stored, replies, put, "bucket long, chunk long, columns binary")
     return table(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(get, "chunk long, bucket long, reply binary, sums array<long>"))
 
 

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import text_of
-from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, rolling
+from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, rolling, shortened
 
 WINDOW = 20
 _PROBE, _FIRST = range(2)
 _ANCHORED, _REPEATED = np.uint64(1), np.uint64(2)
-#: Bits that name a probe below its bucket: a false hit only makes windows that are then not equal.
-_PROBE_BITS = 32
+#: Bits sent below the bucket. A false hit of a probe only makes windows that are then not equal.
+_LOW = {_PROBE: 32, _FIRST: 64}
 _SECOND = 0xD6E8FEB86659FD93
 
 
@@ -51,8 +51,7 @@ class _Texts:
     def probes(self, block: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, start, place among the distinct probes) of each, the distinct probes, their marks."""
         doc, start, key = self.windows(block)
-        drop = np.uint64(max(64 - bits - _PROBE_BITS, 0))
-        distinct, place, count = np.unique(key >> drop << drop, return_inverse=True, return_counts=True)
+        distinct, place, count = np.unique(shortened(key, bits, _LOW[_PROBE]), return_inverse=True, return_counts=True)
         marks = np.where(count > 1, _REPEATED, np.uint64(0))
         marks[place[start % block == 0]] |= _ANCHORED
         return doc, start, place, distinct, marks
@@ -188,6 +187,6 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         columns = [pa.array(chunk.ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    hits = ask(stored, None, bits, probes, _settle)
-    places = ask(stored, hits, bits, firsts, _settle)
+    hits = ask(stored, None, bits, probes, _settle, _LOW)
+    places = ask(stored, hits, bits, firsts, _settle, _LOW)
     return answered(stored, hits.unionByName(places), answer, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -126,6 +126,68 @@ def lm_scores(docs, folds=10, one_word=500.0, two_words=4.0, smoothing=0.1):
     return rows
 
 
+def secrets(text, primed, reach=48, least=16, around=512, novelty=0.6):
+    """(kind, start, end) found by walking runs of characters one by one."""
+    spans = []
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    ascii_low = "".join(c.lower() if c in upper else c for c in text)
+    at = 0
+    while at < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if ascii_low.startswith(word, at):
+                i = at + len(word)
+                i += text[i : i + 1] in ("'", '"') and i < len(text)
+                i = run(i, " ")
+                if text[i : i + 1] in (":", "=") and i < len(text):
+                    i = run(i + 1, " ")
+                    i += text[i : i + 1] in ("'", '"') and i < len(text)
+                    stop = run(i, upper + lower + digits + "+/_.=-")
+                    if stop > i:
+                        end = stop
+                        if stop - i >= 6:
+                            spans.append(("assign", at, stop))
+                        break
+        at = end or at + 1
+    for kind, start, allowed, size in (("access", "AKIA", upper + digits, 20), ("hex", "", "abcdef" + digits, 24)):
+        at = 0
+        while at < len(text):
+            end = run(at + len(start), allowed) if text.startswith(start, at) else at
+            if end > at + len(start) and end - at >= size:
+                spans.append((kind, at, end))
+            at = max(end, at + 1) if end > at + len(start) else at + 1
+    words = ("password", "passwd", "passphrase", "secret", "token", "apikey", "api_key", "api-key", "credential", "bearer", "authorization", "private_key", "signature")
+    at, taken, novel = 0, list(spans), []
+    while at < len(text):
+        word = next((w for w in words if ascii_low.startswith(w, at)), None)
+        if not word:
+            at += 1
+            continue
+        end = at + len(word)
+        for i in range(end, min(len(text), end + reach + 1)):
+            if novel and i < novel[-1][1]:
+                continue
+            stop = run(i, upper + lower + digits + "+/_=.-")
+            if stop - i >= least:
+                body = text[i:stop]
+                near = text[max(0, i - around) : i].encode() + text[stop : stop + around].encode()
+                fresh = len(primed.compress(near + body.encode())) - len(primed.compress(near)) >= novelty * len(body)
+                mixed = any(c in digits for c in body) and any(c.lower() in lower for c in body)
+                clear = not any(i < e and s < stop for _, s, e in taken)
+                novel.append((i, stop, fresh and mixed and clear))
+        at = end
+    spans += [("novel", a, b) for a, b, ok in novel if ok]
+    order = ("assign", "access", "hex", "novel")
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda x: (x[1], order.index(x[0]), x[2])))
+
+
 def lag_ok(plan, given):
     """Whether every prefix of a cycle keeps each source within one block of its share."""
     slots, out = sum(given.values()), Counter()

@@ -216,6 +216,38 @@ def test_html(spark, nothing):
     assert html_text.extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+ARTICLE = "<article><h1>Head</h1><p>First paragraph of the article.</p><p>Second one.</p></article>"
+
+
+@pytest.mark.parametrize("page", [
+    f'<body class="has-sidebar">{ARTICLE}</body>', f'<body class="page no-comments">{ARTICLE}</body>', ARTICLE.replace("<article>", '<article class="post with-banner">'),
+    f"<script>var x='<!-- '</script>{ARTICLE}", ARTICLE.replace("<p>Sec", '<p id="comment-policy">Sec'), f'<div class="sidebar-layout"><form>{ARTICLE}</form></div>',
+    f"<select>{ARTICLE}", f'<div style="overflow: hidden">{ARTICLE}</div>', f"<svg>{ARTICLE}<!-- no end",
+    f'{ARTICLE}<div id="comments"><ol class="comment-list"><li><article class="comment-body"><p>{"Words of a reader. " * 20}</p></article></li></ol></div>',
+    f'<div class="cookie-notice"><p>{"We use cookies. " * 20}</p></div><div class="newsletter-signup">Mail me.</div>{ARTICLE}<div hidden>{"x " * 90}</div>',
+])
+def test_article_is_kept_and_nothing_else(page):
+    assert html_text.main_text(page) == "Head First paragraph of the article. Second one."
+
+
+def test_long_pages_stay_cheap():
+    import time
+
+    rng = random.Random(1)
+    pages = ["".join(f"<div><p>{'word ' * rng.randint(1, 30)}.</p><a href=x>{'link ' * rng.randint(1, 3)}</a></div>" for _ in range(8000)), "<b>" * 20_000 + "x<p>y</p></i>" * 20_000, "<svg><select>" * 20_000]
+    began = time.time()
+    for page in pages:
+        html_text.main_text(page)
+    assert time.time() - began < 10
+
+
+def test_cut_decides_without_an_article_element():
+    page = f"<div><ul>{'<li><a href=x>Menu entry</a></li>' * 6}</ul></div><div>{'<p>A long enough sentence of plain prose, with more words in it. And one more to make it long.</p><p>A heading</p>' * 4}</div>"
+    found, scores, labels = html_text.labelled(page)
+    assert [b.text for b, on in zip(found, labels) if on] == [b.text for b in found if "Menu" not in b.text]
+    assert any((s > 0) != on for s, on in zip(scores, labels))
+
+
 def test_minimum_cut_is_minimal():
     import itertools
     import math
@@ -248,6 +280,22 @@ def test_secrets(spark, docs, rows, nothing):
     assert secret_scan.scan_secrets(docs).count() == docs.count() and secret_scan.scan_secrets(nothing).count() == 0
 
 
+def test_secrets_equal_plain_version(spark):
+    rng = random.Random(12)
+    alphabet = "abcdef0123456789ABCDEFXYZ+/_.=-"
+    pieces = [" ", " ", "\n", '"', "'", ":", "=", " = ", ": ", "é", "ſ", "İ", "token", "Token", "API_KEY", "apikey", "secret", "password", "AKIA", "bearer", "api-key", "words of prose", "client_secret", "myFieldName"]
+    make = lambda: "".join(rng.choice(pieces) if rng.random() < 0.8 else "".join(rng.choice(alphabet) for _ in range(rng.randint(3, 40))) for _ in range(rng.randint(1, 60)))
+    long = "".join(rng.choice(alphabet[:-1]) for _ in range(10_000))
+    texts = [make() for _ in range(400)] + [f"a token {long} end", f"bearer {'x' * 40}{long} token {long[:30]}", "token " * 3000, "tokenAKIA" * 2000, "secret=abcdef " * 2000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = secret_scan.identifiers(docs)
+    assert "client_secret" in names and "myFieldName" in names and len(names) == len(set(names))
+    primed = secret_scan.compressor(names)
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.scan_secrets(docs).collect()}
+    assert got == {i: brute.secrets(t, primed) for i, t in enumerate(texts)}
+    assert "novel:8:10008" in got[400] and sum("novel" in s for s in got.values()) > 20
+
+
 def test_revisits(spark):
     t = "2024-01-0{} 00:00:00"
     full = {"ETag": '"a"', "Content-Type": "text/html", "Age": "1"}

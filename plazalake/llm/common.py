@@ -14,8 +14,8 @@ from plazalake.sources.scratch import new_path, scratch_dir
 WORD_REGEX = r"[^\x20\x09-\x0D]+"
 BLANK_REGEX = r"[\x20\x09-\x0D]+"
 
-#: Rows of one Arrow batch handed to a Python worker. Texts can be long, so batches are short.
-BATCH_ROWS, BATCH_BYTES = "256", str(16 << 20)
+#: Most rows and bytes of one Arrow batch handed to a Python worker.
+BATCH_ROWS, BATCH_BYTES = "8192", str(8 << 20)
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import partial
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +37,9 @@ ONE_WORD, TWO_WORDS = 500.0, 4.0
 FOLDS = 10
 _START, _END = (np.uint64(xxhash.xxh64_intdigest(x, 7)) for x in (b"start of text", b"end of text"))
 _WORDS, _RUNS = range(2)
-#: Bits sent below the bucket. A word has a second hash beside them, 88 bits at least in all; of runs
-#: one in a million shares its name with another one, at any size of the corpus.
-_LOW, _CHECK_BITS = {_WORDS: 40, _RUNS: 40}, 44
+#: Bits sent below the bucket. A word has a second hash beside them, 76 bits at least in all; of runs
+#: about two in 100,000 share their name with another one, at any size of the corpus.
+_LOW, _CHECK_BITS = {_WORDS: 40, _RUNS: 36}, 32
 _NO_ARC = 1.0  # no logarithm of a probability
 _PAIR, _TRIPLE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -54,16 +55,14 @@ class _Steps:
         hashes = np.full(int(self.sizes.sum()), _END)
         for at, w in zip(first.tolist(), words):
             hashes[at : at + len(w)] = cache.of(w)
-        spelled = dict(zip(hashes.tolist(), (x for w in words for x in (*w, None))))
         before = np.append(_START, hashes[:-1])
         before[first] = _START
         pairs = mixed(before * _PAIR + hashes)
         self.deep = np.ones(len(hashes), bool)  # whether two words, or the start and a word, stand before
         self.deep[first] = False
         triples = mixed(pairs[:-1] * _TRIPLE + hashes[1:])[self.deep[1:]]
-        full, self.word = np.unique(hashes, return_inverse=True)
-        checks = np.array([0 if spelled[h] is None else xxhash.xxh64_intdigest(spelled[h], 1) for h in full.tolist()], np.uint64)
-        self.words, self.checks = shortened(full, bits, _LOW[_WORDS]), checks >> np.uint64(64 - _CHECK_BITS)
+        full, self.spelled_at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
+        self.spelled, self.words = words, shortened(full, bits, _LOW[_WORDS])
         self.runs, places = np.unique(shortened(np.concatenate([pairs, triples]), bits, _LOW[_RUNS]), return_inverse=True)
         self.pair, self.triple = places[: len(pairs)], np.zeros(len(pairs), np.int64)
         self.triple[self.deep] = places[len(pairs) :]
@@ -72,8 +71,10 @@ class _Steps:
     def asked(self) -> dict[int, list[np.ndarray]]:
         """Distinct words (by two hashes) and runs, with their counts in training texts."""
         of = lambda places, n: np.bincount(places, minlength=n).astype(np.uint64)
+        spelled = [x for w in self.spelled for x in (*w, b"")]  # no word is empty: that is the end
+        checks = np.array([xxhash.xxh64_intdigest(spelled[i], 1) for i in self.spelled_at.tolist()], np.uint64) >> np.uint64(64 - _CHECK_BITS)
         runs = np.concatenate([self.pair[self.trains], self.triple[self.trains & self.deep]])
-        return {_WORDS: [self.words, self.checks, of(self.word[self.trains], len(self.words))], _RUNS: [self.runs, of(runs, len(self.runs))]}
+        return {_WORDS: [self.words, checks, of(self.word[self.trains], len(self.words))], _RUNS: [self.runs, of(runs, len(self.runs))]}
 
 
 def _settle(kind: int, arrays: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
@@ -116,7 +117,7 @@ def _scores(steps: _Steps, words: np.ndarray, runs: np.ndarray, types: int, tota
         arc(p3, c3), np.log10(TWO_WORDS / (two + TWO_WORDS)).tolist(), arc(p2, c2), np.log10(ONE_WORD / (one + ONE_WORD)).tolist(),
         root.tolist(), np.where(c2 > 0, 2, np.where(c1 > 0, 1, 0)).tolist(),
     )
-    scores = [_walk(next(walk) for _ in range(n)) for n in steps.sizes.tolist()]
+    scores = [_walk(islice(walk, n)) for n in steps.sizes.tolist()]
     return np.add.reduceat(root, first), scores, np.add.reduceat((c1 > 0).astype(np.int64), first)
 
 
@@ -134,7 +135,7 @@ def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     cache, bits = WordHashes(), bucket_bits(stored)
     replies = ask(stored, None, bits, lambda chunk, _: _Steps(chunk, cache, bits).asked(), _settle, _LOW)
     sums = replies.filter("sums IS NOT NULL").agg(F.coalesce(F.sum(F.col("sums")[0]), F.lit(0)), F.coalesce(F.sum(F.col("sums")[1]), F.lit(0))).first()
-    return answered(stored, replies, partial(_answer, cache, bits, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return answered(stored, replies, bits, partial(_answer, cache, bits, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _answer(cache: WordHashes, bits: int, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:

@@ -7,8 +7,8 @@ planes under zstandard. Whatever a text repeats is one key, so a hot key costs a
 chunk and never one per occurrence. A bucket settles the keys of all chunks and replies to each chunk in
 the order of its keys; replies meet their chunk again, in which the texts are walked.
 
-Buckets follow the bytes of the corpus, so that a task holds about ``BUCKET_BYTES`` worth of keys at a
-time, whatever ``spark.sql.shuffle.partitions`` is.
+Buckets, and the tasks of every shuffle here, follow the bytes of the corpus, so that a task has about
+``BUCKET_BYTES`` worth of keys or texts, whatever ``spark.sql.shuffle.partitions`` is.
 """
 
 from __future__ import annotations
@@ -140,7 +140,7 @@ def bucket_bits(stored: DataFrame) -> int:
     return max(4, (int(size) // BUCKET_BYTES).bit_length())
 
 
-def _meet(stored: DataFrame, replies: DataFrame | None, use: Callable[[Chunk, int, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def _meet(stored: DataFrame, replies: DataFrame | None, bits: int, use: Callable[[Chunk, int, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``use(chunk, its name, replies by kind)`` for each chunk; one chunk is held at a time."""
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +166,7 @@ def _meet(stored: DataFrame, replies: DataFrame | None, use: Callable[[Chunk, in
         return stored.mapInArrow(alone, schema)
     texts = stored.select("chunk", F.lit(-1).cast("long").alias("bucket"), *_PACKED, F.lit(None).cast("binary").alias("reply"))
     theirs = replies.select("chunk", "bucket", *(F.lit(None).cast("binary").alias(c) for c in _PACKED), "reply")
-    return texts.unionByName(theirs).repartition("chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(together, schema)
+    return texts.unionByName(theirs).repartition(1 << bits, "chunk").sortWithinPartitions("chunk", "bucket").mapInArrow(together, schema)
 
 
 def ask(
@@ -220,10 +220,10 @@ def ask(
         if held:
             yield done()
 
-    asked = _meet(stored, replies, put, "bucket long, chunk long, columns binary")
-    return table(asked.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(get, "chunk long, bucket long, reply binary, sums array<long>"))
+    asked = _meet(stored, replies, bits, put, "bucket long, chunk long, columns binary")
+    return table(asked.repartition(1 << bits, "bucket").sortWithinPartitions("bucket").mapInArrow(get, "chunk long, bucket long, reply binary, sums array<long>"))
 
 
-def answered(stored: DataFrame, replies: DataFrame, answer: Callable[[Chunk, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def answered(stored: DataFrame, replies: DataFrame, bits: int, answer: Callable[[Chunk, dict[int, np.ndarray]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``answer(chunk, replies by kind)`` for each chunk."""
-    return _meet(stored, replies, lambda chunk, _, known: answer(chunk, known), schema)
+    return _meet(stored, replies, bits, lambda chunk, _, known: answer(chunk, known), schema)

@@ -30,93 +30,86 @@ _PROBE, _FIRST = range(2)
 _ANCHORED, _REPEATED = np.uint64(1), np.uint64(2)
 #: Bits sent below the bucket. A false hit of a probe only makes windows that are then not equal.
 _LOW = {_PROBE: 32, _FIRST: 64}
-_SECOND = 0xD6E8FEB86659FD93
+_FACTOR, _SECOND = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
 class _Texts:
-    """The words of a chunk's documents, and the windows of any width in them."""
-
-    def __init__(self, chunk: Chunk, cache: WordHashes):
-        self.chunk = chunk
-        self.words = [t.split() for t in chunk.texts]
-        self.hashes = [cache.of(w) for w in self.words]
-
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(document, start, hash) of all windows of ``width`` words."""
-        keys = [rolling(h, width) for h in self.hashes]
-        sizes = [len(k) for k in keys]
-        starts = np.concatenate([np.arange(n) for n in sizes])
-        return np.repeat(np.arange(len(keys)), sizes), starts, np.concatenate(keys)
-
-    def probes(self, block: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, start, place among the distinct probes) of each, the distinct probes, their marks."""
-        doc, start, key = self.windows(block)
-        distinct, place, count = np.unique(shortened(key, bits, _LOW[_PROBE]), return_inverse=True, return_counts=True)
+    """The words of a chunk's documents one after the other, documents in order: doc_ids, a missing one
+    last, then a hash of the text. Places are counted over all words."""
+
+    def __init__(self, chunk: Chunk, cache: WordHashes, bits: int, window: int, block: int):
+        self.bits, self.window, self.block = bits, window, block
+        ids = np.array([np.iinfo(np.int64).max if i is None else i for i in chunk.ids], np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        tags = np.array([xxhash.xxh32_intdigest(t) << 1 | (i is None) for t, i in zip(chunk.texts, chunk.ids)], np.uint64)
+        self.order = np.lexsort((tags, ids))
+        self.ids, self.tags = ids[self.order], tags[self.order]
+        self.words = [chunk.texts[i].split() for i in self.order.tolist()]
+        sizes = np.array([len(w) for w in self.words])
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.first = (np.cumsum(sizes) - sizes)[self.doc]  # where the document of a place begins, and ends
+        self.end = np.cumsum(sizes)[self.doc]
+        self.hashes = cache.of([x for w in self.words for x in w])
+
+    def windows(self, width: int, *factors: int) -> tuple[np.ndarray, ...]:
+        """Places where a window of ``width`` words starts, and its hashes."""
+        at = np.flatnonzero(np.arange(len(self.doc)) + width <= self.end)
+        return at, *(rolling(self.hashes, width, f)[at] for f in factors)
+
+    def probes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The place of every probe and its place among the distinct ones; these and their marks."""
+        at, key = self.windows(self.block, _FACTOR)
+        distinct, place, count = np.unique(shortened(key, self.bits, _LOW[_PROBE]), return_inverse=True, return_counts=True)
         marks = np.where(count > 1, _REPEATED, np.uint64(0))
-        marks[place[start % block == 0]] |= _ANCHORED
-        return doc, start, place, distinct, marks
-
-    def around(self, window: int, block: int, bits: int, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, start, two hashes) of the windows that hold a hit, by hash, then by order of
-        documents and start."""
-        doc, start, place, *_ = self.probes(block, bits)
-        found = hit[place] > 0
-        held = [start[found][a:b] for a, b in self._spans(doc[found])]
-        docs, starts, ones, twos = [], [], [], []
-        for d, hits in enumerate(held):
-            n = len(self.hashes[d]) - window + 1
-            if n < 1 or not len(hits):
-                continue
-            edge = np.zeros(n + 1, np.int64)
-            np.add.at(edge, np.clip(hits - (window - block), 0, n), 1)
-            np.add.at(edge, np.clip(hits + 1, 0, n), -1)
-            at = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-            docs.append(np.full(len(at), d))
-            starts.append(at)
-            ones.append(rolling(self.hashes[d], window)[at])
-            twos.append(rolling(self.hashes[d], window, _SECOND)[at] >> np.uint64(32))
-        if not docs:
-            return (np.empty(0, np.int64),) * 2 + (np.empty(0, np.uint64),) * 2
-        doc, start, one, two = map(np.concatenate, (docs, starts, ones, twos))
-        ids, tags = self.order()
-        by = np.lexsort((start, tags[doc], ids[doc], two, one))
-        return doc[by], start[by], one[by], two[by]
-
-    def _spans(self, doc: np.ndarray) -> list[tuple[int, int]]:
-        ends = np.searchsorted(doc, np.arange(len(self.words) + 1))
-        return list(zip(ends[:-1].tolist(), ends[1:].tolist()))
-
-    def order(self) -> tuple[np.ndarray, np.ndarray]:
-        """Documents in order: doc_ids, a missing one last, then a hash of the text."""
-        ids = np.array([np.iinfo(np.int64).max if i is None else i for i in self.chunk.ids], np.int64).view(np.uint64) ^ np.uint64(1 << 63)
-        return ids, np.array([xxhash.xxh32_intdigest(t) << 1 | (i is None) for t, i in zip(self.chunk.texts, self.chunk.ids)], np.uint64)
-
-    def firsts(self, window: int, block: int, bits: int, hit: np.ndarray) -> list[np.ndarray]:
+        marks[place[(at - self.first[at]) % self.block == 0]] |= _ANCHORED
+        return at, place, distinct, marks
+
+    def around(self, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place and two hashes of the windows that hold a hit, by hashes and then by place."""
+        at, place, *_ = self.probes()
+        found = at[hit[place] > 0]
+        lowest, highest = np.maximum(found - (self.window - self.block), self.first[found]), np.minimum(found, self.end[found] - self.window)
+        some = lowest <= highest
+        edge = np.zeros(len(self.doc) + 1, np.int64)
+        np.add.at(edge, lowest[some], 1)
+        np.add.at(edge, highest[some] + 1, -1)
+        at, one, two = self.windows(self.window, _FACTOR, _SECOND)
+        held = np.cumsum(edge)[at] > 0
+        at, one, two = at[held], one[held], two[held] >> np.uint64(32)
+        by = _sorted(one, two)
+        return at[by], one[by], two[by]
+
+    def firsts(self, hit: np.ndarray) -> list[np.ndarray]:
         """Two hashes of each distinct window around hits, and its first place in this chunk."""
-        doc, start, one, two = self.around(window, block, bits, hit)
+        at, one, two = self.around(hit)
         new = _new(one, two)
-        ids, tags = self.order()
-        return [one[new], two[new], ids[doc[new]], tags[doc[new]], start[new].astype(np.uint64)]
+        at = at[new]
+        return [one[new], two[new], self.ids[self.doc[at]], self.tags[self.doc[at]], (at - self.first[at]).astype(np.uint64)]
 
-    def late(self, window: int, block: int, bits: int, hit: np.ndarray, ours: np.ndarray) -> Iterator[tuple[list[bytes], np.ndarray]]:
-        """Words and starts of the windows that are not the first, by document. ``ours`` tells of each
-        distinct window whether its first place in this chunk is the first of all."""
-        doc, start, one, two = self.around(window, block, bits, hit)
+    def late(self, hit: np.ndarray, ours: np.ndarray) -> list[np.ndarray]:
+        """Starts of the windows that are not the first, by document. ``ours`` tells of each distinct
+        window whether its first place in this chunk is the first of all."""
+        at, one, two = self.around(hit)
         new = _new(one, two)
-        group, leader = np.cumsum(new) - 1, np.flatnonzero(new)
-        ids, tags = self.order()
-        same = lambda x: x == x[leader][group]
-        is_first = same(ids[doc]) & same(tags[doc]) & same(start) & (ours[group] > 0) if len(doc) else np.empty(0, bool)
-        doc, start = doc[~is_first], start[~is_first]
-        by = np.argsort(doc, kind="stable")
-        doc, start = doc[by], start[by]
-        for words, (a, b) in zip(self.words, self._spans(doc)):
-            yield words, start[a:b]
+        group, leader = np.cumsum(new) - 1, at[new]
+        leader = leader[group]
+        same = lambda x: x[at] == x[leader]
+        is_first = same(self.ids[self.doc]) & same(self.tags[self.doc]) & (at - self.first[at] == leader - self.first[leader]) & (ours[group] > 0)
+        at = np.sort(at[~is_first])
+        ends = np.searchsorted(self.doc[at], np.arange(len(self.words) + 1))
+        start = at - self.first[at]
+        return [start[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def _sorted(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Stable order by both hashes. Sorting by the first one does, save where it is shared by chance."""
+    by = np.argsort(one, kind="stable")
+    chance = (one[by][1:] == one[by][:-1]) & (two[by][1:] != two[by][:-1])
+    return np.lexsort((two, one)) if chance.any() else by
 
 
 def _new(*names: np.ndarray) -> np.ndarray:
     """Where sorted rows differ from the row before."""
-    return np.append(True, np.logical_or.reduce([n[1:] != n[:-1] for n in names])) if len(names[0]) else np.empty(0, bool)
+    return np.append(np.ones(min(len(names[0]), 1), bool), np.logical_or.reduce([n[1:] != n[:-1] for n in names]))
 
 
 def _settle(kind: int, arrays: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
@@ -129,14 +122,15 @@ def _settle(kind: int, arrays: list[np.ndarray]) -> tuple[np.ndarray, list[int]]
         first = np.flatnonzero(new)
         marks = marks[order]
         again = (np.diff(np.append(first, len(key))) > 1) | (np.bitwise_or.reduceat(marks & _REPEATED, first) > 0)
-        answer = again & (np.bitwise_or.reduceat(marks & _ANCHORED, first) > 0)
-        of_row = answer[np.cumsum(new) - 1]
+        of_row = (again & (np.bitwise_or.reduceat(marks & _ANCHORED, first) > 0))[np.cumsum(new) - 1]
     else:
-        order = np.lexsort(arrays[::-1])
-        one, two, *place = (a[order] for a in arrays)
-        new = _new(one, two)
-        leader = np.flatnonzero(new)[np.cumsum(new) - 1]
-        of_row = np.logical_and.reduce([p == p[leader] for p in place])
+        one, two, *place = arrays
+        order = _sorted(one, two)
+        new = _new(one[order], two[order])
+        first, group, of_row = np.flatnonzero(new), np.cumsum(new) - 1, np.ones(len(order), bool)
+        for part in place:  # doc_id, then text, then start: of those still alike the least stays
+            part = np.where(of_row, part[order], np.iinfo(np.uint64).max)
+            of_row &= part == np.minimum.reduceat(part, first)[group]
     reply = np.empty(len(order), np.uint64)
     reply[order] = of_row
     return reply, []
@@ -170,23 +164,23 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     stored = chunks(docs.select(F.col("doc_id").cast("long"), F.lit(0).alias("flag"), text_of().cast("binary").alias("text")))
     bits = bucket_bits(stored)
     cache = WordHashes()
+    texts = lambda chunk: _Texts(chunk, cache, bits, window, block)
+    none = np.empty(0, np.uint64)
 
     def probes(chunk: Chunk, _: dict) -> dict[int, list[np.ndarray]]:
-        *_, distinct, marks = _Texts(chunk, cache).probes(block, bits)
+        *_, distinct, marks = texts(chunk).probes()
         return {_PROBE: [distinct, marks]}
 
-    def hit(known: dict[int, np.ndarray]) -> np.ndarray:
-        return known.get(_PROBE, np.empty(0, np.uint64))
-
     def firsts(chunk: Chunk, known: dict) -> dict[int, list[np.ndarray]]:
-        return {_FIRST: _Texts(chunk, cache).firsts(window, block, bits, hit(known))}
+        return {_FIRST: texts(chunk).firsts(known.get(_PROBE, none))}
 
     def answer(chunk: Chunk, known: dict) -> Iterator[pa.RecordBatch]:
-        late = _Texts(chunk, cache).late(window, block, bits, hit(known), known.get(_FIRST, np.empty(0, np.uint64)))
-        n, removed, digest, kept = zip(*(_cut(words, starts, window) for words, starts in late))
-        columns = [pa.array(chunk.ids, pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
+        those = texts(chunk)
+        late = those.late(known.get(_PROBE, none), known.get(_FIRST, none))
+        n, removed, digest, kept = zip(*(_cut(words, starts, window) for words, starts in zip(those.words, late)))
+        columns = [pa.array([chunk.ids[i] for i in those.order.tolist()], pa.int64()), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     hits = ask(stored, None, bits, probes, _settle, _LOW)
     places = ask(stored, hits, bits, firsts, _settle, _LOW)
-    return answered(stored, hits.unionByName(places), answer, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    return answered(stored, hits.unionByName(places), bits, answer, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")

@@ -73,6 +73,11 @@ def near_components(docs, radius=4):
     return [(doc_id, f"{prints[i]:016x}", least.get(root(i))) for i, (doc_id, _) in enumerate(docs)]
 
 
+def shingle_set(text, k=5):
+    words = WORD.findall(az(text))
+    return {tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1))} if words else set()
+
+
 def contaminated(docs, items, similarity=0.8, k=5):
     def bag(words):
         return Counter(tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1)))

@@ -73,30 +73,85 @@ def test_simhash(docs, rows, nothing):
     assert simhash.drop_near_duplicates(docs).columns == docs.columns
 
 
-@pytest.mark.parametrize("long_list", [2, 8, 2048])
-def test_links_of_long_lists(spark, long_list):
-    rng = random.Random(5)
-    seeds = [rng.getrandbits(64) for _ in range(30)]
-    prints = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for s in seeds for _ in range(12)})
-    signed = lambda x: x - (1 << 64) if x >> 63 else x
-    links = simhash.hamming_links(spark.createDataFrame([(signed(p),) for p in prints], "fp long").repartition(4), 4, long_list)
-    roots = {r["node"]: r["root"] for r in components.components(links).collect()}
-    group = {p: p for p in prints}
+def groups_of(pairs, items):
+    group = {p: p for p in items}
 
     def root(p):
         while group[p] != p:
             p = group[p]
         return p
 
-    for a in prints:
-        for b in prints:
-            if (a ^ b).bit_count() <= 4:
-                group[root(a)] = root(b)
-    want, got = defaultdict(set), defaultdict(set)
+    for a, b in pairs:
+        group[root(a)] = root(b)
+    out = defaultdict(set)
+    for p in items:
+        out[root(p)].add(p)
+    return sorted(map(sorted, out.values()))
+
+
+@pytest.mark.parametrize("long_list", [2, 8, 2048])
+def test_links_of_long_lists(spark, monkeypatch, long_list):
+    monkeypatch.setattr(simhash, "BLOCK", max(2, long_list // 4))
+    rng = random.Random(5)
+    seeds = [rng.getrandbits(64) for _ in range(30)]
+    prints = sorted({s ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, 7))) for s in seeds for _ in range(12)})
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    nodes = spark.createDataFrame([(signed(p), signed(p)) for p in prints], "id long, f0 long").repartition(4)
+    links = simhash.near_links(nodes, simhash.EXACT_KEYS, 4, 4, long_list)
+    roots = {r["node"]: r["root"] for r in components.components(links).collect()}
+    want = groups_of([(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= 4], prints)
+    got = defaultdict(set)
     for p in prints:
-        want[root(p)].add(p)
         got[roots.get(signed(p), signed(p))].add(p)
-    assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
+    assert want == sorted(map(sorted, got.values()))
+
+
+def test_forest_is_minimal():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for n in (2, 9, 40):
+        for m in (0, 1, n, 4 * n):
+            a, b, d = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 5, m)
+            kept = simhash.forest(a, b, d, n).tolist()
+            label, want = list(range(n)), 0
+            for i in np.argsort(d, kind="stable").tolist():  # Kruskal
+                if label[a[i]] != label[b[i]]:
+                    want += int(d[i])
+                    label = [label[b[i]] if x == label[a[i]] else x for x in label]
+            assert sum(int(d[i]) for i in kept) == want and len(kept) == n - len(set(label))
+
+
+def test_wide_search_finds_similar_texts(spark):
+    """All pairs by brute force at five words and 0.8, from just above to far below."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(150):
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(rng.randint(60, 400))]
+        for j in range(rng.randint(1, 6)):
+            copy = list(words)
+            for _ in range(rng.randint(0, len(words) // 40)):
+                copy[rng.randrange(len(copy))] = f"n{rng.random()}"
+            rows.append((len(rows), " ".join(copy).upper() if j % 2 else " ".join(copy)))
+    crowd = [f"c{i}" for i in range(120)]
+    for i in range(150):
+        copy = list(crowd)
+        copy[i % 120] = f"z{i}"
+        rows.append((len(rows), " ".join(copy)))
+    rows += [(5000, None), (5001, " "), (5002, "one two"), (5003, "two one"), (5004, "ONE  two")]
+    bags = {i: brute.shingle_set(t) for i, t in rows}
+    by = defaultdict(set)
+    for i, bag in bags.items():
+        for s in bag:
+            by[s].add(i)
+    met = {(a, b) for ids in by.values() for a in ids for b in ids if a < b}
+    pairs = {(a, b) for a, b in met if len(bags[a] & bags[b]) >= 0.8 * len(bags[a] | bags[b])} | {(5000, 5001)}
+    want = {g[0] for g in groups_of(pairs, [i for i, _ in rows])}
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+    assert want <= got  # a text without a similar one never goes
+    gone, found = len(rows) - len(want), len(rows) - len(got)
+    assert gone > 350 and found >= 0.97 * gone
 
 
 def test_components_of_a_path(spark):

@@ -11,7 +11,7 @@ than ``LONGEST_CYCLE``, one task lays out the blocks that exist, holding one blo
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from fractions import Fraction
 from itertools import islice
 from math import gcd, lcm
@@ -99,8 +99,9 @@ def laid_out(given: Mapping[str, int], blocks: Mapping[str, int]) -> Iterator[tu
         slot += 1
 
 
-def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slots: int | None = None, block_docs: int = BLOCK_DOCS, seed: str = "mix") -> DataFrame:
-    """One row per row of ``docs`` (doc_id, source): doc_id, source, block, slot, place, in_target.
+def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slots: int | None = None, block_docs: int = BLOCK_DOCS, seed: str = "mix", keep: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, source): doc_id, source, block, slot, place, in_target, and
+    the columns named in ``keep``. Other columns are ignored, whatever their names; no rows give no rows.
 
     Within a source, documents follow the md5 of seed and doc_id, ``block_docs`` to a block. slot is
     the block's turn; place the document's place in its block; ordering by (slot, place) gives the
@@ -112,14 +113,16 @@ def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slo
     """
     spark = docs.sparkSession
     digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
-    given = docs.select("doc_id", F.coalesce(F.col("source"), F.lit(NO_SOURCE)).alias("source"), digest.alias("_digest"))
+    kept = F.struct(*(F.col(c) for c in keep)) if keep else F.lit(None)
+    given = docs.select("doc_id", F.coalesce(F.col("source"), F.lit(NO_SOURCE)).alias("source"), digest.alias("_digest"), kept.alias("_kept"))
+    wanted_columns = ["doc_id", "source", "block", "slot", "place", "in_target", *(F.col("_kept")[c].alias(c) for c in keep)]
     given = given.withColumn("_bucket", F.substring("_digest", 1, BUCKET_DIGITS))
 
     # counted by source and bucket: a hot source is dealt over all buckets
     sizes = table(given.groupBy("source", "_bucket").agg(F.count(F.lit(1)).alias("n")))
     totals = {r["source"]: r["n"] for r in sizes.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     if not totals:
-        return given.select("doc_id", "source", *(F.lit(0).cast("long").alias(c) for c in ("block", "slot", "place")), F.lit(True).alias("in_target"))
+        return given.select("*", *(F.lit(0).cast("long").alias(c) for c in ("block", "slot", "place")), F.lit(True).alias("in_target")).select(*wanted_columns)
     wanted = {s: float(weights.get(s, default)) for s in sorted(totals)}
     parts = shares(wanted, slots) if slots else whole(wanted)
     turns = sum(parts.values())
@@ -128,7 +131,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slo
     within = F.row_number().over(Window.partitionBy("source", "_bucket").orderBy("_digest", F.col("doc_id").asc_nulls_first())) - 1
     ranked = given.withColumn("_within", within).join(offsets, ["source", "_bucket"])
     rank = F.col("_before") + F.col("_within")
-    blocks = ranked.select("doc_id", "source", F.floor(rank / block_docs).cast("long").alias("block"), (rank % block_docs).cast("long").alias("place"))
+    blocks = ranked.select("doc_id", "source", "_kept", F.floor(rank / block_docs).cast("long").alias("block"), (rank % block_docs).cast("long").alias("place"))
 
     if turns > LONGEST_CYCLE:
         ends = {s: -(-n // block_docs) for s, n in totals.items()}
@@ -139,7 +142,7 @@ def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slo
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*some)], ["source", "block", "slot", "in_target"])
 
         order = table(spark.range(0, 1, 1, 1).mapInArrow(run, "source string, block long, slot long, in_target boolean"))
-        return blocks.join(order, ["source", "block"]).select("doc_id", "source", "block", "slot", "place", "in_target")
+        return blocks.join(order, ["source", "block"]).select(*wanted_columns)
 
     plan = cycle(parts)
     blocks_of = {s: [] for s in parts}
@@ -158,4 +161,4 @@ def mix(docs: DataFrame, weights: Mapping[str, float], default: float = 1.0, slo
     # the schedule has at most LONGEST_CYCLE rows, or as many as `slots` says
     placed = numbered.join(F.broadcast(schedule.drop("_share")), ["source", "_at"])
     slot = F.floor(F.col("block") / F.col("_share")) * turns + F.col("_slot")
-    return placed.select("doc_id", "source", "block", slot.cast("long").alias("slot"), "place", (slot < horizon).alias("in_target"))
+    return placed.withColumn("slot", slot.cast("long")).withColumn("in_target", F.col("slot") < horizon).select(*wanted_columns)

@@ -78,6 +78,19 @@ def shingle_set(text, k=5):
     return {tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1))} if words else set()
 
 
+def without_similar(docs, similarity=0.8):
+    """The first of each group that chains of similar texts join, by doc_id."""
+    docs = sorted(docs)
+    bags, label = [shingle_set(t) for _, t in docs], list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            both, every = len(bags[i] & bags[j]), len(bags[i] | bags[j])
+            if (both >= similarity * every) and label[i] != label[j]:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    return [d for i, d in enumerate(docs) if label[i] == i]
+
+
 def contaminated(docs, items, similarity=0.8, k=5):
     def bag(words):
         return Counter(tuple(words[i : i + k]) for i in range(max(len(words) - k + 1, 1)))

@@ -49,10 +49,10 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
     kept = [r for r in rows if r[0] not in marked]
     keep = {r[0] for r in brute.exact_groups(kept) if r[3]}
     kept = [r for r in kept if r[0] in keep]
-    keep = {r[0] for r in brute.near_components(kept) if r[0] == r[2]}
-    kept = [r for r in kept if r[0] in keep]
+    kept = brute.without_similar(kept)
     leaks = {d for d, _ in brute.contaminated(kept, items)}
     assert leaks >= {3000 + i for i in range(8)}
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in kept if i not in leaks)
     assert len({(r["slot"], r["place"]) for r in got}) == len(got)
+    assert {r["doc_id"]: r["text"] for r in got} == {i: t for i, t in kept if i not in leaks}

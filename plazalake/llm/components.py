@@ -23,8 +23,9 @@ def _smaller_to_min(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b: long): root is the smallest node reachable.
+def stars(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b: long) but the roots: root is the smallest node
+    reachable.
 
     Stars are contracted until the edge table no longer changes; a round at least halves the
     longest path, so ``most_rounds`` is only a guard and raises when exceeded. Edges live in shared
@@ -42,4 +43,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``edges``, roots included."""
+    found = stars(edges)
+    return found.union(found.select(F.col("root").alias("node"), "root").distinct())

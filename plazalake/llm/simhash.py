@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import numbered, table
-from plazalake.llm.components import components
+from plazalake.llm.components import stars
 from plazalake.llm.packed import WordHashes, mixed, rolling
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
@@ -273,12 +273,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, first) of every node: the least ``first`` of its component."""
-    roots = components(links).select(F.col("node").alias("id"), "root")
-    linked = nodes.join(roots, "id")
-    firsts = linked.groupBy("root").agg(F.min("first").alias("least"))
-    members = linked.select("id", "root").join(firsts, "root").select("id", "least")
+    points = stars(links)
+    least = nodes.join(points.withColumnRenamed("node", "id"), "id").groupBy("root").agg(F.min("first").alias("least"))
+    heads = nodes.join(least.withColumnRenamed("root", "id"), "id").select(F.col("id").alias("root"), F.least("first", "least").alias("head"))
+    members = points.join(heads, "root").select(F.col("node").alias("id"), "head").union(heads)
     # a table, so that joins with it deal both sides anew and Spark can split a hot fingerprint
-    return table(nodes.join(members, "id", "left").select("id", F.coalesce("least", "first").alias("first")))
+    return table(nodes.join(members, "id", "left").select("id", F.coalesce("head", "first").alias("first")))
 
 
 def _sketches(rows: DataFrame, shingle: int) -> DataFrame:

@@ -29,10 +29,17 @@ def haversine_m(lat: Column, lng: Column, to_lat: Column, to_lng: Column) -> Col
 
 
 def within(lat: Column, lng: Column, to_lat: float, to_lng: float, metres: float) -> Column:
-    """Within a radius: a box that reaches the scan, then the distance. Points that are not set fail."""
-    from math import cos, degrees, radians
+    """Within a radius: a box that reaches the scan, then the distance. Points that are not set fail.
+    The box goes on beyond 180 degrees, and is a whole cap where it holds a pole."""
+    from math import asin, cos, degrees, radians, sin
 
     up = degrees(metres / EARTH_M) * 1.001
-    side = min(180.0, up / max(1e-9, cos(radians(min(89.9, abs(to_lat) + up)))))
-    box = lat.between(to_lat - up, to_lat + up) & lng.between(to_lng - side, to_lng + side)
+    ratio = sin(min(metres / EARTH_M, 3.14) / 2) / max(1e-9, cos(radians(min(90.0, abs(to_lat) + up))))
+    side = 180.0 if ratio >= 1 else min(180.0, degrees(2 * asin(ratio)) * 1.001)
+    sides = lng.between(to_lng - side, to_lng + side)
+    if to_lng - side < -180:
+        sides |= lng >= to_lng - side + 360
+    if to_lng + side > 180:
+        sides |= lng <= to_lng + side - 360
+    box = lat.between(to_lat - up, to_lat + up) & sides
     return box & point_ok(lat, lng) & (haversine_m(lat, lng, F.lit(to_lat), F.lit(to_lng)) <= metres)

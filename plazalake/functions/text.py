@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def _ascii_forms() -> tuple[dict[str, str], dict[str, str]]:
     """Characters whose compatibility form has one ASCII character, and those with several."""
     one, many = {}, {}
-    for code in range(0xA0, 0x10000):
+    for code in (*range(0xA0, 0x10000), *range(0x1D400, 0x1FC00)):  # beyond, no character has an ASCII form
         char = chr(code)
         form = unicodedata.normalize("NFKD", char.lower()).encode("ascii", "ignore").decode()
         if len(form) == 1:
@@ -23,7 +23,7 @@ def _ascii_forms() -> tuple[dict[str, str], dict[str, str]]:
 
 
 _ONE, _MANY = _ascii_forms()
-_MARKS = r"\p{Mn}"
+_MARKS, _WIDE = r"\p{Mn}", r"[^\x00-\x7F]"
 
 
 def _letter_forms() -> dict[str, str]:
@@ -47,10 +47,11 @@ def falsy_coalesce(*columns: Column | str) -> Column:
 def search_key(*parts: Column | str) -> Column:
     """Non-empty parts joined by one space, lower case, compatibility-decomposed, ASCII only."""
     joined = F.lower(F.concat_ws(" ", *(F.nullif(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts)))
+    # most texts need no table, most others only the one of single characters
+    plain = F.when(joined.rlike(_WIDE), F.translate(joined, "".join(_ONE), "".join(_ONE.values()))).otherwise(joined)
     spelled = F.create_map(*(F.lit(x) for pair in _MANY.items() for x in pair))
-    wide = F.array_join(F.transform(F.split(joined, ""), lambda c: F.coalesce(F.try_element_at(spelled, c), c)), "")
-    whole = F.when(joined.rlike("[" + "".join(f"\\x{{{ord(c):x}}}" for c in _MANY) + "]"), wide).otherwise(joined)
-    return F.regexp_replace(F.translate(whole, "".join(_ONE), "".join(_ONE.values())), r"[^\x00-\x7F]", "")
+    each = F.transform(F.regexp_extract_all(plain, F.lit("(?s)."), 0), lambda c: F.coalesce(F.try_element_at(spelled, c), c))
+    return F.when(plain.rlike(_WIDE), F.regexp_replace(F.array_join(each, ""), _WIDE, "")).otherwise(plain)
 
 
 def place_key(name: Column, aliases: Mapping[str, str] | None = None) -> Column:
@@ -133,6 +134,26 @@ def phone(text: Column, salt: str, clear: bool = False) -> Column:
     return number if clear else F.when(number != "", F.sha2(F.concat(F.lit(salt), number), 256)).otherwise("")
 
 
+def phone_in_link(url: Column) -> Column:
+    """The number that a messaging link carries, else empty."""
+    return F.regexp_extract(url, r"phone=(\+?\d{10,15})", 1)
+
+
+def phone_in_page(html: Column) -> Column:
+    """The first Mexican number of a page once blanks, brackets, dots and dashes are out, else empty."""
+    return F.regexp_extract(F.regexp_replace(html, r"[\s().-]", ""), r"\+?52\d{10}", 0)
+
+
+def per_area(text: Column) -> Column:
+    """Whether a card's price is one for a square metre."""
+    return F.contains(F.coalesce(text, F.lit("")), F.lit("por m"))
+
+
+def exactness(flag: Column) -> Column:
+    """Whether a pin is exact; null where the page does not say."""
+    return F.when(F.coalesce(flag, F.lit("")) != "", flag == "true")
+
+
 def url_host(url: Column) -> Column:
     return F.regexp_extract(url, r"^[a-z]+://([^/?#]+)", 1)
 

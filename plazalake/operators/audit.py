@@ -84,9 +84,11 @@ def majority_applied(df: DataFrame, group: str, label: Column, wanted: Column) -
 
 
 def range_applied(df: DataFrame, group: str, lo: float, hi: float | None) -> DataFrame:
-    """Whether a price range was applied: MXN rows outside are at most max(2, rows div 4)."""
-    out = (F.col("currency") == "MXN") & ((F.col("price") < lo) | (F.lit(False) if hi is None else F.col("price") > hi))
-    n = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count_if(out).alias("outside"))
+    """Whether a price range was applied: of the MXN rows with a price, which alone count, those
+    outside are at most max(2, n div 4). Zero is no price; without such rows the range holds."""
+    priced = (F.col("currency") == "MXN") & (F.col("price") != 0)
+    out = priced & ((F.col("price") < lo) | (F.lit(False) if hi is None else F.col("price") > hi))
+    n = df.groupBy(group).agg(F.count_if(priced).alias("n"), F.count_if(out).alias("outside"))
     return n.withColumn("applied", F.col("outside") <= F.greatest(F.lit(2), F.floor(F.col("n") / 4)))
 
 

@@ -40,13 +40,15 @@ def last_node_by_key(nodes: DataFrame, key: str) -> DataFrame:
 
 def explode_postings(blobs: DataFrame, operation: str) -> DataFrame:
     """Listing rows of a blob column ``postings`` (JSON array); rows without id or url are dropped.
-    The price is the first one of the operation; zero is null."""
+    The price is the first one of the operation; zero is null. Any currency but USD counts as MXN."""
     schema = "array<struct<postingId:string,url:string,title:string,priceOperationTypes:array<struct<operationType:struct<name:string>,prices:array<struct<amount:double,currency:string>>>>>>"
     rows = blobs.select("page_id", F.posexplode(F.from_json("postings", schema)).alias("position", "p"))
     offered = F.filter("p.priceOperationTypes", lambda x: F.lower(x["operationType"]["name"]) == operation)
     price = F.get(F.get(offered, F.lit(0))["prices"], F.lit(0))
+    known = F.nullif(price["currency"], F.lit(""))
+    currency = F.when(known == "USD", "USD").when(known.isNotNull(), "MXN").otherwise("")
     return rows.filter("p.postingId <> '' AND p.url <> ''").select(
-        "page_id", "position", F.col("p.postingId").alias("listing_id"), F.col("p.url").alias("url"), F.nullif(F.floor(price["amount"]).cast("bigint"), F.lit(0)).alias("price"), price["currency"].alias("currency")
+        "page_id", "position", F.col("p.postingId").alias("listing_id"), F.col("p.url").alias("url"), F.nullif(F.floor(price["amount"]).cast("bigint"), F.lit(0)).alias("price"), currency.alias("currency")
     )
 
 
@@ -63,10 +65,24 @@ def label_map(pairs: Column, highlighted: Column) -> Column:
     return F.map_concat(F.map_filter(marked, lambda k, _: ~F.map_contains_key(specs, k)), specs)
 
 
+def photo_id(url: Column) -> Column:
+    """The number in a photo's file name, else the whole url."""
+    return F.coalesce(F.nullif(F.regexp_extract(url, r"-(MLM\d+)_", 1), F.lit("")), url)
+
+
+def large_form(url: Column) -> Column:
+    """The url of the photo's original size."""
+    # fixed values of the image server's file names
+    return F.regexp_replace(F.regexp_replace(url, "D_N?Q_NP_(2X_)?", "D_NQ_NP_"), "^(.*?)-[A-Z]-", "$1-O-")
+
+
 def gallery(urls: Column, prefix: Column, width: int = 20) -> Column:
-    """Distinct large forms of the photos whose url has the page's slug prefix, in page order."""
-    mine = F.filter(urls, lambda u: F.contains(u, F.left(prefix, F.lit(width))))
-    return F.array_distinct(F.transform(mine, lambda u: F.regexp_replace(u, r"_[sm]\.jpg$", "_l.jpg")))
+    """Large forms of the photos whose url has the page's slug prefix, all photos if there is none; the
+    first of each photo id, in page order."""
+    key = F.left(prefix, F.lit(width))
+    mine = F.filter(urls, lambda u: F.coalesce(key, F.lit("")).eqNullSafe("") | F.contains(u, key))
+    first = F.filter(mine, lambda u, i: ~F.exists(F.slice(mine, 1, i), lambda o: photo_id(o) == photo_id(u)))
+    return F.transform(first, large_form)
 
 
 def coordinates(html: Column) -> Column:
@@ -81,6 +97,12 @@ def result_count(text: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(text, r"([\d.,]+) (?:resultados|results)", 1), "[.,]", "").try_cast("int")
 
 
+def total_attribute(html: Column) -> Column:
+    """The site's own count, from the first data-total attribute; null where that is no number."""
+    form = r"""\bdata-total\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    return F.trim(F.concat(*(F.regexp_extract(html, form, i) for i in (1, 2, 3)))).try_cast("int")
+
+
 def harvest_urls(pages: DataFrame, pattern: str) -> DataFrame:
     """Ad urls of pages without query or fragment; the first of each numeric id on a page."""
     found = pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(pattern), 0)).alias("position", "_u"))
@@ -91,7 +113,7 @@ def harvest_urls(pages: DataFrame, pattern: str) -> DataFrame:
 
 def subtitle(text: Column) -> Column:
     operation = F.when(text.rlike(r"(?i)\brenta\b"), "rent").when(text.rlike(r"(?i)\bventa\b"), "sale")
-    return F.struct(operation.alias("operation"), F.get(F.split(text, " en ", 2), F.lit(0)).alias("kind"))
+    return F.struct(operation.alias("operation"), F.trim(F.get(F.split(F.trim(text), r"(?i)\s+en\s+", 2), F.lit(0))).alias("kind"))
 
 
 def address(texts: Column) -> Column:
@@ -106,13 +128,15 @@ def area_chip(html: Column, kind: str) -> Column:
 
 
 def verdict(html: Column, least: int) -> Column:
-    """What a stored page is, by its words without markup: login, pow, no-coords, ok; a small page
-    with none of the signs is unknown."""
+    """What a stored page is: ok if it has a point, whatever else it says; login or pow by its words
+    without markup; no-coords if it is as long as a real page; a small page with none of the signs is
+    unknown."""
     words = F.lower(F.regexp_replace(F.regexp_replace(html, "<[^>]+>", " "), r"\s+", " "))
     return (
-        F.when(F.contains(words, F.lit("inicia sesión")) | F.contains(words, F.lit("log in to continue")), "login")
+        F.when(coordinates(html).isNotNull(), "ok")
+        .when(F.contains(words, F.lit("inicia sesión")) | F.contains(words, F.lit("log in to continue")), "login")
         .when(F.contains(words, F.lit("verify you are human")), "pow")
-        .when(F.length(html) < least, "unknown").when(coordinates(html).isNull(), "no-coords").otherwise("ok")
+        .when(F.length(html) >= least, "no-coords").otherwise("unknown")
     )
 
 
@@ -164,25 +188,28 @@ def cards(pages: DataFrame, block: str, fields: Mapping[str, str]) -> DataFrame:
 
 
 def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
-    """The first array anywhere in a JSON text whose first element has a postingId, as JSON text."""
+    """The array of listings in a JSON text, as JSON text: a member of an object whose first element has
+    a postingId. Depth first: an object's own members before what is below them, and of these the last
+    one first. Null where there is none or the text is malformed."""
     import json
 
-    def walk(node):
-        todo = [node]
-        while todo:
-            x = todo.pop(0)
-            if isinstance(x, list) and x and isinstance(x[0], dict) and "postingId" in x[0]:
-                return x
-            todo += list(x.values()) if isinstance(x, dict) else x if isinstance(x, list) else []
-        return None
+    def hunt(node):
+        inner = node.values() if isinstance(node, dict) else node
+        if isinstance(node, dict):
+            for member in inner:
+                if isinstance(member, list) and member and isinstance(member[0], dict) and "postingId" in member[0]:
+                    return member
+        below = (hunt(x) for x in reversed(list(inner)) if isinstance(x, (dict, list)))
+        return next((found for found in below if found is not None), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
                 try:
-                    found = walk(json.loads(text)) if text else None
-                except ValueError:
+                    found = json.loads(text) if text else None
+                    found = hunt(found) if isinstance(found, (dict, list)) else None
+                except (ValueError, RecursionError):
                     found = None
                 out.append(None if found is None else json.dumps(found, ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["page_id", "postings"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from math import cos, radians
+from math import sin
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazalake.functions import geo
@@ -54,7 +54,8 @@ def repeated_points(df: DataFrame) -> DataFrame:
 
 
 def suspect_flags(df: DataFrame, most_km: float = 40.0) -> DataFrame:
-    """Rows with a point and their flags joined by "+": repe, sin-centroide, lejos; none is clean."""
+    """Rows with a point and the array ``suspect`` of their flags: repe, sin-centroide, lejos. A row
+    without flags is clean; rows are marked and never deleted."""
     good = df.filter(geo.point_ok(F.col("lat"), F.col("lng")))
     points = centroids(good)
     repeated = repeated_points(good).filter("provinces >= 2").select("lat6", "lng6", F.lit(True).alias("_rep"))
@@ -63,18 +64,32 @@ def suspect_flags(df: DataFrame, most_km: float = 40.0) -> DataFrame:
     far = geo.approx_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > most_km
     # the three flag names are fixed values of the data format
     flags = F.array_compact(F.array(F.when(F.col("_rep"), "repe"), F.when(F.col("c_lat").isNull(), "sin-centroide"), F.when(far, "lejos")))
-    return placed.select("source", "listing_id", F.array_join(flags, "+").alias("suspect"))
+    return placed.select("source", "listing_id", flags.alias("suspect"))
 
 
 def radius_join(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     """Pairs of listings and query points (query_id, q_lat, q_lng) within ``metres``. Both sides meet
-    on grid cells about as large as the radius, the query side in all nine around it."""
+    on grid cells about as large as the radius, the query side in all nine around it. Rows of cells
+    are as high as the radius; each row has its own number of cells, fewer towards the poles, which
+    close around the globe."""
     height = metres / 111_000.0 * 1.01
-    width = height / max(0.01, cos(radians(80.0)))
-    cell = lambda x, size: F.floor(x / size).cast("long")
-    a = left.filter(geo.point_ok(F.col("lat"), F.col("lng"))).withColumn("_y", cell(F.col("lat"), height)).withColumn("_x", cell(F.col("lng"), width))
-    steps = F.array(*(F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in (-1, 0, 1)))
-    b = right.withColumn("_s", F.explode(steps)).withColumn("_y", cell(F.col("q_lat"), height) + F.col("_s.dy")).withColumn("_x", cell(F.col("q_lng"), width) + F.col("_s.dx")).drop("_s")
+    row = lambda lat: F.floor(lat / height).cast("long")
+
+    def cells_in(y: Column) -> Column:
+        # the most that two points within the radius differ in longitude, in this row and its neighbours
+        top = F.least(F.lit(90.0), F.greatest(F.abs(y - 1), F.abs(y + 2)) * height)
+        ratio = sin(min(metres / geo.EARTH_M, 3.14) / 2) / F.greatest(F.cos(F.radians(top)), F.lit(1e-9))
+        width = F.degrees(2 * F.asin(F.least(ratio, F.lit(1.0)))) * 1.01
+        return F.greatest(F.floor(360 / width), F.lit(1)).cast("long")
+
+    def cell(lng: Column, y: Column) -> Column:
+        return F.pmod(F.floor((lng + 180) / 360 * cells_in(y)).cast("long"), cells_in(y))
+
+    a = left.filter(geo.point_ok(F.col("lat"), F.col("lng"))).withColumn("_y", row(F.col("lat"))).withColumn("_x", cell(F.col("lng"), F.col("_y")))
+    steps = F.array(*(F.lit(s).cast("long") for s in (-1, 0, 1)))
+    b = right.withColumn("_y", F.explode(F.transform(steps, lambda s: row(F.col("q_lat")) + s)))
+    around = F.array_distinct(F.transform(steps, lambda s: F.pmod(cell(F.col("q_lng"), F.col("_y")) + s, cells_in(F.col("_y")))))
+    b = b.withColumn("_x", F.explode(around))
     near = geo.haversine_m(F.col("lat"), F.col("lng"), F.col("q_lat"), F.col("q_lng"))
     return a.join(b, ["_y", "_x"]).withColumn("distance_m", near).filter(F.col("distance_m") <= metres).drop("_y", "_x")
 

@@ -45,6 +45,12 @@ def patch_points(base: DataFrame, points: DataFrame, keys: Sequence[str] = KEYS,
     return joined.withColumn("lat", F.coalesce("_lat", "lat")).withColumn("lng", F.coalesce("_lng", "lng")).drop("_lat", "_lng").select(*base.columns)
 
 
+def write_sidecar(rows: DataFrame, flags: DataFrame, path: str, keys: Sequence[str] = KEYS) -> None:
+    """Every row of ``rows`` with the array ``suspect`` of its flags, empty where it has none."""
+    marked = rows.join(flags.select(*keys, "suspect"), list(keys), "left")
+    marked.withColumn("suspect", F.coalesce("suspect", F.array().cast("array<string>"))).write.parquet(path)
+
+
 def new_rows(candidates: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     return candidates.join(stored.select(*keys), list(keys), "left_anti")
 

@@ -28,6 +28,11 @@ def recent_rate(log: DataFrame, rows: int = 200) -> DataFrame:
     return last.groupBy("run_id").agg(F.count(F.lit(1)).alias("n"), (seconds / 1e6).alias("seconds")).withColumn("per_hour", F.when(F.col("seconds") > 0, (F.col("n") - 1) * 3600 / F.col("seconds")))
 
 
+def remaining(rates: DataFrame, left: Column, per_page: int) -> DataFrame:
+    """Hours until ``left`` rows are read at the recent rate of pages; null without a rate."""
+    return rates.withColumn("hours_left", F.when(F.col("per_hour") > 0, F.greatest(left, F.lit(0)) / per_page / F.col("per_hour")))
+
+
 def bad_streaks(log: DataFrame, bad: Column, alert: int = 3) -> DataFrame:
     """Runs of consecutive bad rows, as long as the alert level or longer."""
     w = Window.partitionBy("run_id").orderBy("ts", "seq")
@@ -52,16 +57,22 @@ def parse_checkpoints(lines: DataFrame) -> DataFrame:
     return lines.select(token.alias("_t")).select(F.substring_index("_t", "@", 1).alias("query"), F.when(F.contains("_t", F.lit("@")), F.substring_index("_t", "@", -1).try_cast("int")).alias("pos"))
 
 
-def health(log: DataFrame, as_of: str, stall_s: int = 600, most_marks: int = 3, running: bool = True, work_left: bool = False) -> DataFrame:
+def health(log: DataFrame, as_of: str, stall_s: int = 600, most_marks: int = 3, running: bool = True, work_left: bool = False, runs: DataFrame | None = None) -> DataFrame:
     """Code of each run: 0 well, 1 stalled, too many marks in ten minutes, aborted, or not running
-    with work left. A run without rows has no row here; ``health_of_missing`` is 2."""
+    with work left. Of ``runs`` (run_id) those without a log get 2."""
     now = F.lit(as_of).cast("timestamp_ntz")
     live = since_last_start(log)
     idle = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.max("ts").cast("timestamp"))
     marks = F.count_if((F.col("msg") == "token minted") & (F.col("ts") > now - F.expr("INTERVAL 10 MINUTES")))
     facts = live.groupBy("run_id").agg((idle / 1e6).alias("idle_s"), marks.alias("marks"), F.count_if(F.contains("msg", F.lit("aborted"))).alias("aborted"))
     ill = ((F.col("idle_s") > stall_s) & F.lit(running)) | (F.col("marks") > most_marks) | (F.col("aborted") > 0) | F.lit(work_left and not running)
-    return facts.withColumn("code", ill.cast("int"))
+    found = facts.withColumn("code", ill.cast("int"))
+    return found if runs is None else runs.select("run_id").distinct().join(found, "run_id", "left").withColumn("code", F.coalesce("code", F.lit(2)))
 
 
-health_of_missing = 2
+def delta_pages(rows: DataFrame, page: str, event_time: str, since: str) -> DataFrame:
+    """What a walk from the newest page on reads: all pages up to the first one whose rows are all older
+    than ``since``; a row without a time keeps the walk going. Page numbers ascend from the newest."""
+    old = F.coalesce(F.col(event_time) < F.lit(since).cast("timestamp_ntz"), F.lit(False))
+    last = rows.groupBy(page).agg(F.bool_and(old).alias("_old")).filter("_old").agg(F.min(page).alias("_last"))
+    return rows.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).drop("_last")  # one row

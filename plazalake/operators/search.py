@@ -68,11 +68,15 @@ def search(df: DataFrame, limit: int | None = 20, **criteria) -> DataFrame:
 
 
 def display(df: DataFrame) -> DataFrame:
+    """Texts to show: prices per square metre are marked, distances are shown where there are some."""
     price = F.when(F.coalesce("price", F.lit(0.0)) == 0, "no price").otherwise(
         F.concat(F.floor("price").cast("string"), F.lit(" "), F.coalesce("currency", F.lit("")))
     )
+    if "price_is_per_m2" in df.columns:
+        price = F.concat(price, F.when(F.col("price_is_per_m2") & (F.coalesce("price", F.lit(0.0)) != 0), "/m2").otherwise(""))
+    km = [F.coalesce(F.concat(F.format_number(F.col("distance_m") / 1000, 1), F.lit(" km")), F.lit("")).alias("distance_text")] if "distance_m" in df.columns else []
     area = F.when(F.coalesce("area_m2", F.lit(0.0)) == 0, "").otherwise(F.concat(F.floor("area_m2").cast("string"), F.lit(" m2")))
-    return df.select("listing_id", price.alias("price_text"), area.alias("area_text"), F.coalesce("city", F.lit("")).alias("city"), F.coalesce("province", F.lit("")).alias("province"))
+    return df.select("listing_id", price.alias("price_text"), area.alias("area_text"), F.coalesce("city", F.lit("")).alias("city"), F.coalesce("province", F.lit("")).alias("province"), *km)
 
 
 def page_by_price(df: DataFrame, page: int, size: int) -> DataFrame:

@@ -53,6 +53,31 @@ def quantile_cuts(df: DataFrame, group: str, key: str, per_range: int = 40, leas
     return met.filter("cut > _lo AND cut < _hi").select(group, "cut").distinct()
 
 
+def split_ranges(ranges: DataFrame, samples: DataFrame, group: str, key: str, per_range: int = 40, least: int = 2, most: int = 60) -> DataFrame:
+    """Sub-ranges (group, position, lo, hi) of ``ranges`` (group, lo, hi or null for open, total), cut at
+    quantiles of the sampled prices that lie in the range; both ends are inclusive, so that neighbours
+    overlap and leave no gap. With fewer than two samples a closed range is cut at its geometric mean
+    and an open one at four times its start, 1,000 at least. No rows where no cut makes progress.
+    Samples are one page of a range, which bounds the array a group makes."""
+    good = (F.col(key) != 0) & (F.col(key) >= F.col("lo")) & (F.coalesce(F.col("hi"), F.lit(0)).eqNullSafe(0) | (F.col(key) <= F.col("hi")))
+    inside = samples.select(group, key).join(ranges, group).filter(good).groupBy(group).agg(F.array_sort(F.collect_list(key)).alias("_pool"))
+    r = ranges.join(inside, group, "left").withColumn("_pool", F.coalesce("_pool", F.array())).withColumn("_n", F.size("_pool"))
+    open_top = F.coalesce(F.col("hi"), F.lit(0)) == 0
+    k = F.least(F.greatest(F.ceil(F.col("total") / per_range), F.lit(least)), F.lit(most))
+    at = lambda i: F.bround(i * (F.col("_n") - 1) / F.col("_k")).cast("int")
+    middle = F.floor(F.sqrt(F.col("lo") * F.col("hi")))
+    middle = F.when(middle != 0, middle).otherwise(F.floor((F.col("lo") + F.col("hi")) / 2))
+    start = F.greatest(F.col("lo") * 4, F.lit(1000))
+    cuts = F.when(F.col("_n") >= 2, F.transform(F.sequence(F.lit(1).cast("long"), F.col("_k") - 1), lambda i: F.get(F.col("_pool"), at(i)).cast("double"))).otherwise(
+        F.array(F.when(open_top, start).otherwise(middle).cast("double"))
+    )
+    useful = F.filter(F.array_sort(F.array_distinct(F.col("_cuts"))), lambda c: (c > F.col("lo")) & (open_top | (c < F.col("hi"))))
+    r = r.withColumn("_k", k.cast("long")).withColumn("_cuts", cuts).withColumn("_cuts", useful).filter(F.size("_cuts") > 0)
+    lo, hi = F.concat(F.array(F.col("lo").cast("double")), F.col("_cuts")), F.concat(F.col("_cuts"), F.array(F.col("hi").cast("double")))
+    each = r.select(group, F.posexplode(F.arrays_zip(lo.alias("lo"), hi.alias("hi"))).alias("position", "_r"))
+    return each.select(group, "position", F.col("_r.lo").alias("lo"), F.col("_r.hi").alias("hi"))
+
+
 def keyset_walk(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     """window and page of each row when a walk takes ``pages`` pages of ``size`` rows at a time in
     (price, listing_id) order, without overlap. Row positions come from price counts."""

@@ -9,6 +9,7 @@ from plazalake.operators import audit, geoquality, runlog, shards
 from plazalake.plans.registry import query
 from plazalake.plans.search_queries import DIST, OK, L, listings
 from plazalake.plans.views import register, view, with_views
+from plazalake.streaming import flows
 
 G = with_views("log_v")
 C = with_views("checkpoints_v")
@@ -81,7 +82,8 @@ def a9_repeated_points(spark, d):
     p AS (SELECT g.*, coalesce(c.lat, t.lat, pre.lat) AS clat, coalesce(c.lng, t.lng, pre.lng) AS clng, r.provinces >= 2 AS rp FROM g LEFT JOIN cen c ON c.city = g.city AND c.province = g.province LEFT JOIN cit t ON t.city = g.city LEFT JOIN pre ON pre.city = g.city LEFT JOIN rep r ON r.lat6 = g.lat6 AND r.lng6 = g.lng6)
     SELECT suspect, count(*) AS n FROM (SELECT concat_ws('+', CASE WHEN rp THEN 'repe' END, CASE WHEN clat IS NULL THEN 'sin-centroide' END, CASE WHEN sqrt(power((lat - clat) * 111, 2) + power((lng - clng) * 100 * cos(radians(lat)), 2)) > 40 THEN 'lejos' END) AS suspect FROM p) GROUP BY suspect""")
 def a10_suspect_flags(spark, d):
-    return geoquality.suspect_flags(listings(spark, d)).groupBy("suspect").agg(F.count(F.lit(1)).alias("n"))
+    flags = geoquality.suspect_flags(listings(spark, d))
+    return flags.groupBy(F.array_join("suspect", "+").alias("suspect")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(L + f", {CENTROIDS}, {CITIES.format(km=1500)}, q AS (SELECT listing_id, CASE WHEN CAST(listing_id AS BIGINT) % 5 = 0 THEN concat(city, '/x') ELSE city END AS city, province FROM listings_v) SELECT listing_id, CASE WHEN c.city IS NOT NULL THEN 1 WHEN t.city IS NOT NULL THEN 2 WHEN u.city IS NOT NULL THEN 3 ELSE 0 END AS stage FROM q LEFT JOIN cen c ON c.city = q.city AND c.province = q.province LEFT JOIN cit t ON t.city = q.city LEFT JOIN cit u ON u.city = split_part(q.city, '/', 1)")
@@ -157,9 +159,9 @@ def f11_majority(spark, d):
     return audit.majority_applied(listings(spark, d), "city", F.col("province"), F.lit("NATION_7"))
 
 
-@query(L + "SELECT city, count(*) AS n, count(*) FILTER (WHERE currency = 'MXN' AND (price < 50000 OR price > 300000)) AS outside, count(*) FILTER (WHERE currency = 'MXN' AND (price < 50000 OR price > 300000)) <= greatest(2, count(*) // 4) AS applied FROM listings_v GROUP BY city")
+@query(L + "SELECT city, count(*) AS n, count(*) FILTER (WHERE price < 50000 OR price > 300000) AS outside, count(*) FILTER (WHERE price < 50000 OR price > 300000) <= greatest(2, count(*) // 4) AS applied FROM listings_v WHERE currency = 'MXN' AND price <> 0 GROUP BY city")
 def f12_range(spark, d):
-    return audit.range_applied(listings(spark, d), "city", 50_000, 300_000)
+    return audit.range_applied(listings(spark, d), "city", 50_000, 300_000).filter("n > 0")
 
 
 @query(L + "SELECT listing_id, nullif(province, '') IS NOT DISTINCT FROM nullif(CASE WHEN CAST(listing_id AS BIGINT) % 2 = 0 THEN province END, '') AS applied FROM listings_v")
@@ -284,16 +286,16 @@ def r8_health(spark, d):
     return runlog.health(log(spark, d), "2024-01-31 00:00:00").withColumn("idle_s", F.round("idle_s", 3))
 
 
-@query(G + "SELECT (epoch_us(w) // 1000000) AS start_s, count(*) AS n FROM (SELECT unnest(range(time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 9 MINUTE, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS w FROM log_v WHERE msg = 'token minted') GROUP BY w")
+@query(G + "SELECT (epoch_us(w) // 1000000) AS start_s, count(*) AS n, count(*) > 3 AS alert FROM (SELECT unnest(range(time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 9 MINUTE, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS w FROM log_v WHERE msg = 'token minted') GROUP BY w")
 def r4_event_rate(spark, d):
-    n = log(spark, d).filter("msg = 'token minted'").groupBy(F.window("ts", "10 minutes", "1 minute")).agg(F.count(F.lit(1)).alias("n"))
-    return n.select(F.unix_seconds(F.col("window.start").cast("timestamp")).alias("start_s"), "n")
+    n = flows.event_rate(log(spark, d).filter("msg = 'token minted'"), "ts")
+    return n.select(F.unix_seconds(F.col("window.start").cast("timestamp")).alias("start_s"), "n", "alert")
 
 
 @query(G + "SELECT run_id, epoch_us(min(ts)) // 1000000 AS start_s, count(*) AS n FROM (SELECT *, sum(CASE WHEN gap IS NULL OR gap >= 600000000 THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS s FROM (SELECT *, epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run_id ORDER BY ts, seq)) AS gap FROM log_v)) GROUP BY run_id, s")
 def r5_sessions(spark, d):
-    n = log(spark, d).groupBy("run_id", F.session_window("ts", "600 seconds")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t"))
-    return n.select("run_id", F.unix_seconds(F.col("t").cast("timestamp")).alias("start_s"), "n")
+    n = flows.sessions(log(spark, d), "ts", keys=["run_id"])
+    return n.select("run_id", F.unix_seconds(F.col("session_window.start").cast("timestamp")).alias("start_s"), "n")
 
 
 @query("SELECT user_id % 20 AS page, count(*) AS n, bool_and(ts < TIMESTAMP '2024-01-10') AS old, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-10') AS exact FROM events GROUP BY 1")
@@ -302,6 +304,39 @@ def r3_delta(spark, d):
     return register(spark, d).table("events").groupBy((F.col("user_id") % 20).alias("page")).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("ts") < since).alias("old"), F.count_if(F.col("ts") >= since).alias("exact"))
 
 
+DAYS = "CAST(datediff('day', CAST(ts AS DATE), DATE '2025-01-01') AS INT)"
+
+
+@query(f"WITH p AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts, {DAYS} AS page FROM events), o AS (SELECT min(page) AS last FROM (SELECT page, bool_and(coalesce(ts < TIMESTAMP '2024-01-20', false)) AS old FROM p GROUP BY page) WHERE old) SELECT event_id, page FROM p, o WHERE last IS NULL OR page <= last")
+def r3_delta_walk(spark, d):
+    dated = register(spark, d).table("events").withColumn("page", F.datediff(F.lit("2025-01-01").cast("date"), F.col("ts").cast("date")))
+    rows = dated.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+    return runlog.delta_pages(rows, "page", "ts", "2024-01-20").select("event_id", "page")
+
+
+@query(G + "SELECT r.user_id AS run_id, CASE WHEN l.run_id IS NULL THEN 2 ELSE 1 END AS code FROM (SELECT DISTINCT user_id FROM events UNION SELECT -1) r LEFT JOIN (SELECT DISTINCT run_id FROM log_v WHERE run_id % 3 <> 0) l ON l.run_id = r.user_id")
+def r8_health_of_missing(spark, d):
+    runs = log(spark, d).select("run_id").union(spark.sql("SELECT -1L"))
+    return runlog.health(log(spark, d).filter("run_id % 3 <> 0"), "2034-01-31 00:00:00", runs=runs).select("run_id", "code")
+
+
+@query(L + """, pool AS (SELECT property_type, list(price ORDER BY price) AS v, count(*) AS n FROM listings_v WHERE price <> 0 AND price BETWEEN 90000 AND 250000 AND CAST(listing_id AS BIGINT) % 7 = 0 AND property_type <> 'BUILDING' GROUP BY 1),
+    r AS (SELECT property_type, 90000.0 AS lo, CASE WHEN property_type < 'F' THEN 250000.0 END AS hi, count(*) AS total FROM listings_v GROUP BY 1), pool2 AS (SELECT property_type, list(price ORDER BY price) AS v, count(*) AS n FROM listings_v WHERE price >= 90000 AND CAST(listing_id AS BIGINT) % 7 = 0 AND property_type >= 'F' GROUP BY 1),
+    k AS (SELECT r.*, coalesce(p.v, []) AS v, coalesce(p.n, 0) AS n, least(greatest(CAST(ceil(total / 40.0) AS BIGINT), 2), 60) AS k FROM r LEFT JOIN (SELECT * FROM pool WHERE property_type < 'F' UNION ALL SELECT * FROM pool2) p ON p.property_type = r.property_type),
+    c AS (SELECT property_type, lo, hi, CASE WHEN n >= 2 THEN list_transform(range(1, k), lambda i: v[1 + CAST(round_even(i * (n - 1) / k, 0) AS BIGINT)]) WHEN hi IS NULL THEN [greatest(lo * 4, 1000)] ELSE [floor(sqrt(lo * hi))] END AS cuts FROM k),
+    u AS (SELECT property_type, lo, hi, list_sort(list_distinct(list_filter(cuts, lambda c: c > lo AND (hi IS NULL OR c < hi)))) AS cuts FROM c)
+    SELECT property_type, CAST(i AS INT) AS position, CASE WHEN i = 0 THEN lo ELSE cuts[i] END AS lo, CASE WHEN i = len(cuts) THEN hi ELSE cuts[i + 1] END AS hi FROM (SELECT *, unnest(range(0, len(cuts) + 1)) AS i FROM u WHERE len(cuts) > 0)""")
+def p2_split_ranges(spark, d):
+    v = listings(spark, d)
+    ranges = v.groupBy("property_type").agg(F.lit(90_000.0).alias("lo"), F.when(F.col("property_type") < "F", 250_000.0).alias("hi"), F.count(F.lit(1)).alias("total"))
+    return shards.split_ranges(ranges, v.filter("listing_id % 7 = 0 AND property_type <> 'BUILDING'"), "property_type", "price")
+
+
+@query(G + "SELECT run_id, CASE WHEN seconds > 0 THEN round(greatest(1000 - run_id, 0) / 42.0 / ((n - 1) * 3600 / seconds), 6) END AS hours_left FROM (SELECT run_id, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, seq DESC) AS r FROM log_v) WHERE r <= 20 GROUP BY run_id)")
+def w6_remaining_time(spark, d):
+    return runlog.remaining(runlog.recent_rate(log(spark, d), 20), 1000 - F.col("run_id"), 42).select("run_id", F.round("hours_left", 6).alias("hours_left"))
+
+
 PAIRS = "seg AS (SELECT segment FROM segments_v UNION SELECT regexp_replace(segment, '^[^_]*_', '') FROM segments_v UNION SELECT regexp_replace(regexp_replace(segment, '^[^_]*_', ''), '^[^_]*_', '') FROM segments_v)"
 
 

@@ -37,7 +37,7 @@ def _postings(spark, d):
     return part.select(F.col("p_partkey").alias("page_id"), F.to_json(F.array(other, one)).alias("postings"))
 
 
-@query("SELECT p_partkey AS page_id, 0 AS position, concat('x', p_partkey) AS listing_id, '/q' AS url, CAST(NULL AS BIGINT) AS price, CAST(NULL AS VARCHAR) AS currency FROM part UNION ALL SELECT p_partkey, 1, CAST(p_partkey AS VARCHAR), concat('/p/', p_partkey), CASE WHEN p_size % 5 <> 0 THEN CAST(floor(p_retailprice) AS BIGINT) END, 'MXN' FROM part WHERE p_partkey % 11 <> 0")
+@query("SELECT p_partkey AS page_id, 0 AS position, concat('x', p_partkey) AS listing_id, '/q' AS url, CAST(NULL AS BIGINT) AS price, '' AS currency FROM part UNION ALL SELECT p_partkey, 1, CAST(p_partkey AS VARCHAR), concat('/p/', p_partkey), CASE WHEN p_size % 5 <> 0 THEN CAST(floor(p_retailprice) AS BIGINT) END, 'MXN' FROM part WHERE p_partkey % 11 <> 0")
 def b4_b5_postings(spark, d):
     return extract.explode_postings(_postings(spark, d), "venta")
 
@@ -89,11 +89,13 @@ def b11_ancestor(spark, d):
     return v.select("id", extract.ancestor(F.col("v"), "REGION").alias("region"), extract.ancestor(F.col("v"), "COUNTRY").alias("country"))
 
 
-@query("SELECT p_partkey AS page_id, concat('https://i.org/', lpad(CAST(p_partkey AS VARCHAR), 12, '0'), 'abcdefgh/1_l.jpg|https://i.org/', lpad(CAST(p_partkey AS VARCHAR), 12, '0'), 'abcdefgh/2_l.jpg') AS photos FROM part")
+@query("SELECT p_partkey AS page_id, concat('https://i.org/D_NQ_NP_2-MLM', p_partkey, '_1-O-', s, '.webp|https://i.org/D_NQ_NP_7-MLM8', p_partkey, '_1-O-', s, '.jpg|https://i.org/', s, '.jpg') AS photos FROM (SELECT p_partkey, concat(lpad(CAST(p_partkey AS VARCHAR), 12, '0'), 'abcdefgh') AS s FROM part)")
 def b12_gallery(spark, d):
     slug = F.concat(F.lpad(F.col("p_partkey").cast("string"), 12, "0"), F.lit("abcdefgh"))
-    u = lambda who, n: F.concat(F.lit("https://i.org/"), who, F.lit(n))
-    urls = F.array(u(slug, "/1_s.jpg"), u(F.lit("other"), "/9_s.jpg"), u(slug, "/1_m.jpg"), u(slug, "/2_m.jpg"))
+    u = lambda form, n, size, who, end: F.concat(F.lit(f"https://i.org/D_{form}{n}"), F.col("p_partkey").cast("string"), F.lit(f"_1-{size}-"), who, F.lit(end))
+    other, plain = F.lit("other"), F.concat(F.lit("https://i.org/"), slug, F.lit(".jpg"))
+    urls = F.array(u("NQ_NP_2X_2-MLM", "", "F", slug, ".webp"), u("NQ_NP_9-MLM", 9, "F", other, ".webp"), u("Q_NP_3-MLM", "", "V", slug, ".jpg"), u("Q_NP_7-MLM", 8, "V", slug, ".jpg"), plain, plain)
+    # the form without the size prefix carries the number after the dash: 2-MLM7 is photo MLM7
     return register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), F.array_join(extract.gallery(urls, F.concat(slug, F.lit("-tail"))), "|").alias("photos"))
 
 
@@ -113,6 +115,20 @@ def b14_result_count(spark, d):
     return register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), extract.result_count(shown).alias("n"))
 
 
+@query("SELECT p_partkey AS page_id, CASE WHEN p_size % 3 <> 0 THEN CAST(p_partkey AS INT) END AS n FROM part")
+def b14_total_attribute(spark, d):
+    number = F.when(F.col("p_size") % 3 == 0, F.lit("many")).otherwise(F.col("p_partkey").cast("string"))
+    html = F.concat(F.lit("<main><div class=x data-total='"), number, F.lit("'>7</div><b data-total=1>"))
+    return register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), extract.total_attribute(html).alias("n"))
+
+
+@query("SELECT p_partkey AS page_id, concat('x', p_partkey) AS first_id FROM part")
+def b2_last_branch_first(spark, d):
+    first, last = F.lit('{"a":{"l":[{"postingId":"no"}]},"b":[{"c":[1]},'), F.lit('"}]}}]}')
+    blobs = register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), F.concat(first, F.lit('{"d":{"l":[{"postingId":"x'), F.col("p_partkey").cast("string"), last).alias("blob"))
+    return extract.find_postings(blobs).select("page_id", F.get_json_object("postings", "$[0].postingId").alias("first_id"))
+
+
 @query(P + "SELECT page_id, CAST(page_id AS VARCHAR) AS id, regexp_extract(url, '^[^?]*', 0) AS url FROM pages_v")
 def b15_harvest(spark, d):
     html = F.concat(F.lit("<a href='"), "url", F.lit("'><a href='"), "url", F.lit("#again'>"))
@@ -121,7 +137,7 @@ def b15_harvest(spark, d):
 
 @query(L + "SELECT listing_id, operation, property_type AS kind, concat(city, ', ', province) AS address FROM listings_v")
 def b16_subtitle(spark, d):
-    shown = F.concat("property_type", F.lit(" en "), F.when(F.col("operation") == "rent", "Renta").otherwise("venta"), F.lit(", rentable"))
+    shown = F.concat(F.lit(" "), "property_type", F.when(F.col("listing_id").cast("long") % 2 == 0, " en ").otherwise("  EN\t"), F.when(F.col("operation") == "rent", "Renta").otherwise("venta"), F.lit(", rentable"))
     s = extract.subtitle(shown)
     texts = F.array(F.lit("120,5 m²"), F.concat("city", F.lit(", "), "province"))
     return listings(spark, d).select("listing_id", s["operation"].alias("operation"), s["kind"].alias("kind"), extract.address(texts).alias("address"))
@@ -133,10 +149,11 @@ def b17_area_chips(spark, d):
     return pages(spark, d).select("page_id", extract.area_chip(html, "construidos").alias("built"), extract.area_chip(html, "totales").alias("plot"))
 
 
-@query("SELECT page_id, CASE WHEN page_id % 5 = 0 THEN 'login' WHEN page_id % 5 = 1 THEN 'pow' WHEN page_id % 5 = 2 THEN 'ok' WHEN length(html) < 2000 THEN 'unknown' ELSE 'no-coords' END AS verdict FROM pages")
+@query("SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'login' WHEN page_id % 6 = 1 THEN 'pow' WHEN page_id % 6 IN (2, 3) THEN 'ok' WHEN page_id % 6 = 4 THEN 'unknown' WHEN length(html) < 2000 THEN 'unknown' ELSE 'no-coords' END AS verdict FROM pages")
 def b18_verdict(spark, d):
-    k = F.col("page_id") % 5
-    html = F.when(k == 0, F.concat("html", F.lit("<b>Log</b> in <i>to</i> continue"))).when(k == 1, F.concat("html", F.lit("Verify you <b>are</b> human"))).when(k == 2, F.concat("html", F.lit('"latitude":1.5,"longitude":2.5'), F.repeat(F.lit(" "), 2000))).otherwise(F.col("html"))
+    k, wall, point = F.col("page_id") % 6, F.lit("<b>Log</b> in <i>to</i><br/>continue"), F.lit('"latitude":1.5,"longitude":2.5')
+    html = F.when(k == 0, F.concat("html", wall)).when(k == 1, F.concat("html", F.lit("Verify you <b>are</b> human"))).when(k == 2, F.concat("html", wall, point))
+    html = html.when(k == 3, point).when(k == 4, F.lit("<html>short</html>")).otherwise(F.col("html"))
     return stored(spark, d).select("page_id", extract.verdict(html, 2000).alias("verdict"))
 
 
@@ -178,9 +195,9 @@ def c5_keep_fraction(spark, d):
 @query(L + "SELECT listing_id, CAST(listing_id AS BIGINT) % 2 = 0 AS per_m2, CASE CAST(listing_id AS BIGINT) % 3 WHEN 0 THEN true WHEN 1 THEN false END AS exact FROM listings_v")
 def c15_price_flags(spark, d):
     k = F.col("listing_id").cast("long")
-    card = F.when(k % 2 == 0, "$ 5 / m²").otherwise("$ 5")
-    pin = F.when(k % 3 == 0, "exact").when(k % 3 == 1, "approximate")
-    return listings(spark, d).select("listing_id", F.contains(card, F.lit("/ m²")).alias("per_m2"), (pin == "exact").alias("exact"))
+    card = F.when(k % 2 == 0, "$ 5 por m²").when(k % 5 == 0, F.lit(None)).otherwise("$ 5")
+    pin = F.when(k % 3 == 0, "true").when(k % 3 == 1, "false").when(k % 4 == 0, "")
+    return listings(spark, d).select("listing_id", text.per_area(card).alias("per_m2"), text.exactness(pin).alias("exact"))
 
 
 @query(with_views("observations_v") + "SELECT listing_id, count(*) AS n FROM (SELECT DISTINCT listing_id, operation FROM observations_v) GROUP BY listing_id")

@@ -99,6 +99,15 @@ def c12_phone(spark, d):
     return listings(spark, d).select("listing_id", text.phone(raw, "salt").alias("phone"))
 
 
+@query(L + "SELECT listing_id, concat('+52', lpad(listing_id, 10, '0')) AS in_link, CASE WHEN CAST(listing_id AS BIGINT) % 2 = 0 THEN concat('52', lpad(listing_id, 10, '0')) ELSE '' END AS in_page FROM listings_v")
+def c12_phone_forms(spark, d):
+    number = F.lpad("listing_id", 10, "0")
+    link = F.concat(F.lit("https://wa.example.com/send?phone=+52"), number, F.lit("&text=x"))
+    spaced = F.concat(F.lit("Tel. (52) "), F.substring(number, 1, 5), F.lit("-"), F.substring(number, 6, 5), F.lit(" hoy"))
+    page = F.when(F.col("listing_id").cast("long") % 2 == 0, spaced).otherwise("none")
+    return listings(spark, d).select("listing_id", text.phone_in_link(link).alias("in_link"), text.phone_in_page(page).alias("in_page"))
+
+
 @query(L + "SELECT listing_id, city AS c, coalesce(nullif(province, ''), city) AS p FROM listings_v")
 def c20_c21_city_and_province(spark, d):
     return listings(spark, d).select("listing_id", text.city_of(F.concat(F.lit("Calle 1, "), "city", F.lit(", MX"))).alias("c"), text.province_of(F.col("province"), F.concat(F.lit("MX, "), "city")).alias("p"))
@@ -133,7 +142,7 @@ def c3_c7_c8_numbers(spark, d):
 
 def _filter(name: str, where: str, **criteria):
     def run(spark, d):
-        out = search.with_norm(listings(spark, d))
+        out = search.with_norm(listings(spark, d)).withColumn("bedrooms", (F.col("listing_id").cast("long") % 6).cast("int"))
         for p in search.predicates(**criteria):
             out = out.filter(p)
         return out.select("listing_id")
@@ -150,6 +159,7 @@ _filter("f4_property_type", "contains(lower(property_type), 'mobile')", property
 _filter("f5_sources", "source IN ('1-URGENT', '5-LOW')", sources=["1-URGENT", "5-LOW"])
 _filter("f6_price", "price >= 50000 AND price <= 150000 AND price > 0", min_price=50000, max_price=150000)
 _filter("f7_area", "area_m2 >= 100 AND area_m2 <= 250", min_area=100, max_area=250)
+_filter("f7_bedrooms", "CAST(listing_id AS BIGINT) % 6 >= 3", min_bedrooms=3)
 _filter("f8_recent", "observed_at >= TIMESTAMP '1997-01-01' - INTERVAL 400 DAY", as_of=AS_OF, within=timedelta(days=400))
 _filter("f9_radius", f"{OK} AND {D} <= 300000", near=NEAR, radius_m=300_000)
 
@@ -174,9 +184,9 @@ def t5_first(spark, d):
     return listings(spark, d).orderBy("listed_at", "listing_id").limit(15).select("listing_id")
 
 
-@query()
+@query(L + "SELECT listing_id FROM listings_v ORDER BY md5(concat('7:', listing_id)), listing_id LIMIT 50")
 def t4_sample(spark, d):
-    return listings(spark, d).orderBy(F.xxhash64("listing_id", F.lit(7)), "listing_id").limit(50).select("listing_id")
+    return listings(spark, d).orderBy(F.md5(F.concat(F.lit("7:"), "listing_id").cast("binary")), "listing_id").limit(50).select("listing_id")
 
 
 @query(L + "SELECT listing_id, price, rn - 1 AS position FROM (SELECT *, row_number() OVER (ORDER BY price NULLS FIRST, listing_id) AS rn FROM listings_v) WHERE rn > 1000 AND rn <= 1050")
@@ -189,6 +199,13 @@ def b21_display(spark, d):
     return search.display(listings(spark, d))
 
 
+@query(L + f", n AS (SELECT *, {D} AS m FROM listings_v WHERE {OK}) SELECT listing_id, CASE WHEN coalesce(price, 0) = 0 THEN 'no price' ELSE concat(CAST(CAST(floor(price) AS BIGINT) AS VARCHAR), ' ', currency, CASE WHEN CAST(listing_id AS BIGINT) % 2 = 0 THEN '/m2' ELSE '' END) END AS price_text, round(m / 1000, 1) AS km FROM n")
+def b21_per_area_and_distance(spark, d):
+    near = listings(spark, d).filter(geo.point_ok(F.col("lat"), F.col("lng"))).withColumn("distance_m", geo.haversine_m(F.col("lat"), F.col("lng"), F.lit(NEAR[0]), F.lit(NEAR[1])))
+    shown = search.display(near.withColumn("price_is_per_m2", F.col("listing_id").cast("long") % 2 == 0))
+    return shown.select("listing_id", "price_text", F.regexp_replace(F.regexp_replace("distance_text", " km$", ""), ",", "").cast("double").alias("km"))
+
+
 @query(L + f"SELECT source, listing_id, url, price, currency, {NORM} AS norm, CASE WHEN {OK} THEN lat END AS lat, CASE WHEN {OK} THEN lng END AS lng FROM listings_v")
 def b20_load_projection(spark, d):
     p = geo.point(F.col("lat"), F.col("lng"))
@@ -239,6 +256,13 @@ def j4_patch_points(spark, d):
     return load.patch_points(listings(spark, d), observations(spark, d), ["listing_id"], newest_first()).select("listing_id", "lat", "lng")
 
 
+@query(L + "SELECT listing_id, CASE WHEN CAST(listing_id AS BIGINT) % 3 = 0 THEN 1.5 ELSE lat END AS lat, CASE WHEN CAST(listing_id AS BIGINT) % 3 = 0 THEN 2.5 ELSE lng END AS lng FROM listings_v")
+def j4_exclude_suspect(spark, d):
+    v, k = listings(spark, d), F.col("listing_id").cast("long")
+    points = v.filter(k % 3 != 2).select("listing_id", F.lit(1.5).alias("lat"), F.lit(2.5).alias("lng"), F.when(k % 3 == 1, F.array(F.lit("repe"))).otherwise(F.array().cast("array<string>")).alias("suspect"))
+    return load.patch_points(v, points, ["listing_id"], exclude_suspect=True).select("listing_id", "lat", "lng")
+
+
 @query(LO + "SELECT l.listing_id FROM listings_v l WHERE NOT EXISTS (SELECT 1 FROM observations_v o WHERE o.listing_id = l.listing_id AND o.price > 60000)")
 def j1_new_rows(spark, d):
     return load.new_rows(listings(spark, d), observations(spark, d).filter("price > 60000"), ["listing_id"]).select("listing_id")
@@ -249,11 +273,11 @@ def j2_new_rows_by_operation(spark, d):
     return load.new_rows(listings(spark, d), observations(spark, d), ["listing_id", "operation"]).select("listing_id", "operation")
 
 
-@query(L + ", p AS (SELECT DISTINCT province FROM listings_v WHERE province <> ''), o AS (SELECT DISTINCT operation FROM listings_v), t AS (SELECT DISTINCT property_type FROM listings_v), done AS (SELECT DISTINCT province, operation, property_type FROM listings_v WHERE price > 300000) SELECT * FROM (SELECT province, operation, property_type FROM p CROSS JOIN o CROSS JOIN t) EXCEPT SELECT * FROM done")
+@query(L + ", p AS (SELECT DISTINCT province FROM listings_v WHERE province <> ''), o AS (SELECT DISTINCT operation FROM listings_v), t AS (SELECT DISTINCT property_type FROM listings_v), done AS (SELECT DISTINCT province, operation, property_type FROM listings_v WHERE operation = 'rent' OR province < 'M') SELECT * FROM (SELECT province, operation, property_type FROM p CROSS JOIN o CROSS JOIN t) EXCEPT SELECT * FROM done")
 def j10_work_left(spark, d):
     v = listings(spark, d)
     named = v.filter("province <> ''").select("province").distinct()
-    done = v.filter("price > 300000").select("province", "operation", "property_type").distinct()
+    done = v.filter("operation = 'rent' OR province < 'M'").select("province", "operation", "property_type").distinct()
     return load.work_left([named, v.select("operation").distinct(), v.select("property_type").distinct()], done)
 
 
@@ -281,10 +305,11 @@ def u2_distinct(spark, d):
     return listings(spark, d).select("city", "province").distinct()
 
 
-@query(L + "SELECT n_name AS province FROM nation EXCEPT SELECT province FROM listings_v WHERE price > 400000")
+@query(L + "SELECT n_name AS province FROM nation EXCEPT SELECT province FROM listings_v WHERE price > 1000 AND CAST(listing_id AS BIGINT) % 3 = 0 AND right(province, 1) < '5'")
 def u3_except(spark, d):
     v = listings(spark, d)
-    return spark.table("nation").select(F.col("n_name").alias("province")).subtract(v.filter("price > 400000").select("province"))
+    some = v.filter("price > 1000 AND listing_id % 3 = 0 AND right(province, 1) < '5'")
+    return spark.table("nation").select(F.col("n_name").alias("province")).subtract(some.select("province"))
 
 
 @query(L + "SELECT n_name AS province FROM nation INTERSECT SELECT province FROM listings_v WHERE price > 400000")

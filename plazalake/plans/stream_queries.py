@@ -45,7 +45,18 @@ def r7_stream_upsert(spark, d):
 
 @query("SELECT run_id, seq, streak, streak >= 3 OR (good = 0 AND n = 40) AS open FROM (SELECT user_id AS run_id, event_id AS seq, CASE WHEN event_type = 'error' THEN CAST(row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) - CASE WHEN island = 0 THEN 0 ELSE 1 END AS INT) ELSE 0 END AS streak, good, n FROM (SELECT *, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS island, sum(CASE WHEN event_type <> 'error' THEN 1 ELSE 0 END) OVER w AS good, count(*) OVER w AS n FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 39 PRECEDING AND CURRENT ROW)))")
 def r6_breaker(spark, d):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    results = spark.read.parquet(f"{d}/events.parquet").select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("ok"))
-    return flows.breaker(results)
+    results = events(spark, d).select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), (F.col("event_type") != "error").alias("ok"))
+    out = new_path(spark)
+    with flows.state_in_rocksdb(spark):
+        flows.append_available(flows.breaker(results), out, new_path(spark)).awaitTermination()
+    return spark.read.schema("run_id long, seq long, streak int, open boolean").parquet(out)
+
+
+@query("WITH m AS (SELECT max(ts) AS now FROM events), l AS (SELECT user_id AS run_id, max(ts) AS last FROM events GROUP BY 1) SELECT run_id, epoch_us(last) // 1000 AS last_ms FROM l, m WHERE last + INTERVAL 600 SECOND <= now - INTERVAL 60 SECOND")
+def r5_stalled(spark, d):
+    log = events(spark, d).select(F.col("user_id").alias("run_id"), F.col("ts").cast("timestamp").alias("ts"))
+    out = new_path(spark)
+    with flows.state_in_rocksdb(spark):
+        flows.append_available(flows.stalled(log, "ts"), out, new_path(spark)).awaitTermination()
+    return spark.read.schema("run_id long, last_ms long").parquet(out)
 

@@ -23,17 +23,31 @@ TABLE_SCHEMA = (
 
 
 def read_listings(spark: SparkSession, paths: Sequence[str], sources: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected) rows of JSON-lines files, one file a source, named by the part of the file
-    name before the first dot. Broken lines and rows without id or url are rejected, not fatal."""
+    """(good, rejected) rows of JSON-lines files, one file (or folder of part files) a source, named by the
+    part of its name before the first dot. Broken lines and rows without id or url are rejected, not
+    fatal; paths that are not there are, all of them named in the error."""
+    if missing := missing_paths(spark, paths):
+        raise FileNotFoundError(f"missing: {', '.join(missing)}")
     schema = T.StructType.fromDDL(RAW_SCHEMA).add("_corrupt", "string")
     rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt").json(list(paths))
-    rows = rows.withColumn("source", F.split(F.col("_metadata.file_name"), r"\.")[0])
+    rows = rows.withColumn("source", F.regexp_extract(F.col("_metadata.file_path"), r"([^/.]+)\.[^/]*(?:/part-[^/]*)?$", 1))
     if sources:
         rows = rows.filter(F.col("source").isin(list(sources)))
     bad = F.col("_corrupt").isNotNull() | F.coalesce(F.col("listingId"), F.lit("")).isin("") | F.coalesce(F.col("url"), F.lit("")).isin("")
     return rows.filter(~bad).drop("_corrupt"), rows.filter(bad)
 
 
+def missing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The paths that match no file, in the order given."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(conf).globStatus(p))
+
+    return [p for p in paths if not there(p)]
+
+
 def to_table(rows: DataFrame, salt: str) -> DataFrame:
     """The table's columns from JSON rows: types, search key, point, and phones as salted digests."""
     from plazalake.functions import geo

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
@@ -24,12 +25,15 @@ def since(stream: DataFrame, event_time: str, start: str) -> DataFrame:
     return stream.filter(F.col(event_time) >= F.lit(start).cast("timestamp"))
 
 
-def event_rate(stream: DataFrame, event_time: str, width: str = "10 minutes", step: str = "1 minute", late: str = "10 minutes") -> DataFrame:
-    return stream.withWatermark(event_time, late).groupBy(F.window(event_time, width, step)).agg(F.count(F.lit(1)).alias("n"))
+def event_rate(stream: DataFrame, event_time: str, width: str = "10 minutes", step: str = "1 minute", late: str = "10 minutes", most: int = 3) -> DataFrame:
+    """Events in each sliding window, with an alert above ``most``."""
+    n = stream.withWatermark(event_time, late).groupBy(F.window(event_time, width, step)).agg(F.count(F.lit(1)).alias("n"))
+    return n.withColumn("alert", F.col("n") > most)
 
 
-def sessions(stream: DataFrame, event_time: str, gap: str = "600 seconds", late: str = "10 minutes") -> DataFrame:
-    return stream.withWatermark(event_time, late).groupBy(F.session_window(event_time, gap)).agg(F.count(F.lit(1)).alias("n"))
+def sessions(stream: DataFrame, event_time: str, gap: str = "600 seconds", late: str = "10 minutes", keys: Sequence[str] = ()) -> DataFrame:
+    """Stretches of events less than ``gap`` apart; where one ends, its run has stalled."""
+    return stream.withWatermark(event_time, late).groupBy(*keys, F.session_window(event_time, gap)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def append_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -70,6 +74,55 @@ class Breaker(StatefulProcessor):
         pass
 
 
+class Stall(StatefulProcessor):
+    """An alert when a run has logged nothing for ``gap_ms`` of event time."""
+
+    def __init__(self, gap_ms: int):
+        self.gap_ms = gap_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "ms long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        latest = max(int(part["ms"].max()) for part in rows)
+        if self.last.exists():
+            (before,) = self.last.get()
+            if before >= latest:
+                return
+            self.handle.deleteTimer(before + self.gap_ms)
+        self.last.update((latest,))
+        self.handle.registerTimer(latest + self.gap_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        (latest,) = self.last.get()
+        yield pd.DataFrame({"run_id": [key[0]], "last_ms": [latest]})
+
+    def close(self) -> None:
+        pass
+
+
+def stalled(log: DataFrame, event_time: str, gap_ms: int = 600_000, late: str = "1 minute") -> DataFrame:
+    """(run_id, last_ms) of runs that log nothing for the gap, as soon as the watermark shows it. A run
+    that goes on can stall again. Event time is a timestamp."""
+    timed = log.withWatermark(event_time, late).select("run_id", event_time, F.unix_millis(event_time).alias("ms"))
+    return timed.groupBy("run_id").transformWithStateInPandas(Stall(gap_ms), "run_id long, last_ms long", "Append", "EventTime")
+
+
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Own state needs this provider; the session's setting comes back afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
 def breaker(results: DataFrame) -> DataFrame:
-    """State of the breaker after each result (run_id, seq, ok) of a stream."""
+    """State of the breaker after each result (run_id, seq, ok) of a stream. A run's rows of one
+    micro-batch are ordered in memory: the source's rate limit bounds them."""
     return results.groupBy("run_id").transformWithStateInPandas(Breaker(), "run_id long, seq long, streak int, open boolean", "Append", "None")

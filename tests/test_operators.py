@@ -18,7 +18,7 @@ def one(spark, column, **values):
     return spark.range(1).select(*(F.lit(v).alias(k) for k, v in values.items())).select(column.alias("r")).first()["r"]
 
 
-@pytest.mark.parametrize("given,want", [("Ñandú  m²", "nandu  m2"), ("ØLß ﬁn ½", "l fin 12"), ("", ""), ("İzmir…", "izmir..."), ("Ａ①", "a1")])
+@pytest.mark.parametrize("given,want", [("Ñandú  m²", "nandu  m2"), ("ØLß ﬁn ½", "l fin 12"), ("", ""), ("İzmir…", "izmir..."), ("Ａ①", "a1"), ("\U0001D400bc", "Abc"), ("🄀x", "0.x")])
 def test_search_key(spark, given, want):
     assert one(spark, text.search_key(F.col("a")), a=given) == want
 
@@ -197,3 +197,79 @@ def test_keyset_windows_equal_a_walk(spark):
         at = back if back > at else at + prices.count(prices[at])
     assert got == want
     assert shards.keyset_windows(spark.createDataFrame([], "price double"), "price", 10, 3).count() == 0
+
+
+@pytest.mark.parametrize("page,want", [
+    ('{"latitude":21.84,"longitude":-102.32}', "ok"), ('"latitude":21.84,"longitude":-102.32 <p>Log in<br/>to continue', "ok"), ("<p>Log in<br/>to continue", "login"),
+    ("Verify you are <b>human</b>", "pow"), ("<html>odd</html>", "unknown"), ("<html>" + "x" * 300, "no-coords"), ("Log in to continue" + "x" * 300, "login"),
+])
+def test_verdict_order(spark, page, want):
+    assert one(spark, extract.verdict(F.col("a"), 300), a=page) == want
+
+
+def test_range_counts_priced_pesos_only(spark):
+    rows = [("a", "MXN", 9.0)] * 3 + [("a", "USD", 9.0)] * 20 + [("b", "MXN", 9.0)] * 2 + [("b", "MXN", 0.0)] * 9 + [("c", "MXN", 9.0)] * 3 + [("c", "MXN", 50.0)] * 9 + [("d", "USD", 1.0)]
+    from plazalake.operators import audit
+
+    got = audit.range_applied(spark.createDataFrame(rows, "g string, currency string, price double"), "g", 10, 100).collect()
+    assert {r["g"]: r["applied"] for r in got} == {"a": False, "b": True, "c": True, "d": True}
+
+
+@pytest.mark.parametrize("given,want", [("Casa  EN  venta en Roma", "Casa"), (" Casa en renta", "Casa"), ("Casa", "Casa")])
+def test_subtitle_kind(spark, given, want):
+    assert one(spark, extract.subtitle(F.col("a"))["kind"], a=given) == want
+
+
+@pytest.mark.parametrize("given,want", [
+    ('{"a":{"l":[{"postingId":1}]},"b":{"l":[{"postingId":2}]}}', 2), ('{"x":[{"postingId":3}],"y":{"l":[{"postingId":4}]}}', 3), ('[[{"postingId":5}]]', None), ("[" * 5000, None), ("{", None),
+])
+def test_postings_depth_first(spark, given, want):
+    got = extract.find_postings(spark.createDataFrame([(1, given)], "page_id long, blob string")).first()["postings"]
+    assert (json.loads(got)[0]["postingId"] if got else None) == want
+
+
+def test_radius_over_the_date_line_and_poles(spark):
+    points = [(85.0, 179.99), (0.0, -179.999), (86.0, 10.0), (89.9, 0.0), (-89.95, 90.0), (19.0, -99.0), (0.0, 180.0), (-90.0, 0.0)]
+    queries = [(85.0, -179.99), (0.0, 179.999), (86.0, 20.0), (89.9, 180.0), (-89.95, -90.0), (19.2, -99.3), (60.0, 5.0)]
+    left = spark.createDataFrame([(str(i), *p) for i, p in enumerate(points)], "listing_id string, lat double, lng double")
+    right = spark.createDataFrame([(i, *q) for i, q in enumerate(queries)], "query_id int, q_lat double, q_lng double")
+
+    def metres(a, b):
+        h = sin(radians(b[0] - a[0]) / 2) ** 2 + cos(radians(a[0])) * cos(radians(b[0])) * sin(radians(b[1] - a[1]) / 2) ** 2
+        return 2 * geo.EARTH_M * asin(sqrt(min(h, 1)))
+
+    for radius in (5_000, 90_000, 3_000_000):
+        want = sorted((i, str(j)) for i, q in enumerate(queries) for j, p in enumerate(points) if metres(p, q) <= radius)
+        assert sorted((r["query_id"], r["listing_id"]) for r in geoquality.radius_join(left, right, radius).collect()) == want
+        for i, q in enumerate(queries):
+            assert sorted(r["listing_id"] for r in left.filter(geo.within(F.col("lat"), F.col("lng"), *q, radius)).collect()) == [j for k, j in want if k == i]
+
+
+def test_suspect_points_are_left_out(spark):
+    rows = spark.createDataFrame([("s", "1", None, None)], "source string, listing_id string, lat double, lng double")
+    points = spark.createDataFrame([("s", "1", 1.0, 2.0, ["repe"])], "source string, listing_id string, lat double, lng double, suspect array<string>")
+    assert load.patch_points(rows, points, exclude_suspect=True).first()["lat"] is None and load.patch_points(rows, points).first()["lat"] == 1.0
+
+
+def test_missing_files_are_named(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"listingId":"1","url":"u"}\n')
+    with pytest.raises(FileNotFoundError, match="b.jsonl, .*c.jsonl"):
+        src.read_listings(spark, [str(tmp_path / f) for f in ("a.jsonl", "b.jsonl", "c.jsonl")])
+
+
+def test_stream_queries_stand_alone():
+    """Each in a session in which no stream ran before."""
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import sys, __spark_entry__ as e\nfrom pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.sql.shuffle.partitions', '2').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('ROWS', e.queries()[sys.argv[1]](s, '/root/testdata/sf0.001').count(), s.conf.get('spark.sql.streaming.stateStore.providerClass').count('RocksDB'))"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for name in ("r6_breaker", "r5_stalled"):
+        said = subprocess.run([sys.executable, "-c", code, name], capture_output=True, text=True, cwd=root, timeout=300, env=os.environ | {"PYTHONPATH": root})
+        assert "ROWS " in said.stdout and said.stdout.split("ROWS ")[1].split()[0] != "0", said.stderr[-2000:]
+        assert said.stdout.split("ROWS ")[1].split()[1] == "0"

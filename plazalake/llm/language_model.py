@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from functools import partial
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import fold, text_of
-from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, mixed, shortened
+from plazalake.llm.packed import WORDS, Chunk, answered, ask, bucket_bits, chunks, mixed, shortened
 
 SMOOTHING = 0.1
 #: Weight of the shorter context against one and two words: in counts of the longer one.
@@ -48,13 +47,13 @@ class _Steps:
     """The steps of a chunk's texts, one after the other: the word of each, and the run of two and of
     three words that it ends, as places among the chunk's distinct words and runs."""
 
-    def __init__(self, chunk: Chunk, cache: WordHashes, bits: int):
+    def __init__(self, chunk: Chunk, bits: int):
         words = [t.lower().split() for t in chunk.texts]
         self.sizes = np.array([len(w) + 1 for w in words])
         first = np.cumsum(self.sizes) - self.sizes
         hashes = np.full(int(self.sizes.sum()), _END)
         for at, w in zip(first.tolist(), words):
-            hashes[at : at + len(w)] = cache.of(w)
+            hashes[at : at + len(w)] = WORDS.of(w)
         before = np.append(_START, hashes[:-1])
         before[first] = _START
         pairs = mixed(before * _PAIR + hashes)
@@ -111,13 +110,12 @@ def _scores(steps: _Steps, words: np.ndarray, runs: np.ndarray, types: int, tota
     p1 = (c1 + SMOOTHING) / (total + SMOOTHING * (types + 1))
     p2 = (c2 + ONE_WORD * p1) / (one + ONE_WORD)
     p3 = (c3 + TWO_WORDS * p2) / (two + TWO_WORDS)
-    arc = lambda p, c: np.where(c > 0, np.log10(p), _NO_ARC).tolist()
+    arc = lambda p, c: np.where(c > 0, np.log10(p), _NO_ARC)
     root = np.log10(p1)
-    walk = zip(
-        arc(p3, c3), np.log10(TWO_WORDS / (two + TWO_WORDS)).tolist(), arc(p2, c2), np.log10(ONE_WORD / (one + ONE_WORD)).tolist(),
-        root.tolist(), np.where(c2 > 0, 2, np.where(c1 > 0, 1, 0)).tolist(),
+    columns = (
+        arc(p3, c3), np.log10(TWO_WORDS / (two + TWO_WORDS)), arc(p2, c2), np.log10(ONE_WORD / (one + ONE_WORD)), root, np.where(c2 > 0, 2, np.where(c1 > 0, 1, 0)),
     )
-    scores = [_walk(islice(walk, n)) for n in steps.sizes.tolist()]
+    scores = [_walk(zip(*(c[a : a + n].tolist() for c in columns))) for a, n in zip(first.tolist(), steps.sizes.tolist())]
     return np.add.reduceat(root, first), scores, np.add.reduceat((c1 > 0).astype(np.int64), first)
 
 
@@ -132,14 +130,14 @@ def score_texts(docs: DataFrame, folds: int = FOLDS) -> DataFrame:
     Other columns are ignored. A very long text is one chunk: a task holds it whole.
     """
     stored = chunks(docs.select(F.col("doc_id").cast("long"), (fold("doc_id", folds) == 0).cast("int").alias("flag"), text_of().cast("binary").alias("text")))
-    cache, bits = WordHashes(), bucket_bits(stored)
-    replies = ask(stored, None, bits, lambda chunk, _: _Steps(chunk, cache, bits).asked(), _settle, _LOW)
+    bits = bucket_bits(stored)
+    replies = ask(stored, None, bits, lambda chunk, _: _Steps(chunk, bits).asked(), _settle, _LOW)
     sums = replies.filter("sums IS NOT NULL").agg(F.coalesce(F.sum(F.col("sums")[0]), F.lit(0)), F.coalesce(F.sum(F.col("sums")[1]), F.lit(0))).first()
-    return answered(stored, replies, bits, partial(_answer, cache, bits, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return answered(stored, replies, bits, partial(_answer, bits, *sums), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
-def _answer(cache: WordHashes, bits: int, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-    steps = _Steps(chunk, cache, bits)
+def _answer(bits: int, types: int, total: int, chunk: Chunk, known: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    steps = _Steps(chunk, bits)
     words, runs = (known[k].astype(np.int64) for k in (_WORDS, _RUNS))
     texts = int(words[steps.word[steps.sizes[0] - 1]])  # each training text has one end
     base, scores, n_known = _scores(steps, words, runs, types, total, texts)

@@ -28,7 +28,7 @@ from plazalake.llm.common import table
 
 #: Bytes of text in a chunk (a longer text is a chunk by itself), and bytes of text behind one bucket's keys.
 CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 8 << 20
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 200_000
 _KIND_SHIFT = 40
 _CHUNK = "chunk long, bytes long, ids binary, flags binary, sizes binary, texts binary"
 _PACKED = ["ids", "flags", "sizes", "texts"]
@@ -48,6 +48,10 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
+#: One for each worker process, so that tasks do not hold a copy each.
+WORDS = WordHashes()
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     return (values ^ values >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from plazalake.llm.common import numbered, table
 from plazalake.llm.components import stars
-from plazalake.llm.packed import WordHashes, mixed, rolling
+from plazalake.llm.packed import WORDS, mixed, rolling
 
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Shingle, words of a fingerprint and radius of the search for similar texts.
@@ -61,9 +61,9 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
     return majority(np.array(hashes, np.uint64))
 
 
-def shingles(text: bytes | None, shingle: int, cache: WordHashes) -> np.ndarray:
+def shingles(text: bytes | None, shingle: int) -> np.ndarray:
     """Distinct hashes of the shingles; fewer words make one shingle, no word makes none."""
-    words = cache.of((text or b"").lower().split())
+    words = WORDS.of((text or b"").lower().split())
     return np.unique(rolling(words, min(shingle, len(words)))) if len(words) else words
 
 
@@ -285,9 +285,8 @@ def _sketches(rows: DataFrame, shingle: int) -> DataFrame:
     """(row, f0, f1, ...) of (row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            prints = np.array([wide_fingerprint(shingles(t, shingle, cache)) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, WIDE_WORDS)
+            prints = np.array([wide_fingerprint(shingles(t, shingle)) for t in batch.column(1).to_pylist()], np.uint64).reshape(-1, WIDE_WORDS)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(np.ascontiguousarray(c).view(np.int64)) for c in prints.T)], ["row", *_names(WIDE_WORDS)])
 
     return rows.select("row", F.col("text").cast("binary")).mapInArrow(run, "row long, " + ", ".join(f"{n} long" for n in _names(WIDE_WORDS)))
@@ -297,9 +296,8 @@ def _verified(links: DataFrame, rows: DataFrame, shingle: int, similarity: float
     """The links (a, b) of ``rows`` (row, text) whose shingles, repeats aside, are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for batch in batches:
-            found = [shingles(t, shingle, cache).view(np.int64) for t in batch.column(1).to_pylist()]
+            found = [shingles(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, found)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found) if found else np.empty(0, np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["row", "hashes"])

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import text_of
-from plazalake.llm.packed import Chunk, WordHashes, answered, ask, bucket_bits, chunks, rolling, shortened
+from plazalake.llm.packed import WORDS, Chunk, answered, ask, bucket_bits, chunks, rolling, shortened
 
 WINDOW = 20
 _PROBE, _FIRST = range(2)
@@ -37,7 +37,7 @@ class _Texts:
     """The words of a chunk's documents one after the other, documents in order: doc_ids, a missing one
     last, then a hash of the text. Places are counted over all words."""
 
-    def __init__(self, chunk: Chunk, cache: WordHashes, bits: int, window: int, block: int):
+    def __init__(self, chunk: Chunk, bits: int, window: int, block: int):
         self.bits, self.window, self.block = bits, window, block
         ids = np.array([np.iinfo(np.int64).max if i is None else i for i in chunk.ids], np.int64).view(np.uint64) ^ np.uint64(1 << 63)
         tags = np.array([xxhash.xxh32_intdigest(t) << 1 | (i is None) for t, i in zip(chunk.texts, chunk.ids)], np.uint64)
@@ -48,7 +48,7 @@ class _Texts:
         self.doc = np.repeat(np.arange(len(sizes)), sizes)
         self.first = (np.cumsum(sizes) - sizes)[self.doc]  # where the document of a place begins, and ends
         self.end = np.cumsum(sizes)[self.doc]
-        self.hashes = cache.of([x for w in self.words for x in w])
+        self.hashes = WORDS.of([x for w in self.words for x in w])
 
     def windows(self, width: int, *factors: int) -> tuple[np.ndarray, ...]:
         """Places where a window of ``width`` words starts, and its hashes."""
@@ -163,8 +163,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     block = (window + 1) // 2
     stored = chunks(docs.select(F.col("doc_id").cast("long"), F.lit(0).alias("flag"), text_of().cast("binary").alias("text")))
     bits = bucket_bits(stored)
-    cache = WordHashes()
-    texts = lambda chunk: _Texts(chunk, cache, bits, window, block)
+    texts = lambda chunk: _Texts(chunk, bits, window, block)
     none = np.empty(0, np.uint64)
 
     def probes(chunk: Chunk, _: dict) -> dict[int, list[np.ndarray]]:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazalake.llm.common import BLANK_REGEX, numbered, text_of
+from plazalake.llm.common import BLANK_REGEX, numbered, table, text_of
 
 #: High fingerprint bits that name a block, the unit in which filters are shuffled and merged.
 BLOCK_BITS = 10
@@ -141,7 +141,8 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
 def _groups(base: DataFrame, first: Column) -> DataFrame:
     """(text_sha256, first, size) of the texts that occur more than once in ``base`` (norm)."""
     keyed = base.withColumn("fp", F.xxhash64("norm"))
-    routed = keyed.join(repeated_fingerprints(keyed.select("fp")), "fp", "left_semi")
+    # stored, so that Spark knows its size: a small table goes to the texts, and only for a large one are texts dealt anew
+    routed = keyed.join(table(repeated_fingerprints(keyed.select("fp"))), "fp", "left_semi")
     found = routed.groupBy("norm").agg(first.alias("first"), F.count(F.lit(1)).alias("size"))
     return found.filter("size > 1").select(F.sha2("norm", 256).alias("text_sha256"), "first", "size")
 

@@ -68,16 +68,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = r"list_filter(regexp_split_to_array({0}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 _MIX = r"""WITH RECURSIVE n AS (SELECT coalesce(source, '(none)') AS source, count(*) AS n FROM documents GROUP BY 1),
-e AS (SELECT source, n, 1000.0 * CASE source WHEN 'src0' THEN 4 ELSE 1 END / sum(CASE source WHEN 'src0' THEN 4 ELSE 1 END) OVER () AS x FROM n),
-g AS (SELECT source, n, CAST(floor(x) AS BIGINT) + CASE WHEN row_number() OVER (ORDER BY floor(x) - x, source) <= 1000 - sum(CAST(floor(x) AS BIGINT)) OVER () THEN 1 ELSE 0 END AS a FROM e),
-l AS (SELECT list(source ORDER BY source) AS s, list(a ORDER BY source) AS a FROM g),
+g AS (SELECT source, n, CAST(CASE source WHEN 'src0' THEN 4 ELSE 1 END AS BIGINT) AS a FROM n),
+l AS (SELECT list(source ORDER BY source) AS s, list(a ORDER BY source) AS a, CAST(sum(a) AS BIGINT) AS slots FROM g),
 c AS (SELECT 0 AS t, list_transform(a, lambda q: 0) AS done, 0 AS pick FROM l UNION ALL
   SELECT t + 1, list_transform(done, lambda q, i: CASE WHEN i = p THEN q + 1 ELSE q END), p FROM (
-    SELECT t, done, list_sort(list_transform(list_filter(range(1, len(a) + 1), lambda i: done[i] < a[i] AND done[i] * 1000 // a[i] <= t), lambda i: {'d': ((done[i] + 1) * 1000 + a[i] - 1) // a[i], 's': s[i], 'i': i}))[1].i AS p FROM c, l WHERE t < 1000)),
+    SELECT t, done, list_sort(list_transform(list_filter(range(1, len(a) + 1), lambda i: done[i] < a[i] AND done[i] * slots // a[i] <= t), lambda i: {'d': ((done[i] + 1) * slots + a[i] - 1) // a[i], 's': s[i], 'i': i}))[1].i AS p FROM c, l WHERE t < slots)),
 k AS (SELECT l.s[c.pick] AS source, done[pick] - 1 AS turn, t - 1 AS turn_slot FROM c, l WHERE pick > 0),
 r AS (SELECT doc_id, coalesce(source, '(none)') AS source, row_number() OVER (PARTITION BY coalesce(source, '(none)') ORDER BY md5(concat('mix:', doc_id)), doc_id) - 1 AS rank FROM documents),
-z AS (SELECT r.*, rank // 32 AS block, rank // 32 // a * 1000 + turn_slot AS slot FROM r JOIN g ON g.source = r.source JOIN k ON k.source = r.source AND k.turn = rank // 32 % a),
-h AS (SELECT min((n + 31) // 32 // a * 1000 + turn_slot) AS slot FROM g JOIN k ON k.source = g.source AND k.turn = (n + 31) // 32 % a)
+z AS (SELECT r.*, rank // 32 AS block, rank // 32 // g.a * slots + turn_slot AS slot FROM l, r JOIN g ON g.source = r.source JOIN k ON k.source = r.source AND k.turn = rank // 32 % g.a),
+h AS (SELECT min((n + 31) // 32 // g.a * slots + turn_slot) AS slot FROM l, g JOIN k ON k.source = g.source AND k.turn = (n + 31) // 32 % g.a)
 SELECT doc_id, source, block, z.slot AS slot, rank % 32 AS place, z.slot < h.slot AS in_target FROM z, h"""
 
 _LEAKS = f"""WITH d AS (SELECT doc_id, {_WORDS.format("lower(coalesce(text, ''))")} AS w FROM documents),

@@ -371,3 +371,7 @@ def test_revisits(spark):
             3: ("resolved", 1), 4: ("changed", 1), 5: ("resolved", 2), 6: ("orphan", None), 7: ("orphan", None), 8: ("orphan", None), 9: ("resolved", 2)}
         assert got[3]["headers"] == {"etag": 'W/"a"', "content-type": "text/html", "age": "7"} and got[3]["digest"] == "d1"
     assert warc.resolve_revisits(captures.limit(0)).count() == 0
+    # repeated rows give one row each and the same answer; other columns with the names used inside change nothing
+    twice = captures.union(captures).withColumn("url_key", F.lit("clash")).withColumn("_found", F.lit(1)).withColumn("status", F.lit("x"))
+    again = sorted((r["record_id"], r["status"], r["refers_to"]) for r in warc.resolve_revisits(twice).collect())
+    assert again == sorted(2 * [(k, r["status"], r["refers_to"]) for k, r in got.items()])

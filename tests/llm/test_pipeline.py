@@ -1,10 +1,12 @@
+import html
 import random
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from plazalake.llm import toxicity
+from plazalake.llm import secret_scan, toxicity
 from plazalake.llm.queries import ORACLES, QUERIES
 from tests.compare import connect, differences
 from tests.llm import brute
@@ -56,3 +58,35 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
     assert sorted(r["doc_id"] for r in got) == sorted(i for i, _ in kept if i not in leaks)
     assert len({(r["slot"], r["place"]) for r in got}) == len(got)
     assert {r["doc_id"]: r["text"] for r in got} == {i: t for i, t in kept if i not in leaks}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+def test_query_on_its_table(spark, name):
+    """Queries that SQL cannot express, over a whole table, against plain versions or known facts."""
+    rows = [tuple(r) for r in QUERIES[name](spark, SF).collect()]
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    key = lambda r: (r[0] is None, r[0] or 0)
+    if name.startswith("op6"):
+        assert sorted(rows, key=key) == sorted(brute.near_components(docs), key=key)
+    elif name.startswith("op9"):
+        for got, want in zip(sorted(rows, key=key), sorted(brute.lm_scores(docs), key=key), strict=True):
+            assert got[:5] == want[:5] and got[5:] == pytest.approx(want[5:], rel=1e-9)
+        assert sum(r[6] for r in rows if r[1]) > sum(r[5] for r in rows if r[1])  # better than single words on held-out texts
+    elif name.startswith("op10"):
+        table = spark.read.parquet(f"{SF}/documents.parquet")
+        primed = secret_scan.compressor(secret_scan.identifiers(table))
+        assert {r[0]: r[6] for r in rows} == {i: brute.secrets(t or "", primed) for i, t in docs}
+    elif name.startswith("op5"):
+        toxic = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+        assert len(rows) == len(docs) and all(0 <= r[2] <= 1 and r[3] == (r[2] >= 0.5) and r[1] == (brute.fold(r[0], 5) == 0) for r in rows)
+        seen = [(r[3], toxic[r[0]]) for r in rows if not r[1] and r[0] in toxic]
+        assert sum(a == b for a, b in seen) / len(seen) > 0.85
+    else:
+        assert name.startswith("op8")
+        for page_id, url, text, n in rows:
+            assert n == len(text) and text == " ".join(text.split())
+        pages = spark.read.parquet(f"{SF}/pages.parquet").collect()
+        body = {p["page_id"]: p["html"].split("<article>")[1].split("</article>")[0] for p in pages if p["html"] and p["html"].count("<article>") == 1}
+        plain = lambda x: " ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split())
+        squeezed = lambda x: x.replace(" ", "")
+        assert len(rows) == len(pages) and sum(squeezed(r[2]) == squeezed(plain(body.get(r[0], ""))) for r in rows) > 0.99 * len(body)

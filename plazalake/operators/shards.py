@@ -15,6 +15,30 @@ def price_band(price: Column) -> Column:
     return F.when(price == 0, F.lit(0.0)).otherwise(F.floor(price / step) * step)
 
 
+#: Rows that one task orders where an order runs through a whole table.
+STRETCH = 4096
+
+
+def carried(df: DataFrame, at: str, value: str, name: str) -> DataFrame:
+    """``df`` with the last non-null ``value`` before each row as ``name``; ``at`` numbers the rows about
+    densely. Stretches are ordered by themselves, and then their last values."""
+    staged = df.withColumn("_stretch", F.floor(F.col(at) / STRETCH))
+    lasts = staged.groupBy("_stretch").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at))).alias("_last"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lasts.select("_stretch", F.last("_last", ignorenulls=True).over(before(Window.orderBy("_stretch"))).alias("_earlier"))
+    inside = F.last(value, ignorenulls=True).over(before(Window.partitionBy("_stretch").orderBy(at)))
+    return staged.withColumn("_inside", inside).join(earlier, "_stretch").withColumn(name, F.coalesce("_inside", "_earlier")).drop("_stretch", "_inside", "_earlier")
+
+
+def counted(df: DataFrame, at: str, name: str) -> DataFrame:
+    """``df`` with the number of rows before each row by ``at``, stretch by stretch."""
+    staged = df.withColumn("_stretch", F.floor(F.col(at) / STRETCH))
+    sizes = staged.groupBy("_stretch").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("_stretch").orderBy(at)) - 1
+    return staged.withColumn("_inside", inside).join(sizes.select("_stretch", before.alias("_before")), "_stretch").withColumn(name, F.col("_inside") + F.col("_before")).drop("_stretch", "_inside", "_before")
+
+
 def price_counts(df: DataFrame, key: str) -> DataFrame:
     """Rows by price with the rows before each price. Sums run within bands, and over the bands'
     totals, so no task orders all prices."""
@@ -103,10 +127,10 @@ def keyset_windows(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     ask = counts.select((F.col("before") + cap - 1).alias("at"), F.lit(1).alias("ask"), F.lit(None).cast(mark.schema["m"].dataType).alias("m"), F.col("before").alias("from"), (F.col("before") + F.col("n")).alias("after"))
     both = mark.union(ask.filter(F.col("at") < total - 1)).withColumn("_block", F.floor(F.col("at") / cap))
     last = F.last("m", ignorenulls=True)
-    carried = both.groupBy("_block").agg(F.max("m").alias("_m")).select("_block", F.last("_m", ignorenulls=True).over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)).alias("_m"))
+    earlier = carried(both.groupBy("_block").agg(F.max("m").alias("_own")), "_block", "_own", "_m").select("_block", "_m")
     inside = both.withColumn("_in", last.over(Window.partitionBy("_block").orderBy("at", "ask").rowsBetween(Window.unboundedPreceding, 0))).filter("ask = 1")
     met = F.coalesce("_in", "_m")["before"]
-    step = stored(inside.join(carried, "_block").select("from", F.when(met > F.col("from"), met).otherwise(F.col("after")).alias("to")).filter(F.col("to") < total))
+    step = stored(inside.join(earlier, "_block").select("from", F.when(met > F.col("from"), met).otherwise(F.col("after")).alias("to")).filter(F.col("to") < total))
     seen = counts.filter(F.col("price") == first).select(F.col("before").alias("at"))
     jump, n = step, seen.count()
     while n:
@@ -116,12 +140,15 @@ def keyset_windows(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
             break
         onward = jump.select(F.col("from").alias("to"), F.col("to").alias("_then"))
         seen, n, jump = reached, grown, stored(jump.join(onward, "to").select("from", F.col("_then").alias("to")))
-    starts = seen.join(counts, seen["at"] == counts["before"]).select("at", "price", "n")
-    w = Window.orderBy("at")  # one row a window
     rows = F.least(F.lit(cap), F.lit(total) - F.col("at"))
-    return starts.select(
-        (F.row_number().over(w) - 1).cast("long").alias("window"), "price", F.col("at").alias("first_row"), rows.alias("n_rows"),
-        F.greatest(F.lag(F.col("at") + rows).over(w) - F.col("at"), F.lit(0)).alias("again"),
+    starts = seen.join(counts, seen["at"] == counts["before"]).select("at", "price", F.floor(F.col("at") / cap).alias("_place"), rows.alias("n_rows"))
+    # windows start about ``cap`` rows apart, so places number them about densely; a place may hold several
+    ends = starts.groupBy("_place").agg(F.max(F.col("at") + F.col("n_rows")).alias("_end"))
+    last_end = carried(ends, "_place", "_end", "_upto").select("_place", "_upto")
+    here = F.lag(F.col("at") + F.col("n_rows")).over(Window.partitionBy("_place").orderBy("at"))
+    numbered = counted(starts.withColumn("_here", here).join(last_end, "_place").withColumn("_scaled", F.col("at") / cap), "_scaled", "window")
+    return numbered.select(
+        F.col("window").cast("long"), "price", F.col("at").alias("first_row"), "n_rows", F.greatest(F.coalesce("_here", "_upto") - F.col("at"), F.lit(0)).alias("again"),
     )
 
 

@@ -273,3 +273,12 @@ def test_stream_queries_stand_alone():
         said = subprocess.run([sys.executable, "-c", code, name], capture_output=True, text=True, cwd=root, timeout=300, env=os.environ | {"PYTHONPATH": root})
         assert "ROWS " in said.stdout and said.stdout.split("ROWS ")[1].split()[0] != "0", said.stderr[-2000:]
         assert said.stdout.split("ROWS ")[1].split()[1] == "0"
+
+
+def test_keyset_windows_over_short_stretches(spark, monkeypatch):
+    import __spark_entry__ as entry
+    from tests.compare import connect, differences
+
+    monkeypatch.setattr(shards, "STRETCH", 2)
+    sf = "/root/testdata/sf0.01"
+    assert differences(spark, connect(sf), sf, entry.queries()["p5_keyset_windows"], entry.oracle_sql()["p5_keyset_windows"]) is None

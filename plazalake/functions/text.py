@@ -122,6 +122,22 @@ def classify(text: Column, rules: Sequence[tuple[str, str]], otherwise: Column)
     return otherwise if out is None else out.otherwise(otherwise)
 
 
+def classify_title(title: Column, rules: Sequence[tuple[str, str]], category: Column) -> Column:
+    """The label of the first rule whose word the title holds before " en ", as written; else that part
+    of the title; an empty one gives the category with capitals."""
+    head = F.trim(F.substring_index(title, " en ", 1))
+    out = F.coalesce(F.nullif(head, F.lit("")), F.initcap(category))
+    for word, label in reversed(rules):
+        out = F.when(F.contains(head, F.lit(word)), label).otherwise(out)
+    return out
+
+
+def area_kinds(property_type: Column, area: Column, land: Sequence[str]) -> Column:
+    """The one area of a row as plot or as built area, by its type."""
+    is_land = property_type.isin(list(land))
+    return F.struct(F.when(is_land, area).alias("plot"), F.when(~is_land, area).alias("built"))
+
+
 def phone_digits(text: Column) -> Column:
     """Digits with a plus sign if there are ten or more, else empty."""
     digits = F.regexp_replace(F.coalesce(text, F.lit("")), r"[^0-9]", "")

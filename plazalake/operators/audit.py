@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plazalake.functions.text import segment_depth, segment_parent
+
 from plazalake.functions.text import ceil_div, truthy
 
 
@@ -105,3 +107,27 @@ def tree_totals(edges: DataFrame, totals: DataFrame) -> DataFrame:
     """Total of each parent against the sum over its children: whether the tree is a partition."""
     sums = edges.join(totals.withColumnRenamed("segment", "child"), "child").groupBy("parent").agg(F.sum("n").alias("children"))
     return sums.join(totals.withColumnRenamed("segment", "parent"), "parent").select("parent", "n", "children", (F.col("n") == F.col("children")).alias("partition"))
+
+
+def conditional_counts(df: DataFrame, group: str, **conditions: Column) -> DataFrame:
+    """Rows of each group that meet each condition; a null counts as not met."""
+    return df.groupBy(group).agg(*(F.count_if(c).alias(name) for name, c in conditions.items()))
+
+
+def fetch_yield(df: DataFrame, batch: str, key: str) -> DataFrame:
+    """Rows served in each batch, distinct ones, repeats, and the share that was fresh."""
+    n = df.groupBy(batch).agg(F.count(F.lit(1)).alias("served"), F.count_distinct(key).alias("fresh"))
+    return n.select("*", (F.col("served") - F.col("fresh")).alias("overlap"), (F.col("fresh") / F.col("served")).alias("yield"))
+
+
+def segment_edges(segments: DataFrame) -> DataFrame:
+    """(child, parent, depth) of all ``segment`` values and of what is above them, to any depth: the parent
+    of a_b_c is b_c; roots have the parent ''."""
+    parts = F.split("segment", "_")
+    every = segments.select(parts.alias("_p")).select(F.explode(F.transform(F.sequence(F.lit(1), F.size("_p")), lambda i: F.array_join(F.slice("_p", i, F.size("_p")), "_"))).alias("child"))
+    return every.distinct().select("child", segment_parent(F.col("child")).alias("parent"), segment_depth(F.col("child")).cast("long").alias("depth"))
+
+
+def depth_counts(segments: DataFrame) -> DataFrame:
+    """How many segments there are by first part and depth."""
+    return segments.groupBy(F.substring_index("segment", "_", 1).alias("root"), segment_depth(F.col("segment")).cast("long").alias("depth")).agg(F.count(F.lit(1)).alias("n"))

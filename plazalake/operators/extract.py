@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+import json
+from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -191,7 +192,6 @@ def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
     """The array of listings in a JSON text, as JSON text: a member of an object whose first element has
     a postingId. Depth first: an object's own members before what is below them, and of these the last
     one first. Null where there is none or the text is malformed."""
-    import json
 
     def hunt(node):
         inner = node.values() if isinstance(node, dict) else node
@@ -202,6 +202,23 @@ def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
         below = (hunt(x) for x in reversed(list(inner)) if isinstance(x, (dict, list)))
         return next((found for found in below if found is not None), None)
 
+    return _found(pages, blob, hunt, "postings")
+
+
+def find_paging(pages: DataFrame, blob: str = "blob") -> DataFrame:
+    """The object under the key paging at any depth of a JSON text, as JSON text, in the same order."""
+
+    def hunt(node):
+        if isinstance(node, dict) and isinstance(node.get("paging"), dict):
+            return node["paging"]
+        inner = node.values() if isinstance(node, dict) else node
+        below = (hunt(x) for x in reversed(list(inner)) if isinstance(x, (dict, list)))
+        return next((found for found in below if found is not None), None)
+
+    return _found(pages, blob, hunt, "paging")
+
+
+def _found(pages: DataFrame, blob: str, hunt: Callable[[dict | list], dict | list | None], name: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -212,6 +229,6 @@ def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
                 except (ValueError, RecursionError):
                     found = None
                 out.append(None if found is None else json.dumps(found, ensure_ascii=False))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["page_id", "postings"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["page_id", name])
 
-    return pages.select(F.col("page_id").cast("long"), blob).mapInArrow(run, "page_id long, postings string")
+    return pages.select(F.col("page_id").cast("long"), blob).mapInArrow(run, f"page_id long, {name} string")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plazalake.functions.text import falsy_coalesce
+
 KEYS = ("source", "listing_id")
 
 
@@ -77,3 +79,20 @@ def work_left(dimensions: Sequence[DataFrame], done: DataFrame) -> DataFrame:
     for d in dimensions[1:]:
         plan = plan.crossJoin(d)  # the work plan is this product by definition
     return plan.join(done, plan.columns, "left_anti")
+
+
+def with_context(sidecar: DataFrame, rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Rows of a sidecar with columns of the rows they belong to, null where there is none."""
+    return sidecar.join(rows.select(key, *columns), key, "left")
+
+
+def enriched(cards: DataFrame, details: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Cards with the columns of their detail page where it has a value; an empty text is none."""
+    d = details.select(key, *(F.col(c).alias(f"_{c}") for c in columns))
+    joined = cards.join(d, key, "left")
+    return joined.select(*(falsy_coalesce(f"_{c}", c).alias(c) if c in columns else c for c in cards.columns))
+
+
+def backfilled(df: DataFrame, **sources: Sequence[str | Column]) -> DataFrame:
+    """Columns filled from the first of their sources that is set; an empty text is not set."""
+    return df.withColumns({name: falsy_coalesce(*given) for name, given in sources.items()})

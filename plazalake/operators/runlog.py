@@ -76,3 +76,15 @@ def delta_pages(rows: DataFrame, page: str, event_time: str, since: str) -> Data
     old = F.coalesce(F.col(event_time) < F.lit(since).cast("timestamp_ntz"), F.lit(False))
     last = rows.groupBy(page).agg(F.bool_and(old).alias("_old")).filter("_old").agg(F.min(page).alias("_last"))
     return rows.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).drop("_last")  # one row
+
+
+def gaps(log: DataFrame) -> DataFrame:
+    """Seconds since the run's row before; null for its first."""
+    us = F.unix_micros(F.col("ts").cast("timestamp"))
+    return log.withColumn("gap_s", (us - F.lag(us).over(Window.partitionBy("run_id").orderBy("ts", "seq"))) / 1e6)
+
+
+def positions(df: DataFrame, group: str, order: Column, amount: str) -> DataFrame:
+    """The place of each row in its group, and the amount banked up to it. One group is ordered in one task."""
+    w = Window.partitionBy(group).orderBy(order)
+    return df.withColumn("position", F.row_number().over(w)).withColumn("banked", F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, 0)))

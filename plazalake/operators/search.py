@@ -91,3 +91,12 @@ def page_by_price(df: DataFrame, page: int, size: int) -> DataFrame:
     position = F.col("_before") + F.row_number().over(Window.partitionBy("price").orderBy("listing_id")) - 1
     rows = df.join(touched, df["price"].eqNullSafe(touched["price"])).drop(touched["price"])
     return rows.withColumn("position", position).filter(F.col("position").between(first, last - 1)).drop("_before")
+
+
+def keep(df: DataFrame, title: str | None = None, property_types: Sequence[str] = (), without_point: bool = False) -> DataFrame:
+    """Rows to fetch in detail: by a part of the title, by types, and only those without a usable point."""
+    if title:
+        df = df.filter(F.contains("title", F.lit(title)))
+    if property_types:
+        df = df.filter(F.col("property_type").isin(list(property_types)))
+    return df.filter(~geo.point_ok(F.col("lat"), F.col("lng"))) if without_point else df

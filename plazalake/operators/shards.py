@@ -162,3 +162,15 @@ def next_floor(df: DataFrame, group: str, position: str, floor: float) -> DataFr
     priced = F.when((F.col("currency") == "MXN") & (F.col("price") > 0), F.col("price"))
     last = F.max_by(priced, F.when(priced.isNotNull(), F.col(position)))
     return df.groupBy(group).agg(F.greatest(last, F.lit(floor + 1)).alias("next_floor"), F.max(priced).alias("highest"))
+
+
+def needs_split(df: DataFrame, group: str, page: int) -> DataFrame:
+    """Whether a group holds more than one page, which alone calls for a split."""
+    n = F.count(F.lit(1))
+    return df.groupBy(group).agg(n.alias("n"), (n > page).alias("split"))
+
+
+def unpriced(df: DataFrame, key: str) -> DataFrame:
+    """Rows without a price, which no range by price can reach."""
+    n = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(key).isNull()).alias("unpriced"))
+    return n.withColumn("share", F.col("unpriced") / F.col("n"))

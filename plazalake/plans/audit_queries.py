@@ -51,7 +51,8 @@ def a5_grouping_sets(spark, d):
 
 @query(L + f"SELECT property_type, count(*) FILTER (WHERE {OK}) AS pins, count(*) FILTER (WHERE price < 1000) AS low, count(*) FILTER (WHERE property_type = 'BUILDING' AND area_m2 > 0) AS plots FROM listings_v GROUP BY property_type")
 def a6_conditional_counts(spark, d):
-    return listings(spark, d).groupBy("property_type").agg(F.count_if(geo.point_ok(F.col("lat"), F.col("lng"))).alias("pins"), F.count_if(F.col("price") < 1000).alias("low"), F.count_if((F.col("property_type") == "BUILDING") & (F.col("area_m2") > 0)).alias("plots"))
+    plots = (F.col("property_type") == "BUILDING") & (F.col("area_m2") > 0)
+    return audit.conditional_counts(listings(spark, d), "property_type", pins=geo.point_ok(F.col("lat"), F.col("lng")), low=F.col("price") < 1000, plots=plots)
 
 
 CENTROIDS = f"cen AS (SELECT city, province, count(*) AS n, median(lat) AS lat, median(lng) AS lng FROM listings_v WHERE {OK} GROUP BY city, province HAVING count(*) >= 5)"
@@ -134,14 +135,13 @@ def a14_dominant_label(spark, d):
 
 @query(S + "SELECT split_part(segment, '_', 1) AS root, len(string_split(segment, '_')) AS depth, count(*) AS n FROM segments_v GROUP BY 1, 2")
 def a15_depths(spark, d):
-    return view(spark, d, "segments_v").groupBy(F.substring_index("segment", "_", 1).alias("root"), text.segment_depth(F.col("segment")).cast("long").alias("depth")).agg(F.count(F.lit(1)).alias("n"))
+    return audit.depth_counts(view(spark, d, "segments_v"))
 
 
 @query("SELECT user_id % 50 AS batch, count(*) AS served, count(DISTINCT event_id % 97) AS fresh, count(*) - count(DISTINCT event_id % 97) AS overlap, round(CAST(count(DISTINCT event_id % 97) AS DOUBLE) / count(*), 8) AS yield FROM events GROUP BY 1")
 def a16_yield(spark, d):
     register(spark, d)
-    n = spark.sql("SELECT user_id % 50 AS batch, event_id % 97 AS id FROM events").groupBy("batch").agg(F.count(F.lit(1)).alias("served"), F.count_distinct("id").alias("fresh"))
-    return n.select("*", (F.col("served") - F.col("fresh")).alias("overlap"), F.round(F.col("fresh") / F.col("served"), 8).alias("yield"))
+    return audit.fetch_yield(spark.sql("SELECT user_id % 50 AS batch, event_id % 97 AS id FROM events"), "batch", "id").withColumn("yield", F.round("yield", 8))
 
 
 @query("SELECT event_type AS verdict, count(*) AS n FROM events GROUP BY 1")
@@ -185,8 +185,7 @@ def p4_degenerate_prices(spark, d):
 
 @query(L + "SELECT city, count(*) AS n, count(*) > 48 AS split FROM listings_v GROUP BY city")
 def p1_needs_split(spark, d):
-    n = F.count(F.lit(1))
-    return listings(spark, d).groupBy("city").agg(n.alias("n"), (n > 48).alias("split"))
+    return shards.needs_split(listings(spark, d), "city", 48)
 
 
 @query(L + """, s AS (SELECT property_type, list(price ORDER BY price) AS v, count(*) AS n FROM listings_v WHERE price IS NOT NULL GROUP BY 1), k AS (SELECT *, least(greatest(CAST(ceil(n / 40.0) AS BIGINT), 2), 60) AS k FROM s WHERE n > 1),
@@ -209,8 +208,7 @@ def p5_keyset_windows(spark, d):
 
 @query(L + "SELECT count(*) AS n, count(*) FILTER (WHERE price IS NULL) AS unpriced, round(CAST(count(*) FILTER (WHERE price IS NULL) AS DOUBLE) / count(*), 8) AS share FROM listings_v")
 def p6_unpriced(spark, d):
-    n = F.count(F.lit(1))
-    return listings(spark, d).agg(n.alias("n"), F.count_if(F.col("price").isNull()).alias("unpriced")).select("*", F.round(F.col("unpriced") / F.col("n"), 8).alias("share"))
+    return shards.unpriced(listings(spark, d), "price").withColumn("share", F.round("share", 8))
 
 
 @query(L + f", {BEFORE}, r AS (SELECT floor(before / 500) AS shard, min(price) AS lo, max(price) AS hi FROM bef GROUP BY 1) SELECT lo, lead(lo) OVER (ORDER BY lo) = hi AS meets_next FROM r")
@@ -225,10 +223,7 @@ def w4_next_floor(spark, d):
 
 @query(L + "SELECT listing_id, row_number() OVER (PARTITION BY city ORDER BY CAST(listing_id AS BIGINT)) AS position, CAST(sum(area_m2) OVER (PARTITION BY city ORDER BY CAST(listing_id AS BIGINT) ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS banked FROM listings_v")
 def w11_positions(spark, d):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("city").orderBy(F.col("listing_id").cast("long"))
-    return listings(spark, d).select("listing_id", F.row_number().over(w).cast("long").alias("position"), F.sum("area_m2").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("banked"))
+    return runlog.positions(listings(spark, d), "city", F.col("listing_id").cast("long"), "area_m2").select("listing_id", F.col("position").cast("long"), "banked")
 
 
 LAST = "live AS (SELECT l.* FROM log_v l JOIN (SELECT run_id, max(seq) FILTER (WHERE msg = 'run start') AS f FROM log_v GROUP BY run_id) s ON s.run_id = l.run_id WHERE f IS NULL OR seq >= f)"
@@ -256,10 +251,7 @@ def w8_dry_spells(spark, d):
 
 @query(G + "SELECT run_id, seq, round((epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY run_id ORDER BY ts, seq))) / 1e6, 3) AS gap_s FROM log_v")
 def w9_gaps(spark, d):
-    from pyspark.sql import Window
-
-    us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return log(spark, d).select("run_id", "seq", F.round((us - F.lag(us).over(Window.partitionBy("run_id").orderBy("ts", "seq"))) / 1e6, 3).alias("gap_s"))
+    return runlog.gaps(log(spark, d)).select("run_id", "seq", F.round("gap_s", 3).alias("gap_s"))
 
 
 @query(C + "SELECT query, bool_or(pos IS NULL) AS done, CASE WHEN NOT bool_or(pos IS NULL) THEN arg_max(pos, seq) FILTER (WHERE pos IS NOT NULL) END AS pos FROM checkpoints_v GROUP BY query")
@@ -337,14 +329,11 @@ def w6_remaining_time(spark, d):
     return runlog.remaining(runlog.recent_rate(log(spark, d), 20), 1000 - F.col("run_id"), 42).select("run_id", F.round("hours_left", 6).alias("hours_left"))
 
 
-PAIRS = "seg AS (SELECT segment FROM segments_v UNION SELECT regexp_replace(segment, '^[^_]*_', '') FROM segments_v UNION SELECT regexp_replace(regexp_replace(segment, '^[^_]*_', ''), '^[^_]*_', '') FROM segments_v)"
+PAIRS = "seg AS (SELECT DISTINCT array_to_string(p[i:], '_') AS segment FROM (SELECT p, unnest(range(1, len(p) + 1)) AS i FROM (SELECT string_split(segment, '_') AS p FROM segments_v)))"
 
 
 def _edges(spark, d):
-    leaf = view(spark, d, "segments_v")
-    up = lambda df: df.select(text.segment_parent(F.col("segment")).alias("segment"))
-    every = leaf.union(up(leaf)).union(up(up(leaf))).distinct()
-    return every.select(F.col("segment").alias("child"), text.segment_parent(F.col("segment")).alias("parent"), text.segment_depth(F.col("segment")).cast("long").alias("depth"))
+    return audit.segment_edges(view(spark, d, "segments_v"))
 
 
 @query(S + f", {PAIRS} SELECT segment AS child, CASE WHEN contains(segment, '_') THEN regexp_replace(segment, '^[^_]*_', '') ELSE '' END AS parent, len(string_split(segment, '_')) AS depth FROM seg")

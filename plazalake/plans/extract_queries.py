@@ -69,8 +69,8 @@ def b8_cards(spark, d):
 @query(P + "SELECT page_id, coalesce(CASE WHEN page_id % 2 = 0 THEN regexp_extract(html, '\"name\":\"([^\"]*)\"', 1) END, concat('card ', page_id)) AS name FROM pages_v")
 def b9_detail_enrichment(spark, d):
     base = pages(spark, d).select("page_id", F.concat(F.lit("card "), "page_id").alias("name"))
-    detail = extract.json_ld(pages(spark, d), "RealEstateListing").filter("page_id % 2 = 0").select("page_id", F.get_json_object("node", "$.name").alias("_name"))
-    return base.join(detail, "page_id", "left").select("page_id", text.falsy_coalesce("_name", "name").alias("name"))
+    detail = extract.json_ld(pages(spark, d), "RealEstateListing").filter("page_id % 2 = 0").select("page_id", F.get_json_object("node", "$.name").alias("name"))
+    return load.enriched(base, detail, "page_id", ["name"])
 
 
 @query("SELECT p_partkey AS page_id, p_type AS kind, CAST(p_size AS VARCHAR) AS size, p_name AS name FROM part")
@@ -122,6 +122,14 @@ def b14_total_attribute(spark, d):
     return register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), extract.total_attribute(html).alias("n"))
 
 
+@query("SELECT p_partkey AS page_id, CASE WHEN p_size % 4 <> 0 THEN CAST(p_size AS INT) END AS total FROM part")
+def b3_paging_at_any_depth(spark, d):
+    part = register(spark, d).table("part")
+    deep = F.concat(F.lit('{"a":[[{"b":{"paging":7,"c":{"paging":{"total":'), F.col("p_size").cast("string"), F.lit("}}}}]]}"))
+    found = extract.find_paging(part.select(F.col("p_partkey").alias("page_id"), F.when(F.col("p_size") % 4 == 0, F.lit('{"paging":[1]}')).otherwise(deep).alias("blob")))
+    return found.select("page_id", F.get_json_object("paging", "$.total").cast("int").alias("total"))
+
+
 @query("SELECT p_partkey AS page_id, concat('x', p_partkey) AS first_id FROM part")
 def b2_last_branch_first(spark, d):
     first, last = F.lit('{"a":{"l":[{"postingId":"no"}]},"b":[{"c":[1]},'), F.lit('"}]}}]}')
@@ -181,7 +189,7 @@ def c19_listing_number(spark, d):
 @query(P + "SELECT page_id, CASE WHEN page_id % 2 = 0 THEN regexp_extract(html, '\"name\":\"([^\"]*)\"', 1) END AS name FROM pages_v")
 def j5_card_and_json_ld(spark, d):
     nodes = extract.json_ld(pages(spark, d).filter("page_id % 2 = 0"), "RealEstateListing").select("page_id", F.get_json_object("node", "$.name").alias("name"))
-    return pages(spark, d).select("page_id").join(nodes, "page_id", "left")
+    return load.with_context(pages(spark, d).select("page_id"), nodes, "page_id", ["name"])
 
 
 @query("SELECT p_partkey AS page_id, CASE p_partkey % 3 WHEN 0 THEN CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR) WHEN 1 THEN concat(CAST(CAST(floor(p_retailprice) AS BIGINT) AS VARCHAR), '.5') END AS price FROM part")

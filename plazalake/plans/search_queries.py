@@ -84,8 +84,8 @@ def c23_sizing_arithmetic(spark, d):
 
 @query(L + "SELECT listing_id, CASE currency WHEN 'USD' THEN 'USD' ELSE 'MXN' END AS code, CASE WHEN property_type IN ('BUILDING', 'MACHINERY') THEN area_m2 END AS plot, CASE WHEN property_type NOT IN ('BUILDING', 'MACHINERY') THEN area_m2 END AS built FROM listings_v")
 def c6_c14_currency_and_area(spark, d):
-    land = F.col("property_type").isin("BUILDING", "MACHINERY")
-    return listings(spark, d).select("listing_id", text.currency_code(F.col("currency")).alias("code"), F.when(land, F.col("area_m2")).alias("plot"), F.when(~land, F.col("area_m2")).alias("built"))
+    kinds = text.area_kinds(F.col("property_type"), F.col("area_m2"), ["BUILDING", "MACHINERY"])
+    return listings(spark, d).select("listing_id", text.currency_code(F.col("currency")).alias("code"), kinds["plot"].alias("plot"), kinds["built"].alias("built"))
 
 
 @query(L + "SELECT listing_id, CASE WHEN contains(lower(property_type), 'auto') THEN 'car' WHEN contains(lower(property_type), 'build') THEN 'house' ELSE 'other' END AS kind FROM listings_v")
@@ -93,6 +93,13 @@ def c11_classify(spark, d):
     return listings(spark, d).select("listing_id", text.classify(F.concat("property_type", F.lit(" en venta")), [("auto", "car"), ("build", "house")], F.lit("other")).alias("kind"))
 
 
+@query(L + "SELECT listing_id, CASE CAST(listing_id AS BIGINT) % 4 WHEN 0 THEN 'Shop lot' WHEN 1 THEN 'Lot' WHEN 2 THEN 'Casa' ELSE 'House Boat' END AS kind FROM listings_v")
+def c11_title_or_category(spark, d):
+    k = F.col("listing_id").cast("long") % 4
+    title = F.when(k == 0, "Lote Comercial en Roma").when(k == 1, "Gran Lote en Roma").when(k == 2, "Casa en Lote").otherwise(" en Roma")
+    return listings(spark, d).select("listing_id", text.classify_title(title, [("Lote Comercial", "Shop lot"), ("Lote", "Lot")], F.lit("house boat")).alias("kind"))
+
+
 @query(L + "SELECT listing_id, CASE WHEN length(listing_id) >= 5 THEN sha256(concat('salt', '+52', '55', lpad(listing_id, 8, '0'))) ELSE '' END AS phone FROM listings_v")
 def c12_phone(spark, d):
     raw = F.when(F.length("listing_id") >= 5, F.concat(F.lit("+52 (55) "), F.lpad("listing_id", 8, "0"))).otherwise(F.lit("n/a 1"))
@@ -166,7 +173,7 @@ _filter("f9_radius", f"{OK} AND {D} <= 300000", near=NEAR, radius_m=300_000)
 
 @query(L + f"SELECT listing_id FROM listings_v WHERE contains(title, '7') AND property_type IN ('BUILDING', 'FURNITURE') AND NOT {OK}")
 def f10_keep_filters(spark, d):
-    return listings(spark, d).filter(F.contains("title", F.lit("7")) & F.col("property_type").isin("BUILDING", "FURNITURE") & ~geo.point_ok(F.col("lat"), F.col("lng"))).select("listing_id")
+    return search.keep(listings(spark, d), "7", ["BUILDING", "FURNITURE"], without_point=True).select("listing_id")
 
 
 @query(L + "SELECT listing_id, price FROM listings_v WHERE operation = 'sale' AND price >= 1000 ORDER BY price DESC NULLS LAST, listing_id LIMIT 20")
@@ -321,13 +328,14 @@ def u4_intersect(spark, d):
 @query(L + ", s AS (SELECT listing_id, lat, lng FROM listings_v WHERE CAST(listing_id AS BIGINT) % 2 = 0) SELECT s.listing_id, l.city, l.province FROM s LEFT JOIN listings_v l ON s.listing_id = l.listing_id")
 def j6_sidecar(spark, d):
     v = listings(spark, d)
-    return v.filter(F.col("listing_id").cast("long") % 2 == 0).select("listing_id", "lat", "lng").join(v.select("listing_id", "city", "province"), "listing_id", "left").select("listing_id", "city", "province")
+    points = v.filter(F.col("listing_id").cast("long") % 2 == 0).select("listing_id")
+    return load.with_context(points, v, "listing_id", ["city", "province"])
 
 
 @query(L + "SELECT listing_id, coalesce(nullif(CASE WHEN price > 200000 THEN province END, ''), city) AS city, coalesce(CASE WHEN CAST(listing_id AS BIGINT) % 7 = 0 THEN NULL ELSE area_m2 END, 1.0) AS area_m2 FROM listings_v")
 def b22_backfill(spark, d):
     v = listings(spark, d).withColumn("found", F.when(F.col("price") > 200000, F.col("province"))).withColumn("area", F.when(F.col("listing_id").cast("long") % 7 != 0, F.col("area_m2")))
-    return v.select("listing_id", text.falsy_coalesce("found", "city").alias("city"), F.coalesce("area", F.lit(1.0)).alias("area_m2"))
+    return load.backfilled(v, city=["found", "city"]).select("listing_id", "city", F.coalesce("area", F.lit(1.0)).alias("area_m2"))
 
 
 def flagship(spark, d):

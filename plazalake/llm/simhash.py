@@ -33,7 +33,7 @@ from plazalake.llm.packed import WORDS, mixed, rolling
 SHINGLE, RADIUS, SEED = 4, 4, 42
 #: Shingle, words of a fingerprint and radius of the search for similar texts.
 WIDE_SHINGLE, WIDE_WORDS, WIDE_RADIUS, SIMILARITY = 5, 4, 56, 0.8
-LONG_LIST, BLOCK = 2048, 1024
+LONG_LIST, BLOCK, SALTS = 2048, 1024, 32
 _FACTORS = tuple(np.uint64(f) for f in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 Words = tuple[np.ndarray, ...]
 
@@ -276,7 +276,10 @@ def _classes(nodes: DataFrame, links: DataFrame) -> DataFrame:
     points = stars(links)
     least = nodes.join(points.withColumnRenamed("node", "id"), "id").groupBy("root").agg(F.min("first").alias("least"))
     heads = nodes.join(least.withColumnRenamed("root", "id"), "id").select(F.col("id").alias("root"), F.least("first", "least").alias("head"))
-    members = points.join(heads, "root").select(F.col("node").alias("id"), "head").union(heads)
+    # a root may have any number of points: they are dealt over SALTS tasks, and its head goes to each
+    dealt = points.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    spread = heads.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    members = dealt.join(spread, ["root", "_salt"]).select(F.col("node").alias("id"), "head").union(heads)
     # a table, so that joins with it deal both sides anew and Spark can split a hot fingerprint
     return table(nodes.join(members, "id", "left").select("id", F.coalesce("head", "first").alias("first")))
 

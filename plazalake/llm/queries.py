@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazalake.llm import decontaminate, exact, html_text, language_model, mixing, secret_scan, simhash, substring, toxicity, warc
+from plazalake.llm import byte_bpe, decontaminate, exact, html_text, language_model, merkle, mixing, periodic, secret_scan, simhash, substring, toxicity, warc
 from plazalake.llm.common import read, tune
 
 #: Target weights of the mixture; sources not named weigh 1.
 MIX_WEIGHTS = {"src0": 4.0}
+#: The vocabulary of operator 11, by its name among the public tokenizers.
+RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,11 +59,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(read(tune(spark), sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(read(tune(spark), sf_dir, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.document_manifest(read(tune(spark), sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(periodic.planted(read(tune(spark), sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_substring_dedup, op4_exact_dedup, op5_toxicity,
         op6_simhash_near_dedup, op7_warc_revisits, op8_html_main_text, op9_lm_score, op10_secret_scan,
+        op11_byte_bpe, op12_merkle_manifest, op13_periodic_runs,
     )
 }
 
@@ -113,6 +129,33 @@ SELECT record_id, url_key, rp * 2 AS refers_to, status, CASE WHEN status = 'reso
   CASE WHEN status = 'resolved' THEN concat('age=', age, ';cache-control=max-age=120;content-length=', size, ';content-type=text/html;etag=', coalesce(etag, retag), ';last-modified=', strftime(rtm AT TIME ZONE 'UTC', '%Y-%m-%d'))
        ELSE concat('age=', age, ';cache-control=max-age=120;content-length=0', CASE WHEN etag IS NOT NULL THEN concat(';etag=', etag) ELSE '' END) END AS headers FROM s"""
 
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(octet_length(encode(CAST({0} AS VARCHAR))), ':', {0}) END"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + ", {0}))"
+#: The last bit of crc32: bytes enter the register one by one, and eight shifts follow each.
+_ODD = """1 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+  lambda r, b: list_reduce(list_prepend(xor(r, b), CAST([1, 2, 3, 4, 5, 6, 7, 8] AS BIGINT[])), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))) & 1"""
+
+_MANIFEST = f"""WITH RECURSIVE l AS (SELECT doc_id, source, {_LEAF.format(_FIELD.format("text"))} AS leaf,
+  {_LEAF.format(_FIELD.format("CASE WHEN odd = 0 THEN replace(text, chr(10), '') ELSE text END"))} AS changed FROM (SELECT *, {_ODD} AS odd FROM documents)),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS src FROM (SELECT DISTINCT source FROM documents)),
+d AS (SELECT l.*, src, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l JOIN s ON l.source IS NOT DISTINCT FROM s.source),
+t AS (SELECT src, 0 AS lvl, pos, leaf AS h FROM d UNION ALL
+  SELECT src, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM t) WHERE n > 1 GROUP BY src, lvl, pos // 3),
+b AS (SELECT src, h AS subroot FROM t QUALIFY lvl = max(lvl) OVER (PARTITION BY src)),
+f AS (SELECT 0 AS lvl, src AS pos, subroot AS h FROM b UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER () AS n FROM f) WHERE n > 1 GROUP BY lvl, pos // 3),
+tr AS (SELECT src, lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM (SELECT *, count(*) OVER (PARTITION BY src, lvl) AS n FROM t) WHERE n > 1 GROUP BY ALL),
+fr AS (SELECT lvl, pos // 3 AS run, list(h ORDER BY pos) AS hs FROM (SELECT *, count(*) OVER (PARTITION BY lvl) AS n FROM f) WHERE n > 1 GROUP BY ALL),
+w AS (SELECT src, pos AS leaf_pos, 0 AS lvl, pos, changed AS h, '' AS proof FROM d UNION ALL
+  SELECT w.src, leaf_pos, w.lvl + 1, w.pos // 3, sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = w.pos % 3 + 1 THEN w.h ELSE x END), '')), concat(proof, array_to_string(list_filter(hs, lambda x, i: i <> w.pos % 3 + 1), ''))
+  FROM w JOIN tr ON tr.src = w.src AND tr.lvl = w.lvl AND tr.run = w.pos // 3),
+v AS (SELECT src, leaf_pos, 0 AS lvl, src AS pos, h, proof FROM (SELECT * FROM w QUALIFY lvl = max(lvl) OVER (PARTITION BY src, leaf_pos)) UNION ALL
+  SELECT v.src, leaf_pos, v.lvl + 1, v.pos // 3, sha256(array_to_string(list_transform(hs, lambda x, i: CASE WHEN i = v.pos % 3 + 1 THEN v.h ELSE x END), '')), concat(proof, array_to_string(list_filter(hs, lambda x, i: i <> v.pos % 3 + 1), ''))
+  FROM v JOIN fr ON fr.lvl = v.lvl AND fr.run = v.pos // 3),
+r AS (SELECT h AS root FROM f QUALIFY lvl = max(lvl) OVER ())
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, e.h AS folded_root, e.h = root AS verified
+FROM d JOIN b ON b.src = d.src JOIN (SELECT * FROM v QUALIFY lvl = max(lvl) OVER (PARTITION BY src, leaf_pos)) e ON e.src = d.src AND e.leaf_pos = d.pos, r"""
+
 #: The others need hashes, a classifier, a flow or a compressor, which SQL does not have; tests hold
 #: them against plain versions.
 ORACLES: dict[str, str] = {
@@ -121,4 +164,5 @@ ORACLES: dict[str, str] = {
     "op3_substring_dedup": _REPEATS,
     "op4_exact_dedup": _COPIES,
     "op7_warc_revisits": _REVISITS,
+    "op12_merkle_manifest": _MANIFEST,
 }

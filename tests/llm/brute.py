@@ -215,3 +215,62 @@ def lag_ok(plan, given):
         if any(abs(out[s] - n * t / slots) >= 1 for s, n in given.items()):
             return False
     return out == Counter(given)
+
+
+def manifest(rows):
+    """(doc_id, leaf, subroot, root, proof, folded root, verified) of rows (doc_id, source, lang, n_chars, text)."""
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    field = lambda v: "-" if v is None else f"{len(str(v).encode())}:{v}"
+    leaf = lambda r, text: sha("".join(map(field, (*r[:4], text))))
+    steps = defaultdict(list)
+
+    def climb(nodes):
+        """The root of (hash, rows below), noting the siblings on the way."""
+        while len(nodes) > 1:
+            runs, nodes = [nodes[i : i + 3] for i in range(0, len(nodes), 3)], []
+            for run in runs:
+                for i, (_, below) in enumerate(run):
+                    for k in below:
+                        steps[k].append(("".join(h for h, _ in run[:i]), "".join(h for h, _ in run[i + 1 :])))
+                nodes.append((sha("".join(h for h, _ in run)), [k for _, below in run for k in below]))
+        return nodes[0]
+
+    trees = defaultdict(list)
+    for k, r in enumerate(rows):
+        trees[r[1]].append((r[0] is not None, r[0] or 0, leaf(r, r[4]), k))
+    subroots = [climb([(h, [k]) for _, _, h, k in sorted(trees[s])]) for s in sorted(trees, key=lambda s: (s is not None, (s or "").encode()))]
+    subroot = {k: h for h, below in subroots for k in below}
+    root, out = climb(subroots)[0] if subroots else None, []
+    for k, r in enumerate(rows):
+        folded = leaf(r, r[4].replace("\n", "") if r[4] is not None and fold(r[0], 2) == 0 else r[4])
+        for left, right in steps[k]:
+            folded = sha(left + folded + right)
+        out.append((r[0], leaf(r, r[4]), subroot[k], root, sha("".join(a + b for a, b in steps[k])), folded, folded == root))
+    return out
+
+
+def repeated_words(doc_id, text):
+    """The words of a text after the planting of operator 13."""
+    words = WORD.findall(text or "")
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    if h % 10 or not words:
+        return words
+    a = h // 10 % len(words)
+    p = 1 + (len(words) - a) // (3 + h // 10 % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(len(words))]
+
+
+def runs(words):
+    """(start, length, period) of all runs by trying every period, and the words that stay."""
+    n, found, gone = len(words), [], set()
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(6, 4 * q) and not any(words[i : j + q - r] == words[i + r : j + q] for r in range(1, q)):
+                found.append((i, j + q - i, q))
+                gone |= set(range(i + q, j + q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2])), [w for i, w in enumerate(words) if i not in gone]

@@ -21,7 +21,7 @@ def test_query_equals_oracle(spark, name):
 
 def test_registered():
     names = entry.queries()
-    assert set(QUERIES) | {"pipeline"} <= set(names) and [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert set(QUERIES) | {"pipeline"} <= set(names) and [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def prose(rng, n):

@@ -27,7 +27,7 @@ def predicates(
     zone: str | None = None, city: str | None = None, operation: str | None = None, property_type: str | None = None, sources: Sequence[str] = (),
     min_price: float | None = None, max_price: float | None = None, min_area: float | None = None, max_area: float | None = None,
     min_bedrooms: int | None = None, as_of: datetime | None = None, within: timedelta | None = None,
-    near: tuple[float, float] | None = None, radius_m: float | None = None,
+    near: tuple[float, float] | None = None, radius_m: float | None = None, model: str = "sphere",
 ) -> list[Column]:
     """One condition for each criterion given; an empty list of sources means all."""
     out = [F.contains(F.col("norm"), F.lit(t)) for t in query_key(zone or "").split()]
@@ -52,16 +52,17 @@ def predicates(
     if as_of is not None and within is not None:
         out.append(F.col("observed_at") >= F.lit(as_of - within).cast("timestamp_ntz"))
     if near is not None and radius_m is not None:
-        out.append(geo.within(F.col("lat"), F.col("lng"), *near, radius_m))
+        out.append(geo.within(F.col("lat"), F.col("lng"), *near, radius_m, model))
     return out
 
 
 def search(df: DataFrame, limit: int | None = 20, **criteria) -> DataFrame:
-    """Rows that meet all criteria: nearest first when a point is given, else dearest first."""
+    """Rows that meet all criteria: nearest first when a point is given, else dearest first. ``model``
+    names the distance, sphere or ellipsoid."""
     for p in predicates(**criteria):
         df = df.filter(p)
     if near := criteria.get("near"):
-        df = df.withColumn("distance_m", geo.haversine_m(F.col("lat"), F.col("lng"), F.lit(near[0]), F.lit(near[1]))).orderBy("distance_m", "listing_id")
+        df = df.withColumn("distance_m", geo.MODELS[criteria.get("model", "sphere")](F.col("lat"), F.col("lng"), F.lit(near[0]), F.lit(near[1]))).orderBy("distance_m", "listing_id")
     else:
         df = df.orderBy(F.col("price").desc_nulls_last(), "listing_id")
     return df if limit is None else df.limit(limit)

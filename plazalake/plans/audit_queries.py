@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plazalake.functions import geo, text
 from plazalake.operators import audit, geoquality, runlog, shards
 from plazalake.plans.registry import query
-from plazalake.plans.search_queries import DIST, OK, L, listings
+from plazalake.plans.search_queries import DIST, OK, L, listings, with_ellipsoid
 from plazalake.plans.views import register, view, with_views
 from plazalake.streaming import flows
 
@@ -111,6 +111,20 @@ def t2_nearest_by_query(spark, d):
     return geoquality.nearest(listings(spark, d), _points(spark), 30_000, 3).select("query_id", "listing_id", "rank")
 
 
+NEAR_POINTS = f"(SELECT listing_id, query_id, em FROM {with_ellipsoid('(SELECT * FROM listings_v, q WHERE ' + OK + ')', 'q_lat', 'q_lng')})"
+
+
+@query(L + f", {QUERY_POINTS} SELECT query_id, listing_id, round(em, 2) AS m FROM {NEAR_POINTS} WHERE em <= 15000")
+def j8_radius_join_ellipsoid(spark, d):
+    """Cells of over 1,000 listings are cut, so that the given tables reach the quadtree too."""
+    return geoquality.radius_join(listings(spark, d), _points(spark), 15_000, "ellipsoid", cell_rows=1_000).select("query_id", "listing_id", F.round("distance_m", 2).alias("m"))
+
+
+@query(L + f", {QUERY_POINTS} SELECT query_id, listing_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY em, listing_id) AS INT) AS rank FROM {NEAR_POINTS} WHERE em <= 30000 QUALIFY rank <= 3")
+def t2_nearest_by_query_ellipsoid(spark, d):
+    return geoquality.nearest(listings(spark, d), _points(spark), 30_000, 3, "ellipsoid").select("query_id", "listing_id", "rank")
+
+
 @query(L + ", g AS (SELECT property_type, count(*) AS got FROM listings_v WHERE price > 100000 GROUP BY 1), a AS (SELECT property_type, count(*) AS advertised FROM listings_v GROUP BY 1) SELECT a.property_type, advertised, coalesce(got, 0) AS got, coalesce(got, 0) < advertised * 0.9 AS short FROM a LEFT JOIN g ON a.property_type = g.property_type")
 def a11_completeness(spark, d):
     v = listings(spark, d)

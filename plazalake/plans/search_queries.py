@@ -11,6 +11,8 @@ from plazalake.operators import load, search
 from plazalake.plans.registry import query
 from plazalake.plans.views import register, view, with_views
 from plazalake.sources.listings import union_corpora
+from plazalake.sources.scratch import new_path
+from plazalake.sources.versions import VersionedTable
 
 L, O = with_views("listings_v"), with_views("observations_v")
 LO = with_views("listings_v", "observations_v")
@@ -66,6 +68,25 @@ def c17_geodesic(spark, d):
     return listings(spark, d).select("listing_id", F.round(geo.haversine_m(F.col("lat"), F.col("lng"), *map(F.lit, NEAR)), 2).alias("m"))
 
 
+def with_ellipsoid(table, to_lat, to_lng):
+    """SQL: the table's rows with ``em``, their metres on the ellipsoid to a point, by the same first-order formula."""
+    f = "(1 / 298.257223563E0)"
+    angles = f"SELECT *, atan((1 - {f}) * tan(radians(lat))) AS b1, atan((1 - {f}) * tan(radians({to_lat}))) AS b2, radians({to_lng} - lng) AS dl FROM {table}"
+    squares = f"SELECT *, least(pow(sin((b2 - b1) / 2), 2) + cos(b1) * cos(b2) * pow(sin(dl / 2), 2), 1.0E0) AS s2 FROM ({angles})"
+    metres = f"6378137.0E0 * (2 * asin(sqrt(s2)) - {f} / 2 * ((2 * asin(sqrt(s2)) - sin(2 * asin(sqrt(s2)))) * pow(sin((b1 + b2) / 2) * cos((b2 - b1) / 2), 2) / greatest(1 - s2, 1e-30) + (2 * asin(sqrt(s2)) + sin(2 * asin(sqrt(s2)))) * pow(cos((b1 + b2) / 2) * sin((b2 - b1) / 2), 2) / greatest(s2, 1e-30)))"
+    return f"(SELECT *, {metres} AS em FROM ({squares}))"
+
+
+@query(L + f"SELECT listing_id, round(em, 2) AS m FROM {with_ellipsoid('listings_v', *NEAR)}")
+def c17_ellipsoid(spark, d):
+    return listings(spark, d).select("listing_id", F.round(geo.ellipsoid_m(F.col("lat"), F.col("lng"), *map(F.lit, NEAR)), 2).alias("m"))
+
+
+@query(L + f"SELECT listing_id, round(em, 2) AS m FROM {with_ellipsoid('listings_v', *NEAR)} WHERE {OK} AND em <= 400000")
+def f9_radius_ellipsoid(spark, d):
+    return search.search(listings(spark, d), limit=None, near=NEAR, radius_m=400_000, model="ellipsoid").select("listing_id", F.round("distance_m", 2).alias("m"))
+
+
 @query(L + "SELECT listing_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, regexp_extract(url, '^[^?#]*', 0) AS bare, concat('https://x.org/item/', listing_id) AS absolute FROM listings_v")
 def c18_url_pieces(spark, d):
     return listings(spark, d).select("listing_id", text.url_host(F.col("url")).alias("host"), text.url_bare(F.col("url")).alias("bare"), text.url_absolute(F.concat(F.lit("item/"), "listing_id"), "https://x.org/").alias("absolute"))
@@ -252,6 +273,17 @@ def j3_upsert(spark, d):
     return load.upsert(b, n, ["listing_id"], keep_if_null=["lat", "lng"]).select("listing_id", "price", "lat", "lng")
 
 
+@query(LO + ", " + BASE + ", n AS (SELECT l.source, f.* FROM fresh f JOIN listings_v l ON l.listing_id = f.listing_id WHERE l.source < '3'), b AS (SELECT l.source, x.* FROM base x JOIN listings_v l ON l.listing_id = x.listing_id) SELECT coalesce(n.source, b.source) AS source, coalesce(n.listing_id, b.listing_id) AS listing_id, CASE WHEN n.listing_id IS NOT NULL THEN n.price ELSE b.price END AS price, coalesce(n.lat, b.lat) AS lat FROM b FULL JOIN n ON b.listing_id = n.listing_id")
+def j3_upsert_version(spark, d):
+    """Two sources of five are touched: the new version takes the others over as they are."""
+    b, n = _base_and_new(spark, d)
+    sources = listings(spark, d).select("source", "listing_id")
+    table = VersionedTable(spark, new_path(spark), "source")
+    table.replace(b.join(sources, "listing_id"))
+    table.upsert(n.join(sources, "listing_id").filter("source < '3'"), load.KEYS, keep_if_null=["lat", "lng"])
+    return table.read().select("source", "listing_id", "price", "lat")
+
+
 @query(LO + ", " + BASE + " SELECT coalesce(f.listing_id, b.listing_id) AS listing_id, CASE WHEN f.listing_id IS NOT NULL AND (b.observed_at IS NULL OR f.observed_at >= b.observed_at) THEN f.price ELSE b.price END AS price FROM base b FULL JOIN fresh f ON b.listing_id = f.listing_id")
 def r9_newest_wins(spark, d):
     b, n = _base_and_new(spark, d)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -10,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from plazalake.operators.load import latest_per_key, upsert
+from plazalake.operators.load import latest_per_key
+from plazalake.sources.versions import VersionedTable
 
 
 def deduplicated(stream: DataFrame, keys: Sequence[str], event_time: str | None = None, late: str = "1 day") -> DataFrame:
@@ -41,14 +44,36 @@ def append_available(stream: DataFrame, path: str, checkpoint: str) -> Streaming
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def upsert_available(stream: DataFrame, keys: Sequence[str], order: Sequence[str], read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], checkpoint: str, keep_if_null: Sequence[str] = ()) -> StreamingQuery:
-    """Per micro-batch: latest row per key, upsert over what ``read`` gives, ``write`` of a new version."""
+def upsert_versions(stream: DataFrame, table: VersionedTable, keys: Sequence[str], order: Sequence[str], checkpoint: str, keep_if_null: Sequence[str] = (), newest: str | None = None) -> DataStreamWriter:
+    """A writer that upserts each micro-batch's latest row per key into a new version of ``table``. The
+    checkpoint names the stream: its batches are committed once each, also when one is run again
+    because the job died between the table's commit and the checkpoint's. With ``newest``, a batch
+    that comes late does not write over newer rows."""
 
     def batch(df: DataFrame, epoch: int) -> None:
         latest = latest_per_key(df, keys, [F.col(c).desc_nulls_last() for c in order])
-        write(upsert(read(), latest.select(*read().columns), keys, keep_if_null), epoch)
+        table.upsert(latest, keys, keep_if_null, newest, stream=checkpoint, epoch=epoch)
 
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+
+
+def first_batch(writer: DataStreamWriter, wait_s: float = 300) -> StreamingQuery:
+    """Run one micro-batch, as large as the source's rate limit allows, and stop."""
+    query = writer.trigger(processingTime="3650 days").start()
+    until = time.monotonic() + wait_s
+    try:
+        while query.lastProgress is None and query.isActive and time.monotonic() < until:
+            time.sleep(0.05)
+    finally:
+        query.stop()
+    if query.exception():
+        raise query.exception()
+    return query
+
+
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
+    """Key and value of each row that a stopped stream holds in its state."""
+    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint).select("key", "value")
 
 
 class Breaker(StatefulProcessor):

@@ -173,11 +173,6 @@ def test_streams_equal_batch(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 9
     flows.append_available(flows.deduplicated(stream, ["k"], "ts"), str(tmp_path / "out"), str(tmp_path / "c1")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 9
-    kept = {}
-    base = spark.createDataFrame([(1, None, None, None, None), (77, None, None, None, None)], "k int, ts timestamp, ok boolean, run_id long, seq long")
-    flows.upsert_available(stream, ["k"], ["ts"], lambda: base, lambda d, e: kept.update({r["k"]: r for r in d.collect()}), str(tmp_path / "c2")).awaitTermination()
-    want = load.upsert(base, load.latest_per_key(df, ["k"], [F.col("ts").desc()]), ["k"])
-    assert kept == {r["k"]: r for r in want.collect()}
     rate = flows.event_rate(df, "ts").agg(F.sum("n")).first()[0]
     assert rate == 300 and flows.sessions(df, "ts", "61 seconds").count() == 1 and flows.since(df, "ts", "2024-01-01 00:10:00").count() == 20
 

@@ -20,6 +20,7 @@ the tree goes on over tasks. Decoding concatenates bytes up the same tree.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator, Sequence
 from itertools import chain
 from operator import add
@@ -34,41 +35,135 @@ from pyspark.sql import functions as F
 from plazalake.llm.common import table, text_of
 
 #: Characters of a text that is matched at once, bytes of a match that are merged at once.
-LEAF_CHARS, LEAF_BYTES = 1 << 13, 32
+LEAF_CHARS, LEAF_BYTES = 1 << 14, 32
 #: Characters of a piece, the part of a text that one task encodes.
 PIECE_CHARS = 1 << 16
 #: Characters that decide whether a contraction starts: the apostrophe and two letters.
 LOOKAHEAD = 3
-#: Matches that an encoder remembers at least, and the rank of a pair that no token joins.
-_CACHED, _NONE = 300_000, 1 << 60
+#: Words that an encoder remembers at least, and the rank of a pair that no token joins.
+_CACHED, _NONE = 200_000, 1 << 60
 
 Element = tuple[np.ndarray, np.ndarray]
 """Token ids, and how many of them each match of the pattern has."""
 
 
-class Codec(dict):
-    """The encoder of one vocabulary; as a dict it remembers the tokens of matches, up to a bound."""
+class Codec:
+    """The encoder of one vocabulary. It remembers, up to a bound, the tokens of matches and of words behind a
+    space, as bytes of int32: no match goes on from another character into a space, so such a word is
+    matched by itself. (A word that ends in white space does not end there, and is not remembered.)"""
 
     def __init__(self, rank_file: bytes, pattern: str):
-        super().__init__()
-        self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_file.splitlines())}
-        self.tokens = {rank: token for token, rank in self.ranks.items()}
+        self.ranks = ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_file.splitlines())}
         self.matches = regex.compile(pattern).findall
-        self.older: dict[str, tuple[int, ...]] = {}
-        self.rank_of = lambda pair, get=self.ranks.get: get(pair, _NONE)
-
-    def __missing__(self, match: str) -> tuple[int, ...]:
-        if len(self) >= _CACHED:  # frequent matches come back from the older half
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(match)
+        self.rank_of = lambda pair, get=ranks.get: get(pair, _NONE)
+        self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        # the bytes of all tokens behind one another
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
+        self.lengths = np.array([len(token) for token in self.tokens])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        # every way to put a token together from two
+        self.of_byte = np.array([ranks[bytes([i])] for i in range(256)])
+        pairs = sorted((ranks[t[:i]] << 32 | ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks)
+        self.pairs, self.pair_ranks = (np.array(c, np.int64) for c in zip(*pairs, (1 << 62, _NONE)))
+
+    def of_match(self, match: str) -> bytes:
+        value = self.known.get(match)
         if value is None:
-            value = tuple(self.encode_match(match.encode()))
-        self[match] = value
+            value = self.known[match] = array("i", self.encode_match(match.encode())).tobytes()
         return value
 
+    def learn(self, texts: Sequence[str]) -> None:
+        """Remember all words of some texts. What is new is matched and merged at once."""
+        if len(self.words) > _CACHED:  # frequent words come back from the older half
+            self.older_words, self.words = self.words, {}
+        if len(self.known) > 2 * _CACHED:
+            self.known = {}
+        new = set().union(*(text.split(" ") for text in texts)).difference(self.words)
+        back = new.intersection(self.older_words)
+        self.words.update((word, self.older_words[word]) for word in back)
+        words = [word for word in new.difference(back) if word and not word[-1].isspace()]
+        if not words:
+            return
+        found = self.matches(" " + " ".join(words))
+        unknown = [m for m in set(found).difference(self.known)]
+        data = [m.encode() for m in unknown]
+        short = [i for i, d in enumerate(data) if len(d) <= LEAF_BYTES]
+        self.known.update(zip([unknown[i] for i in short], self.merge_all([data[i] for i in short])))
+        parts = list(map(self.of_match, found))
+        ends = np.cumsum([0, *map(len, parts)])
+        # the first match of a word holds its space
+        starts = [*ends[:-1][[m[0] == " " for m in found]].tolist(), int(ends[-1])]
+        joined = b"".join(parts)
+        self.words.update(zip(words, [joined[a:b] for a, b in zip(starts, starts[1:])]))
+
+    def decode(self, ids: Sequence[int]) -> bytes:
+        if len(ids) <= LEAF_BYTES:
+            return b"".join([self.tokens[i] for i in ids])
+        if len(ids) > PIECE_CHARS:
+            half = len(ids) // 2
+            return self.decode(ids[:half]) + self.decode(ids[half:])
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1])].tobytes()
+
+    def merge_all(self, words: list[bytes]) -> list[bytes]:
+        """Tokens of many short words: each step merges the pair of least rank in every word that has one."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        out = [b""] * len(words)
+        for low in range(0, LEAF_BYTES, 8):  # words of about one length share a matrix
+            chosen = np.flatnonzero((lengths > low) & (lengths <= low + 8))
+            if len(chosen):
+                padded = np.frombuffer(b"".join([words[i].ljust(low + 8, b"\0") for i in chosen.tolist()]), np.uint8)
+                merged, counts = self._merge_matrix(padded.reshape(len(chosen), low + 8), lengths[chosen])
+                data, step = merged.astype(np.int32).tobytes(), 4 * (low + 8)
+                for at, (i, n) in enumerate(zip(chosen.tolist(), counts.tolist())):
+                    out[i] = data[at * step : at * step + 4 * n]
+        return out
+
+    def _merge_matrix(self, data: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        tokens, counts, width = self.of_byte[data], counts.copy(), data.shape[1]
+        places = np.arange(width)
+        ranks = np.full(data.shape, _NONE)  # of the pair that starts here
+        ranks[:, :-1] = self._pair_ranks(tokens[:, :-1], tokens[:, 1:])
+        ranks[places >= counts[:, None] - 1] = _NONE
+        live = np.arange(len(data))
+        while len(live):
+            at = ranks[live].argmin(axis=1)
+            least = ranks[live, at]
+            live, at, least = live[least < _NONE], at[least < _NONE], least[least < _NONE]
+            after = np.minimum(places + (places > at[:, None]), width - 1)  # what lies behind moves up by one
+            tokens[live] = np.take_along_axis(tokens[live], after, 1)
+            after = np.minimum(places + (places >= at[:, None]), width - 1)
+            ranks[live] = np.take_along_axis(ranks[live], after, 1)
+            tokens[live, at] = least
+            ranks[live, -1] = _NONE
+            counts[live] -= 1
+            for first, near in ((at, at + 1 < counts[live]), (at - 1, at > 0)):
+                row, i = live[near], first[near]
+                ranks[row, i] = self._pair_ranks(tokens[row, i], tokens[row, i + 1])
+            alone = at + 1 >= counts[live]
+            ranks[live[alone], at[alone]] = _NONE
+        return tokens, counts
+
+    def _pair_ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a << 32 | b
+        at = np.searchsorted(self.pairs, keys)
+        return np.where(self.pairs[at] == keys, self.pair_ranks[at], _NONE)
+
     def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        if len(ids) <= LEAF_BYTES:
+            return b"".join([self.tokens[i] for i in ids])
+        if len(ids) > PIECE_CHARS:
+            half = len(ids) // 2
+            return self.decode(ids[:half]) + self.decode(ids[half:])
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        return self.flat[np.repeat(self.starts[ids] - ends + lengths, lengths) + np.arange(ends[-1])].tobytes()
 
     def merge(self, data: bytes) -> list[int]:
         """Tokens of some bytes by the rule itself: the pair of least rank first, of ties the leftmost."""
@@ -125,12 +220,20 @@ class Codec(dict):
 
     def encode(self, text: str) -> Element:
         if len(text) <= LEAF_CHARS:
-            found = [self[m] for m in self.matches(text)]
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), sizes
+            found = list(map(self.of_match, self.matches(text)))
+            return np.frombuffer(b"".join(found), np.int32), np.fromiter(map(len, found), np.int32, len(found)) // 4
         half = len(text) // 2
         return self.join(self.encode(text[:half]), self.encode(text[half:]))
 
+    def encode_ids(self, text: str) -> np.ndarray:
+        """The token ids alone: of a short text by its words, if all of them are remembered."""
+        if len(text) <= LEAF_CHARS:
+            first, *words = text.split(" ")
+            found = list(map(self.words.get, words))
+            if None not in found and first and not first[-1].isspace():
+                return np.frombuffer(b"".join([*map(self.of_match, self.matches(first)), *found]), np.int32)
+        return self.encode(text)[0]
+
     def join(self, left: Element, right: Element) -> Element:
         """The element of both texts, one behind the other."""
         (a_ids, a_sizes), (b_ids, b_sizes) = left, right
@@ -182,7 +285,7 @@ class Codec(dict):
         for match in found:
             end = at + len(match)
             if len(match) <= LEAF_BYTES:
-                new.append(self[match])
+                new.append(self.encode_match(match.encode()))
             else:
                 tokens, here = [], at
                 while here < end:
@@ -222,18 +325,22 @@ def _lists(values: Sequence[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *values]), kind))
 
 
-def _encoded(texts: DataFrame, shared: Broadcast) -> DataFrame:
-    """``texts`` (columns, then text) with the element of the text in its place: ids, sizes."""
+def _encoded(texts: DataFrame, shared: Broadcast, whole: bool) -> DataFrame:
+    """``texts`` (columns, then text) with the token ids of the text in its place; with the whole element,
+    ids and sizes, if that is to be joined."""
     names = texts.columns[:-1]
     schema = ", ".join(f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in batches:
-            found = [codec.encode(text.as_py()) for text in batch.column(len(names))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], _lists([i for i, _ in found], pa.int32()), _lists([s for _, s in found], pa.int32())], [*names, "ids", "sizes"])
+            given = batch.column(len(names)).to_pylist()
+            codec.learn(given)
+            parts = zip(*map(codec.encode, given)) if whole else [map(codec.encode_ids, given)]
+            lists = [_lists(list(part), pa.int32()) for part in parts] or [_lists([], pa.int32())] * 2
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], [*names, "ids", "sizes"][: len(names) + len(lists)])
 
-    return texts.mapInArrow(run, f"{schema}, ids array<int>, sizes array<int>")
+    return texts.mapInArrow(run, f"{schema}, ids array<int>" + (", sizes array<int>" if whole else ""))
 
 
 def _joined(elements: DataFrame, shared: Broadcast) -> DataFrame:
@@ -273,13 +380,13 @@ def encode(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     """
     shared = vocabulary(docs.sparkSession, rank_file, pattern)
     given = docs.select("doc_id", text_of().alias("text"))
-    short = _encoded(given.filter(F.length("text") <= PIECE_CHARS), shared).select("doc_id", "ids")
+    short = _encoded(given.filter(F.length("text") <= PIECE_CHARS), shared, False)
     # row numbers are stored with the pieces: computed anew they could differ from job to job
     long = given.filter(F.length("text") > PIECE_CHARS).withColumn("row", F.monotonically_increasing_id())
     starts = F.expr(f"sequence(0L, (length(text) - 1) div {PIECE_CHARS})")
     pieces = long.select("row", "doc_id", "text", F.explode(starts).alias("piece"))
     cut = F.substring("text", F.col("piece").cast("int") * PIECE_CHARS + 1, F.lit(PIECE_CHARS))
-    parts = table(_encoded(pieces.select("row", "doc_id", "piece", cut.alias("text")), shared))
+    parts = table(_encoded(pieces.select("row", "doc_id", "piece", cut.alias("text")), shared, True))
     last = parts.agg(F.max("piece")).first()[0] or 0
     elements = parts.select("row", "piece", "ids", "sizes")
     for _ in range(int(last).bit_length()):
@@ -298,7 +405,7 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in batches:
-            data = [codec.decode(ids.as_py() or ()) for ids in batch.column(len(names))]
+            data = [codec.decode(ids.values.to_numpy()) if ids.is_valid else b"" for ids in batch.column(len(names))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(data, pa.binary())], [*names, "bytes"])
 
     return encoded.select(*names, "ids").mapInArrow(run, f"{schema}, bytes binary")

@@ -98,11 +98,12 @@ def test_bpe_joins_at_any_cut(codec, library, parts, leaf):
     want = library.encode_ordinary(text)
     for cut in range(len(text) + 1):
         joined = codec.join(codec.encode(text[:cut]), codec.encode(text[cut:]))
-        assert joined[0].tolist() == want and [int(n) for n in joined[1]] == [len(codec[m]) for m in codec.matches(text)]
+        assert joined[0].tolist() == want and [int(n) for n in joined[1]] == [len(codec.encode_match(m.encode())) for m in codec.matches(text)]
+    codec.learn([text, "a  b \n"])
+    assert codec.encode_ids(text).tolist() == want
     before, byte_bpe.LEAF_CHARS, byte_bpe.LEAF_BYTES = (byte_bpe.LEAF_CHARS, byte_bpe.LEAF_BYTES), leaf, leaf
     try:
-        codec.clear()
-        codec.older = {}
+        codec.known = {}
         assert codec.encode(text)[0].tolist() == want
     finally:
         byte_bpe.LEAF_CHARS, byte_bpe.LEAF_BYTES = before

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Mapping
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,25 @@ def ancestor(location: Column, label: str, depth: int = 5) -> Column:
     return F.coalesce(*(F.when(F.try_variant_get(location, f"{p}.label", "string") == label, F.try_variant_get(location, f"{p}.name", "string")) for p in levels))
 
 
+def ancestors(places: DataFrame, starts: DataFrame, label: str, most: int = 1000) -> DataFrame:
+    """(id, name, depth) for each distinct id of ``starts``: the nearest place of a label at or above it in
+    the table ``places`` (id, parent_id, label, name; one row an id), at any depth up to ``most``; null
+    without one. A chain ends where its parent is null or unknown, or where it comes back to a place that
+    it has passed. One join a level, for all starts at once: give the distinct places, not every listing."""
+    spark = places.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # the default stops at a million rows
+    return spark.sql(
+        f"""WITH RECURSIVE up MAX RECURSION LEVEL {most} AS (
+            SELECT s.id AS start, p.id, p.parent_id, p.label, p.name, 0 AS depth, array(p.id) AS seen FROM (SELECT DISTINCT id FROM {{starts}}) s JOIN {{places}} p ON p.id = s.id
+            UNION ALL
+            SELECT up.start, p.id, p.parent_id, p.label, p.name, up.depth + 1, concat(up.seen, array(p.id)) FROM up JOIN {{places}} p ON p.id = up.parent_id
+            WHERE NOT (up.label <=> :label) AND NOT array_contains(up.seen, p.id)),
+        found AS (SELECT start, name, depth FROM up WHERE label = :label)
+        SELECT s.id, found.name, found.depth FROM (SELECT DISTINCT id FROM {{starts}}) s LEFT JOIN found ON found.start = s.id""",
+        {"label": label}, starts=starts, places=places,
+    )
+
+
 def label_map(pairs: Column, highlighted: Column) -> Column:
     """Map of label and value entries, the last of a label; highlighted ones only where absent."""
     last = lambda a: F.map_from_entries(F.filter(a, lambda e, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda o: o["key"] == e["key"])))
@@ -188,6 +207,26 @@ def cards(pages: DataFrame, block: str, fields: Mapping[str, str]) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), "html").mapInArrow(run, "page_id long, position int, " + ", ".join(f"`{n}` string" for n in names))
 
 
+@F.udtf(returnType="position int, fields map<string,string>", useArrow=True)
+class CardRows:
+    """``cards(html, block, fields)`` for SQL, beside LATERAL: a row for each block of a class, with its
+    fields. ``fields`` lists names, each alone for the block's ``data-`` attribute or as name=class for the
+    text of a child of that class, divided by commas. A null page has no rows. Pages reach it in Arrow
+    batches; a table function on whole batches cannot stand beside LATERAL."""
+
+    def eval(self, html: str, block: str, fields: str):
+        parser = _Cards(block, {k.strip(): c.strip() for k, _, c in (f.partition("=") for f in fields.split(","))})
+        parser.feed(html or "")
+        parser.close()
+        for position, row in enumerate(parser.rows):
+            yield position, {k: v for k, v in row.items() if v is not None}
+
+
+def register_functions(spark: SparkSession) -> None:
+    """Make the table functions known to SQL."""
+    spark.udtf.register("cards", CardRows)
+
+
 def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
     """The array of listings in a JSON text, as JSON text: a member of an object whose first element has
     a postingId. Depth first: an object's own members before what is below them, and of these the last

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from plazalake.functions import geo
 from plazalake.functions.text import search_key
 from plazalake.operators.shards import price_counts
+from plazalake.sources import layout
 
 
 def query_key(text: str) -> str:
@@ -58,7 +59,9 @@ def predicates(
 
 def search(df: DataFrame, limit: int | None = 20, **criteria) -> DataFrame:
     """Rows that meet all criteria: nearest first when a point is given, else dearest first. ``model``
-    names the distance, sphere or ellipsoid."""
+    names the distance, sphere or ellipsoid. In a table laid out by ``cell`` a radius also limits that."""
+    if criteria.get("near") and criteria.get("radius_m") is not None and "cell" in df.columns:
+        df = df.filter(layout.in_ranges(F.col("cell"), layout.ranges(*criteria["near"], criteria["radius_m"])))
     for p in predicates(**criteria):
         df = df.filter(p)
     if near := criteria.get("near"):

@@ -9,7 +9,9 @@ from plazalake.operators import extract, load
 from plazalake.plans.registry import query
 from plazalake.plans.search_queries import L, listings
 from plazalake.plans.views import register, view, with_views
+from plazalake.sources import pages as page_files
 from plazalake.sources.listings import sitemap_urls
+from plazalake.sources.scratch import new_path
 
 P = with_views("pages_v")
 S = with_views("segments_v")
@@ -66,6 +68,22 @@ def b8_cards(spark, d):
     return extract.cards(pages(spark, d), "card", {"id": "", "price": "price"})
 
 
+@query(P + "SELECT page_id, 0 AS position, CAST(page_id AS VARCHAR) AS id, regexp_extract(html, 'class=\"price\">([^<]*)<', 1) AS price FROM pages_v")
+def b8_cards_in_sql(spark, d):
+    extract.register_functions(spark)
+    return spark.sql("SELECT page_id, c.position, c.fields['id'] AS id, c.fields['price'] AS price FROM {pages}, LATERAL cards(html, 'card', 'id, price=price') c", pages=pages(spark, d))
+
+
+#: A tree over the parts: the parent of k is k div 2; every 97th hangs below its own child, and every 31st has no parent.
+PLACES = "SELECT p_partkey AS id, CASE WHEN p_partkey % 97 = 0 THEN p_partkey * 2 WHEN p_partkey % 31 = 0 OR p_partkey = 1 THEN NULL ELSE p_partkey {0} 2 END AS parent_id, CASE WHEN p_size % 25 = 0 THEN 'city' ELSE 'zone' END AS label, p_name AS name FROM part"
+
+
+@query("WITH RECURSIVE p AS (" + PLACES.format("//") + "), up AS (SELECT id AS start, *, CAST(0 AS INT) AS depth, [id] AS seen FROM p UNION ALL SELECT up.start, p.*, up.depth + 1, list_append(seen, p.id) FROM up JOIN p ON p.id = up.parent_id WHERE up.label <> 'city' AND NOT list_contains(seen, p.id)) SELECT p.id, up.name, up.depth FROM p LEFT JOIN up ON up.start = p.id AND up.label = 'city'")
+def b11_ancestor_at_any_depth(spark, d):
+    places = register(spark, d).sql(PLACES.format("div"))
+    return extract.ancestors(places, places, "city")
+
+
 @query(P + "SELECT page_id, coalesce(CASE WHEN page_id % 2 = 0 THEN regexp_extract(html, '\"name\":\"([^\"]*)\"', 1) END, concat('card ', page_id)) AS name FROM pages_v")
 def b9_detail_enrichment(spark, d):
     base = pages(spark, d).select("page_id", F.concat(F.lit("card "), "page_id").alias("name"))
@@ -170,6 +188,19 @@ def s4_stored_pages(spark, d):
     return stored(spark, d).groupBy(text.url_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("html")).alias("chars"))
 
 
+@query("SELECT page_id, url, CASE WHEN length(html) < 2000 THEN 'unknown' ELSE 'no-coords' END AS verdict, CAST(length(html) AS INT) AS n FROM pages")
+def s4_saved_pages(spark, d):
+    """Every page as a file of its own, half of them gzipped, in folders named by url; read back and judged."""
+    path = new_path(spark)
+    named = stored(spark, d).select("html", F.concat_ws(" ", "page_id", "url").alias("page"))
+    for i, packing in enumerate(("none", "gzip")):
+        part = named.filter(F.pmod(F.crc32(F.col("page").cast("binary")), F.lit(2)) == i)
+        part.repartition("page").write.partitionBy("page").mode("append").option("compression", packing).text(path)
+    found, _ = page_files.read_pages(spark, path, r"page=([^/]*)/", "*.{txt,txt.gz}")
+    html = F.regexp_replace("html", "\n$", "")  # the text sink ends its lines
+    return found.select(F.substring_index("url", " ", 1).cast("long").alias("page_id"), F.regexp_replace("url", "^[^ ]* ", "").alias("url"), extract.verdict(html, 2000).alias("verdict"), F.length(html).alias("n"))
+
+
 @query(S + "SELECT concat('https://x.org/', segment) AS url FROM segments_v")
 def s5_sitemap(spark, d):
     xml = view(spark, d, "segments_v").groupBy(F.substring("segment", 1, 1)).agg(F.concat_ws("", F.collect_list(F.concat(F.lit("<url><loc>https://x.org/"), "segment", F.lit("</loc></url>")))).alias("value"))

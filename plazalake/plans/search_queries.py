@@ -10,6 +10,7 @@ from plazalake.functions import geo, text
 from plazalake.operators import load, search
 from plazalake.plans.registry import query
 from plazalake.plans.views import register, view, with_views
+from plazalake.sources import layout
 from plazalake.sources.listings import union_corpora
 from plazalake.sources.scratch import new_path
 from plazalake.sources.versions import VersionedTable
@@ -192,6 +193,24 @@ _filter("f8_recent", "observed_at >= TIMESTAMP '1997-01-01' - INTERVAL 400 DAY",
 _filter("f9_radius", f"{OK} AND {D} <= 300000", near=NEAR, radius_m=300_000)
 
 
+@query(L + f"SELECT listing_id, round({D}, 2) AS m FROM listings_v WHERE {OK} AND {D} <= 100000")
+def f9_clustered_radius(spark, d):
+    """The table is written sorted by cell; the search reads the row groups that its cells touch."""
+    path = new_path(spark)
+    layout.clustered(listings(spark, d)).write.parquet(path)
+    found = search.search(spark.read.parquet(path), limit=None, near=NEAR, radius_m=100_000)
+    return found.select("listing_id", F.round("distance_m", 2).alias("m"))
+
+
+_SPREAD = "list_sum(list_transform(range(16), lambda i: (({0} >> i) & 1) << (2 * i)))"
+_STEP = "CAST(least(floor(({0} - {1}) / {2} * 65536), 65535) AS BIGINT)"
+
+
+@query(L + f"SELECT listing_id, CASE WHEN {OK} THEN CAST(2 * {_SPREAD.format(_STEP.format('lat', '-90.0E0', '180.0E0'))} + {_SPREAD.format(_STEP.format('lng', '-180.0E0', '360.0E0'))} AS BIGINT) END AS cell FROM listings_v")
+def b20_cell(spark, d):
+    return listings(spark, d).select("listing_id", layout.cell(F.col("lat"), F.col("lng")).alias("cell"))
+
+
 @query(L + f"SELECT listing_id FROM listings_v WHERE contains(title, '7') AND property_type IN ('BUILDING', 'FURNITURE') AND NOT {OK}")
 def f10_keep_filters(spark, d):
     return search.keep(listings(spark, d), "7", ["BUILDING", "FURNITURE"], without_point=True).select("listing_id")

@@ -18,7 +18,7 @@ RAW_SCHEMA = (
 TABLE_SCHEMA = (
     "source string, listing_id string, url string, title string, operation string, price decimal(18,2), currency string, property_type string, area_m2 double, "
     "plot_area_m2 double, built_area_m2 double, bedrooms int, bathrooms int, location string, city string, province string, agency_name string, agent_phone string, "
-    "description string, image_url string, price_is_per_m2 boolean, listed_at timestamp, observed_at timestamp, lat double, lng double, norm string"
+    "description string, image_url string, price_is_per_m2 boolean, listed_at timestamp, observed_at timestamp, lat double, lng double, norm string, cell long"
 )
 
 
@@ -52,6 +52,7 @@ def to_table(rows: DataFrame, salt: str) -> DataFrame:
     """The table's columns from JSON rows: types, search key, point, and phones as salted digests."""
     from plazalake.functions import geo
     from plazalake.functions.text import phone, search_key, utc_time
+    from plazalake.sources.layout import cell
 
     good = geo.point_ok(F.col("coordinates.lat"), F.col("coordinates.lng"))
     c = F.col
@@ -60,7 +61,7 @@ def to_table(rows: DataFrame, salt: str) -> DataFrame:
         c("areaM2").alias("area_m2"), c("plotAreaM2").alias("plot_area_m2"), c("builtAreaM2").alias("built_area_m2"), "bedrooms", "bathrooms", "location", "city", "province",
         c("agencyName").alias("agency_name"), phone(c("agentPhone"), salt).alias("agent_phone"), "description", c("imageUrl").alias("image_url"), c("priceIsPerM2").alias("price_is_per_m2"),
         utc_time(c("listedAt")).alias("listed_at"), utc_time(c("observedAt")).alias("observed_at"), F.when(good, c("coordinates.lat")).alias("lat"), F.when(good, c("coordinates.lng")).alias("lng"),
-        search_key("location", "city", "province", "title").alias("norm"),
+        search_key("location", "city", "province", "title").alias("norm"), cell(c("coordinates.lat"), c("coordinates.lng")).alias("cell"),
     )
 
 

@@ -40,8 +40,10 @@ LEAF_CHARS, LEAF_BYTES = 1 << 14, 32
 PIECE_CHARS = 1 << 16
 #: Characters that decide whether a contraction starts: the apostrophe and two letters.
 LOOKAHEAD = 3
+#: Characters of the texts whose new words are learnt at once.
+PORTION_CHARS = 1 << 21
 #: Words that an encoder remembers at least, and the rank of a pair that no token joins.
-_CACHED, _NONE = 200_000, 1 << 60
+_CACHED, _NONE = 80_000, 1 << 60
 
 Element = tuple[np.ndarray, np.ndarray]
 """Token ids, and how many of them each match of the pattern has."""
@@ -325,6 +327,19 @@ def _lists(values: Sequence[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int32), *values]), kind))
 
 
+def _portions(texts: pa.StringArray) -> Iterator[list[str]]:
+    """Texts in lists of some megabytes, of which the new words are learnt at once."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.as_py())
+        size += len(held[-1])
+        if size >= PORTION_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def _encoded(texts: DataFrame, shared: Broadcast, whole: bool) -> DataFrame:
     """``texts`` (columns, then text) with the token ids of the text in its place; with the whole element,
     ids and sizes, if that is to be joined."""
@@ -334,10 +349,12 @@ def _encoded(texts: DataFrame, shared: Broadcast, whole: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for batch in batches:
-            given = batch.column(len(names)).to_pylist()
-            codec.learn(given)
-            parts = zip(*map(codec.encode, given)) if whole else [map(codec.encode_ids, given)]
-            lists = [_lists(list(part), pa.int32()) for part in parts] or [_lists([], pa.int32())] * 2
+            found = []
+            for portion in _portions(batch.column(len(names))):
+                if not whole:
+                    codec.learn(portion)
+                found += map(codec.encode, portion) if whole else ((codec.encode_ids(text),) for text in portion)
+            lists = [_lists([f[i] for f in found], pa.int32()) for i in range(1 + whole)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *lists], [*names, "ids", "sizes"][: len(names) + len(lists)])
 
     return texts.mapInArrow(run, f"{schema}, ids array<int>" + (", sizes array<int>" if whole else ""))

@@ -101,8 +101,11 @@ def coordinate(text: Column) -> Column:
 
 
 def utc_time(text: Column) -> Column:
-    """ISO text to a timestamp in UTC; text without a zone is UTC, a date is midnight; else null."""
-    return F.try_to_timestamp(F.nullif(F.trim(text), F.lit("")))
+    """ISO text to a timestamp; text without a zone is UTC whatever the session's zone is, a date is
+    midnight in UTC; else null."""
+    bare = F.nullif(F.trim(text), F.lit(""))
+    zoned = F.when(bare.rlike(r"^\d{4}-\d{2}-\d{2}$"), F.concat(bare, F.lit("T00:00:00Z"))).when(bare.rlike(r"^\d{4}-\d{2}-\d{2}[T ][\d:.]+$"), F.concat(bare, F.lit("Z")))
+    return F.try_to_timestamp(F.coalesce(zoned, bare))
 
 
 def uuid7_millis(identifier: Column) -> Column:

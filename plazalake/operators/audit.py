@@ -21,9 +21,11 @@ def coverage(df: DataFrame, column: str, expected: DataFrame) -> DataFrame:
 
 
 def identity_counts(df: DataFrame, key: str, operation: str, approximate: bool = False) -> DataFrame:
+    """Rows, distinct keys, distinct pairs of key and operation (a null is a value of its own), rows that
+    repeat a pair, and pairs beyond one a key."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    pair = distinct(F.concat_ws("|", key, operation))
-    one = df.agg(F.count(F.lit(1)).alias("n"), distinct(F.col(key)).alias("ids"), pair.alias("pairs"))
+    pair = distinct(F.struct(key, operation))
+    one = df.agg(F.count(F.lit(1)).alias("n"), distinct(F.struct(key)).alias("ids"), pair.alias("pairs"))
     return one.select("n", "ids", "pairs", (F.col("n") - F.col("pairs")).alias("repeated"), (F.col("pairs") - F.col("ids")).alias("both_operations"))
 
 

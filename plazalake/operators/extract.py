@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import reduce
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 
 
 def script_json(html: Column, element_id: str) -> Column:
-    """The first JSON object in the script of that id as VARIANT; text after it is ignored, a
+    """The first JSON object in the script of that id, whatever else its tag says, as VARIANT; text after it is ignored, a
     malformed one is null."""
-    body = F.regexp_extract(html, rf"(?s)<script id=\"{element_id}\">(.*?)</script>", 1)
+    body = F.regexp_extract(html, rf"""(?is)<script\b(?=[^>]*\sid\s*=\s*(?:"{element_id}"|'{element_id}'|{element_id}[\s>]))[^>]*>(.*?)</script\s*>""", 1)
     return F.try_parse_json(F.nullif(F.regexp_extract(body, r"(?s)\{.*", 0), F.lit("")))
 
 
@@ -26,7 +27,7 @@ def paging(blob: Column) -> Column:
 def json_ld(pages: DataFrame, kind: str) -> DataFrame:
     """page_id, position and node (JSON text) of JSON-LD nodes of a type: a graph, a list or a bare
     object; a type may be a list; malformed scripts are skipped."""
-    scripts = F.regexp_extract_all("html", F.lit(r"(?s)<script type=\"application/ld\+json\">(.*?)</script>"), 1)
+    scripts = F.regexp_extract_all("html", F.lit(r"""(?is)<script\b(?=[^>]*\stype\s*=\s*["']?application/ld\+json)[^>]*>(.*?)</script\s*>"""), 1)
     blocks = pages.select("page_id", F.posexplode(scripts).alias("block", "body")).withColumn("v", F.try_parse_json("body")).filter("v IS NOT NULL")
     array = "array<variant>"
     nodes = F.coalesce(F.try_variant_get("v", "$.@graph", array), F.try_variant_get("v", "$", array), F.array(F.col("v")))
@@ -147,15 +148,22 @@ def area_chip(html: Column, kind: str) -> Column:
     return F.try_element_at(F.regexp_extract_all(html, F.lit(rf"([\d.,]+) m² {kind}"), 1), F.lit(-1)).try_cast("double")
 
 
-def verdict(html: Column, least: int) -> Column:
-    """What a stored page is: ok if it has a point, whatever else it says; login or pow by its words
-    without markup; no-coords if it is as long as a real page; a small page with none of the signs is
-    unknown."""
+# The signs of a login wall (in the words of a page) and of a challenge (anywhere in it).
+LOGIN, CHALLENGE = ("ingresa a tu cuenta",), ("bot_challenge", "_bmc")
+
+
+def verdict(html: Column, least: int, login: Sequence[str] = LOGIN, challenge: Sequence[str] = CHALLENGE, challenge_words: Sequence[str] = ()) -> Column:
+    """What a stored page is: ok if it has a point, whatever else it says; login by phrases in its words
+    without markup; pow by ``challenge`` in the page as it is, or by ``challenge_words`` in its words;
+    no-coords if it is as long as a real page; a small page with none of the signs is unknown."""
+    def holds(text: Column, signs: Sequence[str]) -> Column:
+        return reduce(lambda a, sign: a | F.contains(text, F.lit(sign)), signs, F.lit(False))
+
     words = F.lower(F.regexp_replace(F.regexp_replace(html, "<[^>]+>", " "), r"\s+", " "))
     return (
         F.when(coordinates(html).isNotNull(), "ok")
-        .when(F.contains(words, F.lit("inicia sesión")) | F.contains(words, F.lit("log in to continue")), "login")
-        .when(F.contains(words, F.lit("verify you are human")), "pow")
+        .when(holds(words, login), "login")
+        .when(holds(html, challenge) | holds(words, challenge_words), "pow")
         .when(F.length(html) >= least, "no-coords").otherwise("unknown")
     )
 
@@ -233,13 +241,10 @@ def find_postings(pages: DataFrame, blob: str = "blob") -> DataFrame:
     one first. Null where there is none or the text is malformed."""
 
     def hunt(node):
-        inner = node.values() if isinstance(node, dict) else node
-        if isinstance(node, dict):
-            for member in inner:
-                if isinstance(member, list) and member and isinstance(member[0], dict) and "postingId" in member[0]:
-                    return member
-        below = (hunt(x) for x in reversed(list(inner)) if isinstance(x, (dict, list)))
-        return next((found for found in below if found is not None), None)
+        for member in node.values() if isinstance(node, dict) else ():
+            if isinstance(member, list) and member and isinstance(member[0], dict) and "postingId" in member[0]:
+                return member
+        return None
 
     return _found(pages, blob, hunt, "postings")
 
@@ -248,24 +253,31 @@ def find_paging(pages: DataFrame, blob: str = "blob") -> DataFrame:
     """The object under the key paging at any depth of a JSON text, as JSON text, in the same order."""
 
     def hunt(node):
-        if isinstance(node, dict) and isinstance(node.get("paging"), dict):
-            return node["paging"]
-        inner = node.values() if isinstance(node, dict) else node
-        below = (hunt(x) for x in reversed(list(inner)) if isinstance(x, (dict, list)))
-        return next((found for found in below if found is not None), None)
+        return node["paging"] if isinstance(node, dict) and isinstance(node.get("paging"), dict) else None
 
     return _found(pages, blob, hunt, "paging")
 
 
 def _found(pages: DataFrame, blob: str, hunt: Callable[[dict | list], dict | list | None], name: str) -> DataFrame:
+    """``hunt`` looks at one node; what waits below others is a stack, the last member on top."""
+
+    def walk(root: dict | list) -> dict | list | None:
+        stack = [root]
+        while stack:
+            node = stack.pop()
+            if (found := hunt(node)) is not None:
+                return found
+            stack += [x for x in (node.values() if isinstance(node, dict) else node) if isinstance(x, (dict, list))]
+        return None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for text in batch.column(1).to_pylist():
                 try:
                     found = json.loads(text) if text else None
-                    found = hunt(found) if isinstance(found, (dict, list)) else None
-                except (ValueError, RecursionError):
+                    found = walk(found) if isinstance(found, (dict, list)) else None
+                except (ValueError, RecursionError):  # malformed, or deeper than the JSON reader goes
                     found = None
                 out.append(None if found is None else json.dumps(found, ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["page_id", name])

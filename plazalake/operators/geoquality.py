@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from math import pi, sin
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazalake.functions import geo
+from plazalake.functions.text import place_key
 from plazalake.sources.scratch import stored
 
 
@@ -31,15 +33,17 @@ def unambiguous_cities(points: DataFrame, most_km: float = 40.0) -> DataFrame:
 
 def resolve_cities(df: DataFrame, points: DataFrame, cities: DataFrame) -> DataFrame:
     """A centroid for each row by (city, province), else the city alone, else the part before "/",
-    else the one city that starts with the name. stage tells which step found it. Prefixes meet on
-    their first word, so the last step stays an equality join."""
+    else the one city that starts with the name. stage tells which step found it. The last step
+    meets the beginnings of all known names, so it stays an equality join."""
     c = lambda d, p: d.select(*(x for x in ("city", "province") if x in d.columns), F.struct("lat", "lng").alias(p))
     rows = df.withColumn("_cut", F.trim(F.substring_index("city", "/", 1)))
     one = rows.join(c(points, "_p1"), ["city", "province"], "left").join(c(cities, "_p2"), "city", "left")
     one = one.join(c(cities, "_p3").withColumnRenamed("city", "_cut"), "_cut", "left")
-    names = df.select("city").distinct().withColumn("_first", F.substring_index("city", " ", 1))
-    known = cities.select(F.col("city").alias("_city"), F.struct("lat", "lng").alias("_p"), F.substring_index("city", " ", 1).alias("_first"))
-    prefix = names.join(known, "_first").filter(F.startswith("_city", F.concat("city", F.lit(" "))))
+    # every name that a city's goes on from, so that a frequent first word pairs nothing by itself
+    words = F.split("city", " ")
+    shorter = F.explode(F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")))
+    known = cities.filter(F.contains("city", F.lit(" "))).select(F.struct("lat", "lng").alias("_p"), shorter.alias("city"))
+    prefix = df.select("city").distinct().join(known, "city")
     single = prefix.groupBy("city").agg(F.count(F.lit(1)).alias("_n"), F.any_value("_p").alias("_p4")).filter("_n = 1").drop("_n")
     out = one.join(single, "city", "left")
     found = F.coalesce("_p1", "_p2", "_p3", "_p4")
@@ -47,19 +51,32 @@ def resolve_cities(df: DataFrame, points: DataFrame, cities: DataFrame) -> DataF
     return out.select(*df.columns, stage.alias("stage"), found["lat"].alias("c_lat"), found["lng"].alias("c_lng"))
 
 
-def repeated_points(df: DataFrame) -> DataFrame:
-    """Points rounded to six decimals with how many provinces use them; a missing one counts once."""
+def repeated_points(df: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Points rounded to six decimals with how many provinces use them, by ``place_key`` with ``aliases``; a
+    missing one counts once."""
+    return _repeated(df.withColumn("province", place_key(F.coalesce("province", F.lit("")), aliases)))
+
+
+def _repeated(df: DataFrame) -> DataFrame:
     cell = lambda c: F.floor(F.col(c) * 1e6 + 0.5).cast("long").alias(f"{c}6")
     good = df.filter(geo.point_ok(F.col("lat"), F.col("lng")))
     return good.groupBy(cell("lat"), cell("lng")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct(F.coalesce("province", F.lit(""))).alias("provinces"))
 
 
-def suspect_flags(df: DataFrame, most_km: float = 40.0) -> DataFrame:
+def suspect_flags(df: DataFrame, most_km: float = 40.0, donors: DataFrame | None = None, aliases: Mapping[str, str] | None = None) -> DataFrame:
     """Rows with a point and the array ``suspect`` of their flags: repe, sin-centroide, lejos. A row
-    without flags is clean; rows are marked and never deleted."""
-    good = df.filter(geo.point_ok(F.col("lat"), F.col("lng")))
-    points = centroids(good)
-    repeated = repeated_points(good).filter("provinces >= 2").select("lat6", "lng6", F.lit(True).alias("_rep"))
+    without flags is clean; rows are marked and never deleted.
+
+    Names of cities and provinces meet by ``place_key`` with ``aliases``, so spellings of one place do not
+    count as two. ``donors`` (city, province, lat, lng) give the centroids, best those of other corpora, as
+    a filler point would support itself; without them the rows are their own. An empty city donates none."""
+    def named(rows: DataFrame) -> DataFrame:
+        kept = rows.filter(geo.point_ok(F.col("lat"), F.col("lng")))
+        return kept.withColumns({c: place_key(F.coalesce(c, F.lit("")), aliases) for c in ("city", "province")})
+
+    good = named(df)
+    points = centroids((good if donors is None else named(donors)).filter("city <> ''"))
+    repeated = _repeated(good).filter("provinces >= 2").select("lat6", "lng6", F.lit(True).alias("_rep"))
     keyed = good.withColumn("lat6", F.floor(F.col("lat") * 1e6 + 0.5).cast("long")).withColumn("lng6", F.floor(F.col("lng") * 1e6 + 0.5).cast("long"))
     placed = resolve_cities(keyed, points, unambiguous_cities(points, most_km)).join(repeated, ["lat6", "lng6"], "left")
     far = geo.approx_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > most_km

@@ -14,14 +14,15 @@ def parse_log(lines: DataFrame) -> DataFrame:
 
 
 def since_last_start(log: DataFrame, marker: str = "run start") -> DataFrame:
-    """Rows of each run from its last start marker on; runs without one are whole."""
-    start = F.max(F.when(F.col("msg") == marker, F.col("seq")))
+    """Rows of each run from its last message that begins with the marker on; runs without one are whole."""
+    start = F.max(F.when(F.startswith("msg", F.lit(marker)), F.col("seq")))
     starts = log.groupBy("run_id").agg(start.alias("_from"))
     return log.join(starts, "run_id").filter(F.col("_from").isNull() | (F.col("seq") >= F.col("_from"))).drop("_from")
 
 
-def recent_rate(log: DataFrame, rows: int = 200) -> DataFrame:
-    """Events an hour over each run's last ``rows`` rows."""
+def recent_rate(log: DataFrame, rows: int = 200, progress: str | None = " page ") -> DataFrame:
+    """Events an hour over each run's last ``rows`` rows whose message holds ``progress`` (None: all rows)."""
+    log = log if progress is None else log.filter(F.contains("msg", F.lit(progress)))
     w = Window.partitionBy("run_id").orderBy(F.col("ts").desc(), F.col("seq").desc())
     last = log.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= rows)
     seconds = F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))
@@ -58,13 +59,14 @@ def parse_checkpoints(lines: DataFrame) -> DataFrame:
 
 
 def health(log: DataFrame, as_of: str, stall_s: int = 600, most_marks: int = 3, running: bool = True, work_left: bool = False, runs: DataFrame | None = None) -> DataFrame:
-    """Code of each run: 0 well, 1 stalled, too many marks in ten minutes, aborted, or not running
-    with work left. Of ``runs`` (run_id) those without a log get 2."""
+    """Code of each run since its last start: 0 well, 1 stalled, too many marks (messages that hold "token
+    minted") within ten minutes, aborted (warnings that hold "aborted"), or not running with work left.
+    Of ``runs`` (run_id) those without a log get 2."""
     now = F.lit(as_of).cast("timestamp_ntz")
     live = since_last_start(log)
     idle = F.unix_micros(now.cast("timestamp")) - F.unix_micros(F.max("ts").cast("timestamp"))
-    marks = F.count_if((F.col("msg") == "token minted") & (F.col("ts") > now - F.expr("INTERVAL 10 MINUTES")))
-    facts = live.groupBy("run_id").agg((idle / 1e6).alias("idle_s"), marks.alias("marks"), F.count_if(F.contains("msg", F.lit("aborted"))).alias("aborted"))
+    marks = F.count_if(F.contains("msg", F.lit("token minted")) & (F.col("ts") > now - F.expr("INTERVAL 10 MINUTES")))
+    facts = live.groupBy("run_id").agg((idle / 1e6).alias("idle_s"), marks.alias("marks"), F.count_if((F.col("level") == "WARNING") & F.contains("msg", F.lit("aborted"))).alias("aborted"))
     ill = ((F.col("idle_s") > stall_s) & F.lit(running)) | (F.col("marks") > most_marks) | (F.col("aborted") > 0) | F.lit(work_left and not running)
     found = facts.withColumn("code", ill.cast("int"))
     return found if runs is None else runs.select("run_id").distinct().join(found, "run_id", "left").withColumn("code", F.coalesce("code", F.lit(2)))

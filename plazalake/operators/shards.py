@@ -158,9 +158,10 @@ def contiguous(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
 
 
 def next_floor(df: DataFrame, group: str, position: str, floor: float) -> DataFrame:
-    """The price from which a walk goes on: of the last MXN row with a price, floor + 1 at least."""
+    """The price from which a walk goes on: the whole part of that of the last MXN row with a price, floor
+    + 1 at least."""
     priced = F.when((F.col("currency") == "MXN") & (F.col("price") > 0), F.col("price"))
-    last = F.max_by(priced, F.when(priced.isNotNull(), F.col(position)))
+    last = F.max_by(F.floor(priced).cast("double"), F.when(priced.isNotNull(), F.col(position)))
     return df.groupBy(group).agg(F.greatest(last, F.lit(floor + 1)).alias("next_floor"), F.max(priced).alias("highest"))
 
 

@@ -29,11 +29,18 @@ def a1_j9_coverage(spark, d):
     return audit.coverage(listings(spark, d), "province", provinces(spark))
 
 
-@query(L + "SELECT count(*) AS n, count(DISTINCT city) AS ids, count(DISTINCT concat_ws('|', city, operation)) AS pairs, count(*) - count(DISTINCT concat_ws('|', city, operation)) AS repeated, count(DISTINCT concat_ws('|', city, operation)) - count(DISTINCT city) AS both_operations FROM listings_v")
+@query(L + "SELECT count(*) AS n, count(DISTINCT {'a': city}) AS ids, count(DISTINCT {'a': city, 'b': operation}) AS pairs, count(*) - count(DISTINCT {'a': city, 'b': operation}) AS repeated, count(DISTINCT {'a': city, 'b': operation}) - count(DISTINCT {'a': city}) AS both_operations FROM listings_v")
 def a2_identity_counts(spark, d):
     return audit.identity_counts(listings(spark, d), "city", "operation")
 
 
+@query(L + ", o AS (SELECT CASE WHEN CAST(listing_id AS BIGINT) % 2 = 0 THEN concat(city, '|sale') ELSE city END AS k, CASE WHEN CAST(listing_id AS BIGINT) % 4 = 0 THEN NULL ELSE operation END AS o FROM listings_v) SELECT count(*) AS n, count(DISTINCT k) AS ids, count(DISTINCT {'a': k, 'b': o}) AS pairs, count(*) - count(DISTINCT {'a': k, 'b': o}) AS repeated, count(DISTINCT {'a': k, 'b': o}) - count(DISTINCT k) AS both_operations FROM o")
+def a2_identity_with_nulls(spark, d):
+    k = F.col("listing_id").cast("long")
+    rows = listings(spark, d).select(F.when(k % 2 == 0, F.concat("city", F.lit("|sale"))).otherwise(F.col("city")).alias("k"), F.when(k % 4 != 0, F.col("operation")).alias("o"))
+    return audit.identity_counts(rows, "k", "o")
+
+
 @query(L + "SELECT 'price' AS column_name, round(100 * avg(CASE WHEN price <> 0 THEN 1 ELSE 0 END), 4) AS percent FROM listings_v UNION ALL SELECT 'province', round(100 * avg(CASE WHEN province <> '' THEN 1 ELSE 0 END), 4) FROM listings_v UNION ALL SELECT 'area_m2', round(100 * avg(CASE WHEN area_m2 <> 0 THEN 1 ELSE 0 END), 4) FROM listings_v UNION ALL SELECT 'observed_at', round(100 * avg(CASE WHEN observed_at IS NOT NULL THEN 1 ELSE 0 END), 4) FROM listings_v")
 def a3_fill(spark, d):
     return audit.fill(listings(spark, d), ["price", "province", "area_m2", "observed_at"])
@@ -87,6 +94,23 @@ def a10_suspect_flags(spark, d):
     return flags.groupBy(F.array_join("suspect", "+").alias("suspect")).agg(F.count(F.lit(1)).alias("n"))
 
 
+#: Spellings of one place in the rows to check; the donors' corpora spell it plainly.
+SPELT = "SELECT source, listing_id, lat, lng, CASE WHEN CAST(listing_id AS BIGINT) % 3 = 0 THEN CONCAT(UPPER(city), ' ') ELSE city END AS city, CASE WHEN CAST(listing_id AS BIGINT) % 4 = 0 THEN CONCAT(' ', LOWER(province), ',') WHEN CAST(listing_id AS BIGINT) % 4 = 1 THEN 'N. 7' ELSE province END AS province FROM listings_v WHERE source < '3'"
+_KEY = r"trim(regexp_replace(replace(strip_accents(lower(coalesce({0}, ''))), ',', ' '), '\s+', ' ', 'g'))"
+_ALIASED = f"CASE {_KEY} WHEN 'n. 7' THEN 'nation_7' ELSE {_KEY} END"
+_NAMED = "SELECT listing_id, lat, lng, " + ", ".join(_ALIASED.format(c) + f" AS {c}" for c in ("city", "province"))
+
+
+@query(L + f""", s AS ({SPELT}), listings2 AS ({_NAMED} FROM s WHERE {OK}), donors AS ({_NAMED} FROM listings_v WHERE source >= '3' AND {OK}), {CENTROIDS.replace('listings_v', 'donors')}, {CITIES.format(km=40)}, {REPEATED.replace('listings_v', 'listings2')},
+    g AS (SELECT *, CAST(floor(lat * 1e6 + 0.5) AS BIGINT) AS lat6, CAST(floor(lng * 1e6 + 0.5) AS BIGINT) AS lng6 FROM listings2),
+    p AS (SELECT g.*, coalesce(c.lat, t.lat) AS clat, coalesce(c.lng, t.lng) AS clng, r.provinces >= 2 AS rp FROM g LEFT JOIN cen c ON c.city = g.city AND c.province = g.province LEFT JOIN cit t ON t.city = g.city LEFT JOIN rep r ON r.lat6 = g.lat6 AND r.lng6 = g.lng6)
+    SELECT listing_id, concat_ws('+', CASE WHEN rp THEN 'repe' END, CASE WHEN clat IS NULL THEN 'sin-centroide' END, CASE WHEN sqrt(power((lat - clat) * 111, 2) + power((lng - clng) * 100 * cos(radians(lat)), 2)) > 40 THEN 'lejos' END) AS suspect FROM p""")
+def a10_suspect_by_donors(spark, d):
+    rows, donors = register(spark, d).sql(f"{L}, s AS ({SPELT}) SELECT * FROM s"), listings(spark, d).filter("source >= '3'")
+    flags = geoquality.suspect_flags(rows, donors=donors, aliases={"n. 7": "nation_7"})
+    return flags.select("listing_id", F.array_join("suspect", "+").alias("suspect"))
+
+
 @query(L + f", {CENTROIDS}, {CITIES.format(km=1500)}, q AS (SELECT listing_id, CASE WHEN CAST(listing_id AS BIGINT) % 5 = 0 THEN concat(city, '/x') ELSE city END AS city, province FROM listings_v) SELECT listing_id, CASE WHEN c.city IS NOT NULL THEN 1 WHEN t.city IS NOT NULL THEN 2 WHEN u.city IS NOT NULL THEN 3 ELSE 0 END AS stage FROM q LEFT JOIN cen c ON c.city = q.city AND c.province = q.province LEFT JOIN cit t ON t.city = q.city LEFT JOIN cit u ON u.city = split_part(q.city, '/', 1)")
 def j7_resolve_cities(spark, d):
     points = geoquality.centroids(listings(spark, d))
@@ -230,7 +254,7 @@ def w10_contiguous(spark, d):
     return shards.contiguous(shards.price_shards(listings(spark, d), "price", 500), "lo", "hi").select("lo", "meets_next")
 
 
-@query(L + "SELECT city, greatest(arg_max(price, CAST(listing_id AS BIGINT)) FILTER (WHERE currency = 'MXN' AND price > 0), 100001) AS next_floor, max(price) FILTER (WHERE currency = 'MXN' AND price > 0) AS highest FROM listings_v GROUP BY city")
+@query(L + "SELECT city, greatest(arg_max(floor(price), CAST(listing_id AS BIGINT)) FILTER (WHERE currency = 'MXN' AND price > 0), 100001) AS next_floor, max(price) FILTER (WHERE currency = 'MXN' AND price > 0) AS highest FROM listings_v GROUP BY city")
 def w4_next_floor(spark, d):
     return shards.next_floor(listings(spark, d).withColumn("position", F.col("listing_id").cast("long")), "city", "position", 100_000)
 
@@ -240,7 +264,15 @@ def w11_positions(spark, d):
     return runlog.positions(listings(spark, d), "city", F.col("listing_id").cast("long"), "area_m2").select("listing_id", F.col("position").cast("long"), "banked")
 
 
-LAST = "live AS (SELECT l.* FROM log_v l JOIN (SELECT run_id, max(seq) FILTER (WHERE msg = 'run start') AS f FROM log_v GROUP BY run_id) s ON s.run_id = l.run_id WHERE f IS NULL OR seq >= f)"
+RULES = "rules_v AS (SELECT run_id, seq, ts, CASE seq % 3 WHEN 0 THEN 'WARNING' WHEN 1 THEN 'ERROR' ELSE 'INFO' END AS level, CASE WHEN seq % 11 = 0 THEN 'run start of two' WHEN seq % 11 = 1 THEN 'no run start' WHEN seq % 5 = 2 THEN 'a token minted again' WHEN seq % 37 = 3 THEN 'query aborted mid-sweep' WHEN seq % 11 = 4 THEN CONCAT('page ', CAST(seq AS STRING)) ELSE CONCAT('zone page ', CAST(seq AS STRING)) END AS msg FROM log_v)"
+
+
+def rules(spark, d):
+    """Lines whose level and wording tell the rules of a run's health apart."""
+    return register(spark, d).sql(f"{G}, {RULES} SELECT * FROM rules_v")
+
+
+LAST = "live AS (SELECT l.* FROM log_v l JOIN (SELECT run_id, max(seq) FILTER (WHERE starts_with(msg, 'run start')) AS f FROM log_v GROUP BY run_id) s ON s.run_id = l.run_id WHERE f IS NULL OR seq >= f)"
 
 
 @query(G + f", {LAST} SELECT run_id, seq, msg FROM live")
@@ -250,7 +282,17 @@ def w5_since_last_start(spark, d):
 
 @query(G + "SELECT run_id, n, round(seconds, 3) AS seconds, CASE WHEN seconds > 0 THEN round((n - 1) * 3600 / seconds, 6) END AS per_hour FROM (SELECT run_id, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, seq DESC) AS r FROM log_v) WHERE r <= 20 GROUP BY run_id)")
 def w6_recent_rate(spark, d):
-    return runlog.recent_rate(log(spark, d), 20).select("run_id", "n", F.round("seconds", 3).alias("seconds"), F.round("per_hour", 6).alias("per_hour"))
+    return runlog.recent_rate(log(spark, d), 20, None).select("run_id", "n", F.round("seconds", 3).alias("seconds"), F.round("per_hour", 6).alias("per_hour"))
+
+
+@query(G + f", {RULES}, {LAST.replace('log_v', 'rules_v')} SELECT run_id, seq, msg FROM live")
+def w5_since_last_start_by_prefix(spark, d):
+    return runlog.since_last_start(rules(spark, d)).select("run_id", "seq", "msg")
+
+
+@query(G + f", {RULES} SELECT run_id, n, round(seconds, 3) AS seconds, CASE WHEN seconds > 0 THEN round((n - 1) * 3600 / seconds, 6) END AS per_hour FROM (SELECT run_id, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, seq DESC) AS r FROM rules_v WHERE contains(msg, ' page ')) WHERE r <= 20 GROUP BY run_id)")
+def w6_rate_of_progress(spark, d):
+    return runlog.recent_rate(rules(spark, d), 20).select("run_id", "n", F.round("seconds", 3).alias("seconds"), F.round("per_hour", 6).alias("per_hour"))
 
 
 @query(G + "SELECT run_id, count(*) AS streak, min(seq) AS first_seq FROM (SELECT *, sum(CASE WHEN level <> 'INFO' THEN 0 ELSE 1 END) OVER (PARTITION BY run_id ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS island FROM log_v) WHERE level <> 'INFO' GROUP BY run_id, island HAVING count(*) >= 3")
@@ -287,11 +329,16 @@ def s6_run_log(spark, d):
     return runlog.parse_log(lines).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("t"), "level", "msg")
 
 
-@query(G + f", {LAST}, m AS (SELECT max(ts) AS now FROM log_v) SELECT run_id, round((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 1e6, 3) AS idle_s, count(*) FILTER (WHERE msg = 'token minted' AND ts > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE) AS marks, count(*) FILTER (WHERE contains(msg, 'aborted')) AS aborted, CASE WHEN (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 1e6 > 600 OR count(*) FILTER (WHERE msg = 'token minted' AND ts > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE) > 3 OR count(*) FILTER (WHERE contains(msg, 'aborted')) > 0 THEN 1 ELSE 0 END AS code FROM live GROUP BY run_id")
+@query(G + f", {LAST}, m AS (SELECT max(ts) AS now FROM log_v) SELECT run_id, round((epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 1e6, 3) AS idle_s, count(*) FILTER (WHERE contains(msg, 'token minted') AND ts > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE) AS marks, count(*) FILTER (WHERE level = 'WARNING' AND contains(msg, 'aborted')) AS aborted, CASE WHEN (epoch_us(TIMESTAMP '2024-01-31') - epoch_us(max(ts))) / 1e6 > 600 OR count(*) FILTER (WHERE contains(msg, 'token minted') AND ts > TIMESTAMP '2024-01-31' - INTERVAL 10 MINUTE) > 3 OR count(*) FILTER (WHERE level = 'WARNING' AND contains(msg, 'aborted')) > 0 THEN 1 ELSE 0 END AS code FROM live GROUP BY run_id")
 def r8_health(spark, d):
     return runlog.health(log(spark, d), "2024-01-31 00:00:00").withColumn("idle_s", F.round("idle_s", 3))
 
 
+@query(G + f", {RULES}, {LAST.replace('log_v', 'rules_v')}, m AS (SELECT max(ts) AS now FROM rules_v) SELECT run_id, round((epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(ts))) / 1e6, 3) AS idle_s, count(*) FILTER (WHERE contains(msg, 'token minted') AND ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 10 MINUTE) AS marks, count(*) FILTER (WHERE level = 'WARNING' AND contains(msg, 'aborted')) AS aborted, CASE WHEN (epoch_us(TIMESTAMP '2024-01-30 12:00:00') - epoch_us(max(ts))) / 1e6 > 600 OR count(*) FILTER (WHERE contains(msg, 'token minted') AND ts > TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 10 MINUTE) > 3 OR count(*) FILTER (WHERE level = 'WARNING' AND contains(msg, 'aborted')) > 0 THEN 1 ELSE 0 END AS code FROM live GROUP BY run_id")
+def r8_health_by_rules(spark, d):
+    return runlog.health(rules(spark, d), "2024-01-30 12:00:00").withColumn("idle_s", F.round("idle_s", 3))
+
+
 @query(G + "SELECT (epoch_us(w) // 1000000) AS start_s, count(*) AS n, count(*) > 3 AS alert FROM (SELECT unnest(range(time_bucket(INTERVAL 1 MINUTE, ts) - INTERVAL 9 MINUTE, time_bucket(INTERVAL 1 MINUTE, ts) + INTERVAL 1 MINUTE, INTERVAL 1 MINUTE)) AS w FROM log_v WHERE msg = 'token minted') GROUP BY w")
 def r4_event_rate(spark, d):
     n = flows.event_rate(log(spark, d).filter("msg = 'token minted'"), "ts")
@@ -340,7 +387,7 @@ def p2_split_ranges(spark, d):
 
 @query(G + "SELECT run_id, CASE WHEN seconds > 0 THEN round(greatest(1000 - run_id, 0) / 42.0 / ((n - 1) * 3600 / seconds), 6) END AS hours_left FROM (SELECT run_id, count(*) AS n, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6 AS seconds FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY ts DESC, seq DESC) AS r FROM log_v) WHERE r <= 20 GROUP BY run_id)")
 def w6_remaining_time(spark, d):
-    return runlog.remaining(runlog.recent_rate(log(spark, d), 20), 1000 - F.col("run_id"), 42).select("run_id", F.round("hours_left", 6).alias("hours_left"))
+    return runlog.remaining(runlog.recent_rate(log(spark, d), 20, None), 1000 - F.col("run_id"), 42).select("run_id", F.round("hours_left", 6).alias("hours_left"))
 
 
 PAIRS = "seg AS (SELECT DISTINCT array_to_string(p[i:], '_') AS segment FROM (SELECT p, unnest(range(1, len(p) + 1)) AS i FROM (SELECT string_split(segment, '_') AS p FROM segments_v)))"

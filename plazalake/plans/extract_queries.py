@@ -31,6 +31,25 @@ def b1_b3_hydration_blob(spark, d):
     return pages(spark, d).select("page_id", blob.alias("p")).select("page_id", "p.total", "p.total_pages")
 
 
+def other_tags(spark, d):
+    """The pages with other spellings of the same script tags."""
+    html = F.replace("html", F.lit('<script id="preloadedData">'), F.lit("<SCRIPT data-id='x' async id='preloadedData' nonce=\"1\">"))
+    html = F.replace(html, F.lit('<script type="application/ld+json">'), F.lit("<script nonce=\"a\" type='application/ld+json' data-n=1>"))
+    return pages(spark, d).withColumn("html", html)
+
+
+@query(P + "SELECT page_id, CAST(json_extract(b, '$.paging.total') AS INT) AS total, CAST(json_extract(b, '$.paging.totalPages') AS INT) AS total_pages FROM (SELECT page_id, regexp_extract(html, 'window\\.S = (\\{.*?\\}\\});', 1) AS b FROM pages_v)")
+def b1_blob_by_id(spark, d):
+    blob = extract.paging(extract.script_json(F.col("html"), "preloadedData"))
+    return other_tags(spark, d).select("page_id", blob.alias("p")).select("page_id", "p.total", "p.total_pages")
+
+
+@query(P + "SELECT page_id, 1000 AS position, regexp_extract(html, '\"name\":\"([^\"]*)\"', 1) AS name, CAST(regexp_extract(html, '\"price\":([0-9]+)', 1) AS INT) AS price FROM pages_v")
+def b6_json_ld_by_type(spark, d):
+    nodes = extract.json_ld(other_tags(spark, d), "RealEstateListing")
+    return nodes.select("page_id", "position", F.get_json_object("node", "$.name").alias("name"), F.get_json_object("node", "$.offers.price").cast("int").alias("price"))
+
+
 def _postings(spark, d):
     part = register(spark, d).table("part")
     offers = F.array(*(F.struct(F.struct(F.lit(name).alias("name")).alias("operationType"), F.array(F.struct(price.alias("amount"), F.lit("MXN").alias("currency"))).alias("prices")) for name, price in (("Renta", F.lit(5.5)), ("Venta", F.when(F.col("p_size") % 5 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))))))
@@ -180,7 +199,16 @@ def b18_verdict(spark, d):
     k, wall, point = F.col("page_id") % 6, F.lit("<b>Log</b> in <i>to</i><br/>continue"), F.lit('"latitude":1.5,"longitude":2.5')
     html = F.when(k == 0, F.concat("html", wall)).when(k == 1, F.concat("html", F.lit("Verify you <b>are</b> human"))).when(k == 2, F.concat("html", wall, point))
     html = html.when(k == 3, point).when(k == 4, F.lit("<html>short</html>")).otherwise(F.col("html"))
-    return stored(spark, d).select("page_id", extract.verdict(html, 2000).alias("verdict"))
+    return stored(spark, d).select("page_id", extract.verdict(html, 2000, ("inicia sesión", "log in to continue"), (), ("verify you are human",)).alias("verdict"))
+
+
+@query("SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'login' WHEN 1 THEN 'pow' WHEN 2 THEN 'pow' WHEN 3 THEN 'ok' ELSE CASE WHEN length(html) < 2000 THEN 'unknown' ELSE 'no-coords' END END AS verdict FROM pages")
+def b18_verdict_by_fixed_signs(spark, d):
+    """A wall cut by a tag, challenges only in the page as it is, a point that outweighs both, phrases of other sites."""
+    k, wall = F.col("page_id") % 6, F.lit("<b>Ingresa</b> a<br/>tu cuenta")
+    more = F.when(k == 0, wall).when(k == 1, F.lit("<script src='/bot_challenge.js'></script>")).when(k == 2, F.lit("<i data-k='_bmc'></i>"))
+    more = more.when(k == 3, F.concat(wall, F.lit('_bmc "latitude":1.5,"longitude":2.5'))).when(k == 4, F.lit("")).otherwise(F.lit(""))
+    return stored(spark, d).select("page_id", extract.verdict(F.concat("html", more), 2000).alias("verdict"))
 
 
 @query("SELECT regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, count(*) AS n, CAST(sum(length(html)) AS BIGINT) AS chars FROM pages GROUP BY 1")

@@ -158,7 +158,7 @@ def test_json_ld_shapes(spark):
 def test_health_codes(spark):
     t = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
     rows = [(1, 1, t(0), "run start"), (1, 2, t(5), "page"), (2, 1, t(0), "aborted x"), (2, 2, t(1), "run start"), (3, 1, t(1), "aborted y"), *[(4, i, t(i), "token minted") for i in range(5)]]
-    log = spark.createDataFrame(rows, "run_id long, seq long, ts timestamp_ntz, msg string")
+    log = spark.createDataFrame(rows, "run_id long, seq long, ts timestamp_ntz, msg string").withColumn("level", F.lit("WARNING"))
     code = lambda **k: {r["run_id"]: r["code"] for r in runlog.health(log, "2024-01-01 00:01:00", **k).collect()}
     assert code() == {1: 0, 2: 0, 3: 1, 4: 1}
     assert code(stall_s=10) == {1: 1, 2: 1, 3: 1, 4: 1} and code(running=False, work_left=True)[1] == 1
@@ -199,7 +199,7 @@ def test_keyset_windows_equal_a_walk(spark):
     ("Verify you are <b>human</b>", "pow"), ("<html>odd</html>", "unknown"), ("<html>" + "x" * 300, "no-coords"), ("Log in to continue" + "x" * 300, "login"),
 ])
 def test_verdict_order(spark, page, want):
-    assert one(spark, extract.verdict(F.col("a"), 300), a=page) == want
+    assert one(spark, extract.verdict(F.col("a"), 300, ("inicia sesión", "log in to continue"), (), ("verify you are human",)), a=page) == want
 
 
 def test_range_counts_priced_pesos_only(spark):
@@ -277,3 +277,63 @@ def test_keyset_windows_over_short_stretches(spark, monkeypatch):
     monkeypatch.setattr(shards, "STRETCH", 2)
     sf = "/root/testdata/sf0.01"
     assert differences(spark, connect(sf), sf, entry.queries()["p5_keyset_windows"], entry.oracle_sql()["p5_keyset_windows"]) is None
+
+
+def test_times_do_not_take_the_zone_of_the_session(spark):
+    given = ["2024-01-01T00:00:00", "2024-01-01", "2024-01-01 00:00:00.5", "2024-01-01T00:00:00Z", "2024-01-01T02:00:00+02:00", "", "soon", None]
+    df = spark.createDataFrame(list(enumerate(given)), "i int, t string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Mexico_City", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = [r["s"] for r in df.orderBy("i").select(F.unix_millis(text.utc_time(F.col("t"))).alias("s")).collect()]
+            assert got == [1704067200000, 1704067200000, 1704067200500, 1704067200000, 1704067200000, None, None, None], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_identity_of_nulls_and_joined_names(spark):
+    from plazalake.operators import audit
+
+    df = spark.createDataFrame([("x|sale", None), ("x", "sale"), ("x", "sale"), ("x", None)], "k string, o string")
+    assert tuple(audit.identity_counts(df, "k", "o").first()) == (4, 2, 3, 1, 1)
+
+
+def test_health_rules(spark):
+    t = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    rows = [(1, 1, t(0), "ERROR", "query aborted"), (2, 1, t(0), "WARNING", "query aborted"), (3, 1, t(0), "WARNING", "aborted"), (3, 2, t(1), "INFO", "run start again"), (4, 1, t(0), "INFO", "no run start")]
+    rows += [(5, i, t(i), "INFO", f"a token minted {i}") for i in range(4)]
+    log = spark.createDataFrame(rows, "run_id long, seq long, ts timestamp_ntz, level string, msg string")
+    assert {r["run_id"]: r["code"] for r in runlog.health(log, "2024-01-01 00:01:00").collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 1}
+    pages = spark.createDataFrame([(1, i, t(i), "INFO", m) for i, m in enumerate(["a page 1", "page 2", "token", "a page 3"])], "run_id long, seq long, ts timestamp_ntz, level string, msg string")
+    rate = runlog.recent_rate(pages).first()
+    assert (rate["n"], rate["seconds"], rate["per_hour"]) == (2, 3.0, 1200.0)
+
+
+def test_suspects_by_names_of_one_place(spark):
+    near = [("d", str(i), "Cancún", "Q. Roo", 21.0, -86.0) for i in range(5)] + [("d", "9", "", "Q. Roo", 50.0, 50.0)] * 6
+    rows = [("m", "1", "CANCÚN ", "quintana roo", 21.1, -86.0), ("m", "2", "cancun,", "Q.  Roo", 21.1, -86.0), ("m", "3", "Cancun", "Q. Roo", 25.0, -86.0), ("m", "4", None, "Q. Roo", 25.0, -86.0), ("m", "5", "Cancun", "Yucatán", 21.1, -86.0)]
+    schema = "source string, listing_id string, city string, province string, lat double, lng double"
+    df, donors = spark.createDataFrame(rows, schema), spark.createDataFrame(near, schema)
+    flags = lambda **k: {r["listing_id"]: r["suspect"] for r in geoquality.suspect_flags(df, **k).collect()}
+    assert flags(donors=donors, aliases={"quintana roo": "q. roo"}) == {"1": ["repe"], "2": ["repe"], "3": ["lejos"], "4": ["sin-centroide"], "5": ["repe"]}
+    assert flags(donors=donors.limit(0))["3"] == ["sin-centroide"]
+    same = df.filter("listing_id IN ('1', '2')")
+    assert [r["suspect"] for r in geoquality.suspect_flags(same, donors=donors, aliases={"quintana roo": "q. roo"}).collect()] == [[], []]
+
+
+@pytest.mark.parametrize("tag", ['<script id="b">', "<script type=module id='b' async>", "<SCRIPT data-id='x' id = b>", '<script\nnonce="1"\nid="b">'])
+def test_script_by_id(spark, tag):
+    html = f'<script data-id="b">{{"a":0}}</script><script id="bb">{{"a":9}}</script>{tag}x = {{"a":1}}; y</script>'
+    assert one(spark, extract.script_json(F.col("a"), "b").cast("string"), a=html) == '{"a":1}'
+
+
+@pytest.mark.parametrize("page,want", [("Ingresa a<br/>tu  cuenta", "login"), ("<a k='_bmc'>", "pow"), ("bot_challenge <p>ingresa a tu cuenta", "login"), ("log in to continue", "unknown"), ("x" * 300, "no-coords")])
+def test_verdict_by_fixed_signs(spark, page, want):
+    assert one(spark, extract.verdict(F.col("a"), 300), a=page) == want
+
+
+def test_postings_far_below(spark):
+    deep = '{"a":' * 900 + '{"l":[{"postingId":7}]}' + "}" * 900
+    got = extract.find_postings(spark.createDataFrame([(1, deep)], "page_id long, blob string")).first()["postings"]
+    assert json.loads(got) == [{"postingId": 7}]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plazalake.operators.ordered import running
+
 
 def parse_log(lines: DataFrame) -> DataFrame:
     """(ts, level, msg) of lines ``YYYY-MM-DD HH:MM:SS LEVEL  message``; other lines are dropped."""
@@ -35,16 +37,17 @@ def remaining(rates: DataFrame, left: Column, per_page: int) -> DataFrame:
 
 
 def bad_streaks(log: DataFrame, bad: Column, alert: int = 3) -> DataFrame:
-    """Runs of consecutive bad rows, as long as the alert level or longer."""
-    w = Window.partitionBy("run_id").orderBy("ts", "seq")
-    marked = log.withColumn("_bad", bad).withColumn("_island", F.sum(F.when(F.col("_bad"), 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.filter("_bad").groupBy("run_id", "_island").agg(F.count(F.lit(1)).alias("streak"), F.min("seq").alias("first_seq")).filter(F.col("streak") >= alert).drop("_island")
+    """Runs of consecutive bad rows, as long as the alert level or longer. A null is not bad."""
+    marked = log.withColumn("_bad", F.coalesce(bad, F.lit(False)))
+    islands = running(marked, "run_id", ["ts", "seq"], sums={"_island": F.when(F.col("_bad"), 0).otherwise(1)})
+    return islands.filter("_bad").groupBy("run_id", "_island").agg(F.count(F.lit(1)).alias("streak"), F.min("seq").alias("first_seq")).filter(F.col("streak") >= alert).drop("_island")
 
 
 def dry_spells(log: DataFrame, good: Column, rows: int = 40) -> DataFrame:
-    """Rows at which none of the last ``rows`` rows was good."""
-    w = Window.partitionBy("run_id").orderBy("ts", "seq").rowsBetween(1 - rows, 0)
-    return log.withColumn("_g", F.sum(good.cast("int")).over(w)).withColumn("_n", F.count(F.lit(1)).over(w)).filter((F.col("_g") == 0) & (F.col("_n") == rows)).drop("_g", "_n")
+    """Rows at which none of the last ``rows`` rows was good: the last good one lies so far back."""
+    placed = running(log.withColumn("_good", F.coalesce(good, F.lit(False))), "run_id", ["ts", "seq"], sums={"_place": F.lit(1)})
+    seen = running(placed, "run_id", ["ts", "seq"], maxima={"_last": F.when(F.col("_good"), F.col("_place"))})
+    return seen.filter((F.col("_place") - F.coalesce("_last", F.lit(0))) >= rows).drop("_good", "_place", "_last")
 
 
 def fold_checkpoints(tokens: DataFrame) -> DataFrame:
@@ -83,10 +86,12 @@ def delta_pages(rows: DataFrame, page: str, event_time: str, since: str) -> Data
 def gaps(log: DataFrame) -> DataFrame:
     """Seconds since the run's row before; null for its first."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
-    return log.withColumn("gap_s", (us - F.lag(us).over(Window.partitionBy("run_id").orderBy("ts", "seq"))) / 1e6)
+    timed = running(log, "run_id", ["ts", "seq"], previous={"_before": us})
+    return timed.withColumn("gap_s", (us - F.col("_before")) / 1e6).drop("_before")
 
 
 def positions(df: DataFrame, group: str, order: Column, amount: str) -> DataFrame:
-    """The place of each row in its group, and the amount banked up to it. One group is ordered in one task."""
-    w = Window.partitionBy(group).orderBy(order)
-    return df.withColumn("position", F.row_number().over(w)).withColumn("banked", F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    """The place of each row in its group, and the amount banked up to it (nulls add nothing). Rows that
+    tie in ``order`` take their places in any order."""
+    placed = running(df.withColumn("_order", order), group, ["_order"], sums={"position": F.lit(1), "banked": F.col(amount)})
+    return placed.drop("_order")

@@ -71,28 +71,40 @@ def first_batch(writer: DataStreamWriter, wait_s: float = 300) -> StreamingQuery
     return query
 
 
-def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0) -> DataFrame:
-    """Key and value of each row that a stopped stream holds in its state."""
-    return spark.read.format("statestore").option("operatorId", operator).load(checkpoint).select("key", "value")
+def state_rows(spark: SparkSession, checkpoint: str, operator: int = 0, variable: str | None = None) -> DataFrame:
+    """Key and value of each row that a stopped stream holds in its state; of own state that of a variable
+    (for a list: a row an element)."""
+    source = spark.read.format("statestore").option("operatorId", operator)
+    if variable is None:
+        return source.load(checkpoint).select("key", "value")
+    found = source.option("stateVarName", variable).load(checkpoint)
+    return found.select("key", F.col("value") if "value" in found.columns else F.col("list_element").alias("value"))
 
 
 class Breaker(StatefulProcessor):
-    """Opens after ``streak`` bad results in a row, or when none of the last ``memory`` was good."""
+    """Opens after ``streak`` bad results in a row, or when none of the last ``memory`` was good. The state of
+    a run that has ended goes after the time to live."""
 
     STREAK, MEMORY = 3, 40
 
+    def __init__(self, live_ms: int | None):
+        self.live_ms = live_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("state", "streak int, recent string")
+        self.streak = handle.getValueState("streak", "n int", ttlDurationMs=self.live_ms)
+        self.recent = handle.getListState("recent", "ok boolean", ttlDurationMs=self.live_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        streak, recent = self.state.get() if self.state.exists() else (0, "")
+        streak = self.streak.get()[0] if self.streak.exists() else 0
+        recent = [ok for (ok,) in self.recent.get()] if self.recent.exists() else []
         out = []
         # a key's rows of one micro-batch, in order
         for seq, ok in pd.concat(list(rows)).sort_values("seq")[["seq", "ok"]].itertuples(index=False):
             streak = 0 if ok else streak + 1
-            recent = (recent + ("1" if ok else "0"))[-self.MEMORY :]
-            out.append((key[0], seq, streak, streak >= self.STREAK or (len(recent) == self.MEMORY and "1" not in recent)))
-        self.state.update((streak, recent))
+            recent = [*recent, bool(ok)][-self.MEMORY :]
+            out.append((key[0], seq, streak, streak >= self.STREAK or (len(recent) == self.MEMORY and not any(recent))))
+        self.streak.update((streak,))
+        self.recent.put([(ok,) for ok in recent])
         yield pd.DataFrame(out, columns=["run_id", "seq", "streak", "open"])
 
     def close(self) -> None:
@@ -100,7 +112,8 @@ class Breaker(StatefulProcessor):
 
 
 class Stall(StatefulProcessor):
-    """An alert when a run has logged nothing for ``gap_ms`` of event time."""
+    """An alert when a run has logged nothing for ``gap_ms`` of event time. With the alert the run's state
+    ends; rows that by the watermark come too late to put an alert off count no more."""
 
     def __init__(self, gap_ms: int):
         self.gap_ms = gap_ms
@@ -111,17 +124,18 @@ class Stall(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         latest = max(int(part["ms"].max()) for part in rows)
-        if self.last.exists():
-            (before,) = self.last.get()
-            if before >= latest:
-                return
-            self.handle.deleteTimer(before + self.gap_ms)
-        self.last.update((latest,))
-        self.handle.registerTimer(latest + self.gap_ms)
+        if latest + self.gap_ms > timerValues.getCurrentWatermarkInMs():
+            before = self.last.get()[0] if self.last.exists() else None
+            if before is None or before < latest:
+                if before is not None:
+                    self.handle.deleteTimer(before + self.gap_ms)
+                self.last.update((latest,))
+                self.handle.registerTimer(latest + self.gap_ms)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         (latest,) = self.last.get()
+        self.last.clear()
         yield pd.DataFrame({"run_id": [key[0]], "last_ms": [latest]})
 
     def close(self) -> None:
@@ -147,7 +161,10 @@ def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
-def breaker(results: DataFrame) -> DataFrame:
+def breaker(results: DataFrame, live_ms: int | None = None) -> DataFrame:
     """State of the breaker after each result (run_id, seq, ok) of a stream. A run's rows of one
-    micro-batch are ordered in memory: the source's rate limit bounds them."""
-    return results.groupBy("run_id").transformWithStateInPandas(Breaker(), "run_id long, seq long, streak int, open boolean", "Append", "None")
+    micro-batch are ordered in memory: the source's rate limit bounds them. With ``live_ms``
+    what is known of a run goes when it has had no result for so long by the clock; such a stream runs for
+    ever unless batches without data are switched off, also when started with availableNow."""
+    mode = "None" if live_ms is None else "ProcessingTime"
+    return results.groupBy("run_id").transformWithStateInPandas(Breaker(live_ms), "run_id long, seq long, streak int, open boolean", "Append", mode)

@@ -1,5 +1,7 @@
 """The versioned table and the streams that write to it: deaths, replays and restarts change nothing."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +132,40 @@ def test_state_of_a_watermark_shrinks(spark, tmp_path):
         held.append(flows.state_rows(spark, mark).count())
     assert spark.read.parquet(out).count() == 700
     assert max(held) <= 200 and held[-1] < 700  # the last two days, whatever has been read
+
+
+def test_state_of_ended_runs_goes(spark, tmp_path, request):
+    """A list of the last 40 results for each run; after its time to live it is gone, the others stay."""
+    arrived, mark, out = (str(tmp_path / n) for n in ("in", "mark", "out"))
+    schema = "run_id long, seq long, ok boolean"
+
+    def drain(batch, live_ms):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(arrived)
+        with flows.state_in_rocksdb(spark):
+            flows.append_available(flows.breaker(spark.readStream.schema(schema).parquet(arrived), live_ms), out, mark).awaitTermination()
+            held = flows.state_rows(spark, mark, variable="recent").groupBy("key.run_id").count().collect()
+        return {r["run_id"]: r["count"] for r in held}
+
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(setting, "false")
+    request.addfinalizer(lambda: spark.conf.unset(setting))
+    assert drain([(1, i, False) for i in range(50)] + [(2, i, True) for i in range(5)], 4000) == {1: 40, 2: 5}
+    time.sleep(4.5)
+    assert drain([(3, 0, True)], 4000) == {3: 1}
+    found = {(r["run_id"], r["seq"]): (r["streak"], r["open"]) for r in spark.read.parquet(out).collect()}
+    assert found[1, 1] == (2, False) and found[1, 2] == (3, True) and found[1, 49] == (50, True) and found[2, 4] == (0, False) and len(found) == 56
+
+
+def test_stalled_runs_end_and_can_stall_again(spark, tmp_path):
+    arrived, mark, out = (str(tmp_path / n) for n in ("in", "mark", "out"))
+    schema = "run_id long, ts timestamp"
+    held = []
+    for batch in ([(1, 0), (1, 100), (2, 0)], [(2, 900)], [(2, 2000), (1, 50)], [(1, 2100)], [(2, 9000)]):
+        spark.createDataFrame(batch, "run_id long, s long").select("run_id", F.timestamp_seconds("s").alias("ts")).coalesce(1).write.mode("append").parquet(arrived)
+        with flows.state_in_rocksdb(spark):
+            flows.append_available(flows.stalled(spark.readStream.schema(schema).parquet(arrived), "ts"), out, mark).awaitTermination()
+            held.append(flows.state_rows(spark, mark, variable="last").count())
+    # run 1 is silent after 100 s, its late row of 50 s counts no more, it comes back at 2100 s and falls silent
+    # again; rows of run 2 come before the watermark shows a gap
+    assert rows(spark.read.parquet(out)) == [(1, 100_000), (1, 2_100_000)]
+    assert held[-1] == 1

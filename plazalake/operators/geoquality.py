@@ -134,12 +134,12 @@ def radius_join(left: DataFrame, right: DataFrame, metres: float, model: str = "
 def _crowded(cells: DataFrame, cell_rows: int) -> DataFrame | None:
     """(level, y, x, n) of the cells of all levels that hold too many rows, as a stored table; None if
     there are none. Parts of a cell that is not here are not here either."""
+    whole = cells.groupBy(*(F.shiftright(f"_f{c}", LEVELS) for c in "yx")).agg(F.count(F.lit(1)).alias("n"))
+    if (whole.agg(F.max("n")).first()[0] or 0) <= cell_rows:  # mostly: then there is nothing to cut
+        return None
     counts = cells.groupBy("_fy", "_fx").agg(F.count(F.lit(1)).alias("n"))
     levels = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), *(F.shiftright(f"_f{c}", LEVELS - i).alias(c) for c in "yx")) for i in range(LEVELS + 1))))
     nodes = stored(counts.select(levels.alias("node"), "n").groupBy("node.level", "node.y", "node.x").agg(F.sum("n").alias("n")).filter(F.col("n") > cell_rows))
-    rows = nodes.agg(F.max("n")).first()[0]
-    if rows is None:
-        return None
     total = cells.count()
     return nodes.filter(F.col("n") > max(cell_rows, total // MOST_CUT)).withColumn("salts", F.ceil(F.col("n") / max(cell_rows, total // MOST_CUT)).cast("int"))
 

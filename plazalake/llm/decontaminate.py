@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazalake.llm.common import BLANK_REGEX, row_key, table, text_of
@@ -50,6 +50,11 @@ def simhash(of: str) -> tuple[list[Column], Column]:
     return [F.count(F.lit(1)).alias("_size"), *ones], reduce(Column.bitwiseOR, bits)
 
 
+def _with_before(hashes: str) -> Column:
+    """Each hash with the one before it; no row of an explosion then holds the array."""
+    return F.transform(hashes, lambda h, i: F.struct(h.alias("h"), F.get(hashes, i - 1).alias("before")))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per doc_id and benchmark item found in it: doc_id, item_id, start (word, from 0),
     n_words (of the window), similarity, hamming, of the most similar window. Of ties those come first that align
@@ -74,53 +79,56 @@ def _found(docs: DataFrame, benchmark: DataFrame, similarity: float) -> DataFram
     short = items.filter(F.col("_length") < SHINGLE)
     lengths = sorted(r["_length"] for r in short.select("_length").distinct().collect())
     items = items.filter(F.col("_length") >= SHINGLE)
-    pieces = items.select("_item", "_length", F.posexplode("_hashes").alias("_o", "_h"))
-    if pieces.count() <= BROADCAST_ROWS:
-        pieces = F.broadcast(pieces)
+    listed = items.select("_item", "_length", F.posexplode(_with_before("_hashes")).alias("_o", "x"))
+    listed = listed.groupBy("_item", "_length", F.col("x.h").alias("_h"), F.col("x.before").alias("before")).agg(F.collect_list("_o").alias("at"))
+    pieces = table(listed.groupBy("_item", "_length", "_h").agg(F.sum(F.size("at")).cast("int").alias("_b"), F.collect_list(F.struct("before", "at")).alias("_places")))
+    few = pieces.agg(F.coalesce(F.sum("_b"), F.lit(0))).first()[0] <= BROADCAST_ROWS
+    pieces = F.broadcast(pieces) if few else pieces
 
     texts = docs.select("doc_id", "text", row_key().alias("_doc"))
     split = computed(texts, "w", words())
-    hashed = split.select("_doc", F.size("w").alias("_n"), shingle_hashes(F.col("w")).alias("_hashes"))
-    met = hashed.select("_doc", "_n", F.posexplode("_hashes").alias("_p", "_h")).join(pieces, "_h")
     width = F.least("_n", "_length")
-    start = F.greatest(F.lit(0), F.least(F.col("_p") - F.col("_o"), F.col("_n") - width))
     size = lambda n: F.greatest(n - (SHINGLE - 1), F.lit(1))
-    enough = F.ceil(similarity * (size(width) + size(F.col("_length"))) / (1 + similarity) - 1e-9).cast("int")
-    hits = met.groupBy("_doc", "_item").agg(
-        F.first("_n").alias("_n"), F.first("_length").alias("_length"), F.array_sort(F.collect_set("_p")).alias("_at"), F.collect_set(start).alias("_aligned")
-    ).filter(F.size("_at") >= enough)
-
-    def reaching(i: Column) -> Column:
-        """The starts of windows that hold ``enough`` places from the i-th on."""
-        first = F.greatest(F.get("_at", i + F.col("_enough") - 1) - size(F.col("_width")) + 1, F.lit(0))
-        last = F.least(F.get("_at", i), F.col("_n") - F.col("_width"))
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-
-    hits = hits.select("_doc", "_item", "_n", width.alias("_width"), enough.alias("_enough"), "_at", "_aligned")
-    starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.size("_at") - F.col("_enough")), reaching)))
-    pairs = table(hits.select("_doc", "_item", "_width", "_aligned", F.explode(starts).alias("_start")))
-
-    some = texts.join(pairs.select("_doc").distinct(), "_doc", "left_semi").dropDuplicates(["_doc"])
-    windows = computed(some, "w", words()).select("doc_id", "_doc", shingle_hashes(F.col("w")).alias("_hashes")).join(pairs, "_doc").withColumn("_fits", F.array_contains("_aligned", F.col("_start")))
-    window = ["doc_id", "_doc", "_item", "_start", "_width"]
-    parts = table(windows.select(*window, "_fits", F.explode(F.slice("_hashes", F.col("_start") + 1, size(F.col("_width")))).alias("_h")))
-
-    theirs = items.select("item_id", "_item", "_length", F.explode("_hashes").alias("_h"))
-    mine = parts.groupBy(*window, "_fits", "_h").agg(F.count(F.lit(1)).alias("_a"))
-    both = mine.join(theirs.groupBy("item_id", "_item", "_length", "_h").agg(F.count(F.lit(1)).alias("_b")), ["_item", "_h"])
-    common = both.groupBy(*window, "_fits", "item_id", "_length").agg(F.sum(F.least("_a", "_b")).alias("_common"))
-    similar = F.col("_common") / (size(F.col("_width")) + size(F.col("_length")) - F.col("_common"))
+    enough = F.ceil(similarity * (size(width) + size(F.col("_length"))) / (1 + similarity) - 1e-9)
+
+    # what a pair shares at most, in any window: a row for each shared shingle, counted in the task that reads the text
+    hashed = split.select("_doc", F.size("w").alias("_n"), F.explode(shingle_hashes(F.col("w"))).alias("_h"))
+    shared = hashed.join(pieces.drop("_places"), "_h").groupBy("_doc", "_n", "_item", "_length", "_h", "_b").agg(F.count(F.lit(1)).alias("_a"))
+    pairs = table(shared.groupBy("_doc", "_n", "_item", "_length").agg(F.sum(F.least("_a", "_b")).alias("_most")).filter(F.col("_most") >= enough).drop("_most"))
+
+    some = computed(texts.join(pairs.select("_doc").distinct(), "_doc", "left_semi").dropDuplicates(["_doc"]), "w", words())
+    some = table(some.select("doc_id", "_doc", shingle_hashes(F.col("w")).alias("_hashes")))
+    met = some.select("_doc", F.posexplode(_with_before("_hashes")).alias("_p", "x")).select("_doc", "_p", F.col("x.h").alias("_h"), F.col("x.before").alias("_before"))
+    # places of the item that do not go on with what stands before in the text: there aligned stretches begin
+    opens = F.flatten(F.transform(F.filter("_places", lambda x: ~F.coalesce(x["before"] == F.col("_before"), F.lit(False))), lambda x: x["at"]))
+    met = table(met.join(pieces.drop("_length"), "_h").join(pairs, ["_doc", "_item"]).withColumn("_opens", opens).drop("_places", "_before"))
+    pair = ["_doc", "_item", "_n", "_length"]
+
+    # A place counts in the windows that hold it but not the one _b places of its shingle before: their starts are a
+    # range. Sums of range ends are the shared count of every start; it changes at range ends only.
+    at = computed(met.groupBy(*pair, "_h", "_b").agg(F.collect_list("_p").alias("_ps")), "_ps", F.array_sort("_ps"))
+    ranges = F.transform("_ps", lambda p, i: F.struct(
+        F.greatest(p - size(width) + 1, F.coalesce(F.get("_ps", i - F.col("_b")), F.lit(-1)) + 1, F.lit(0)).alias("first"), F.least(p, F.col("_n") - width).alias("last")))
+    counted = at.select(*pair, F.explode(ranges).alias("r")).filter(F.col("r.first") <= F.col("r.last"))
+    ends = F.explode(F.array(
+        F.struct(F.col("r.first").alias("start"), F.lit(1).alias("step")), F.struct((F.col("r.last") + 1).alias("start"), F.lit(-1).alias("step")))).alias("e")
+    start = F.greatest(F.lit(0), F.least(F.col("_p") - F.col("_o"), F.col("_n") - width))
+    fitting = met.select(*pair, "_p", F.explode("_opens").alias("_o")).select(*pair, start.alias("_start"), F.lit(0).alias("_step"), F.lit(True).alias("_fits"))
+    steps = counted.select(*pair, ends).select(*pair, F.col("e.start").alias("_start"), F.col("e.step").alias("_step"), F.lit(False).alias("_fits")).union(fitting)
+    by_start = steps.groupBy(*pair, "_start").agg(F.sum("_step").alias("_step"), F.max("_fits").alias("_fits")).filter(F.col("_start") <= F.col("_n") - width)
+    common = by_start.withColumn("_common", F.sum("_step").over(Window.partitionBy(*pair).orderBy("_start")))
+
+    similar = F.col("_common") / (size(width) + size(F.col("_length")) - F.col("_common"))
     verified = common.withColumn("similarity", similar).filter(F.col("similarity") >= similarity - 1e-12)
-    best = F.max(F.struct("similarity", "_fits", (-F.col("_start")).alias("s"), F.col("_width").alias("n"))).alias("b")
-    found = table(verified.groupBy("doc_id", "_doc", "item_id", "_item").agg(best).select("doc_id", "_doc", "item_id", "_item", (-F.col("b.s")).alias("_start"), "b"))
+    best = F.max(F.struct("similarity", "_fits", (-F.col("_start")).alias("s"))).alias("b")
+    found = table(verified.groupBy(*pair).agg(best).select("_doc", "_item", width.alias("n_words"), (-F.col("b.s")).alias("start"), F.col("b.similarity").alias("similarity")))
 
     aggregates, fp = simhash("_h")
-    marked = parts.join(found.select("_doc", "_item", "_start"), ["_doc", "_item", "_start"], "left_semi").groupBy("_doc", "_item").agg(*aggregates).select("_doc", "_item", fp.alias("_fp"))
-    known = theirs.groupBy("_item").agg(*aggregates).select("_item", fp.alias("_their_fp"))
+    windows = some.join(found, "_doc").select("doc_id", "_doc", "_item", F.explode(F.slice("_hashes", F.col("start") + 1, size(F.col("n_words")))).alias("_h"))
+    marked = windows.groupBy("doc_id", "_doc", "_item").agg(*aggregates).select("doc_id", "_doc", "_item", fp.alias("_fp"))
+    known = items.select("item_id", "_item", F.explode("_hashes").alias("_h")).groupBy("item_id", "_item").agg(*aggregates).select("item_id", "_item", fp.alias("_their_fp"))
     hamming = F.bit_count(F.col("_fp").bitwiseXOR(F.col("_their_fp"))).alias("hamming")
-    out = found.join(marked, ["_doc", "_item"]).join(known, "_item").select(
-        "doc_id", "_doc", "item_id", F.col("_start").alias("start"), F.col("b.n").alias("n_words"), F.col("b.similarity").alias("similarity"), hamming
-    )
+    out = found.join(marked, ["_doc", "_item"]).join(known, "_item").select("doc_id", "_doc", "item_id", "start", "n_words", "similarity", hamming)
     for k in lengths:
         long_enough = split.filter(F.size("w") >= k).select("doc_id", "_doc", F.posexplode(shingle_hashes(F.col("w"), k)).alias("_p", "_h"))
         same = long_enough.join(short.filter(F.col("_length") == k).select("item_id", F.get("_hashes", F.lit(0)).alias("_h")), "_h")

@@ -48,3 +48,14 @@ def test_short_items(spark):
     assert got == want and (1, 1) in got and (1, 3) in got and (None, 1) in got
     assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(
         spark.createDataFrame(rows[:6], "doc_id long, text string"), spark.createDataFrame([(1, "f g")], "item_id long, text string")).collect()) == [2, 3, 4, 5]
+
+
+def test_texts_that_repeat_themselves(spark):
+    rng = random.Random(33)
+    rows = [(1, "x " * 3000), (2, "x y z " * 700), (3, "x " * 150 + "y " * 20 + "x " * 150), (4, " ".join(rng.choice("xy") for _ in range(900)))]
+    items = [(1, "x " * 60), (2, "y z x " * 30), (3, "x " * 30 + "y " * 25), (4, rows[3][1][400:520])]
+    got, want, _ = both(spark, rows, items)
+    assert len(want) > 4 and {k: s for k, (s, _) in got.items()} == {k: s for k, (s, _) in want.items()}
+    # a window of any start is as good as the item here; the earliest is named
+    found = decontaminate.contaminated(spark.createDataFrame([(i, "x " * 20_000) for i in range(4)], "doc_id long, text string"), spark.createDataFrame([(i, "x " * (200 + i)) for i in range(5)], "item_id long, text string"))
+    assert [(r["start"], r["n_words"], r["similarity"]) for r in found.orderBy("doc_id", "item_id").collect()] == [(0, 200 + i, 1.0) for i in range(5)] * 4

@@ -75,12 +75,21 @@ def health(log: DataFrame, as_of: str, stall_s: int = 600, most_marks: int = 3,
     return found if runs is None else runs.select("run_id").distinct().join(found, "run_id", "left").withColumn("code", F.coalesce("code", F.lit(2)))
 
 
-def delta_pages(rows: DataFrame, page: str, event_time: str, since: str) -> DataFrame:
+def page_facts(rows: DataFrame, page: str, event_time: str, since: str) -> DataFrame:
+    """A row for each page: n, old (all its rows are older than ``since``; one without a time is not), and
+    exact, its rows at or after ``since``."""
+    start = F.lit(since).cast("timestamp_ntz")
+    return rows.groupBy(page).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.coalesce(F.col(event_time) < start, F.lit(False))).alias("old"), F.count_if(F.col(event_time) >= start).alias("exact"))
+
+
+def delta_pages(rows: DataFrame, page: str, event_time: str, since: str, exact: bool = False) -> DataFrame:
     """What a walk from the newest page on reads: all pages up to the first one whose rows are all older
-    than ``since``; a row without a time keeps the walk going. Page numbers ascend from the newest."""
-    old = F.coalesce(F.col(event_time) < F.lit(since).cast("timestamp_ntz"), F.lit(False))
-    last = rows.groupBy(page).agg(F.bool_and(old).alias("_old")).filter("_old").agg(F.min(page).alias("_last"))
-    return rows.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).drop("_last")  # one row
+    than ``since``; a row without a time keeps the walk going. Page numbers ascend from the newest. Whole
+    pages are kept, older rows included; ``exact`` keeps of them only the rows at or after ``since``, and
+    none without a time."""
+    last = page_facts(rows, page, event_time, since).filter("old").agg(F.min(page).alias("_last"))
+    met = rows.crossJoin(F.broadcast(last)).filter(F.col("_last").isNull() | (F.col(page) <= F.col("_last"))).drop("_last")  # one row
+    return met.filter(F.col(event_time) >= F.lit(since).cast("timestamp_ntz")) if exact else met
 
 
 def gaps(log: DataFrame) -> DataFrame:

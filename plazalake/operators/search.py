@@ -71,6 +71,18 @@ def search(df: DataFrame, limit: int | None = 20, **criteria) -> DataFrame:
     return df if limit is None else df.limit(limit)
 
 
+def sample(df: DataFrame, n: int, key: str = "listing_id", seed: int = 7) -> DataFrame:
+    """The first ``n`` rows in an order drawn by ``seed``: the same rows whatever their partitions. Ties
+    go by the key; each task keeps ``n`` rows of its own."""
+    drawn = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    return df.orderBy(drawn, key).limit(n)
+
+
+def first(df: DataFrame, n: int, order: Sequence[str] = ("listed_at", "listing_id")) -> DataFrame:
+    """The first ``n`` rows in an order, which should be total."""
+    return df.orderBy(*order).limit(n)
+
+
 def display(df: DataFrame) -> DataFrame:
     """Texts to show: prices per square metre are marked, distances are shown where there are some."""
     price = F.when(F.coalesce("price", F.lit(0.0)) == 0, "no price").otherwise(

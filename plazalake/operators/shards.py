@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plazalake.operators.ordered import running
 from plazalake.sources.scratch import stored
 
 
@@ -17,26 +18,35 @@ def price_band(price: Column) -> Column:
 
 #: Rows that one task orders where an order runs through a whole table.
 STRETCH = 4096
+#: Levels of stretches, stretches of stretches and so on; what the last of them leaves is ordered in one task.
+LEVELS = 3
 
 
-def carried(df: DataFrame, at: str, value: str, name: str) -> DataFrame:
+def carried(df: DataFrame, at: str, value: str, name: str, levels: int = LEVELS) -> DataFrame:
     """``df`` with the last non-null ``value`` before each row as ``name``; ``at`` numbers the rows about
-    densely. Stretches are ordered by themselves, and then their last values."""
-    staged = df.withColumn("_stretch", F.floor(F.col(at) / STRETCH))
-    lasts = staged.groupBy("_stretch").agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at))).alias("_last"))
-    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    earlier = lasts.select("_stretch", F.last("_last", ignorenulls=True).over(before(Window.orderBy("_stretch"))).alias("_earlier"))
-    inside = F.last(value, ignorenulls=True).over(before(Window.partitionBy("_stretch").orderBy(at)))
-    return staged.withColumn("_inside", inside).join(earlier, "_stretch").withColumn(name, F.coalesce("_inside", "_earlier")).drop("_stretch", "_inside", "_earlier")
-
-
-def counted(df: DataFrame, at: str, name: str) -> DataFrame:
-    """``df`` with the number of rows before each row by ``at``, stretch by stretch."""
-    staged = df.withColumn("_stretch", F.floor(F.col(at) / STRETCH))
-    sizes = staged.groupBy("_stretch").agg(F.count(F.lit(1)).alias("_size"))
-    before = F.coalesce(F.sum("_size").over(Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.row_number().over(Window.partitionBy("_stretch").orderBy(at)) - 1
-    return staged.withColumn("_inside", inside).join(sizes.select("_stretch", before.alias("_before")), "_stretch").withColumn(name, F.col("_inside") + F.col("_before")).drop("_stretch", "_inside", "_before")
+    densely. Stretches are ordered by themselves, and their last values in stretches of their own."""
+    before = lambda w: F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    if not levels:
+        return df.withColumn(name, before(Window.orderBy(at)))
+    stretch, inside, ahead = f"_stretch{levels}", f"_inside{levels}", f"_ahead{levels}"
+    staged = df.withColumn(stretch, F.floor(F.col(at) / STRETCH))
+    lasts = staged.groupBy(stretch).agg(F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at))).alias(value))
+    earlier = carried(lasts, stretch, value, ahead, levels - 1).select(stretch, ahead)
+    placed = staged.withColumn(inside, before(Window.partitionBy(stretch).orderBy(at))).join(earlier, stretch)
+    return placed.withColumn(name, F.coalesce(inside, ahead)).drop(stretch, inside, ahead)
+
+
+def summed(df: DataFrame, at: str, amount: str, name: str, levels: int = LEVELS) -> DataFrame:
+    """``df`` with the sum of ``amount`` over the rows before each row by ``at``, in stretches like ``carried``."""
+    before = lambda w: F.coalesce(F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    if not levels:
+        return df.withColumn(name, before(Window.orderBy(at)))
+    stretch, inside, ahead = f"_stretch{levels}", f"_inside{levels}", f"_ahead{levels}"
+    staged = df.withColumn(stretch, F.floor(F.col(at) / STRETCH))
+    totals = staged.groupBy(stretch).agg(F.sum(amount).alias(amount))
+    earlier = summed(totals, stretch, amount, ahead, levels - 1).select(stretch, ahead)
+    placed = staged.withColumn(inside, before(Window.partitionBy(stretch).orderBy(at))).join(earlier, stretch)
+    return placed.withColumn(name, F.col(inside) + F.col(ahead)).drop(stretch, inside, ahead)
 
 
 def price_counts(df: DataFrame, key: str) -> DataFrame:
@@ -118,7 +128,8 @@ def keyset_windows(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     A price that fills a whole window is stepped over.
 
     Each price knows the price at which a walk from it would go on; which prices the walk from the
-    first one meets is found by doubling the step, in as many rounds as the binary length of the walk.
+    first one meets is found by doubling the step. Two steps read at least ``size * pages`` rows, so the
+    number of rounds is known beforehand, and a round is one write of the prices met and the longer steps.
     """
     cap = size * pages
     counts = stored(price_counts(df, key))
@@ -131,30 +142,32 @@ def keyset_windows(df: DataFrame, key: str, size: int, pages: int) -> DataFrame:
     inside = both.withColumn("_in", last.over(Window.partitionBy("_block").orderBy("at", "ask").rowsBetween(Window.unboundedPreceding, 0))).filter("ask = 1")
     met = F.coalesce("_in", "_m")["before"]
     step = stored(inside.join(earlier, "_block").select("from", F.when(met > F.col("from"), met).otherwise(F.col("after")).alias("to")).filter(F.col("to") < total))
-    seen = counts.filter(F.col("price") == first).select(F.col("before").alias("at"))
-    jump, n = step, seen.count()
-    while n:
-        reached = stored(seen.union(seen.join(jump, seen["at"] == jump["from"]).select(F.col("to").alias("at"))).distinct())
-        grown = reached.count()
-        if grown == n:
-            break
+    met_first = counts.filter(F.col("price") == first).select(F.col("before").alias("from"), F.lit(None).cast("long").alias("to"))
+    both = step.select("from", "to").union(met_first)  # rows without ``to`` are met, the others are steps
+    for _ in range((2 * -(-total // cap)).bit_length()):
+        seen, jump = both.filter("to IS NULL").select(F.col("from").alias("at")), both.filter("to IS NOT NULL")
         onward = jump.select(F.col("from").alias("to"), F.col("to").alias("_then"))
-        seen, n, jump = reached, grown, stored(jump.join(onward, "to").select("from", F.col("_then").alias("to")))
+        longer = jump.join(onward, "to").select("from", F.col("_then").alias("to"))
+        reached = seen.union(seen.join(jump, seen["at"] == jump["from"]).select(F.col("to").alias("at"))).distinct()
+        both = stored(longer.union(reached.select(F.col("at").alias("from"), F.lit(None).cast("long").alias("to"))))
+    seen = both.filter("to IS NULL").select(F.col("from").alias("at"))
     rows = F.least(F.lit(cap), F.lit(total) - F.col("at"))
     starts = seen.join(counts, seen["at"] == counts["before"]).select("at", "price", F.floor(F.col("at") / cap).alias("_place"), rows.alias("n_rows"))
     # windows start about ``cap`` rows apart, so places number them about densely; a place may hold several
     ends = starts.groupBy("_place").agg(F.max(F.col("at") + F.col("n_rows")).alias("_end"))
     last_end = carried(ends, "_place", "_end", "_upto").select("_place", "_upto")
     here = F.lag(F.col("at") + F.col("n_rows")).over(Window.partitionBy("_place").orderBy("at"))
-    numbered = counted(starts.withColumn("_here", here).join(last_end, "_place").withColumn("_scaled", F.col("at") / cap), "_scaled", "window")
+    placed = starts.withColumn("_here", here).join(last_end, "_place")
+    numbered = summed(placed.withColumn("_scaled", F.col("at") / cap).withColumn("_one", F.lit(1)), "_scaled", "_one", "window")
     return numbered.select(
         F.col("window").cast("long"), "price", F.col("at").alias("first_row"), "n_rows", F.greatest(F.coalesce("_here", "_upto") - F.col("at"), F.lit(0)).alias("again"),
     )
 
 
 def contiguous(ranges: DataFrame, lo: str, hi: str) -> DataFrame:
-    """Whether each range ends where the next one begins; the last has null."""
-    return ranges.withColumn("meets_next", F.lead(lo).over(Window.orderBy(lo)) == F.col(hi))
+    """Whether each range ends where the next one begins; the last has null. Ranges are sorted over all tasks."""
+    turned = running(ranges.withColumn("_all", F.lit(0)), "_all", [F.col(lo).desc_nulls_last()], previous={"_next": F.col(lo)})
+    return turned.withColumn("meets_next", F.col("_next") == F.col(hi)).drop("_all", "_next")
 
 
 def next_floor(df: DataFrame, group: str, position: str, floor: float) -> DataFrame:

@@ -353,18 +353,27 @@ def r5_sessions(spark, d):
 
 @query("SELECT user_id % 20 AS page, count(*) AS n, bool_and(ts < TIMESTAMP '2024-01-10') AS old, count(*) FILTER (WHERE ts >= TIMESTAMP '2024-01-10') AS exact FROM events GROUP BY 1")
 def r3_delta(spark, d):
-    since = F.lit("2024-01-10").cast("timestamp_ntz")
-    return register(spark, d).table("events").groupBy((F.col("user_id") % 20).alias("page")).agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("ts") < since).alias("old"), F.count_if(F.col("ts") >= since).alias("exact"))
+    rows = register(spark, d).table("events").withColumn("page", F.col("user_id") % 20)
+    return runlog.page_facts(rows, "page", "ts", "2024-01-10")
 
 
 DAYS = "CAST(datediff('day', CAST(ts AS DATE), DATE '2025-01-01') AS INT)"
 
 
+def _dated(spark, d):
+    """Events on a page a day, the newest first; one in fifty has no time."""
+    dated = register(spark, d).table("events").withColumn("page", F.datediff(F.lit("2025-01-01").cast("date"), F.col("ts").cast("date")))
+    return dated.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
+
+
 @query(f"WITH p AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts, {DAYS} AS page FROM events), o AS (SELECT min(page) AS last FROM (SELECT page, bool_and(coalesce(ts < TIMESTAMP '2024-01-20', false)) AS old FROM p GROUP BY page) WHERE old) SELECT event_id, page FROM p, o WHERE last IS NULL OR page <= last")
 def r3_delta_walk(spark, d):
-    dated = register(spark, d).table("events").withColumn("page", F.datediff(F.lit("2025-01-01").cast("date"), F.col("ts").cast("date")))
-    rows = dated.withColumn("ts", F.when(F.col("event_id") % 50 != 0, F.col("ts")))
-    return runlog.delta_pages(rows, "page", "ts", "2024-01-20").select("event_id", "page")
+    return runlog.delta_pages(_dated(spark, d), "page", "ts", "2024-01-20").select("event_id", "page")
+
+
+@query(f"WITH p AS (SELECT event_id, CASE WHEN event_id % 50 <> 0 THEN ts END AS ts, {DAYS} AS page FROM events), o AS (SELECT min(page) AS last FROM (SELECT page, bool_and(coalesce(ts < TIMESTAMP '2024-01-20 06:00:00', false)) AS old FROM p GROUP BY page) WHERE old) SELECT event_id, page FROM p, o WHERE (last IS NULL OR page <= last) AND ts >= TIMESTAMP '2024-01-20 06:00:00'")
+def r3_delta_exact(spark, d):
+    return runlog.delta_pages(_dated(spark, d), "page", "ts", "2024-01-20 06:00:00", exact=True).select("event_id", "page")
 
 
 @query(G + "SELECT r.user_id AS run_id, CASE WHEN l.run_id IS NULL THEN 2 ELSE 1 END AS code FROM (SELECT DISTINCT user_id FROM events UNION SELECT -1) r LEFT JOIN (SELECT DISTINCT run_id FROM log_v WHERE run_id % 3 <> 0) l ON l.run_id = r.user_id")

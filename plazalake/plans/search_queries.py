@@ -11,7 +11,7 @@ from plazalake.operators import load, search
 from plazalake.plans.registry import query
 from plazalake.plans.views import register, view, with_views
 from plazalake.sources import layout
-from plazalake.sources.listings import union_corpora
+from plazalake.sources.listings import decoded, encoded, union_corpora
 from plazalake.sources.scratch import new_path
 from plazalake.sources.versions import VersionedTable
 
@@ -228,12 +228,12 @@ def t2_nearest(spark, d):
 
 @query(L + "SELECT listing_id FROM listings_v ORDER BY listed_at, listing_id LIMIT 15")
 def t5_first(spark, d):
-    return listings(spark, d).orderBy("listed_at", "listing_id").limit(15).select("listing_id")
+    return search.first(listings(spark, d), 15).select("listing_id")
 
 
 @query(L + "SELECT listing_id FROM listings_v ORDER BY md5(concat('7:', listing_id)), listing_id LIMIT 50")
 def t4_sample(spark, d):
-    return listings(spark, d).orderBy(F.md5(F.concat(F.lit("7:"), "listing_id").cast("binary")), "listing_id").limit(50).select("listing_id")
+    return search.sample(listings(spark, d), 50, seed=7).select("listing_id")
 
 
 @query(L + "SELECT listing_id, price, rn - 1 AS position FROM (SELECT *, row_number() OVER (ORDER BY price NULLS FIRST, listing_id) AS rn FROM listings_v) WHERE rn > 1000 AND rn <= 1050")
@@ -261,10 +261,18 @@ def b20_load_projection(spark, d):
 
 @query(L + "SELECT listing_id, CASE WHEN lat IS NOT NULL THEN concat(CAST(CAST(floor(lat * 1000) AS BIGINT) AS VARCHAR), '/', CAST(CAST(floor(lng * 1000) AS BIGINT) AS VARCHAR)) ELSE '' END AS point, 0 AS photos FROM listings_v")
 def b19_row_codec(spark, d):
-    point = F.when(F.col("lat").isNotNull(), F.struct("lat", "lng"))
-    coded = listings(spark, d).select("listing_id", point.alias("p"), F.coalesce(F.lit(None).cast("array<string>"), F.array().cast("array<string>")).alias("ph"))
+    coded = decoded(listings(spark, d).select("listing_id", "lat", "lng"))
     cut = lambda c: F.floor(F.col(c) * 1000).cast("string")
-    return coded.select("listing_id", F.when(F.col("p").isNotNull(), F.concat(cut("p.lat"), F.lit("/"), cut("p.lng"))).otherwise("").alias("point"), F.size("ph").alias("photos"))
+    return coded.select("listing_id", F.when(F.col("coordinates").isNotNull(), F.concat(cut("coordinates.lat"), F.lit("/"), cut("coordinates.lng"))).otherwise("").alias("point"), F.size("photos").alias("photos"))
+
+
+@query(L + "SELECT listing_id, lat, lng, CASE WHEN CAST(listing_id AS BIGINT) % 3 = 0 THEN url END AS photo FROM listings_v")
+def b19_round_trip(spark, d):
+    """Rows without photos, with an empty array of them, and with one go out and come back."""
+    k = F.pmod(F.col("listing_id").cast("long"), F.lit(3))
+    photos = F.when(k == 0, F.array("url")).when(k == 1, F.array().cast("array<string>"))
+    back = encoded(decoded(listings(spark, d).select("listing_id", "lat", "lng", photos.alias("photos"))))
+    return back.select("listing_id", "lat", "lng", F.get("photos", F.lit(0)).alias("photo"))
 
 
 @query(O + f"SELECT listing_id, price, tie1, tie2, tie3 FROM ({LATEST})")

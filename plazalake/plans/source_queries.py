@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,10 +80,10 @@ def s9_sidecar(spark, d):
 query(ORACLES[a10_suspect_flags.__name__])(s9_sidecar)  # no row is lost, so the counts are those of the flags
 
 
-@query(L + "SELECT source, count(*) AS n, count(price) AS priced FROM listings_v GROUP BY 1")
-def s11_s12_table(spark, d):
-    """A table is made empty, filled, analysed and read by its declared columns."""
-    path, name = new_path(spark), "plazalake_s12"
+@contextmanager
+def _analysed(spark, d, name):
+    """A table made empty, filled and analysed, and its path."""
+    path = new_path(spark)
     src.create_empty(spark, path)
     rows = listings(spark, d)
     blank = src.T.StructType.fromDDL(src.TABLE_SCHEMA)
@@ -92,6 +94,22 @@ def s11_s12_table(spark, d):
     try:
         spark.sql(f"MSCK REPAIR TABLE {name}")
         src.analyze(spark, name)
-        return spark.read.schema(src.TABLE_SCHEMA).parquet(path).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("price").alias("priced"))
+        yield path
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # the files stay
+
+
+@query(L + "SELECT source, count(*) AS n, count(price) AS priced FROM listings_v GROUP BY 1")
+def s11_s12_table(spark, d):
+    """The table is read by its declared columns."""
+    with _analysed(spark, d, "plazalake_s12") as path:
+        return spark.read.schema(src.TABLE_SCHEMA).parquet(path).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count("price").alias("priced"))
+
+
+@query(L + """, c AS (SELECT 'price' AS "column", CAST(price AS DOUBLE) AS v FROM listings_v UNION ALL SELECT 'area_m2', area_m2 FROM listings_v UNION ALL SELECT 'bedrooms', NULL FROM listings_v)
+    SELECT "column", min(v) AS least, max(v) AS most, count(*) - count(v) AS nulls FROM c GROUP BY 1""")
+def s11_statistics(spark, d):
+    """The statistics themselves; the counts of distinct values are approximate and left out."""
+    with _analysed(spark, d, "plazalake_s11"):
+        found = src.column_statistics(spark, "plazalake_s11", ["price", "area_m2", "bedrooms"])
+    return found.select("column", *(F.col(c).cast("double").alias(c) for c in ("least", "most")), "nulls")

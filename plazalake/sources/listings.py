@@ -65,6 +65,20 @@ def to_table(rows: DataFrame, salt: str) -> DataFrame:
     )
 
 
+def decoded(rows: DataFrame) -> DataFrame:
+    """Rows with lat and lng as one ``coordinates``, null unless both are there, and ``photos`` never null."""
+    both = F.col("lat").isNotNull() & F.col("lng").isNotNull()
+    photos = F.col("photos").cast("array<string>") if "photos" in rows.columns else F.lit(None).cast("array<string>")
+    packed = rows.withColumn("coordinates", F.when(both, F.struct(*(F.col(c).cast("double").alias(c) for c in ("lat", "lng")))))
+    return packed.withColumn("photos", F.coalesce(photos, F.array().cast("array<string>"))).drop("lat", "lng")
+
+
+def encoded(rows: DataFrame) -> DataFrame:
+    """The way back from ``decoded``: lat and lng as columns, and no photos as null, so JSON leaves them out."""
+    flat = rows.withColumns({"lat": F.col("coordinates.lat"), "lng": F.col("coordinates.lng")})
+    return flat.withColumn("photos", F.when(F.size("photos") > 0, F.col("photos"))).drop("coordinates")
+
+
 def union_corpora(corpora: Sequence[DataFrame]) -> DataFrame:
     """All rows of corpora with differing columns; absent ones are null."""
     out = corpora[0]
@@ -96,3 +110,14 @@ def create_empty(spark: SparkSession, path: str) -> None:
 
 def analyze(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
+
+
+def column_statistics(spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:
+    """What ``analyze`` stored of each column: column, least, most (as text), nulls, about (distinct values, approximate).
+    Values are null where the table was not analysed."""
+    out = []
+    for name in columns:
+        told = spark.sql(f"DESCRIBE EXTENDED {table} `{name}`")
+        value = lambda info: F.nullif(F.max(F.when(F.col("info_name") == info, F.col("info_value"))), F.lit("NULL"))
+        out.append(told.agg(F.lit(name).alias("column"), value("min").alias("least"), value("max").alias("most"), value("num_nulls").cast("long").alias("nulls"), value("distinct_count").cast("long").alias("about")))
+    return union_corpora(out)

@@ -6,8 +6,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from plazalake.operators import ordered, runlog
+from plazalake.operators import ordered, runlog, search, shards
 from plazalake.plans.audit_queries import log
+from plazalake.sources import listings
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +86,53 @@ def test_table_as_one_run(spark, monkeypatch):
     want = rows(runlog.gaps(one), "seq", "gap_s")
     monkeypatch.setattr(ordered, "STRETCH_BITS", 7)
     assert rows(runlog.gaps(one), "seq", "gap_s") == want
+
+
+@pytest.mark.parametrize("bits", [2, 16])
+def test_contiguous_ranges(spark, monkeypatch, bits):
+    monkeypatch.setattr(ordered, "STRETCH_BITS", bits)
+    ranges = [(float(i), float(i + 1 + (i % 7 == 3))) for i in range(100) if i % 13] + [(None, 1.0)]
+    found = shards.contiguous(spark.createDataFrame(ranges, "lo double, hi double").repartition(5), "lo", "hi")
+    want = sorted(ranges, key=lambda r: (r[0] is not None, r[0] or 0.0))
+    meets = [(lo, hi, after == hi) for (lo, hi), (after, _) in zip(want, want[1:])] + [(*want[-1], None)]
+    assert rows(found, "lo", "hi", "meets_next") == sorted(meets, key=repr)
+    assert shards.contiguous(spark.createDataFrame([], "lo double, hi double"), "lo", "hi").count() == 0
+
+
+@pytest.mark.parametrize("levels", [0, 1, 3])
+def test_values_carried_over_levels(spark, monkeypatch, levels):
+    monkeypatch.setattr(shards, "STRETCH", 4)
+    rng = random.Random(levels)
+    given = [(i, rng.choice([None, None, None, i])) for i in range(300)]
+    df = spark.createDataFrame(given, "at long, value long").repartition(4)
+    last, total, carried, summed = None, 0, [], []
+    for at, value in given:
+        carried.append((at, last))
+        summed.append((at, total))
+        last, total = (last if value is None else value), total + (value or 0)
+    assert rows(shards.carried(df, "at", "value", "got", levels), "at", "got") == sorted(carried, key=repr)
+    assert rows(shards.summed(df, "at", "value", "got", levels), "at", "got") == sorted(summed, key=repr)
+
+
+def test_exact_delta(spark):
+    day = lambda n: datetime(2024, 1, n)
+    given = [(0, day(9)), (0, day(5)), (1, None), (1, day(2)), (2, day(8)), (2, day(1)), (3, day(1)), (3, day(3)), (4, day(9))]
+    pages = spark.createDataFrame(given, "page long, ts timestamp_ntz")
+    assert rows(runlog.delta_pages(pages, "page", "ts", "2024-01-06"), "page", "ts") == sorted(given[:8], key=repr)
+    assert rows(runlog.delta_pages(pages, "page", "ts", "2024-01-06", exact=True), "page", "ts") == sorted([(0, day(9)), (2, day(8))], key=repr)
+    assert rows(runlog.page_facts(pages, "page", "ts", "2024-01-06"), "page", "n", "old", "exact") == [(0, 2, False, 1), (1, 2, False, 0), (2, 2, False, 1), (3, 2, True, 0), (4, 1, False, 1)]
+    assert runlog.delta_pages(pages.limit(0), "page", "ts", "2024-01-06", exact=True).count() == 0
+
+
+def test_rows_decoded_and_encoded(spark):
+    given = spark.createDataFrame([(1, 1.5, 2.5, ["a"]), (2, None, 2.5, []), (3, None, None, None)], "id long, lat double, lng double, photos array<string>")
+    out = listings.decoded(given)
+    assert rows(out, "id", "coordinates", "photos") == [(1, (1.5, 2.5), ["a"]), (2, None, []), (3, None, [])]
+    assert rows(listings.encoded(out), "id", "lat", "lng", "photos") == [(1, 1.5, 2.5, ["a"]), (2, None, None, None), (3, None, None, None)]
+    assert rows(listings.decoded(given.drop("photos")), "id", "photos") == [(1, []), (2, []), (3, [])]
+
+
+def test_sample_is_repeatable(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(500)] + [(None,)], "listing_id string")
+    one, two = (rows(search.sample(df.repartition(n), 40), "listing_id") for n in (3, 7))
+    assert one == two and len(one) == 40 and one != rows(search.sample(df, 40, seed=8), "listing_id")

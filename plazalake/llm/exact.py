@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +20,17 @@ from pyspark.sql import functions as F
 
 from plazalake.llm.common import BLANK_REGEX, numbered, table, text_of
 
-#: High fingerprint bits that name a block, the unit in which filters are shuffled and merged.
+#: The fewest high fingerprint bits that name a block, the unit in which filters are shuffled and merged.
 BLOCK_BITS = 10
+#: Rows for which a block is meant, as a power of two; more rows make more blocks, so a merge stays as small.
+BLOCK_ROW_BITS = 20
 #: Fingerprints that a partition gathers before it writes its filters.
 GATHER = 1_000_000
-_REST = 64 - BLOCK_BITS
+
+
+def block_bits(rows: int) -> int:
+    """Bits that name a block for so many rows."""
+    return max(BLOCK_BITS, (rows >> BLOCK_ROW_BITS).bit_length())
 
 
 def normalised(column: str = "text") -> Column:
@@ -31,11 +38,11 @@ def normalised(column: str = "text") -> Column:
     return F.regexp_replace(text_of(column), BLANK_REGEX, " ")
 
 
-def encode_filter(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted distinct keys (fingerprints without their block) and counts as one filter: occupied
-    bits by quotient, run-end bits by slot, remainders by slot, counters of slots above one."""
+def encode_filter(keys: np.ndarray, counts: np.ndarray, key_bits: int = 64 - BLOCK_BITS) -> bytes:
+    """Sorted distinct keys of ``key_bits`` (fingerprints without their block) and counts as one filter:
+    occupied bits by quotient, run-end bits by slot, remainders by slot, counters of slots above one."""
     quotient_bits = max(1, int(len(keys) - 1).bit_length())
-    remainder_bits = _REST - quotient_bits
+    remainder_bits = key_bits - quotient_bits
     quotients = (keys >> np.uint64(remainder_bits)).astype(np.int64)
     remainders = keys & np.uint64((1 << remainder_bits) - 1)
     occupied = np.zeros(1 << quotient_bits, np.uint8)
@@ -44,7 +51,7 @@ def encode_filter(keys: np.ndarray, counts: np.ndarray) -> bytes:
     width = (remainder_bits + 7) // 8
     above = np.flatnonzero(counts > 1)
     return b"".join((
-        struct.pack("<IBI", len(keys), quotient_bits, len(above)),
+        struct.pack("<IBBI", len(keys), quotient_bits, remainder_bits, len(above)),
         np.packbits(occupied).tobytes(),
         np.packbits(run_ends).tobytes(),
         remainders.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes(),
@@ -55,9 +62,8 @@ def encode_filter(keys: np.ndarray, counts: np.ndarray) -> bytes:
 
 def decode_filter(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """The sorted keys and counts that ``encode_filter`` stored."""
-    n, quotient_bits, n_above = struct.unpack_from("<IBI", data)
-    remainder_bits = _REST - quotient_bits
-    width, at = (remainder_bits + 7) // 8, struct.calcsize("<IBI")
+    n, quotient_bits, remainder_bits, n_above = struct.unpack_from("<IBBI", data)
+    width, at = (remainder_bits + 7) // 8, struct.calcsize("<IBBI")
 
     def take(size: int) -> np.ndarray:
         nonlocal at
@@ -86,17 +92,17 @@ def merge_filters(filters: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.add.reduceat(counts, starts)
 
 
-def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _build(batches: Iterator[pa.RecordBatch], key_bits: int) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def flush() -> pa.RecordBatch:
         keys, counts = np.unique(np.concatenate(held), return_counts=True)
-        blocks = (keys >> np.uint64(_REST)).astype(np.int32)
+        blocks = (keys >> np.uint64(key_bits)).astype(np.int32)
         starts = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
-        rest = keys & np.uint64((1 << _REST) - 1)
+        rest = keys & np.uint64((1 << key_bits) - 1)
         ends = np.append(starts[1:], len(keys))
         return pa.RecordBatch.from_arrays(
-            [pa.array(blocks[starts]), pa.array([encode_filter(rest[a:b], counts[a:b]) for a, b in zip(starts, ends)], pa.binary())],
+            [pa.array(blocks[starts]), pa.array([encode_filter(rest[a:b], counts[a:b], key_bits) for a, b in zip(starts, ends)], pa.binary())],
             ["block", "filter"],
         )
 
@@ -111,13 +117,13 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merge(batches: Iterator[pa.RecordBatch], key_bits: int) -> Iterator[pa.RecordBatch]:
     """Filters arrive sorted by block; one block is held at a time."""
 
     def flush(block: int, filters: list[bytes]) -> pa.RecordBatch:
         keys, counts = merge_filters(filters)
         more = counts > 1
-        full = (keys[more] | np.uint64(block) << np.uint64(_REST)).view(np.int64)
+        full = (keys[more] | np.uint64(block) << np.uint64(key_bits)).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(full), pa.array(counts[more])], ["fp", "copies"])
 
     block, held = None, []
@@ -133,9 +139,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
-    """(fp, copies) of the values of the one long column that occur more than once."""
-    filters = fingerprints.mapInArrow(_build, "block int, filter binary")
-    return filters.repartition("block").sortWithinPartitions("block").mapInArrow(_merge, "fp long, copies long")
+    """(fp, copies) of the values of the one long column that occur more than once. Their rows are counted
+    first, as the number of blocks follows it."""
+    key_bits = 64 - block_bits(fingerprints.count())
+    filters = fingerprints.mapInArrow(partial(_build, key_bits=key_bits), "block int, filter binary")
+    return filters.repartition("block").sortWithinPartitions("block").mapInArrow(partial(_merge, key_bits=key_bits), "fp long, copies long")
 
 
 def _groups(base: DataFrame, first: Column) -> DataFrame:

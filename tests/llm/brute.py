@@ -274,3 +274,45 @@ def runs(words):
                 gone |= set(range(i + q, j + q))
             i = j + 1
     return sorted(found, key=lambda r: (r[0], r[2])), [w for i, w in enumerate(words) if i not in gone]
+
+
+def toxic_features(text, bits):
+    """Indices of words, pairs of neighbours, and pairs with one or two words between."""
+    marks = {c: None for c in range(33, 127) if not chr(c).isalnum()}
+    bare = "".join(c for c in "".join(c.lower() if c.isascii() else c for c in text) if ord(c) not in marks)
+    hashes = [zlib.crc32(w.encode()) for w in re.split("[ \t\n\r\x0b\x0c]+", bare) if w]
+    whole, last = 1 << 64, 0xD6E8FEB86659FD93
+    found = {h * last % whole for h in hashes}
+    for gap, factor in ((0, 0x9E3779B97F4A7C15), (1, 0xC2B2AE3D27D4EB4F), (2, 0x165667B19E3779F9)):
+        for one, two in zip(hashes, hashes[gap + 1 :]):
+            found.add(((one * factor + two) * last + factor) % whole)
+    return {x >> (64 - bits) for x in found}
+
+
+def ftrl(rows, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal one coordinate at a time: weights by index that are not zero, and the bias."""
+    z, n = {}, {}
+
+    def weight(at):
+        s, root = z.get(at, 0.0), math.sqrt(n.get(at, 0.0))
+        if at == "bias":
+            return -s / ((beta + root) / alpha)
+        return 0.0 if abs(s) <= l1 else -(s - math.copysign(l1, s)) / ((beta + root) / alpha + l2)
+
+    for _ in range(epochs):
+        for indices, label in rows:
+            seen = [*sorted(indices), "bias"]
+            w = {at: weight(at) for at in seen}
+            error = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w.values()))))) - label
+            if abs(error) < 1e-3:
+                continue
+            for at in seen:
+                old = n.get(at, 0.0)
+                z[at] = z.get(at, 0.0) + error - (math.sqrt(old + error * error) - math.sqrt(old)) / alpha * w[at]
+                n[at] = old + error * error
+    return {at: weight(at) for at in z if at == "bias" or abs(z[at]) > l1} | {"bias": weight("bias")}
+
+
+def toxic_score(text, weights, bits):
+    total = weights["bias"] + sum(weights.get(at, 0.0) for at in toxic_features(text, bits))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, total))))

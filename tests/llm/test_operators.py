@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 from collections import defaultdict
 
 import pytest
@@ -54,14 +55,25 @@ def test_exact(docs, rows, nothing):
     assert set(r[0] for r in kept.select("doc_id").collect()) == {r[0] for r in brute.exact_groups(rows) if r[3]}
 
 
-def test_filters_merge_without_loss():
+@pytest.mark.parametrize("size", [0, 1 << 29, 10**11])
+def test_blocks_follow_the_rows(docs, size, monkeypatch):
+    bits = exact.block_bits(size)
+    assert bits == max(10, size.bit_length() - 20)
+    monkeypatch.setattr(exact, "block_bits", lambda _: bits)
+    given = docs.selectExpr("xxhash64(coalesce(text, '')) AS fp")
+    counts = Counter(r["fp"] for r in given.collect())
+    assert found(exact.repeated_fingerprints(given), "fp", "copies") == sorted(((fp, n) for fp, n in counts.items() if n > 1), key=repr)
+
+
+@pytest.mark.parametrize("key_bits", [54, 40])
+def test_filters_merge_without_loss(key_bits):
     import numpy as np
 
     rng = np.random.default_rng(3)
-    keys = rng.integers(0, 1 << 54, 3000, dtype=np.uint64)
+    keys = rng.integers(0, 1 << key_bits, 3000, dtype=np.uint64)
     keys = np.append(keys, keys[:700])
     parts = [np.unique(p, return_counts=True) for p in np.array_split(keys, 7)] + [np.unique(keys[:1], return_counts=True)]
-    merged = exact.merge_filters([exact.encode_filter(*p) for p in parts])
+    merged = exact.merge_filters([exact.encode_filter(*p, key_bits) for p in parts])
     want = np.unique(np.append(keys, keys[:1]), return_counts=True)
     assert (merged[0] == want[0]).all() and (merged[1] == want[1]).all()
 
@@ -252,6 +264,37 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.drop_toxic(docs, marked).columns == docs.columns
 
 
+def test_ftrl_equals_plain_version():
+    import numpy as np
+
+    rng = random.Random(12)
+    texts = ["", "one", "one one two", "Vile, vile thing!", "É ñandú vile"] + [prose(rng, rng.randint(1, 60)) + rng.choice(["", " vile", " vile rotten"]) for _ in range(120)]
+    rows = [(t, int("vile" in t.lower() or rng.random() < 0.1)) for t in texts]
+    for text in texts:
+        assert set(toxicity.features(text.encode()).tolist()) == brute.toxic_features(text, toxicity.BITS)
+    got = toxicity.ftrl([(np.unique(toxicity.features(t.encode())).astype(np.int32), label) for t, label in rows])
+    want = brute.ftrl([(brute.toxic_features(t, toxicity.BITS), label) for t, label in rows], toxicity.EPOCHS, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    bias = want.pop("bias")
+    assert abs(got[-1] - bias) < 1e-9 and set(np.flatnonzero(got[:-1]).tolist()) == set(want) and want
+    assert all(abs(got[at] - w) < 1e-9 for at, w in want.items())
+
+
+def test_toxicity_equals_plain_version(spark):
+    """Every score of the table, from the labels on."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    got = {r["doc_id"]: r for r in toxicity.toxicity(docs, labels).collect()}
+    marks = {r["doc_id"]: r["toxic"] for r in labels.collect() if r["toxic"] is not None and brute.fold(r["doc_id"], 5)}
+    keys = {r["doc_id"]: r["at"] for r in docs.selectExpr("doc_id", "xxhash64(doc_id, CAST(text AS BINARY)) AS at").collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    learned = sorted((d for d in marks if texts.get(d) is not None), key=keys.get)
+    weights = brute.ftrl([(brute.toxic_features(texts[d], toxicity.BITS), marks[d]) for d in learned], toxicity.EPOCHS, toxicity.ALPHA, toxicity.BETA, toxicity.L1, toxicity.L2)
+    assert len(learned) > 50 and len(got) == len(texts)
+    for doc_id, text in texts.items():
+        assert abs(got[doc_id]["score"] - brute.toxic_score(text or "", weights, toxicity.BITS)) < 1e-5  # sent weights are floats
+        assert got[doc_id]["predicted"] == (got[doc_id]["score"] >= 0.5) and got[doc_id]["held_out"] == (brute.fold(doc_id, 5) == 0)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{a:b}</style><script>var t="</p><article>";</script></head><body class=page>
 <header><a href=/>Home</a> Site name</header><nav><ul><li><a href=/a>A</a><li><a href=/b>B</a></ul></nav><div class="cookie-notice">We use cookies.</div>
 <!-- <p>hidden</p> --><div class="ad">Buy now.</div><article><h1>Head&amp;line</h1><p><b>Bo</b>ld first&nbsp; paragraph.<br>Next   line<p>Second.</p>

@@ -60,7 +60,11 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
     assert {r["doc_id"]: r["text"] for r in got} == {i: t for i, t in kept if i not in leaks}
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+#: Held against the library and against all periods over the same table in test_bpe_merkle_runs.
+ELSEWHERE = {"op11_byte_bpe", "op13_periodic_runs"}
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - ELSEWHERE))
 def test_query_on_its_table(spark, name):
     """Queries that SQL cannot express, over a whole table, against plain versions or known facts."""
     rows = [tuple(r) for r in QUERIES[name](spark, SF).collect()]

@@ -8,7 +8,8 @@ from plazalake.functions import text
 from plazalake.operators import extract, load
 from plazalake.plans.registry import query
 from plazalake.plans.search_queries import L, listings
-from plazalake.plans.views import register, view, with_views
+from plazalake.plans.views import VIEWS, register, view, with_views
+from plazalake.sources import layout
 from plazalake.sources import pages as page_files
 from plazalake.sources.listings import sitemap_urls
 from plazalake.sources.scratch import new_path
@@ -17,8 +18,14 @@ P = with_views("pages_v")
 S = with_views("segments_v")
 
 
+def part(spark, d):
+    """The parts over all tasks: a page or a blob made of each is far more work than its bytes in the file tell."""
+    return layout.spread(register(spark, d).table("part"), "p_partkey")
+
+
 def pages(spark, d):
-    return view(spark, d, "pages_v")
+    part(spark, d).createOrReplaceTempView("part")
+    return spark.sql(VIEWS["pages_v"])
 
 
 def stored(spark, d):
@@ -51,11 +58,10 @@ def b6_json_ld_by_type(spark, d):
 
 
 def _postings(spark, d):
-    part = register(spark, d).table("part")
     offers = F.array(*(F.struct(F.struct(F.lit(name).alias("name")).alias("operationType"), F.array(F.struct(price.alias("amount"), F.lit("MXN").alias("currency"))).alias("prices")) for name, price in (("Renta", F.lit(5.5)), ("Venta", F.when(F.col("p_size") % 5 == 0, F.lit(0.0)).otherwise(F.col("p_retailprice"))))))
     one = F.struct(F.when(F.col("p_partkey") % 11 != 0, F.col("p_partkey").cast("string")).alias("postingId"), F.concat(F.lit("/p/"), "p_partkey").alias("url"), F.col("p_name").alias("title"), offers.alias("priceOperationTypes"))
     other = F.struct(F.concat(F.lit("x"), "p_partkey").alias("postingId"), F.lit("/q").alias("url"), F.lit("t").alias("title"), F.slice(offers, 1, 1).alias("priceOperationTypes"))
-    return part.select(F.col("p_partkey").alias("page_id"), F.to_json(F.array(other, one)).alias("postings"))
+    return part(spark, d).select(F.col("p_partkey").alias("page_id"), F.to_json(F.array(other, one)).alias("postings"))
 
 
 @query("SELECT p_partkey AS page_id, 0 AS position, concat('x', p_partkey) AS listing_id, '/q' AS url, CAST(NULL AS BIGINT) AS price, '' AS currency FROM part UNION ALL SELECT p_partkey, 1, CAST(p_partkey AS VARCHAR), concat('/p/', p_partkey), CASE WHEN p_size % 5 <> 0 THEN CAST(floor(p_retailprice) AS BIGINT) END, 'MXN' FROM part WHERE p_partkey % 11 <> 0")
@@ -161,16 +167,15 @@ def b14_total_attribute(spark, d):
 
 @query("SELECT p_partkey AS page_id, CASE WHEN p_size % 4 <> 0 THEN CAST(p_size AS INT) END AS total FROM part")
 def b3_paging_at_any_depth(spark, d):
-    part = register(spark, d).table("part")
     deep = F.concat(F.lit('{"a":[[{"b":{"paging":7,"c":{"paging":{"total":'), F.col("p_size").cast("string"), F.lit("}}}}]]}"))
-    found = extract.find_paging(part.select(F.col("p_partkey").alias("page_id"), F.when(F.col("p_size") % 4 == 0, F.lit('{"paging":[1]}')).otherwise(deep).alias("blob")))
+    found = extract.find_paging(part(spark, d).select(F.col("p_partkey").alias("page_id"), F.when(F.col("p_size") % 4 == 0, F.lit('{"paging":[1]}')).otherwise(deep).alias("blob")))
     return found.select("page_id", F.get_json_object("paging", "$.total").cast("int").alias("total"))
 
 
 @query("SELECT p_partkey AS page_id, concat('x', p_partkey) AS first_id FROM part")
 def b2_last_branch_first(spark, d):
     first, last = F.lit('{"a":{"l":[{"postingId":"no"}]},"b":[{"c":[1]},'), F.lit('"}]}}]}')
-    blobs = register(spark, d).table("part").select(F.col("p_partkey").alias("page_id"), F.concat(first, F.lit('{"d":{"l":[{"postingId":"x'), F.col("p_partkey").cast("string"), last).alias("blob"))
+    blobs = part(spark, d).select(F.col("p_partkey").alias("page_id"), F.concat(first, F.lit('{"d":{"l":[{"postingId":"x'), F.col("p_partkey").cast("string"), last).alias("blob"))
     return extract.find_postings(blobs).select("page_id", F.get_json_object("postings", "$[0].postingId").alias("first_id"))
 
 

@@ -37,6 +37,14 @@ def clustered(df: DataFrame, files: int | None = None, tie: str = "listing_id")
     return dealt.sortWithinPartitions("cell", tie)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by its keys over the session's shuffle partitions, at least three a core, which adaptive execution
+    does not merge: for rows on which a step works far longer than their bytes tell, as a page built of a short row.
+    Small files and large row groups would leave that step to one task."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism), *keys)
+
+
 def ranges(lat: float, lng: float, metres: float, most: int = 32) -> list[tuple[int, int]]:
     """At most ``most`` ranges of cells (both ends included) that cover all points within a radius: quarters of
     the globe, those on the edge cut in four again, the largest first."""

@@ -17,6 +17,13 @@ def test_query_equals_oracle(spark, con, name):
     assert differences(spark, con, SF, QUERIES[name], ORACLES[name]) is None
 
 
+@pytest.mark.parametrize("name", ["b8_cards", "b8_cards_in_sql", "b2_find_postings", "b2_last_branch_first", "b3_paging_at_any_depth"])
+def test_pages_are_walked_in_many_tasks(spark, name):
+    """The parts are one row group of one file, so without dealing them out one task would walk all pages."""
+    rows = QUERIES[name](spark, SF).rdd
+    assert sum(rows.mapPartitions(lambda part: [any(True for _ in part)]).collect()) >= 8
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())

@@ -34,21 +34,24 @@ def unambiguous_cities(points: DataFrame, most_km: float = 40.0) -> DataFrame:
 def resolve_cities(df: DataFrame, points: DataFrame, cities: DataFrame) -> DataFrame:
     """A centroid for each row by (city, province), else the city alone, else the part before "/",
     else the one city that starts with the name. stage tells which step found it. The last step
-    meets the beginnings of all known names, so it stays an equality join."""
+    meets the beginnings of all known names, so it stays an equality join. Each distinct place is
+    resolved once, as a stored table, which the rows meet in one join."""
     c = lambda d, p: d.select(*(x for x in ("city", "province") if x in d.columns), F.struct("lat", "lng").alias(p))
-    rows = df.withColumn("_cut", F.trim(F.substring_index("city", "/", 1)))
-    one = rows.join(c(points, "_p1"), ["city", "province"], "left").join(c(cities, "_p2"), "city", "left")
+    places = df.select("city", "province").distinct().withColumn("_cut", F.trim(F.substring_index("city", "/", 1)))
+    one = places.join(c(points, "_p1"), ["city", "province"], "left").join(c(cities, "_p2"), "city", "left")
     one = one.join(c(cities, "_p3").withColumnRenamed("city", "_cut"), "_cut", "left")
     # every name that a city's goes on from, so that a frequent first word pairs nothing by itself
     words = F.split("city", " ")
     shorter = F.explode(F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda n: F.array_join(F.slice(words, F.lit(1), n), " ")))
     known = cities.filter(F.contains("city", F.lit(" "))).select(F.struct("lat", "lng").alias("_p"), shorter.alias("city"))
-    prefix = df.select("city").distinct().join(known, "city")
+    prefix = places.select("city").distinct().join(known, "city")
     single = prefix.groupBy("city").agg(F.count(F.lit(1)).alias("_n"), F.any_value("_p").alias("_p4")).filter("_n = 1").drop("_n")
     out = one.join(single, "city", "left")
     found = F.coalesce("_p1", "_p2", "_p3", "_p4")
     stage = F.when(F.col("_p1").isNotNull(), 1).when(F.col("_p2").isNotNull(), 2).when(F.col("_p3").isNotNull(), 3).when(F.col("_p4").isNotNull(), 4).otherwise(0)
-    return out.select(*df.columns, stage.alias("stage"), found["lat"].alias("c_lat"), found["lng"].alias("c_lng"))
+    resolved = stored(out.select(F.col("city").alias("_city"), F.col("province").alias("_province"), stage.alias("stage"), found["lat"].alias("c_lat"), found["lng"].alias("c_lng")))
+    same = F.col("city").eqNullSafe(F.col("_city")) & F.col("province").eqNullSafe(F.col("_province"))
+    return df.join(resolved, same, "left").select(*df.columns, "stage", "c_lat", "c_lng")
 
 
 def repeated_points(df: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
@@ -70,15 +73,19 @@ def suspect_flags(df: DataFrame, most_km: float = 40.0, donors: DataFrame | None
     Names of cities and provinces meet by ``place_key`` with ``aliases``, so spellings of one place do not
     count as two. ``donors`` (city, province, lat, lng) give the centroids, best those of other corpora, as
     a filler point would support itself; without them the rows are their own. An empty city donates none."""
-    def named(rows: DataFrame) -> DataFrame:
+    def named(rows: DataFrame, *columns: str) -> DataFrame:
+        """Rows with a point, by the keys of their names, as a stored table, since several steps read them and would
+        make them again; each distinct spelling is looked at once."""
         kept = rows.filter(geo.point_ok(F.col("lat"), F.col("lng")))
-        return kept.withColumns({c: place_key(F.coalesce(c, F.lit("")), aliases) for c in ("city", "province")})
+        kept = kept.select(*columns, "lat", "lng", *(F.coalesce(c, F.lit("")).alias(f"_{c}") for c in ("city", "province")))
+        keys = stored(kept.select("_city", "_province").distinct().select("*", *(place_key(F.col(f"_{c}"), aliases).alias(c) for c in ("city", "province"))))
+        return stored(kept.join(keys, ["_city", "_province"]).drop("_city", "_province"))
 
-    good = named(df)
-    points = centroids((good if donors is None else named(donors)).filter("city <> ''"))
+    good = named(df, "source", "listing_id")
+    points = stored(centroids((good if donors is None else named(donors)).filter("city <> ''")))
     repeated = _repeated(good).filter("provinces >= 2").select("lat6", "lng6", F.lit(True).alias("_rep"))
     keyed = good.withColumn("lat6", F.floor(F.col("lat") * 1e6 + 0.5).cast("long")).withColumn("lng6", F.floor(F.col("lng") * 1e6 + 0.5).cast("long"))
-    placed = resolve_cities(keyed, points, unambiguous_cities(points, most_km)).join(repeated, ["lat6", "lng6"], "left")
+    placed = resolve_cities(keyed, points, stored(unambiguous_cities(points, most_km))).join(repeated, ["lat6", "lng6"], "left")
     far = geo.approx_km(F.col("lat"), F.col("lng"), F.col("c_lat"), F.col("c_lng")) > most_km
     # the three flag names are fixed values of the data format
     flags = F.array_compact(F.array(F.when(F.col("_rep"), "repe"), F.when(F.col("c_lat").isNull(), "sin-centroide"), F.when(far, "lejos")))

@@ -337,3 +337,17 @@ def test_postings_far_below(spark):
     deep = '{"a":' * 900 + '{"l":[{"postingId":7}]}' + "}" * 900
     got = extract.find_postings(spark.createDataFrame([(1, deep)], "page_id long, blob string")).first()["postings"]
     assert json.loads(got) == [{"postingId": 7}]
+
+
+def test_places_are_resolved_once(spark):
+    """Rows meet the resolved places in one join, also by null names; flags make the keys of spellings, not of rows."""
+    df = spark.createDataFrame([(str(i), "s", c, p, 19.0 + i / 1e5, -99.0) for i, (c, p) in enumerate([("A", "P"), ("a", "P"), ("\u00c1", "p,")] * 5 + [("A", None), (None, "P"), (None, None), ("A/x", "Q")])], "listing_id string, source string, city string, province string, lat double, lng double")
+    points = spark.createDataFrame([("A", "P", 1.0, 2.0)], "city string, province string, lat double, lng double")
+    found = geoquality.resolve_cities(df, points, points.drop("province"))
+    stages = {(r["city"], r["province"]): r["stage"] for r in found.collect()}
+    assert found.count() == df.count() and stages == {("A", "P"): 1, ("a", "P"): 0, ("\u00c1", "p,"): 0, ("A", None): 2, (None, "P"): 0, (None, None): 0, ("A/x", "Q"): 3}
+    joins = lambda d: d._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    assert joins(found) == 1
+    flags = geoquality.suspect_flags(df)
+    assert "translate" not in flags._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["listing_id"]: r["suspect"] for r in flags.collect()} == {str(i): ["sin-centroide"] if i in (16, 17) else [] for i in range(19)}

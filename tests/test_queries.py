@@ -24,6 +24,17 @@ def test_pages_are_walked_in_many_tasks(spark, name):
     assert sum(rows.mapPartitions(lambda part: [any(True for _ in part)]).collect()) >= 8
 
 
+def test_saved_pages_lie_in_folders_of_one_task(spark):
+    """So a commit moves whole folders, and a listing takes a task for each of them and not for each page."""
+    found = QUERIES["s4_saved_pages"](spark, SF)
+    files = [f.split("/")[-3:] for f in found.inputFiles()]
+    writers = {}
+    for folder, page, name in files:
+        assert folder.startswith("folder=") and page.startswith("page=")
+        writers.setdefault(folder, set()).add(name.split("-")[1])
+    assert len(files) == found.count() and all(len(w) == 1 for w in writers.values())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())

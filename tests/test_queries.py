@@ -1,7 +1,12 @@
+import gc
+import weakref
+
 import pytest
 
 import __spark_entry__ as entry
+from plazalake.plans import extract_queries
 from plazalake.plans.registry import ORACLES, QUERIES
+from plazalake.sources import pages as page_files
 from tests.compare import connect, differences
 
 SF = "/root/testdata/sf0.001"
@@ -35,6 +40,30 @@ def test_saved_pages_lie_in_folders_of_one_task(spark):
     assert len(files) == found.count() and all(len(w) == 1 for w in writers.values())
 
 
+def test_saved_pages_go_in_portions(spark, con, monkeypatch):
+    """The driver holds the path of each file that is listed, so no listing has all of them, and former ones are gone."""
+    name, listed, held, read_pages = "s4_saved_pages", [], [], page_files.read_pages
+
+    def noted(*args):
+        assert not any(frame() for frame in held)
+        frames = read_pages(*args)
+        listed.append(len(frames[0].inputFiles()))
+        held.append(weakref.ref(frames[0]._jdf))
+        return frames
+
+    monkeypatch.setattr(page_files, "read_pages", noted)
+    monkeypatch.setattr(extract_queries, "PORTION", 10, raising=False)
+    gc.disable()  # so that it is not by chance
+    try:
+        found = QUERIES[name](spark, SF)
+    finally:
+        gc.enable()
+    assert sum(listed) == found.count() == 50 and len(listed) == 5 and max(listed) < 20
+    assert sum("/page=" in f for f in found.inputFiles()) == listed[-1]
+    held.clear()
+    assert differences(spark, con, SF, QUERIES[name], ORACLES[name]) is None
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
